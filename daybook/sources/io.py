@@ -1,0 +1,24 @@
+"""Reading raw chain tables.
+
+Give ``read_blocks`` a narrow schema holding only the fields a job uses:
+Catalyst prunes struct fields through one ``explode`` but not inside the
+inner struct of a second one, while a narrow read schema prunes at the scan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+def read_blocks(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """Nested block table from parquet, optionally with a narrow read schema."""
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(path)
+
+
+def read_flat(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """Flat transaction table from parquet."""
+    return read_blocks(spark, path, schema)
