@@ -21,6 +21,19 @@ def _tron(spark, d):
     return tron_stats(L.tron_blocks(spark, d))
 
 
+def _account(name, blocks_fn):
+    def run(spark, d):
+        from daybook.plans import account
+
+        return getattr(account, name)(blocks_fn(spark, d))
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "tron_stats": _tron,
+    "eos_stats": _account("eos_stats", L.eos_blocks),
+    "lisk_stats": _account("lisk_stats", L.lisk_trs),
+    "nem_stats": _account("nem_stats", L.nem_blocks),
+    "waves_stats": _account("waves_stats", L.waves_blocks),
 }

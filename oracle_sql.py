@@ -85,5 +85,81 @@ Q["tron_stats"] = with_(
 FROM block_stats b LEFT JOIN tx_stats x USING (date) LEFT JOIN pay_stats p USING (date) LEFT JOIN addr a USING (date)"""
 
 
+def _vc(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+def _addr(sel: str) -> str:
+    """Distinct addresses over both sides of a relation with columns date, f, t."""
+    return f"""SELECT date, count(DISTINCT a) AS addr_cnt
+      FROM (SELECT date, f AS a FROM {sel} UNION ALL SELECT date, t AS a FROM {sel}) GROUP BY date"""
+
+
+# ------------------------------------------------------------------- EOS
+Q["eos_stats"] = with_(
+    ACC,
+    LI,
+    "blk AS (SELECT DISTINCT num, btime FROM acc)",
+    f"block_stats AS (SELECT {day('btime')} AS date, count(*) AS block_cnt FROM blk GROUP BY 1)",
+    f"tx_stats AS (SELECT {day('btime')} AS date, count(*) AS tx_cnt FROM acc GROUP BY 1)",
+    f"""tr AS (SELECT {day('a.btime')} AS date, a.cust AS f, l.supp AS t, l.amt
+      FROM acc a JOIN li l ON l.k = a.k
+      WHERE a.status <> 'P' AND l.flag <> 'R' AND l.part % 9 <> 0 AND l.part % 4 <> 0)""",
+    f"""action_stats AS (SELECT date, count(*) AS action_cnt, {scaled('sum(amt)', 4)} AS value,
+      {med(dbl('amt', 4))} AS med_value, count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt
+      FROM tr GROUP BY date)""",
+    f"addr AS ({_addr('tr')})",
+) + """SELECT b.date, b.block_cnt, x.tx_cnt, s.action_cnt, s.value, s.med_value, s.from_cnt, s.to_cnt, a.addr_cnt
+FROM block_stats b LEFT JOIN tx_stats x USING (date) LEFT JOIN action_stats s USING (date)
+LEFT JOIN addr a USING (date)"""
+
+# ------------------------------------------------------------------ Lisk
+Q["lisk_stats"] = with_(
+    ACC,
+    f"""t AS (SELECT {day('btime')} AS date, val AS amount, (k % 50 + 1) * 100000 AS fee,
+      {_vc('cust')} || 'L' AS f, {_vc('recv')} || 'L' AS t, k % 4 AS type FROM acc)""",
+    f"""s AS (SELECT date, count(*) AS cnt, {scaled('sum(amount)', 8)} AS value, {scaled('sum(fee)', 8)} AS fees,
+      {med(dbl('amount', 8))} AS med_value, {med(dbl('fee', 8))} AS med_fees,
+      count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt,
+      CAST(sum(CASE WHEN type = 0 THEN 1 ELSE 0 END) AS BIGINT) AS payment_cnt
+      FROM t GROUP BY date)""",
+    f"addr AS ({_addr('t')})",
+) + """SELECT s.*, a.addr_cnt FROM s LEFT JOIN addr a USING (date)"""
+
+# ------------------------------------------------------------------- NEM
+Q["nem_stats"] = with_(
+    ACC,
+    f"""t AS (SELECT {day('btime')} AS date, (k % 50 + 1) * 100000 AS fee,
+      val + CASE WHEN prio = '4-NOT SPECIFIED' AND k % 13 = 0 THEN 100 ELSE 0 END AS u,
+      'pk' || {_vc('cust')} AS signer, 'N' || {_vc('cust % 700')} AS sa, 'N' || {_vc('recv')} AS r FROM acc)""",
+    f"""s AS (SELECT date, count(*) AS cnt, {scaled('sum(fee)', 6)} AS fees, {scaled('sum(u)', 6)} AS value,
+      {med(dbl('fee', 6))} AS med_fees, {med(dbl('u', 6))} AS med_value,
+      count(DISTINCT signer) AS from_cnt, count(DISTINCT r) AS to_cnt FROM t GROUP BY date)""",
+    "u2 AS (SELECT date, sa AS f, r AS t FROM t)",
+    f"addr AS ({_addr('u2')})",
+) + """SELECT s.*, a.addr_cnt FROM s LEFT JOIN addr a USING (date)"""
+
+# ----------------------------------------------------------------- Waves
+Q["waves_stats"] = with_(
+    ACC,
+    LI,
+    """tx AS (SELECT k, btime * 1000 + k % 1000 AS ts,
+      CASE WHEN prio = '4-NOT SPECIFIED' THEN 11 WHEN prio = '5-LOW' THEN 3 ELSE 4 END AS type,
+      k % 6 = 0 AS has_asset, cust, recv, val, (k % 50 + 1) * 100000 AS fee FROM acc)""",
+    f"txs AS (SELECT {day_ms('ts')} AS date, fee FROM tx WHERE type IN (4, 11) AND NOT has_asset)",
+    f"""tr AS (SELECT {day_ms('ts')} AS date, 'W' || {_vc('cust')} AS f, 'W' || {_vc('recv')} AS t, val AS u
+        FROM tx WHERE type = 4 AND NOT has_asset
+      UNION ALL
+      SELECT {day_ms('tx.ts')} AS date, 'W' || {_vc('tx.cust')} AS f, 'W' || {_vc('l.supp')} AS t, l.amt AS u
+        FROM tx JOIN li l ON l.k = tx.k WHERE tx.type = 11 AND NOT tx.has_asset)""",
+    f"""ts_ AS (SELECT date, count(*) AS cnt, {scaled('sum(fee)', 8)} AS fees, {med(dbl('fee', 8))} AS med_fees
+      FROM txs GROUP BY date)""",
+    f"""trs AS (SELECT date, {scaled('sum(u)', 8)} AS value, {med(dbl('u', 8))} AS med_value,
+      count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt FROM tr GROUP BY date)""",
+    f"addr AS ({_addr('tr')})",
+) + """SELECT x.date, x.cnt, r.value, r.med_value, x.fees, x.med_fees, r.from_cnt, r.to_cnt, a.addr_cnt
+FROM ts_ x LEFT JOIN trs r USING (date) LEFT JOIN addr a USING (date)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
