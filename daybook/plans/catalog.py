@@ -30,10 +30,23 @@ def _account(name, blocks_fn):
     return run
 
 
+def _ledger(name, blocks_fn):
+    def run(spark, d):
+        from daybook.plans import ledger
+
+        return getattr(ledger, name)(blocks_fn(spark, d))
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "tron_stats": _tron,
     "eos_stats": _account("eos_stats", L.eos_blocks),
     "lisk_stats": _account("lisk_stats", L.lisk_trs),
     "nem_stats": _account("nem_stats", L.nem_blocks),
     "waves_stats": _account("waves_stats", L.waves_blocks),
+    "ripple_payment_stats": _ledger("ripple_payment_stats", L.ripple_ledgers),
+    "ripple_daily": _ledger("ripple_daily", L.ripple_ledgers),
+    "stellar_payment_stats": _ledger("stellar_payment_stats", L.stellar_ledgers),
+    "stellar_stats": _ledger("stellar_stats", L.stellar_ledgers),
 }

@@ -161,5 +161,108 @@ Q["waves_stats"] = with_(
 FROM ts_ x LEFT JOIN trs r USING (date) LEFT JOIN addr a USING (date)"""
 
 
+# ---------------------------------------------------------------- Ripple
+RTX = f"""rtx AS (
+  SELECT k, btime, num + 32569 AS idx, btime + CASE WHEN k % 5 = 0 THEN 25200 ELSE 0 END AS tdate,
+    CASE WHEN prio = '2-HIGH' THEN 'OfferCreate' WHEN prio = '3-MEDIUM' AND k % 3 = 0 THEN NULL
+      ELSE 'Payment' END AS type,
+    CASE WHEN status = 'P' THEN 'tecUNFUNDED' ELSE 'tesSUCCESS' END AS result,
+    'r' || {_vc('cust')} AS account,
+    CASE WHEN k % 11 = 0 THEN 'r' || {_vc('cust')} ELSE 'r' || {_vc('recv')} END AS destination,
+    CASE WHEN k % 7 = 0 THEN 'USD' END AS currency,
+    val AS amount, (k % 50 + 1) * 10 AS fee
+  FROM acc)"""
+LED = "led AS (SELECT DISTINCT num + 32569 AS idx, btime FROM acc)"
+XRP_PAYMENT = "result = 'tesSUCCESS' AND type = 'Payment' AND currency IS NULL AND account <> destination"
+
+Q["ripple_payment_stats"] = with_(
+    ACC,
+    RTX,
+    LED,
+    f"""txq AS (SELECT {day('tdate')} AS date, amount, fee, account AS f, destination AS t FROM rtx
+      WHERE {XRP_PAYMENT})""",
+    f"""txs AS (SELECT date, count(*) AS cnt, {scaled('sum(amount)', 6)} AS value, {scaled('sum(fee)', 6)} AS fee,
+      count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt FROM txq GROUP BY date)""",
+    f"addr AS ({_addr('txq')})",
+    f"total AS (SELECT {day('btime')} AS date, count(*) AS total_cnt FROM rtx GROUP BY 1)",
+    f"mtx AS (SELECT {day('btime')} AS date, count(*) AS missing_cnt FROM rtx WHERE type IS NULL GROUP BY 1)",
+    f"blocks AS (SELECT {day('btime')} AS date, count(*) AS block_cnt FROM led GROUP BY 1)",
+    f"""series AS (SELECT unnest(generate_series(32570, (SELECT max(idx) FROM led))) AS n)""",
+    f"""missing_blocks AS (
+      SELECT q.n AS idx, bp.idx AS prev_index, {day('bp.btime')} AS prev_date, bn.idx AS next_index
+      FROM series q LEFT JOIN led b ON q.n = b.idx LEFT JOIN led bp ON q.n = bp.idx + 1
+        LEFT JOIN led bn ON q.n + 1 = bn.idx
+      WHERE b.idx IS NULL AND (bp.idx IS NOT NULL OR bn.idx IS NOT NULL))""",
+    """mbd AS (SELECT l.idx AS b, l.prev_date AS begin_date,
+        (SELECT min(r.idx) FROM missing_blocks r WHERE r.idx >= l.idx AND r.next_index IS NOT NULL) AS e
+      FROM missing_blocks l WHERE l.prev_index IS NOT NULL)""",
+    "mbr AS (SELECT begin_date AS date, CAST(sum(e - b + 1) AS BIGINT) AS missing_block_cnt FROM mbd GROUP BY 1)",
+) + """SELECT x.date, x.cnt, x.value, x.fee, x.from_cnt, x.to_cnt, a.addr_cnt, b.block_cnt, m.missing_block_cnt,
+  t.total_cnt, mt.missing_cnt
+FROM txs x LEFT JOIN addr a USING (date) LEFT JOIN blocks b USING (date) LEFT JOIN mbr m USING (date)
+LEFT JOIN total t USING (date) LEFT JOIN mtx mt USING (date)"""
+
+Q["ripple_daily"] = with_(
+    ACC,
+    RTX,
+    LED,
+    f"ok AS (SELECT {day('btime')} AS date, fee, account AS f, destination AS t FROM rtx WHERE result = 'tesSUCCESS')",
+    f"""txs AS (SELECT date, count(*) AS cnt, {scaled('sum(fee)', 6)} AS fee, {med(dbl('fee', 6))} AS med_fee,
+      count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt FROM ok GROUP BY date)""",
+    f"pay AS (SELECT {day('btime')} AS date, amount FROM rtx WHERE {XRP_PAYMENT})",
+    f"""ps AS (SELECT date, count(*) AS payment_cnt, {scaled('sum(amount)', 6)} AS payment_value,
+      {med(dbl('amount', 6))} AS med_payment_value FROM pay GROUP BY date)""",
+    f"addr AS ({_addr('ok')})",
+    f"""blocks AS (SELECT {day('btime')} AS date, count(*) AS block_cnt,
+      max(idx) - min(idx) + 1 - count(*) AS missing_block_cnt FROM led GROUP BY 1)""",
+    f"mtx AS (SELECT {day('btime')} AS date, count(*) AS missing_cnt FROM rtx WHERE type IS NULL GROUP BY 1)",
+) + """SELECT x.date, x.cnt, x.fee, x.med_fee, x.from_cnt, x.to_cnt, a.addr_cnt, p.payment_cnt, p.payment_value,
+  p.med_payment_value, b.block_cnt, b.missing_block_cnt, m.missing_cnt
+FROM txs x LEFT JOIN addr a USING (date) LEFT JOIN ps p USING (date) LEFT JOIN blocks b USING (date)
+LEFT JOIN mtx m USING (date)"""
+
+# --------------------------------------------------------------- Stellar
+STELLAR_D22 = [
+    ACC,
+    LI,
+    f"""sop AS (
+      SELECT a.k, {day('a.btime')} AS date,
+        CASE WHEN l.flag = 'N' THEN 0 WHEN l.flag = 'A' THEN 1 ELSE 2 END AS type,
+        CASE WHEN l.part % 5 <> 0 THEN 'G' || {_vc('a.cust')} END AS f,
+        'G' || {_vc('CASE WHEN l.part % 13 = 0 THEN a.cust ELSE l.supp END')} AS t,
+        l.amt,
+        CASE WHEN l.part % 3 = 0 THEN '' WHEN l.part % 3 = 1 THEN 'ETH' WHEN l.part % 7 = 0 THEN 'USD'
+          ELSE 'BTC' END AS asset
+      FROM acc a JOIN li l ON l.k = a.k)""",
+    "p AS (SELECT * FROM sop WHERE type IN (0, 1) AND f <> t)",
+    f"""fees AS (SELECT {day('btime')} AS date, count(*) AS tx_cnt, {scaled('sum((k % 50 + 1) * 100)', 7)} AS fees
+      FROM acc GROUP BY 1)""",
+    f"""ops AS (SELECT date, asset, count(DISTINCT k) AS cnt, {scaled('sum(amt)', 7)} AS value,
+      count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt FROM p GROUP BY date, asset)""",
+    """addr2 AS (SELECT date, asset, count(DISTINCT a) AS addr_cnt
+      FROM (SELECT date, asset, f AS a FROM p UNION ALL SELECT date, asset, t AS a FROM p) GROUP BY date, asset)""",
+    """d22 AS (SELECT o.date, o.asset, o.cnt, o.value, x.fees, o.from_cnt, o.to_cnt, a.addr_cnt
+      FROM ops o LEFT JOIN fees x USING (date) LEFT JOIN addr2 a USING (date, asset))""",
+]
+Q["stellar_payment_stats"] = with_(*STELLAR_D22) + "SELECT * FROM d22"
+
+
+def _pivot(asset: str, label: str) -> str:
+    hit = f"FILTER (WHERE asset = '{asset}')"
+    return (
+        f'CAST(sum(cnt) {hit} AS BIGINT) AS "paymentTxCount({label})", '
+        f'sum(value) {hit} AS "paymentTxVolume({label})", '
+        f'sum(fees) {hit} AS "paymentFees({label})"'
+    )
+
+
+Q["stellar_stats"] = with_(
+    *STELLAR_D22,
+    "pv AS (SELECT date, " + ",\n".join(_pivot(a, b) for a, b in [("", "XRP"), ("ETH", "ETH"), ("BTC", "BTC")])
+    + " FROM d22 GROUP BY date)",
+) + """SELECT strftime(f.date, '%Y-%m-%d') AS date, f.tx_cnt AS "txCount", f.fees, pv.* EXCLUDE (date)
+FROM fees f LEFT JOIN pv USING (date)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
