@@ -39,6 +39,15 @@ def _ledger(name, blocks_fn):
     return run
 
 
+def _utxo(name, blocks_fn):
+    def run(spark, d):
+        from daybook.plans import utxo
+
+        return getattr(utxo, name)(blocks_fn(spark, d))
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "tron_stats": _tron,
     "eos_stats": _account("eos_stats", L.eos_blocks),
@@ -49,4 +58,7 @@ QUERIES: dict[str, Query] = {
     "ripple_daily": _ledger("ripple_daily", L.ripple_ledgers),
     "stellar_payment_stats": _ledger("stellar_payment_stats", L.stellar_ledgers),
     "stellar_stats": _ledger("stellar_stats", L.stellar_ledgers),
+    "cardano_stats": _utxo("cardano_stats", L.cardano_blocks),
+    "monero_stats": _utxo("monero_stats", L.monero_blocks),
+    "neo_stats": _utxo("neo_stats", L.neo_blocks),
 }

@@ -264,5 +264,82 @@ Q["stellar_stats"] = with_(
 FROM fees f LEFT JOIN pv USING (date)"""
 
 
+# ---------------------------------------------------------- UTXO chains
+KS = "ks AS (SELECT o_orderkey AS k FROM orders)"
+DAY0 = 788918400  # 1995-01-01
+
+Q["cardano_stats"] = with_(
+    KS,
+    LI,
+    UTXO,
+    f"""tp AS (
+      SELECT i.k AS txid, {DAY0} + 600 * i.k AS time, i.address, -i.amt AS value, 0 AS is_output
+        FROM ins i JOIN ks ON ks.k = i.k
+      UNION ALL
+      SELECT o.k, {DAY0} + 600 * o.k, o.address, o.amt, 1 FROM outs o)""",
+    """short AS (SELECT address FROM tp GROUP BY address
+      HAVING sum(value) = 0 AND max(time) - min(time) <= 2400)""",
+    "txio AS (SELECT txid, address, sum(value) AS value, sum(is_output) AS oc FROM tp GROUP BY txid, address)",
+    """txq AS (SELECT txid, -sum(value) AS fees, sum(greatest(value, 0)) AS volume,
+        sum(CASE WHEN s.address IS NOT NULL THEN greatest(value, 0) END) AS short_volume,
+        greatest(sum(oc) - 1, 0) AS payment_cnt
+      FROM txio LEFT JOIN short s ON s.address = txio.address GROUP BY txid)""",
+    f"""txs AS (SELECT {day(f'{DAY0} + 600 * txid')} AS date, count(*) AS cnt, {scaled('sum(fees)', 6)} AS fees,
+        {scaled('sum(volume)', 6)} AS volume, {med(dbl('volume', 6))} AS med_volume, {med(dbl('fees', 6))} AS med_fees,
+        CAST(sum(payment_cnt) AS BIGINT) AS payment_cnt, {scaled('sum(short_volume)', 6)} AS short_volume
+      FROM txq GROUP BY 1)""",
+    f"""sides AS (SELECT {day('time')} AS date,
+        count(DISTINCT address) FILTER (WHERE is_output = 0) AS from_cnt,
+        count(DISTINCT address) FILTER (WHERE is_output = 1) AS to_cnt,
+        count(DISTINCT address) AS addr_cnt FROM tp GROUP BY 1)""",
+) + """SELECT t.date, t.cnt, t.volume, t.fees, t.med_volume, t.med_fees, t.payment_cnt, t.short_volume,
+  s.from_cnt, s.to_cnt, s.addr_cnt
+FROM txs t LEFT JOIN sides s USING (date)"""
+
+MONERO_FEE = "CASE WHEN height < 1220516 THEN vi.amount - vo.amount ELSE fee END"
+Q["monero_stats"] = with_(
+    KS,
+    LI,
+    UTXO,
+    f"""tx AS (SELECT k, k // 2 AS blk, 1220000 + k // 2 AS height, {DAY0} + 1200 * (k // 2) AS ts,
+      (k % 50 + 1) * 100000000 AS fee FROM ks)""",
+    "vi AS (SELECT i.k, sum(i.amt) AS amount, count(*) AS cnt FROM ins i JOIN ks ON ks.k = i.k GROUP BY i.k)",
+    "vo AS (SELECT k, sum(amt) AS amount, count(*) AS cnt FROM outs GROUP BY k)",
+    "blocks AS (SELECT blk, height, ts, count(*) AS ntx FROM tx GROUP BY blk, height, ts)",
+    f"""bs AS (SELECT {day('ts')} AS date, count(*) AS block_cnt, CAST(sum(ntx * 1000) AS BIGINT) AS block_size,
+        {scaled('sum((height % 5 + 1) * 600000000000)', 12)} AS reward,
+        avg(CAST(height % 1000 + 1 AS DOUBLE)) AS avg_difficulty FROM blocks GROUP BY 1)""",
+    f"""txs AS (SELECT {day('tx.ts')} AS date, count(*) AS cnt, {scaled(f'sum({MONERO_FEE})', 12)} AS fees,
+        {med(dbl(MONERO_FEE, 12))} AS med_fees,
+        CAST(sum(coalesce(vi.cnt, 0) + coalesce(vo.cnt, 0)) AS BIGINT) AS io_cnt,
+        CAST(sum(greatest(vo.cnt - 1, 0)) AS BIGINT) AS payment_cnt
+      FROM tx LEFT JOIN vi ON vi.k = tx.k LEFT JOIN vo ON vo.k = tx.k GROUP BY 1)""",
+) + "SELECT bs.*, txs.* EXCLUDE (date) FROM bs LEFT JOIN txs USING (date)"
+
+NEO_FEE = f"(CAST(k % 3 AS DECIMAL(38,8)) + CAST({scaled('k % 50 + 1', 3)} AS DECIMAL(38,8)))"
+Q["neo_stats"] = with_(
+    KS,
+    LI,
+    UTXO,
+    f"""txo AS (SELECT k AS txid, k // 2 AS blk, {day(f'{DAY0} + 1200 * (k // 2)')} AS date, idx AS voutnum,
+        flag AS asset, CAST({scaled('amt', 2)} AS DECIMAL(38,8)) AS value, 'A' || {_vc('address')} AS address,
+        {NEO_FEE} AS fee FROM outs)""",
+    f"""txi AS (SELECT i.k AS txid, i.k // 2 AS blk, {day(f'{DAY0} + 1200 * (i.k // 2)')} AS date, t.asset,
+        -t.value AS value, t.address, {NEO_FEE.replace('k %', 'i.k %')} AS fee
+      FROM ins i JOIN ks ON ks.k = i.k JOIN txo t ON t.txid = i.src_k AND t.voutnum = i.src_idx)""",
+    """both_ AS (SELECT date, blk, txid, fee, asset, address, value FROM txi
+      UNION ALL SELECT date, blk, txid, fee, asset, address, value FROM txo)""",
+    """txio AS (SELECT date, blk, txid, fee, asset, address, greatest(sum(value), 0) AS value
+      FROM both_ GROUP BY date, blk, txid, fee, asset, address)""",
+    """st AS (SELECT date, asset, count(*) AS cnt, sum(fee) AS fees, """ + med("CAST(fee AS DOUBLE)")
+    + """ AS med_fees, sum(value) AS value, """ + med("CAST(value AS DOUBLE)") + """ AS med_value
+      FROM txio GROUP BY date, asset)""",
+    "fi AS (SELECT date, asset, count(DISTINCT address) AS from_cnt FROM txi GROUP BY date, asset)",
+    "fo AS (SELECT date, asset, count(DISTINCT address) AS to_cnt FROM txo GROUP BY date, asset)",
+    "fa AS (SELECT date, asset, count(DISTINCT address) AS addr_cnt FROM both_ GROUP BY date, asset)",
+) + """SELECT st.*, fi.from_cnt, fo.to_cnt, fa.addr_cnt
+FROM st JOIN fi USING (date, asset) JOIN fo USING (date, asset) JOIN fa USING (date, asset)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
