@@ -48,6 +48,28 @@ def _utxo(name, blocks_fn):
     return run
 
 
+def _eth(name, blocks_fn, **kw):
+    def run(spark, d):
+        from daybook.plans import ethereum
+
+        return getattr(ethereum, name)(blocks_fn(spark, d), **kw)
+
+    return run
+
+
+def _erc20(spark, d):
+    from daybook.plans.ethereum import erc20_transfers
+    from daybook.sources.tokens import token_frame
+
+    return erc20_transfers(L.eth_blocks(spark, d), token_frame(spark))
+
+
+def _iota(spark, d):
+    from daybook.plans.bundle import iota_stats
+
+    return iota_stats(L.iota_txs(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "tron_stats": _tron,
     "eos_stats": _account("eos_stats", L.eos_blocks),
@@ -61,4 +83,16 @@ QUERIES: dict[str, Query] = {
     "cardano_stats": _utxo("cardano_stats", L.cardano_blocks),
     "monero_stats": _utxo("monero_stats", L.monero_blocks),
     "neo_stats": _utxo("neo_stats", L.neo_blocks),
+    "iota_stats": _iota,
+    "eth_tx": _eth("eth_tx", L.eth_blocks),
+    "eth_actions": _eth("eth_actions", L.eth_blocks),
+    "eth_contracts": _eth("eth_contracts", L.eth_blocks),
+    "eth_short_addrs": _eth("eth_short_addrs", L.eth_blocks),
+    "eth_short_tx": _eth("eth_short_tx", L.eth_blocks),
+    "etc_short_tx": _eth("eth_short_tx", L.etc_blocks),
+    "etc_stats": _eth("etc_stats", L.etc_blocks),
+    "eth_stats_traced": _eth("eth_stats_traced", L.eth_blocks, schedule="eth"),
+    "etc_stats_traced": _eth("eth_stats_traced", L.etc_blocks, schedule="etc"),
+    "eth_stats_traced_registry": _eth("eth_stats_traced", L.eth_blocks, schedule="eth", contracts="registry"),
+    "erc20_transfers": _erc20,
 }

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from daybook.functions.clock import floor_div
 from daybook.sources import tokens as token_list
 
 DAY0_UNIX_DATE = 9131  # 1995-01-01
@@ -340,7 +341,7 @@ def iota_txs(spark: SparkSession, sf_dir: str) -> DataFrame:
         bundle.alias("bundle"),
         (F.col("event_id") % 4).alias("currentIndex"),
         F.lit(3).cast("long").alias("lastIndex"),
-        F.when(bundle % 2 == 0, F.floor(micros / 1000)).otherwise(F.floor(micros / 1000000)).cast("long").alias("timestamp"),
+        F.when(bundle % 2 == 0, floor_div(micros, 1000)).otherwise(floor_div(micros, 1000000)).alias("timestamp"),
         F.when(F.col("event_type").isin("click", "purchase"), cents)
         .when(F.col("event_type") == "error", -cents)
         .otherwise(F.lit(0).cast("long"))

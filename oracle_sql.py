@@ -341,5 +341,193 @@ Q["neo_stats"] = with_(
 FROM st JOIN fi USING (date, asset) JOIN fo USING (date, asset) JOIN fa USING (date, asset)"""
 
 
+# -------------------------------------------------------- Ethereum family
+ETH_OFFSET = 4365000
+ETC_OFFSET = 4995000
+
+
+def _etx(offset: int) -> list[str]:
+    return [
+        ACC,
+        LI,
+        f"""etx AS (
+      SELECT a.k, a.num + {offset} AS number, a.btime AS time, a.cust AS f, a.recv AS t,
+        CASE WHEN a.prio = '5-LOW' THEN a.k END AS ca, a.val AS value, 21000 * (a.k % 50 + 1) AS fee
+      FROM acc a
+      UNION ALL
+      SELECT a.k, a.num + {offset}, a.btime, CASE WHEN v.s = 1 THEN a.cust ELSE a.k + 1000000000 END,
+        CASE WHEN v.s = 1 THEN a.k + 1000000000 ELSE (a.k * 7) % 1000 END, NULL, a.val, 0
+      FROM acc a, (VALUES (1), (2)) v(s) WHERE a.k % 20 = 0)""",
+        """eact AS (
+      SELECT a.btime AS time, a.cust AS f,
+        CASE WHEN a.prio = '5-LOW' AND l.idx = 0 THEN a.k ELSE l.supp END AS t, l.amt AS value,
+        CASE WHEN a.prio = '5-LOW' AND l.idx = 0 THEN 1 ELSE 0 END AS type
+      FROM acc a JOIN li l ON l.k = a.k WHERE l.flag <> 'R')""",
+        "eblk AS (SELECT number, time, count(*) AS ntx FROM etx GROUP BY number, time)",
+    ]
+
+
+def _reward(schedule: str) -> tuple[str, str]:
+    """(block reward, uncle factor) as exact decimals over eblk columns."""
+    if schedule == "eth":
+        r = "CAST(CASE WHEN number < 4370000 THEN 5 ELSE 3 END AS DECIMAL(20,10))"
+        u = "(CAST(-1 AS DECIMAL(10,0)) * 0.125 + 1.03125)"
+    else:
+        r = "CAST(5 * power(0.8, (number - 1) // 5000000) AS DECIMAL(20,10))"
+        u = "CASE WHEN number <= 5000000 THEN CAST(-1 AS DECIMAL(10,0)) * 0.125 + 1.03125 ELSE 0.0625 END"
+    return r, u
+
+
+def _blocks_sql(schedule: str) -> list[str]:
+    r, u = _reward(schedule)
+    return [
+        f"bl AS (SELECT number, time, ntx, {r} AS reward FROM eblk)",
+        f"""bst AS (SELECT {day('time')} AS date, avg(CAST(number % 1000 + 1 AS DOUBLE)) AS avg_difficulty,
+        CAST(sum(ntx * 1000) AS DOUBLE) / CAST(sum(ntx) AS DOUBLE) AS avg_tx_size, count(*) AS block_cnt,
+        CAST(sum(ntx * 1000) AS BIGINT) AS sum_size, sum(reward) AS br FROM bl GROUP BY 1)""",
+        f"ust AS (SELECT {day('time')} AS date, sum(({u}) * reward) AS ur FROM bl WHERE number % 7 = 0 GROUP BY 1)",
+    ]
+
+
+TXS_SQL = [
+    f"""txs AS (SELECT {day('time')} AS date, count(*) AS tx_cnt, {scaled('sum(value)', 18)} AS sum_value,
+      {med(dbl('value', 18))} AS med_value, {med(dbl('fee', 18))} AS med_fee, {scaled('sum(fee)', 18)} AS sum_fee,
+      count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt FROM etx GROUP BY 1)""",
+    f"etx2 AS (SELECT {day('time')} AS date, f, t FROM etx)",
+    f"addr AS ({_addr('etx2')})",
+]
+
+
+def _short(receiver: str, drop_null: bool) -> str:
+    where = "WHERE address IS NOT NULL" if drop_null else ""
+    return f"""sh AS (SELECT address, count(*) AS cnt, sum(greatest(value, 0)) AS pos, min(time) AS min_time
+      FROM (SELECT time, {receiver} AS address, value FROM etx
+            UNION ALL SELECT time, f AS address, -(value + fee) AS value FROM etx) r
+      {where}
+      GROUP BY address HAVING max(time) - min(time) <= 86400 AND sum(value) = 0)"""
+
+
+Q["eth_tx"] = with_(*_etx(ETH_OFFSET)) + f"""SELECT time, {day('time')} AS date, f AS "from", t AS "to",
+  ca AS "contractAddress", {scaled('value', 18)} AS value, {scaled('fee', 18)} AS fee FROM etx"""
+Q["eth_actions"] = with_(*_etx(ETH_OFFSET)) + f"""SELECT time, {day('time')} AS date, f AS "from", t AS "to",
+  {scaled('value', 18)} AS value FROM eact"""
+Q["eth_contracts"] = with_(*_etx(ETH_OFFSET)) + "SELECT DISTINCT t AS address FROM eact WHERE type = 1 AND t IS NOT NULL"
+Q["eth_short_addrs"] = with_(*_etx(ETH_OFFSET), _short("t", True)) + f"""SELECT address, cnt,
+  {scaled('pos', 18)} AS positive_value, min_time, {day('min_time')} AS min_date FROM sh"""
+for _name, _off in (("eth_short_tx", ETH_OFFSET), ("etc_short_tx", ETC_OFFSET)):
+    Q[_name] = with_(*_etx(_off), _short("coalesce(t, ca)", False)) + f"""SELECT {day('min_time')} AS date,
+  CAST(sum(cnt) AS BIGINT) AS cnt, {scaled('sum(pos)', 18)} AS value FROM sh GROUP BY 1"""
+
+Q["etc_stats"] = with_(
+    *_etx(ETC_OFFSET),
+    *_blocks_sql("etc"),
+    *TXS_SQL,
+    f"""pay AS (SELECT {day('tx.time')} AS date, count(*) AS payment_cnt
+      FROM etx tx LEFT JOIN etx c ON tx.t = c.ca WHERE tx.t IS NOT NULL AND c.ca IS NULL GROUP BY 1)""",
+) + """SELECT b.date, x.tx_cnt, p.payment_cnt, x.sum_value, x.med_value, b.avg_difficulty, b.avg_tx_size, x.sum_fee,
+  b.block_cnt, b.sum_size, x.med_fee, CAST(b.br + u.ur AS DOUBLE) AS reward, x.from_cnt, x.to_cnt, a.addr_cnt
+FROM bst b LEFT JOIN ust u USING (date) LEFT JOIN txs x USING (date) LEFT JOIN pay p USING (date)
+LEFT JOIN addr a USING (date)"""
+
+
+def _traced(offset: int, schedule: str, registry: bool) -> str:
+    cset = (
+        "(SELECT DISTINCT t AS address FROM eact WHERE type = 1 AND t IS NOT NULL)"
+        if registry
+        else "(SELECT ca AS address FROM etx WHERE ca IS NOT NULL)"
+    )
+    pay_c = "tx.t IS NOT NULL AND c.address IS NULL"
+    call_c = "tx.t IS NOT NULL AND c.address IS NOT NULL"
+    make_c = "tx.t IS NULL"
+
+    def cnt(c):
+        return f"CAST(sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS BIGINT)"
+
+    def val(c):
+        return scaled(f"sum(CASE WHEN {c} THEN tx.value ELSE 0 END)", 18)
+
+    return with_(
+        *_etx(offset),
+        *_blocks_sql(schedule),
+        *TXS_SQL,
+        f"""ast AS (SELECT {day('time')} AS date, count(*) AS action_cnt, {scaled('sum(value)', 18)} AS sum_action_value,
+          {med(dbl('value', 18))} AS med_action_value, count(DISTINCT f) AS action_from_cnt,
+          count(DISTINCT t) AS action_to_cnt FROM eact GROUP BY 1)""",
+        f"eact2 AS (SELECT {day('time')} AS date, f, t FROM eact)",
+        f"aaddr AS (SELECT date, addr_cnt AS addr_action_cnt FROM ({_addr('eact2')}))",
+        f"""pay AS (SELECT {day('tx.time')} AS date, {cnt(pay_c)} AS payment_cnt, {cnt(call_c)} AS contract_cnt,
+          {cnt(make_c)} AS create_contract_cnt, {val(pay_c)} AS payment_value, {val(call_c)} AS contract_value,
+          {val(make_c)} AS create_contract_value
+          FROM etx tx LEFT JOIN {cset} c ON tx.t = c.address GROUP BY 1)""",
+        _short("t", True),
+        f"""sst AS (SELECT {day('min_time')} AS date, CAST(sum(cnt) AS BIGINT) AS short_cnt,
+          {scaled('sum(pos)', 18)} AS short_value FROM sh GROUP BY 1)""",
+    ) + """SELECT b.date, x.tx_cnt, s.action_cnt, x.sum_value, x.med_value, s.sum_action_value, s.med_action_value,
+  b.avg_difficulty, b.avg_tx_size, x.sum_fee, b.block_cnt, b.sum_size, x.med_fee, CAST(b.br + u.ur AS DOUBLE) AS reward,
+  x.from_cnt, x.to_cnt, a.addr_cnt, s.action_from_cnt, s.action_to_cnt, aa.addr_action_cnt, p.payment_cnt,
+  p.contract_cnt, p.create_contract_cnt, p.payment_value, p.contract_value, p.create_contract_value,
+  ss.short_cnt, ss.short_value
+FROM bst b LEFT JOIN ust u USING (date) LEFT JOIN txs x USING (date) LEFT JOIN addr a USING (date)
+LEFT JOIN ast s USING (date) LEFT JOIN aaddr aa USING (date) LEFT JOIN pay p USING (date)
+LEFT JOIN sst ss USING (date)"""
+
+
+Q["eth_stats_traced"] = _traced(ETH_OFFSET, "eth", False)
+Q["etc_stats_traced"] = _traced(ETC_OFFSET, "etc", False)
+Q["eth_stats_traced_registry"] = _traced(ETH_OFFSET, "eth", True)
+
+# ------------------------------------------------------------------ ERC20
+from daybook.sources.tokens import TOKENS  # noqa: E402  (fixed token list, data only)
+
+_TOKENS_SQL = "tokens AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{sym}', {dec})" for i, (_a, _n, sym, dec) in enumerate(TOKENS)
+) + ") t(idx, symbol, decimals))"
+
+Q["erc20_transfers"] = with_(
+    ACC,
+    LI,
+    _TOKENS_SQL,
+    f"""ev AS (SELECT {day('a.btime')} AS date, tk.symbol, tk.decimals, a.cust AS f, l.supp AS t,
+        CASE WHEN l.part % 101 = 0 THEN NULL ELSE l.amt END AS u
+      FROM acc a JOIN li l ON l.k = a.k JOIN tokens tk ON tk.idx = l.part % {len(TOKENS)}
+      WHERE NOT (l.lstatus = 'F' AND l.flag = 'R'))""",
+    """ev2 AS (SELECT *, CAST(CAST(u AS VARCHAR) || 'E-' || CAST(decimals AS VARCHAR) AS DECIMAL(38,18)) AS value,
+      CAST(u AS DOUBLE) / CAST('1e' || CAST(decimals AS VARCHAR) AS DOUBLE) AS dv FROM ev)""",
+    f"""st AS (SELECT symbol, date, count(*) AS cnt, sum(value) AS value, max(value) AS max_value,
+      {med('dv')} AS med_value, count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt
+      FROM ev2 GROUP BY symbol, date)""",
+    """sf AS (SELECT symbol, date, max(s) AS max_sum_from_value FROM
+      (SELECT symbol, date, f, sum(value) AS s FROM ev2 GROUP BY ALL) GROUP BY symbol, date)""",
+    """stt AS (SELECT symbol, date, max(s) AS max_sum_to_value FROM
+      (SELECT symbol, date, t, sum(value) AS s FROM ev2 GROUP BY ALL) GROUP BY symbol, date)""",
+    """ad AS (SELECT symbol, date, count(DISTINCT a) AS addr_cnt FROM
+      (SELECT symbol, date, f AS a FROM ev2 UNION ALL SELECT symbol, date, t AS a FROM ev2) GROUP BY symbol, date)""",
+) + """SELECT st.symbol, st.date, st.cnt, st.value, st.max_value, st.med_value, sf.max_sum_from_value,
+  stt.max_sum_to_value, st.from_cnt, st.to_cnt, ad.addr_cnt
+FROM st LEFT JOIN sf USING (symbol, date) LEFT JOIN stt USING (symbol, date) LEFT JOIN ad USING (symbol, date)"""
+
+# ------------------------------------------------------------------- IOTA
+Q["iota_stats"] = with_(
+    """ev AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events WHERE event_id % 17 <> 0)""",
+    """base AS (SELECT event_id // 4 AS bundle, event_id % 4 AS ci, 3 AS li,
+        CASE WHEN (event_id // 4) % 2 = 0 THEN us // 1000 ELSE us // 1000000 END AS ts,
+        CASE WHEN event_type IN ('click', 'purchase') THEN CAST(round(value * 100) AS BIGINT)
+             WHEN event_type = 'error' THEN -CAST(round(value * 100) AS BIGINT) ELSE 0 END AS v,
+        'A' || CAST(user_id AS VARCHAR) AS address, event_id, user_id FROM ev)""",
+    """raw AS (SELECT bundle, ci, li, ts, v, address FROM base
+      UNION ALL SELECT bundle, ci, li, ts, v, 'A' || CAST(user_id + 1000000 AS VARCHAR) FROM base
+      WHERE event_id % 10 = 0)""",
+    """en AS (SELECT bundle, ci, max(CASE WHEN ts >= 1000000000000 THEN ts // 1000 ELSE ts END) AS ts, max(v) AS v,
+      max(address) AS address, max(li) AS li FROM raw GROUP BY bundle, ci)""",
+    """bu AS (SELECT bundle, max(ts) AS ts, sum(greatest(v, 0)) AS value FROM en GROUP BY bundle
+      HAVING max(li) + 1 = count(*))""",
+    f"""bs AS (SELECT {day('ts')} AS date, count(*) AS cnt, CAST(sum(value) AS DECIMAL(38,0)) AS value,
+      {med('CAST(CASE WHEN value <> 0 THEN value END AS DOUBLE)')} AS med_value FROM bu GROUP BY 1)""",
+    f"""ts_ AS (SELECT {day('bu.ts')} AS date, CAST(sum(CASE WHEN en.v < 0 THEN 1 ELSE 0 END) AS BIGINT) AS from_cnt,
+      CAST(sum(CASE WHEN en.v > 0 THEN 1 ELSE 0 END) AS BIGINT) AS to_cnt, count(DISTINCT en.address) AS addr_cnt
+      FROM en JOIN bu ON bu.bundle = en.bundle GROUP BY 1)""",
+) + """SELECT t.date, b.cnt, b.value, b.med_value, t.from_cnt, t.to_cnt, t.addr_cnt FROM ts_ t LEFT JOIN bs b USING (date)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
