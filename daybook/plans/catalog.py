@@ -70,6 +70,38 @@ def _iota(spark, d):
     return iota_stats(L.iota_txs(spark, d))
 
 
+def _sync(spark, d):
+    from daybook.streaming.synclog import sync_watermarks
+
+    return sync_watermarks(
+        {
+            "cardano": L.cardano_blocks(spark, d),
+            "ripple_payment_xrp": L.ripple_ledgers(spark, d),
+            "stellar": L.stellar_ledgers(spark, d),
+            "iota": L.iota_txs(spark, d),
+            "monero": L.monero_blocks(spark, d),
+            "nem": L.nem_blocks(spark, d),
+            "neo": L.neo_blocks(spark, d),
+            "lisk": L.lisk_block_times(spark, d),
+            "eos": L.eos_blocks(spark, d),
+            "waves": L.waves_blocks(spark, d),
+        }
+    )
+
+
+# Fixture asset ids standing in for GAS and NEO (the fixture ledger uses return flags).
+FIXTURE_NEO_ASSETS = {"gas": "A", "neo": "N"}
+
+
+def _csv(dataset: str, export: str, where=None, keep=()):
+    def run(spark, d):
+        from daybook.sources.exports import csv_view
+
+        return csv_view(QUERIES[dataset](spark, d), export, where=where, keep=keep)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "tron_stats": _tron,
     "eos_stats": _account("eos_stats", L.eos_blocks),
@@ -95,4 +127,24 @@ QUERIES: dict[str, Query] = {
     "etc_stats_traced": _eth("eth_stats_traced", L.etc_blocks, schedule="etc"),
     "eth_stats_traced_registry": _eth("eth_stats_traced", L.eth_blocks, schedule="eth", contracts="registry"),
     "erc20_transfers": _erc20,
+    "sync_watermarks": _sync,
 }
+
+QUERIES.update(
+    {
+        "csv_cardano": _csv("cardano_stats", "cardano"),
+        "csv_ripple_payment_xrp": _csv("ripple_daily", "ripple_payment_xrp"),
+        "csv_stellar_payment_xlm": _csv("stellar_payment_stats", "stellar_payment_xlm", where="asset = ''"),
+        "csv_iota": _csv("iota_stats", "iota"),
+        "csv_monero": _csv("monero_stats", "monero"),
+        "csv_nem": _csv("nem_stats", "nem"),
+        "csv_neo_gas": _csv("neo_stats", "neo", where=f"asset = '{FIXTURE_NEO_ASSETS['gas']}'"),
+        "csv_neo_neo": _csv("neo_stats", "neo", where=f"asset = '{FIXTURE_NEO_ASSETS['neo']}'"),
+        "csv_lisk": _csv("lisk_stats", "lisk"),
+        "csv_eos": _csv("eos_stats", "eos"),
+        "csv_waves": _csv("waves_stats", "waves"),
+        "csv_eth_stats": _csv("eth_stats_traced_registry", "eth_stats"),
+        "csv_eth_classic_stats": _csv("etc_stats_traced", "eth_stats"),
+        "csv_erc20": _csv("erc20_transfers", "erc20", keep=("symbol",)),
+    }
+)

@@ -165,19 +165,25 @@ TRACED_COLUMNS = [
 ]
 
 
-def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str = "created") -> DataFrame:
+def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str = "created", since=None) -> DataFrame:
     """Traced daily statistics, 28 columns.
 
     ``contracts='created'``: a contract is an address some transaction created
     (full build); ``'registry'``: the registry of accounted create actions,
-    as the incremental build uses (§8 Q7).
+    as the incremental build uses (§8 Q7).  With ``since`` only days from
+    ``since`` on are computed; the contract and short-address registries
+    still cover all history.
     """
+    history = blocks
+    if since is not None:
+        blocks = blocks.where(day_of_seconds("timestamp") >= F.lit(since))
     tx = tx_units(blocks)
     act = action_units(blocks)
     if contracts == "created":
-        cset = tx.where(F.col("contractAddress").isNotNull()).select(F.col("contractAddress").alias("address"))
+        all_tx = tx_units(history)
+        cset = all_tx.where(F.col("contractAddress").isNotNull()).select(F.col("contractAddress").alias("address"))
     elif contracts == "registry":
-        cset = eth_contracts(blocks)
+        cset = eth_contracts(history)
     else:
         raise ValueError(contracts)
     # J9 against a distinct set; creating transactions (to NULL) skip the join.
@@ -204,7 +210,10 @@ def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str =
     )
     med_a = exact_median(act, ["date"], units_to_double("value", ETH_SCALE), "med_action_value")
     addr_a = unique_addresses(act, ["date"], ["from", "to"], "addr_action_cnt")
-    short = short_addresses_units(blocks).groupBy(F.col("min_date").alias("date")).agg(
+    registry = short_addresses_units(history)
+    if since is not None:
+        registry = registry.where(F.col("min_date") >= F.lit(since))
+    short = registry.groupBy(F.col("min_date").alias("date")).agg(
         F.sum("cnt").alias("short_cnt"), scale_units(F.sum("positive_value"), ETH_SCALE).alias("short_value")
     )
     out = stitch(_block_stats(blocks, schedule), _tx_stats(tx), acts, med_a, addr_a, pay, short, on="date")

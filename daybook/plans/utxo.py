@@ -139,12 +139,21 @@ def neo_inputs(blocks: DataFrame, outputs: DataFrame) -> DataFrame:
     return spent.select("date", "blk", "txid", "fee", "asset", (-F.col("value")).alias("value"), "address")
 
 
-def neo_stats(blocks: DataFrame) -> DataFrame:
-    """Per day and asset (D18).  ``cnt`` counts (tx, address) rows and fees
-    repeat per row (§8 Q9); a (day, asset) without inputs is dropped by the
-    inner joins (§8 Q10)."""
-    txo = neo_outputs(blocks)
-    txi = neo_inputs(blocks, txo)
+def neo_stats(blocks: DataFrame, since=None) -> DataFrame:
+    """Per day and asset (D18, D19).  ``cnt`` counts (tx, address) rows and
+    fees repeat per row (§8 Q9); a (day, asset) without inputs is dropped by
+    the inner joins (§8 Q10).
+
+    With ``since`` only days from ``since`` on are computed, but inputs are
+    still valued through outputs of any earlier day (the incremental build).
+    """
+    history = neo_outputs(blocks)
+    if since is None:
+        txo, open_blocks = history, blocks
+    else:
+        open_blocks = blocks.where(day_of_seconds("time") >= F.lit(since))
+        txo = history.where(F.col("date") >= F.lit(since))
+    txi = neo_inputs(open_blocks, history)
     cols = ["date", "blk", "txid", "fee", "asset", "value", "address"]
     both = txi.select(*cols).unionByName(txo.select(*cols))
     txio = both.groupBy("date", "blk", "txid", "fee", "asset", "address").agg(

@@ -529,5 +529,53 @@ Q["iota_stats"] = with_(
 ) + """SELECT t.date, b.cnt, b.value, b.med_value, t.from_cnt, t.to_cnt, t.addr_cnt FROM ts_ t LEFT JOIN bs b USING (date)"""
 
 
+# ------------------------------------------------------------- Sync log
+def _ts(x: str) -> str:
+    return f"make_timestamp(CAST({x} AS BIGINT) * 1000000)"
+
+
+Q["sync_watermarks"] = with_(
+    ACC,
+    KS,
+    """iot AS (SELECT CASE WHEN (event_id // 4) % 2 = 0 THEN epoch_us(ts) // 1000 ELSE epoch_us(ts) // 1000000 END AS t
+      FROM events WHERE event_id % 17 <> 0)""",
+) + f"""SELECT 'cardano' AS view, {_ts(f'(SELECT {DAY0} + 6000 * max(k // 10) FROM ks)')} AS sync_time
+UNION ALL SELECT 'ripple_payment_xrp', {_ts('(SELECT max(btime) FROM acc)')}
+UNION ALL SELECT 'stellar', {_ts('(SELECT max(btime) FROM acc)')}
+UNION ALL SELECT 'iota', {_ts('(SELECT max(CASE WHEN t >= 1000000000000 THEN t // 1000 ELSE t END) FROM iot)')}
+UNION ALL SELECT 'monero', {_ts(f'(SELECT {DAY0} + 1200 * max(k // 2) FROM ks)')}
+UNION ALL SELECT 'nem', {_ts('(SELECT max(btime) FROM acc)')}
+UNION ALL SELECT 'neo', {_ts(f'(SELECT {DAY0} + 1200 * max(k // 2) FROM ks)')}
+UNION ALL SELECT 'lisk', {_ts('(SELECT max(btime) FROM acc)')}
+UNION ALL SELECT 'eos', {_ts('(SELECT max(btime) FROM acc)')}
+UNION ALL SELECT 'waves', make_timestamp((SELECT max(btime) * 1000 FROM acc) * 1000)"""
+
+# ----------------------------------------------------------- CSV exports
+from daybook.sources.exports import EXPORTS  # noqa: E402  (fixed CSV headers, data only)
+
+
+def _csv(ds: str, export: str, where: str | None = None, keep: tuple[str, ...] = ()) -> str:
+    cols = ["strftime(date, '%Y-%m-%d') AS date", *keep]
+    cols += [f'{src} AS "{name}"' for src, name in EXPORTS[export]]
+    sql = f"SELECT {', '.join(cols)} FROM ({Q[ds]}) d"
+    return sql + (f" WHERE {where}" if where else "")
+
+
+Q["csv_cardano"] = _csv("cardano_stats", "cardano")
+Q["csv_ripple_payment_xrp"] = _csv("ripple_daily", "ripple_payment_xrp")
+Q["csv_stellar_payment_xlm"] = _csv("stellar_payment_stats", "stellar_payment_xlm", "asset = ''")
+Q["csv_iota"] = _csv("iota_stats", "iota")
+Q["csv_monero"] = _csv("monero_stats", "monero")
+Q["csv_nem"] = _csv("nem_stats", "nem")
+Q["csv_neo_gas"] = _csv("neo_stats", "neo", "asset = 'A'")
+Q["csv_neo_neo"] = _csv("neo_stats", "neo", "asset = 'N'")
+Q["csv_lisk"] = _csv("lisk_stats", "lisk")
+Q["csv_eos"] = _csv("eos_stats", "eos")
+Q["csv_waves"] = _csv("waves_stats", "waves")
+Q["csv_eth_stats"] = _csv("eth_stats_traced_registry", "eth_stats")
+Q["csv_eth_classic_stats"] = _csv("etc_stats_traced", "eth_stats")
+Q["csv_erc20"] = _csv("erc20_transfers", "erc20", keep=("symbol",))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
