@@ -221,7 +221,10 @@ def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str =
 
 
 # ------------------------------------------------------------------ ERC20
-_POW10 = F.array(*[F.lit(float(10**i)) for i in range(0, 39)])
+def _pow10():
+    """10^0 … 10^38 as exact double literals, indexed by decimals + 1."""
+    return F.array(*[F.lit(float(10**i)) for i in range(0, 39)])
+
 
 
 def erc20_transfer_rows(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -256,7 +259,7 @@ def erc20_transfers(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
     t = erc20_transfer_rows(blocks, tokens)
     keys = ["symbol", "date"]
     dbl = F.when(
-        F.abs(F.col("units")) < F.lit(2**53), F.col("units").cast("double") / F.element_at(_POW10, F.col("decimals") + 1)
+        F.abs(F.col("units")) < F.lit(2**53), F.col("units").cast("double") / F.element_at(_pow10(), F.col("decimals") + 1)
     ).otherwise(F.col("value").cast("double"))
     stats = t.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cnt"),

@@ -15,15 +15,13 @@ from pyspark.sql import functions as F
 
 from daybook.functions import LISK_GENESIS, NEM_GENESIS, seconds_or_millis, time_of_seconds
 
-EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def _secs(col: str) -> Column:
     return time_of_seconds(F.max(col))
 
 
 def _millis(col: str) -> Column:
-    return F.timestamp_add("MILLISECOND", F.max(col), EPOCH)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MILLISECOND", F.max(col), epoch)
 
 
 # Which field is each chain's clock, and its unit.
