@@ -10,4 +10,4 @@ from daybook.operators.aggregates import (  # noqa: F401
     total_where,
     unique_addresses,
 )
-from daybook.operators.quantile import exact_median, with_medians  # noqa: F401
+from daybook.operators.quantile import exact_median, exact_medians, with_medians  # noqa: F401

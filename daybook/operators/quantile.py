@@ -45,24 +45,55 @@ def exact_median(
     Groups whose values are all NULL do not appear; stitch the result with a
     left join so that they read as NULL, as in SQL.
     """
+    return exact_medians(df, keys, {name: value}, max_group_rows=max_group_rows)
+
+
+def exact_medians(
+    df: DataFrame,
+    keys: Sequence[str],
+    values: dict,
+    *,
+    max_group_rows: int | None = None,
+) -> DataFrame:
+    """Exact medians of several columns of one DataFrame per group.
+
+    One size check covers all columns; when every group is within the bound
+    all medians come out of one aggregation (one shuffle).
+    """
     keys = list(keys)
     limit = DEFAULT_MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    vcol = F.col(value) if isinstance(value, str) else value
-    vals = df.select(*[F.col(k) for k in keys], vcol.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-
-    sizes = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
-    if largest is None or largest <= limit:
-        return _median_small(vals, keys, name)
-    return _median_ranked(vals, keys, name, total, limit)
-
-
-def _median_small(vals: DataFrame, keys: list[str], name: str) -> DataFrame:
-    arr = vals.groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_a"))
-    n = F.size("_a")
-    lo = F.element_at("_a", F.floor((n - 1) / 2).cast("int") + 1)
-    hi = F.element_at("_a", F.floor(n / 2).cast("int") + 1)
-    return arr.select(*keys, _middle(lo, hi).alias(name))
+    cols = {n: (F.col(v) if isinstance(v, str) else v).cast("double") for n, v in values.items()}
+    names = list(cols)
+    base = df.select(*[F.col(k) for k in keys], *[c.alias(f"_m{i}") for i, c in enumerate(cols.values())])
+    sizes = base.groupBy(*keys).agg(*[F.count(f"_m{i}").alias(f"_n{i}") for i in range(len(names))])
+    stats = sizes.agg(*[F.max(f"_n{i}") for i in range(len(names))], *[F.sum(f"_n{i}") for i in range(len(names))])
+    row = stats.first()
+    largest = [row[i] or 0 for i in range(len(names))]
+    totals = [row[len(names) + i] or 0 for i in range(len(names))]
+
+    small = [i for i in range(len(names)) if largest[i] <= limit]
+    parts = []
+    if small:
+        arrays = base.groupBy(*keys).agg(
+            *[F.sort_array(F.collect_list(f"_m{i}")).alias(f"_a{i}") for i in small]
+        )
+        parts.append(arrays.select(*keys, *[_array_middle(f"_a{i}").alias(names[i]) for i in small]))
+    for i in range(len(names)):
+        if i not in small:
+            vals = base.select(*keys, F.col(f"_m{i}").alias("_v")).where(F.col("_v").isNotNull())
+            parts.append(_median_ranked(vals, keys, names[i], totals[i], limit))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, on=keys, how="full_outer")
+    return out
+
+
+def _array_middle(arr: str):
+    """Median of a sorted array of doubles; NULL for an empty array."""
+    n = F.size(arr)
+    lo = F.element_at(arr, F.floor((n - 1) / 2).cast("int") + 1)
+    hi = F.element_at(arr, F.floor(n / 2).cast("int") + 1)
+    return F.when(n > 0, _middle(lo, hi))
 
 
 def _median_ranked(vals: DataFrame, keys: list[str], name: str, total: int, limit: int) -> DataFrame:

@@ -18,7 +18,7 @@ from daybook.functions import (
     units,
 )
 from daybook.functions.units import units_to_double
-from daybook.operators import count_rows, exact_median, stitch, total_if, unique_addresses
+from daybook.operators import count_rows, exact_median, exact_medians, stitch, total_if, unique_addresses
 
 
 def _flow(df: DataFrame, scale: int, value: str = "units", sides=("from", "to")) -> DataFrame:
@@ -89,10 +89,11 @@ def lisk_stats(trs: DataFrame) -> DataFrame:
         F.countDistinct("to").alias("to_cnt"),
         total_if(F.col("type") == 0).alias("payment_cnt"),
     )
-    med_v = exact_median(t, ["date"], units_to_double("units", LISK_SCALE), "med_value")
-    med_f = exact_median(t, ["date"], units_to_double("fee", LISK_SCALE), "med_fees")
+    meds = exact_medians(
+        t, ["date"], {"med_value": units_to_double("units", LISK_SCALE), "med_fees": units_to_double("fee", LISK_SCALE)}
+    )
     addr = unique_addresses(t, ["date"], ["from", "to"])
-    out = stitch(stats, med_v, med_f, addr, on="date")
+    out = stitch(stats, meds, addr, on="date")
     return out.select(
         "date", "cnt", "value", "fees", "med_value", "med_fees", "from_cnt", "to_cnt", "payment_cnt", "addr_cnt"
     )
@@ -126,10 +127,11 @@ def nem_stats(blocks: DataFrame) -> DataFrame:
         F.countDistinct("signer").alias("from_cnt"),
         F.countDistinct("to").alias("to_cnt"),
     )
-    med_f = exact_median(t, ["date"], units_to_double("fee", NEM_SCALE), "med_fees")
-    med_v = exact_median(t, ["date"], units_to_double("units", NEM_SCALE), "med_value")
+    meds = exact_medians(
+        t, ["date"], {"med_fees": units_to_double("fee", NEM_SCALE), "med_value": units_to_double("units", NEM_SCALE)}
+    )
     addr = unique_addresses(t, ["date"], ["signer_address", "to"])
-    out = stitch(stats, med_f, med_v, addr, on="date")
+    out = stitch(stats, meds, addr, on="date")
     return out.select("date", "cnt", "fees", "value", "med_fees", "med_value", "from_cnt", "to_cnt", "addr_cnt")
 
 

@@ -12,8 +12,9 @@ from pyspark.sql.types import DecimalType
 
 from daybook.functions import day_of_seconds, scale_units, uint256_be, units
 from daybook.functions.units import units_to_double
-from daybook.operators import exact_median, ratio, stitch, total_if, unique_addresses
+from daybook.operators import exact_median, exact_medians, ratio, stitch, total_if, unique_addresses
 from daybook.operators.flows import short_lived_addresses
+from daybook.operators.staging import stage
 from daybook.operators.nesting import n_items
 from daybook.operators.rewards import block_reward, uncle_reward
 from daybook.sources.ledgers import TRANSFER_TOPIC
@@ -137,10 +138,11 @@ def _tx_stats(tx: DataFrame) -> DataFrame:
         F.countDistinct("from").alias("from_cnt"),
         F.countDistinct("to").alias("to_cnt"),
     )
-    med_v = exact_median(tx, ["date"], units_to_double("value", ETH_SCALE), "med_value")
-    med_f = exact_median(tx, ["date"], units_to_double("fee", ETH_SCALE), "med_fee")
+    meds = exact_medians(
+        tx, ["date"], {"med_value": units_to_double("value", ETH_SCALE), "med_fee": units_to_double("fee", ETH_SCALE)}
+    )
     addr = unique_addresses(tx, ["date"], ["from", "to"])
-    return stitch(stats, med_v, med_f, addr, on="date")
+    return stitch(stats, meds, addr, on="date")
 
 
 def etc_stats(blocks: DataFrame) -> DataFrame:
@@ -177,8 +179,8 @@ def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str =
     history = blocks
     if since is not None:
         blocks = blocks.where(day_of_seconds("timestamp") >= F.lit(since))
-    tx = tx_units(blocks)
-    act = action_units(blocks)
+    tx = stage(tx_units(blocks))
+    act = stage(action_units(blocks))
     if contracts == "created":
         all_tx = tx_units(history)
         cset = all_tx.where(F.col("contractAddress").isNotNull()).select(F.col("contractAddress").alias("address"))

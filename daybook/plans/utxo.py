@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from daybook.functions import day_of_seconds, scale_units, units
 from daybook.functions.units import units_to_double
-from daybook.operators import exact_median, stitch, unique_addresses
+from daybook.operators import exact_median, exact_medians, stitch, unique_addresses
+from daybook.operators.staging import stage
 from daybook.operators.flows import (
     net_by_tx_address,
     outpoint_spends,
@@ -28,7 +29,7 @@ def cardano_stats(blocks: DataFrame) -> DataFrame:
         F.col("tx.inputs").alias("inputs"),
         F.col("tx.outputs").alias("outputs"),
     )
-    tp = signed_rows(tx, "inputs", "outputs", ["txid", "time", "date"])
+    tp = stage(signed_rows(tx, "inputs", "outputs", ["txid", "time", "date"]))
     short = short_lived_addresses(tp, CARDANO_SHORT_SPAN).select("address", F.lit(True).alias("_short"))
     txio = net_by_tx_address(tp, ["txid", "address"])
     # Membership flag by left join to a distinct address set.
@@ -41,7 +42,7 @@ def cardano_stats(blocks: DataFrame) -> DataFrame:
         payment_count(F.sum("output_cnt")).alias("payment_cnt"),
     )
     # Each transaction to its own aggregate (txids are unique).
-    per_tx = tx.select("txid", "date").join(txq, "txid")
+    per_tx = stage(tx.select("txid", "date").join(txq, "txid"))
     txs = per_tx.groupBy("date").agg(
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("fees"), CARDANO_SCALE).alias("fees"),
@@ -49,14 +50,17 @@ def cardano_stats(blocks: DataFrame) -> DataFrame:
         F.sum("payment_cnt").alias("payment_cnt"),
         scale_units(F.sum("short_volume"), CARDANO_SCALE).alias("short_volume"),
     )
-    med_v = exact_median(per_tx, ["date"], units_to_double("volume", CARDANO_SCALE), "med_volume")
-    med_f = exact_median(per_tx, ["date"], units_to_double("fees", CARDANO_SCALE), "med_fees")
+    meds = exact_medians(
+        per_tx,
+        ["date"],
+        {"med_volume": units_to_double("volume", CARDANO_SCALE), "med_fees": units_to_double("fees", CARDANO_SCALE)},
+    )
     sides = tp.groupBy("date").agg(
         F.countDistinct(F.when(F.col("is_output") == 0, F.col("address"))).alias("from_cnt"),
         F.countDistinct(F.when(F.col("is_output") == 1, F.col("address"))).alias("to_cnt"),
         F.countDistinct("address").alias("addr_cnt"),
     )
-    out = stitch(txs, med_v, med_f, sides, on="date")
+    out = stitch(txs, meds, sides, on="date")
     return out.select(
         "date", "cnt", "volume", "fees", "med_volume", "med_fees", "payment_cnt", "short_volume", "from_cnt",
         "to_cnt", "addr_cnt",
@@ -163,11 +167,10 @@ def neo_stats(blocks: DataFrame, since=None) -> DataFrame:
     stats = txio.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cnt"), F.sum("fee").alias("fees"), F.sum("value").alias("value")
     )
-    med_f = exact_median(txio, keys, F.col("fee").cast("double"), "med_fees")
-    med_v = exact_median(txio, keys, F.col("value").cast("double"), "med_value")
+    meds = exact_medians(txio, keys, {"med_fees": F.col("fee"), "med_value": F.col("value")})
     ins = txi.groupBy(*keys).agg(F.countDistinct("address").alias("from_cnt"))
     outs = txo.groupBy(*keys).agg(F.countDistinct("address").alias("to_cnt"))
     addr = unique_addresses(both.select(*keys, "address"), keys, ["address"])
-    out = stitch(stats, med_f, med_v, on=keys)
+    out = stitch(stats, meds, on=keys)
     out = stitch(out, ins, outs, addr, on=keys, how="inner")
     return out.select("date", "asset", "cnt", "fees", "med_fees", "value", "med_value", "from_cnt", "to_cnt", "addr_cnt")
