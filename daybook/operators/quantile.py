@@ -77,7 +77,8 @@ def exact_medians(
         arrays = base.groupBy(*keys).agg(
             *[F.sort_array(F.collect_list(f"_m{i}")).alias(f"_a{i}") for i in small]
         )
-        parts.append(arrays.select(*keys, *[_array_middle(f"_a{i}").alias(names[i]) for i in small]))
+        meds = arrays.select(*keys, *[_array_middle(f"_a{i}").alias(names[i]) for i in small])
+        parts.append(meds.where(F.coalesce(*[F.col(names[i]) for i in small]).isNotNull()))
     for i in range(len(names)):
         if i not in small:
             vals = base.select(*keys, F.col(f"_m{i}").alias("_v")).where(F.col("_v").isNotNull())

@@ -258,7 +258,7 @@ def erc20_transfers(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
     largest per-sender and per-receiver day totals (C17).  Amounts of 10^38
     raw units or more do not fit decimal(38) and count with a NULL value
     (§8 Q3)."""
-    t = erc20_transfer_rows(blocks, tokens)
+    t = stage(erc20_transfer_rows(blocks, tokens))
     keys = ["symbol", "date"]
     dbl = F.when(
         F.abs(F.col("units")) < F.lit(2**53), F.col("units").cast("double") / F.element_at(_pow10(), F.col("decimals") + 1)

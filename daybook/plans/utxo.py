@@ -151,13 +151,13 @@ def neo_stats(blocks: DataFrame, since=None) -> DataFrame:
     With ``since`` only days from ``since`` on are computed, but inputs are
     still valued through outputs of any earlier day (the incremental build).
     """
-    history = neo_outputs(blocks)
+    history = stage(neo_outputs(blocks))
     if since is None:
         txo, open_blocks = history, blocks
     else:
         open_blocks = blocks.where(day_of_seconds("time") >= F.lit(since))
         txo = history.where(F.col("date") >= F.lit(since))
-    txi = neo_inputs(open_blocks, history)
+    txi = stage(neo_inputs(open_blocks, history))
     cols = ["date", "blk", "txid", "fee", "asset", "value", "address"]
     both = txi.select(*cols).unionByName(txo.select(*cols))
     txio = both.groupBy("date", "blk", "txid", "fee", "asset", "address").agg(

@@ -41,9 +41,25 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Orders per block split: a (day, slot) block holds every order of that day
+# and slot, which grows with the table; past this many orders the block is
+# split into M sub-blocks so that a block stays a few hundred transactions.
+ORDERS_PER_SPLIT = 4_000_000
+
+
+def block_split(spark: SparkSession, sf_dir: str) -> int:
+    """M = max(1, orders // 4,000,000); a row count read from parquet footers."""
+    return max(1, _read(spark, sf_dir, "orders").count() // ORDERS_PER_SPLIT)
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with the account-ledger fields."""
+    """One row per order with the account-ledger fields.
+
+    Block number is ((days since 1995-01-01) × 4 + k % 4) × M + (k div 4) % M;
+    with M = 1 (up to 4 million orders) that is the FIXTURES.md rule.
+    """
     o = _read(spark, sf_dir, "orders")
+    m = block_split(spark, sf_dir)
     k = F.col("o_orderkey")
     unix_day = F.unix_date(F.to_date("o_orderdate")).cast("long")
     return o.select(
@@ -53,7 +69,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("o_totalprice") * 100).cast("long").alias("val"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("prio"),
-        ((unix_day - DAY0_UNIX_DATE) * 4 + k % 4).alias("num"),
+        (((unix_day - DAY0_UNIX_DATE) * 4 + k % 4) * m + (k / 4).cast("long") % m).alias("num"),
         (unix_day * 86400 + (k % 4) * 21600).alias("btime"),
     )
 

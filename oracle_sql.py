@@ -39,9 +39,10 @@ ACC = """acc AS (
     CASE WHEN o_orderpriority <> '5-LOW' THEN (o_orderkey * 7) % 1000 END AS recv,
     CAST(round(o_totalprice * 100) AS BIGINT) AS val,
     o_orderstatus AS status, o_orderpriority AS prio,
-    date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) * 4 + o_orderkey % 4 AS num,
+    (date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) * 4 + o_orderkey % 4) * m.m
+      + (o_orderkey // 4) % m.m AS num,
     date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 + (o_orderkey % 4) * 21600 AS btime
-  FROM orders)"""
+  FROM orders, (SELECT greatest(1, count(*) // 4000000) AS m FROM orders) m)"""
 
 LI = """li AS (
   SELECT l_orderkey AS k, l_partkey AS part, l_suppkey AS supp, l_linenumber AS lnum,
