@@ -12,10 +12,12 @@ def _plan(df):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_udf(spark, sf_small, name):
+def test_no_python_udf_and_no_cross_join(spark, sf_small, name):
     plan = _plan(QUERIES[name](spark, sf_small))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
 
 
 def test_scan_reads_only_needed_columns(spark, sf_small):
@@ -33,3 +35,15 @@ def test_refresh_filter_is_pushed(spark, sf_small):
 
     df = spark.read.parquet(f"{sf_small}/orders.parquet").where(F.col("o_orderdate") >= F.lit(dt.datetime(2000, 1, 1)))
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in _plan(df)
+
+
+def test_narrow_read_schema_prunes_logs(spark, sf_small, scratch):
+    from daybook.plans import ethereum
+    from daybook.sources import ledgers as L
+    from daybook.sources.schemas import read_for
+
+    path = f"{scratch}/eth"
+    L.eth_blocks(spark, sf_small).write.parquet(path)
+    plan = _plan(ethereum.eth_tx(read_for(spark, path, "eth_tx")))
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert scan and all("logs" not in line and "actions" not in line for line in scan)
