@@ -2,6 +2,7 @@
 
 from daybook.operators.aggregates import (  # noqa: F401
     both_sides,
+    broadcast_if_small,
     count_rows,
     ratio,
     stitch,

@@ -63,6 +63,17 @@ def stitch(base: DataFrame, *parts: DataFrame, on, how: str = "left") -> DataFra
     return out
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows; a larger side is left to
+    a shuffled join (and to AQE, which may still broadcast it at runtime).
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def ratio(numer, denom) -> Column:
     """numer / NULLIF(denom, 0) in double."""
     d = _col(denom)

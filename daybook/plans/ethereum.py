@@ -12,7 +12,15 @@ from pyspark.sql.types import DecimalType
 
 from daybook.functions import day_of_seconds, scale_units, uint256_be, units
 from daybook.functions.units import units_to_double
-from daybook.operators import exact_median, exact_medians, ratio, stitch, total_if, unique_addresses
+from daybook.operators import (
+    broadcast_if_small,
+    exact_median,
+    exact_medians,
+    ratio,
+    stitch,
+    total_if,
+    unique_addresses,
+)
 from daybook.operators.flows import short_lived_addresses
 from daybook.operators.staging import stage
 from daybook.operators.nesting import n_items
@@ -232,13 +240,13 @@ def _pow10():
 def erc20_transfer_rows(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
     """Transfer logs of listed tokens: date, symbol, from, to, units, value.
 
-    ``tokens`` is the token dimension (a fixed list of a few dozen rows), so
-    it is broadcast.
+    ``tokens`` is the token dimension (a list of a few dozen rows); it is
+    broadcast after a row-count check.
     """
     logs = blocks.select(day_of_seconds("timestamp").alias("date"), F.explode("transactions").alias("tx"))
     logs = logs.select("date", F.explode("tx.logs").alias("log"))
     logs = logs.where(F.get(F.col("log.topics"), 0) == F.unhex(F.lit(TRANSFER_TOPIC)))
-    tok = F.broadcast(tokens.select("contractAddress", "symbol", "decimals"))
+    tok = broadcast_if_small(tokens.select("contractAddress", "symbol", "decimals"))
     j = logs.join(tok, logs["log.address"] == tok["contractAddress"])
     raw = uint256_be("log.data")
     value = F.concat(raw.cast("string"), F.lit("E-"), F.col("decimals").cast("string")).try_cast(DecimalType(38, 18))

@@ -65,6 +65,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: give the cluster's shared checkpoint folder "
+            "(a machine-local folder would not survive the loss of an executor)"
+        )
     path = tempfile.mkdtemp(prefix="daybook-ckpt-", dir=os.environ.get("DAYBOOK_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
