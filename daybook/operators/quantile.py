@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.operators.staging import stage
+
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
 
 
@@ -58,13 +60,16 @@ def exact_medians(
     """Exact medians of several columns of one DataFrame per group.
 
     One size check covers all columns; when every group is within the bound
-    all medians come out of one aggregation (one shuffle).
+    all medians come out of one aggregation (one shuffle).  The narrow
+    (keys, values) input is staged first, so the size check and the median
+    aggregation read it once from storage instead of recomputing the job's
+    upstream explode and joins.
     """
     keys = list(keys)
     limit = DEFAULT_MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
     cols = {n: (F.col(v) if isinstance(v, str) else v).cast("double") for n, v in values.items()}
     names = list(cols)
-    base = df.select(*[F.col(k) for k in keys], *[c.alias(f"_m{i}") for i, c in enumerate(cols.values())])
+    base = stage(df.select(*[F.col(k) for k in keys], *[c.alias(f"_m{i}") for i, c in enumerate(cols.values())]))
     sizes = base.groupBy(*keys).agg(*[F.count(f"_m{i}").alias(f"_n{i}") for i in range(len(names))])
     stats = sizes.agg(*[F.max(f"_n{i}") for i in range(len(names))], *[F.sum(f"_n{i}") for i in range(len(names))])
     row = stats.first()

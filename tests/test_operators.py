@@ -113,3 +113,33 @@ def test_short_lived_addresses_span_and_balance(spark):
     df = spark.createDataFrame(rows, "address string, time long, value long")
     got = {r["address"]: (r["cnt"], r["positive_value"]) for r in short_lived_addresses(df, 2400).collect()}
     assert got == {"a": (2, 5)}
+
+
+def test_exact_medians_mixed_paths(spark):
+    """Two columns of one frame: one within the bound, one over it."""
+    rows = [("a", float(i), 1.0 if i % 2 else None) for i in range(400)] + [("b", 5.0, 2.0), ("b", 6.0, 4.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    from daybook.operators import exact_medians
+
+    got = {r["g"]: (r["mx"], r["my"]) for r in exact_medians(df, ["g"], {"mx": "x", "my": "y"}, max_group_rows=250).collect()}
+    assert got == {"a": (199.5, 1.0), "b": (5.5, 3.0)}
+
+
+try:
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+except ImportError:  # pragma: no cover
+    given = None
+
+if given is not None:
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.tuples(st.sampled_from(["p", "q", "r"]), st.one_of(st.none(), st.integers(-5, 5))), min_size=1))
+    def test_exact_median_property(spark, rows):
+        df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in rows], "g string, v double")
+        got = {r["g"]: r["m"] for r in exact_median(df, ["g"], "v", "m", max_group_rows=3).collect()}
+        groups = {}
+        for g, v in rows:
+            groups.setdefault(g, []).append(None if v is None else float(v))
+        want = {g: m for g, m in ((g, _median_model(vs)) for g, vs in groups.items()) if m is not None}
+        assert got == want
