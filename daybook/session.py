@@ -41,6 +41,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "daybo
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in JOB_CONF.items():
         builder = builder.config(key, value)

@@ -47,9 +47,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ORDERS_PER_SPLIT = 4_000_000
 
 
+_SPLITS: dict[str, int] = {}
+
+
 def block_split(spark: SparkSession, sf_dir: str) -> int:
     """M = max(1, orders // 4,000,000); a row count read from parquet footers."""
-    return max(1, _read(spark, sf_dir, "orders").count() // ORDERS_PER_SPLIT)
+    if sf_dir not in _SPLITS:
+        _SPLITS[sf_dir] = max(1, _read(spark, sf_dir, "orders").count() // ORDERS_PER_SPLIT)
+    return _SPLITS[sf_dir]
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
