@@ -13,8 +13,8 @@ its lineitems are its operations.  Block number is (days since 1995-01-01)
 UTXO ledger: the outputs of order k are its lineitems, numbered from 0 in
 a fixed order; order k spends the even-numbered outputs of order k − 1.
 
-Bundle ledger: events grouped four to a bundle, with reattachments and
-missing entries.
+Bundle ledger: events grouped four to a bundle, with reattachments, and
+bundles that declare one more entry than they hold (incomplete).
 """
 
 from __future__ import annotations
@@ -354,14 +354,15 @@ def neo_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------- flat-table chains
 def iota_txs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _read(spark, sf_dir, "events").where(F.col("event_id") % 17 != 0)
+    e = _read(spark, sf_dir, "events")
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
     bundle = (F.col("event_id") / 4).cast("long")
     cents = F.round(F.col("value") * 100).cast("long")
     base = e.select(
         bundle.alias("bundle"),
         (F.col("event_id") % 4).alias("currentIndex"),
-        F.lit(3).cast("long").alias("lastIndex"),
+        # every 17th bundle declares a fifth entry it never gets: incomplete
+        F.when(bundle % 17 == 0, F.lit(4)).otherwise(F.lit(3)).cast("long").alias("lastIndex"),
         F.when(bundle % 2 == 0, floor_div(micros, 1000)).otherwise(floor_div(micros, 1000000)).alias("timestamp"),
         F.when(F.col("event_type").isin("click", "purchase"), cents)
         .when(F.col("event_type") == "error", -cents)

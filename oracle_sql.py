@@ -509,8 +509,9 @@ FROM st LEFT JOIN sf USING (symbol, date) LEFT JOIN stt USING (symbol, date) LEF
 
 # ------------------------------------------------------------------- IOTA
 Q["iota_stats"] = with_(
-    """ev AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events WHERE event_id % 17 <> 0)""",
-    """base AS (SELECT event_id // 4 AS bundle, event_id % 4 AS ci, 3 AS li,
+    """ev AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events)""",
+    """base AS (SELECT event_id // 4 AS bundle, event_id % 4 AS ci,
+        CASE WHEN (event_id // 4) % 17 = 0 THEN 4 ELSE 3 END AS li,
         CASE WHEN (event_id // 4) % 2 = 0 THEN us // 1000 ELSE us // 1000000 END AS ts,
         CASE WHEN event_type IN ('click', 'purchase') THEN CAST(round(value * 100) AS BIGINT)
              WHEN event_type = 'error' THEN -CAST(round(value * 100) AS BIGINT) ELSE 0 END AS v,
@@ -539,7 +540,7 @@ Q["sync_watermarks"] = with_(
     ACC,
     KS,
     """iot AS (SELECT CASE WHEN (event_id // 4) % 2 = 0 THEN epoch_us(ts) // 1000 ELSE epoch_us(ts) // 1000000 END AS t
-      FROM events WHERE event_id % 17 <> 0)""",
+      FROM events)""",
 ) + f"""SELECT 'cardano' AS view, {_ts(f'(SELECT {DAY0} + 6000 * max(k // 10) FROM ks)')} AS sync_time
 UNION ALL SELECT 'ripple_payment_xrp', {_ts('(SELECT max(btime) FROM acc)')}
 UNION ALL SELECT 'stellar', {_ts('(SELECT max(btime) FROM acc)')}
