@@ -41,13 +41,14 @@ def exact_median(
     name: str,
     *,
     max_group_rows: int | None = None,
+    stage_input: bool = True,
 ) -> DataFrame:
     """Return ``keys + [name]``: the exact median of ``value`` per group.
 
     Groups whose values are all NULL do not appear; stitch the result with a
     left join so that they read as NULL, as in SQL.
     """
-    return exact_medians(df, keys, {name: value}, max_group_rows=max_group_rows)
+    return exact_medians(df, keys, {name: value}, max_group_rows=max_group_rows, stage_input=stage_input)
 
 
 def exact_medians(
@@ -56,6 +57,7 @@ def exact_medians(
     values: dict,
     *,
     max_group_rows: int | None = None,
+    stage_input: bool = True,
 ) -> DataFrame:
     """Exact medians of several columns of one DataFrame per group.
 
@@ -63,13 +65,16 @@ def exact_medians(
     all medians come out of one aggregation (one shuffle).  The narrow
     (keys, values) input is staged first, so the size check and the median
     aggregation read it once from storage instead of recomputing the job's
-    upstream explode and joins.
+    upstream explode and joins (``stage_input=False`` when ``df`` is itself
+    a staged table).
     """
     keys = list(keys)
     limit = DEFAULT_MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
     cols = {n: (F.col(v) if isinstance(v, str) else v).cast("double") for n, v in values.items()}
     names = list(cols)
-    base = stage(df.select(*[F.col(k) for k in keys], *[c.alias(f"_m{i}") for i, c in enumerate(cols.values())]))
+    base = df.select(*[F.col(k) for k in keys], *[c.alias(f"_m{i}") for i, c in enumerate(cols.values())])
+    if stage_input:
+        base = stage(base)
     sizes = base.groupBy(*keys).agg(*[F.count(f"_m{i}").alias(f"_n{i}") for i in range(len(names))])
     stats = sizes.agg(*[F.max(f"_n{i}") for i in range(len(names))], *[F.sum(f"_n{i}") for i in range(len(names))])
     row = stats.first()

@@ -19,6 +19,7 @@ from daybook.functions import (
 )
 from daybook.functions.units import units_to_double
 from daybook.operators import count_rows, exact_median, exact_medians, stitch, total_if, unique_addresses
+from daybook.operators.staging import stage
 
 
 def _flow(df: DataFrame, scale: int, value: str = "units", sides=("from", "to")) -> DataFrame:
@@ -58,9 +59,9 @@ def eos_stats(blocks: DataFrame) -> DataFrame:
     b = blocks.select(day_of_seconds("timestamp").alias("date"), "transactions")
     block_stats = count_rows(b, ["date"], "block_cnt")
     tx_stats = count_rows(b.select("date", F.explode("transactions")), ["date"], "tx_cnt")
-    tr = eos_transfers(blocks)
+    tr = stage(eos_transfers(blocks))
     action_stats = _flow(tr, EOS_SCALE).withColumnRenamed("cnt", "action_cnt")
-    med = exact_median(tr, ["date"], units_to_double("units", EOS_SCALE), "med_value")
+    med = exact_median(tr, ["date"], units_to_double("units", EOS_SCALE), "med_value", stage_input=False)
     addr = unique_addresses(tr, ["date"], ["from", "to"])
     out = stitch(block_stats, tx_stats, action_stats, med, addr, on="date")
     return out.select(
@@ -73,14 +74,14 @@ LISK_SCALE = 8
 
 
 def lisk_stats(trs: DataFrame) -> DataFrame:
-    t = trs.select(
+    t = stage(trs.select(
         day_since("timestamp", LISK_GENESIS).alias("date"),
         units("amount").alias("units"),
         units("fee").alias("fee"),
         F.col("senderId").alias("from"),
         F.col("recipientId").alias("to"),
         "type",
-    )
+    ))
     stats = t.groupBy("date").agg(
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("units"), LISK_SCALE).alias("value"),
@@ -90,7 +91,8 @@ def lisk_stats(trs: DataFrame) -> DataFrame:
         total_if(F.col("type") == 0).alias("payment_cnt"),
     )
     meds = exact_medians(
-        t, ["date"], {"med_value": units_to_double("units", LISK_SCALE), "med_fees": units_to_double("fee", LISK_SCALE)}
+        t, ["date"], {"med_value": units_to_double("units", LISK_SCALE), "med_fees": units_to_double("fee", LISK_SCALE)},
+        stage_input=False,
     )
     addr = unique_addresses(t, ["date"], ["from", "to"])
     out = stitch(stats, meds, addr, on="date")
@@ -119,7 +121,7 @@ def nem_transactions(blocks: DataFrame) -> DataFrame:
 
 
 def nem_stats(blocks: DataFrame) -> DataFrame:
-    t = nem_transactions(blocks)
+    t = stage(nem_transactions(blocks))
     stats = t.groupBy("date").agg(
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("fee"), NEM_SCALE).alias("fees"),
@@ -128,7 +130,8 @@ def nem_stats(blocks: DataFrame) -> DataFrame:
         F.countDistinct("to").alias("to_cnt"),
     )
     meds = exact_medians(
-        t, ["date"], {"med_fees": units_to_double("fee", NEM_SCALE), "med_value": units_to_double("units", NEM_SCALE)}
+        t, ["date"], {"med_fees": units_to_double("fee", NEM_SCALE), "med_value": units_to_double("units", NEM_SCALE)},
+        stage_input=False,
     )
     addr = unique_addresses(t, ["date"], ["signer_address", "to"])
     out = stitch(stats, meds, addr, on="date")
@@ -163,13 +166,13 @@ def waves_stats(blocks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("cnt"), scale_units(F.sum("fee"), WAVES_SCALE).alias("fees")
     )
     med_f = exact_median(tx, ["date"], units_to_double("fee", WAVES_SCALE), "med_fees")
-    tr = waves_transfers(blocks)
+    tr = stage(waves_transfers(blocks))
     tr_stats = tr.groupBy("date").agg(
         scale_units(F.sum("units"), WAVES_SCALE).alias("value"),
         F.countDistinct("from").alias("from_cnt"),
         F.countDistinct("to").alias("to_cnt"),
     )
-    med_v = exact_median(tr, ["date"], units_to_double("units", WAVES_SCALE), "med_value")
+    med_v = exact_median(tr, ["date"], units_to_double("units", WAVES_SCALE), "med_value", stage_input=False)
     addr = unique_addresses(tr, ["date"], ["from", "to"])
     out = stitch(tx_stats, med_f, tr_stats, med_v, addr, on="date")
     return out.select("date", "cnt", "value", "med_value", "fees", "med_fees", "from_cnt", "to_cnt", "addr_cnt")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import day_of_seconds, seconds_or_millis, units
 from daybook.operators import exact_median, stitch, total_if
+from daybook.operators.staging import stage
 
 
 def complete_bundles(txs: DataFrame):
@@ -33,10 +34,12 @@ def complete_bundles(txs: DataFrame):
 
 def iota_stats(txs: DataFrame) -> DataFrame:
     entries, bundles = complete_bundles(txs)
-    b = bundles.withColumn("date", day_of_seconds("timestamp"))
+    b = stage(bundles.withColumn("date", day_of_seconds("timestamp")))
     bstats = b.groupBy("date").agg(F.count(F.lit(1)).alias("cnt"), F.sum("value").alias("value"))
     # A10: the median skips zero-value bundles.
-    med = exact_median(b, ["date"], F.when(F.col("value") != 0, F.col("value")).cast("double"), "med_value")
+    med = exact_median(
+        b, ["date"], F.when(F.col("value") != 0, F.col("value")).cast("double"), "med_value", stage_input=False
+    )
     # Entries of complete bundles, dated by their bundle.
     members = entries.join(b.select("bundle", "date"), "bundle")
     tstats = members.groupBy("date").agg(

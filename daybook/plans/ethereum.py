@@ -147,7 +147,10 @@ def _tx_stats(tx: DataFrame) -> DataFrame:
         F.countDistinct("to").alias("to_cnt"),
     )
     meds = exact_medians(
-        tx, ["date"], {"med_value": units_to_double("value", ETH_SCALE), "med_fee": units_to_double("fee", ETH_SCALE)}
+        tx,
+        ["date"],
+        {"med_value": units_to_double("value", ETH_SCALE), "med_fee": units_to_double("fee", ETH_SCALE)},
+        stage_input=False,  # callers pass their staged transaction table
     )
     addr = unique_addresses(tx, ["date"], ["from", "to"])
     return stitch(stats, meds, addr, on="date")
@@ -155,7 +158,7 @@ def _tx_stats(tx: DataFrame) -> DataFrame:
 
 def etc_stats(blocks: DataFrame) -> DataFrame:
     """Ethereum Classic daily, untraced."""
-    tx = tx_units(blocks)
+    tx = stage(tx_units(blocks))
     contracts = tx.where(F.col("contractAddress").isNotNull()).select(F.col("contractAddress").alias("to")).distinct()
     # Payments are transactions to an address no transaction created.
     payments = tx.where(F.col("to").isNotNull()).join(contracts, "to", "left_anti")
@@ -218,7 +221,7 @@ def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str =
         F.countDistinct("from").alias("action_from_cnt"),
         F.countDistinct("to").alias("action_to_cnt"),
     )
-    med_a = exact_median(act, ["date"], units_to_double("value", ETH_SCALE), "med_action_value")
+    med_a = exact_median(act, ["date"], units_to_double("value", ETH_SCALE), "med_action_value", stage_input=False)
     addr_a = unique_addresses(act, ["date"], ["from", "to"], "addr_action_cnt")
     registry = short_addresses_units(history)
     if since is not None:
@@ -278,7 +281,7 @@ def erc20_transfers(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
         F.countDistinct("from").alias("from_cnt"),
         F.countDistinct("to").alias("to_cnt"),
     )
-    med = exact_median(t, keys, dbl, "med_value")
+    med = exact_median(t, keys, dbl, "med_value", stage_input=False)
     # The maximum of a per-address window sum is a max over a group-by.
     by_from = t.groupBy(*keys, "from").agg(F.sum("value").alias("s")).groupBy(*keys).agg(
         F.max("s").alias("max_sum_from_value")

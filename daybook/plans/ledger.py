@@ -10,6 +10,7 @@ from daybook.functions.units import units_to_double
 from daybook.operators import exact_median, stitch, total_where, unique_addresses
 from daybook.operators.gaps import missing_by_day, missing_in_day
 from daybook.operators.nesting import n_items
+from daybook.operators.staging import stage
 
 RIPPLE_SCALE = 6
 RIPPLE_SERIES_START = 32570  # first ledger index the gap search covers
@@ -35,13 +36,13 @@ def ripple_payment_stats(ledgers: DataFrame) -> DataFrame:
     """Full rebuild (D20): XRP payments by their own date, blocks by close day,
     gaps charged to the day before them across days (§8 Q17-Q19)."""
     t = _ripple_tx(ledgers)
-    pay = t.where(_is_xrp_payment()).select(
+    pay = stage(t.where(_is_xrp_payment()).select(
         day_of_seconds("tx.date").alias("date"),
         units("tx.amount").alias("amount"),
         units("tx.fee").alias("fee"),
         F.col("tx.account").alias("from"),
         F.col("tx.destination").alias("to"),
-    )
+    ))
     txs = pay.groupBy("date").agg(
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("amount"), RIPPLE_SCALE).alias("value"),
@@ -72,16 +73,16 @@ def ripple_daily(ledgers: DataFrame) -> DataFrame:
     transactions for fees and addresses, XRP payments for volume, gaps inside
     each day only.  ``refresh_days`` applies it to open days."""
     t = _ripple_tx(ledgers).withColumnRenamed("ledger_date", "date")
-    ok = t.where(F.col("tx.result") == "tesSUCCESS").select(
+    ok = stage(t.where(F.col("tx.result") == "tesSUCCESS").select(
         "date", units("tx.fee").alias("fee"), F.col("tx.account").alias("from"), F.col("tx.destination").alias("to")
-    )
+    ))
     tx_stats = ok.groupBy("date").agg(
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("fee"), RIPPLE_SCALE).alias("fee"),
         F.countDistinct("from").alias("from_cnt"),
         F.countDistinct("to").alias("to_cnt"),
     )
-    med_fee = exact_median(ok, ["date"], units_to_double("fee", RIPPLE_SCALE), "med_fee")
+    med_fee = exact_median(ok, ["date"], units_to_double("fee", RIPPLE_SCALE), "med_fee", stage_input=False)
     pay = t.where(_is_xrp_payment()).select("date", units("tx.amount").alias("amount"))
     pay_stats = pay.groupBy("date").agg(
         F.count(F.lit(1)).alias("payment_cnt"), scale_units(F.sum("amount"), RIPPLE_SCALE).alias("payment_value")
@@ -132,7 +133,7 @@ def _stellar_tx_stats(ledgers: DataFrame) -> DataFrame:
 
 def stellar_payment_stats(ledgers: DataFrame) -> DataFrame:
     """Per day and asset (D22); ``fees`` is the whole day's fees (§8 Q14)."""
-    p = stellar_payments(ledgers)
+    p = stage(stellar_payments(ledgers))
     keys = ["date", "asset"]
     ops = p.groupBy(*keys).agg(
         F.countDistinct(F.struct("sequence", "txpos")).alias("cnt"),

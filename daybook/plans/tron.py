@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.functions import day_of_millis, scale_units, units
 from daybook.functions.units import units_to_double
 from daybook.operators import exact_median, stitch, unique_addresses
+from daybook.operators.staging import stage
 
 SCALE = 6
 
@@ -33,14 +34,14 @@ def tron_stats(blocks: DataFrame) -> DataFrame:
     b = blocks.where(F.col("number") > 0).select(day_of_millis("timestamp").alias("date"), "transactions")
     block_stats = b.groupBy("date").agg(F.count(F.lit(1)).alias("block_cnt"))
     tx_stats = b.select("date", F.explode("transactions")).groupBy("date").agg(F.count(F.lit(1)).alias("tx_cnt"))
-    pays = tron_payments(blocks)
+    pays = stage(tron_payments(blocks))
     pay_stats = pays.groupBy("date").agg(
         F.count(F.lit(1)).alias("payment_cnt"),
         scale_units(F.sum("units"), SCALE).alias("value"),
         F.countDistinct("from").alias("from_cnt"),
         F.countDistinct("to").alias("to_cnt"),
     )
-    med = exact_median(pays, ["date"], units_to_double("units", SCALE), "med_value")
+    med = exact_median(pays, ["date"], units_to_double("units", SCALE), "med_value", stage_input=False)
     addr = unique_addresses(pays, ["date"], ["from", "to"])
     out = stitch(block_stats, tx_stats, pay_stats, med, addr, on="date")
     return out.select(

@@ -54,6 +54,7 @@ def cardano_stats(blocks: DataFrame) -> DataFrame:
         per_tx,
         ["date"],
         {"med_volume": units_to_double("volume", CARDANO_SCALE), "med_fees": units_to_double("fees", CARDANO_SCALE)},
+        stage_input=False,
     )
     sides = tp.groupBy("date").agg(
         F.countDistinct(F.when(F.col("is_output") == 0, F.col("address"))).alias("from_cnt"),
@@ -102,19 +103,19 @@ def monero_stats(blocks: DataFrame) -> DataFrame:
         _array_total("tx.vout").alias("out_amount"),
         F.when(F.size("tx.vout") > 0, F.size("tx.vout")).alias("out_cnt"),
     )
-    tx = tx.withColumn(
+    tx = stage(tx.withColumn(
         "fee_units",
         F.when(F.col("height") < MONERO_FEE_FIELD_HEIGHT, F.col("in_amount") - F.col("out_amount")).otherwise(
             F.col("fee")
         ),
-    )
+    ))
     txs = tx.groupBy("date").agg(
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("fee_units"), MONERO_SCALE).alias("fees"),
         F.sum(F.coalesce("in_cnt", F.lit(0)) + F.coalesce("out_cnt", F.lit(0))).alias("io_cnt"),
         F.sum(payment_count(F.col("out_cnt"))).alias("payment_cnt"),
     )
-    med = exact_median(tx, ["date"], units_to_double("fee_units", MONERO_SCALE), "med_fees")
+    med = exact_median(tx, ["date"], units_to_double("fee_units", MONERO_SCALE), "med_fees", stage_input=False)
     out = stitch(bs, txs, med, on="date")
     return out.select(
         "date", "block_cnt", "block_size", "reward", "avg_difficulty", "cnt", "fees", "med_fees", "io_cnt",
