@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_WIDTH = 1 << 20
 
 
-def successors(index_days: DataFrame, start: int, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def successors(index_days: DataFrame, start: int, bucket_width: int | None = None) -> DataFrame:
     """(index, date, next_index) for each present index >= start - 1."""
+    bucket_width = bucket_width or DEFAULT_BUCKET_WIDTH
     p = (
         index_days.where(F.col("index") >= F.lit(start - 1))
         .groupBy("index")
@@ -36,7 +37,7 @@ def successors(index_days: DataFrame, start: int, bucket_width: int = DEFAULT_BU
     return p.select("index", "date", nxt.alias("next_index"))
 
 
-def missing_ranges(index_days: DataFrame, start: int, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+def missing_ranges(index_days: DataFrame, start: int, bucket_width: int | None = None) -> DataFrame:
     """Gaps after ``start - 1``: (begin, end, begin_date, cnt) (C11).
 
     ``index_days`` has columns (index, date).  A gap that starts right at

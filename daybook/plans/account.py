@@ -33,6 +33,7 @@ def _flow(df: DataFrame, scale: int, value: str = "units", sides=("from", "to"))
 
 
 # ------------------------------------------------------------------- EOS
+# EOS token precision (10^-4).
 EOS_SCALE = 4
 
 
@@ -70,6 +71,7 @@ def eos_stats(blocks: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ Lisk
+# Lisk beddows per LSK (10^-8).
 LISK_SCALE = 8
 
 
@@ -102,6 +104,7 @@ def lisk_stats(trs: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------- NEM
+# NEM micro-XEM (10^-6).
 NEM_SCALE = 6
 
 
@@ -139,6 +142,7 @@ def nem_stats(blocks: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- Waves
+# Waves wavelets (10^-8).
 WAVES_SCALE = 8
 
 

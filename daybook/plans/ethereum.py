@@ -27,6 +27,7 @@ from daybook.operators.nesting import n_items
 from daybook.operators.rewards import block_reward, uncle_reward
 from daybook.sources.ledgers import TRANSFER_TOPIC
 
+# Wei per coin (10^-18) and the short-lived span (seconds).
 ETH_SCALE = 18
 SHORT_SPAN = 86400
 

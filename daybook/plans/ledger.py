@@ -12,8 +12,10 @@ from daybook.operators.gaps import missing_by_day, missing_in_day
 from daybook.operators.nesting import n_items
 from daybook.operators.staging import stage
 
+# Ripple drops per XRP (10^-6) and the first ledger index the
+# gap search covers.
 RIPPLE_SCALE = 6
-RIPPLE_SERIES_START = 32570  # first ledger index the gap search covers
+RIPPLE_SERIES_START = 32570
 
 
 def _ripple_tx(ledgers: DataFrame) -> DataFrame:
@@ -98,6 +100,7 @@ def ripple_daily(ledgers: DataFrame) -> DataFrame:
     )
 
 
+# Stellar stroops per lumen (10^-7).
 STELLAR_SCALE = 7
 
 

@@ -10,6 +10,7 @@ from daybook.functions.units import units_to_double
 from daybook.operators import exact_median, stitch, unique_addresses
 from daybook.operators.staging import stage
 
+# Tron sun per TRX (10^-6).
 SCALE = 6
 
 

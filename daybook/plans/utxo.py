@@ -17,6 +17,7 @@ from daybook.operators.flows import (
     signed_rows,
 )
 
+# Cardano lovelace scale and the short-lived span (seconds).
 CARDANO_SCALE = 6
 CARDANO_SHORT_SPAN = 2400
 
@@ -68,8 +69,10 @@ def cardano_stats(blocks: DataFrame) -> DataFrame:
     )
 
 
+# Monero piconero scale; from this height on, transactions
+# carry their fee.
 MONERO_SCALE = 12
-MONERO_FEE_FIELD_HEIGHT = 1220516  # from this height on, transactions carry their fee
+MONERO_FEE_FIELD_HEIGHT = 1220516
 
 
 def _array_total(arr: str) -> F.Column:

@@ -29,6 +29,9 @@ from daybook.sources import tokens as token_list
 DAY0_UNIX_DATE = 9131  # 1995-01-01
 DAY0_EPOCH = DAY0_UNIX_DATE * 86400
 SHORT_BASE = 10**9  # address range of the fee-free relay used by short-lived-address checks
+# Topic 0 of an ERC20 Transfer event (keccak of
+# "Transfer(address,address,uint256)"); the Approval topic marks logs the
+# token job must skip.
 TRANSFER_TOPIC = "ddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
 APPROVAL_TOPIC = "8c5be1e5ebec7d5bd14f71427d1e84f3dd0314c0f7b2291e5b200ac8c7c3b925"
 ETH_NUMBER_OFFSET = 4_365_000  # puts the 4,370,000 reward change inside the data
