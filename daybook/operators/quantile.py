@@ -13,8 +13,9 @@ task.  Here the plan depends on a size check made first (one small action):
   partitioned on (group, value).  A hot group spreads over many partitions,
   each partition reports how many values of each group it holds, and the two
   middle ranks are then looked up inside the one or two partitions that hold
-  them.  The range-partitioned table is checkpointed so that partition ids
-  stay fixed even if an executor is lost and a stage is recomputed.
+  them.  The range-partitioned table is written once to the checkpoint
+  folder so that partition ids stay fixed even if an executor is lost and
+  a stage is recomputed.
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.operators.staging import stage
+from daybook.operators.staging import frozen, stage
 
 DEFAULT_MAX_GROUP_ROWS = 1_000_000
+# Rows of (group, value, count) per range partition on the ranked path: a
+# window over one partition's rows of one group stays within a task.
+RANGE_PARTITION_ROWS = 4_000_000
 
 
 def _middle(lo, hi):
@@ -92,7 +96,7 @@ def exact_medians(
     for i in range(len(names)):
         if i not in small:
             vals = base.select(*keys, F.col(f"_m{i}").alias("_v")).where(F.col("_v").isNotNull())
-            parts.append(_median_ranked(vals, keys, names[i], totals[i], limit))
+            parts.append(_median_ranked(vals, keys, names[i], totals[i]))
     out = parts[0]
     for p in parts[1:]:
         out = out.join(p, on=keys, how="full_outer")
@@ -107,15 +111,16 @@ def _array_middle(arr: str):
     return F.when(n > 0, _middle(lo, hi))
 
 
-def _median_ranked(vals: DataFrame, keys: list[str], name: str, total: int, limit: int) -> DataFrame:
+def _median_ranked(vals: DataFrame, keys: list[str], name: str, total: int) -> DataFrame:
     spark = vals.sparkSession
     distinct = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(base, math.ceil(total / max(limit, 1)))
-    ranged = (
-        distinct.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v"))
-        .withColumn("_p", F.spark_partition_id())
-        .checkpoint(eager=True)
+    parts = max(base, math.ceil(total / RANGE_PARTITION_ROWS))
+    # Written once, so that partition ids stay fixed whatever is recomputed later.
+    ranged = frozen(
+        distinct.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v")).withColumn(
+            "_p", F.spark_partition_id()
+        )
     )
     # At most (partitions + groups) rows.
     per_part = ranged.groupBy("_p", *keys).agg(F.sum("_c").alias("_pc"))
