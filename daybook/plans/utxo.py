@@ -164,14 +164,16 @@ def neo_stats(blocks: DataFrame, since=None) -> DataFrame:
     txi = stage(neo_inputs(open_blocks, history))
     cols = ["date", "blk", "txid", "fee", "asset", "value", "address"]
     both = txi.select(*cols).unionByName(txo.select(*cols))
-    txio = both.groupBy("date", "blk", "txid", "fee", "asset", "address").agg(
-        F.greatest(F.sum("value"), F.lit(0)).alias("value")
+    txio = stage(
+        both.groupBy("date", "blk", "txid", "fee", "asset", "address").agg(
+            F.greatest(F.sum("value"), F.lit(0)).alias("value")
+        )
     )
     keys = ["date", "asset"]
     stats = txio.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cnt"), F.sum("fee").alias("fees"), F.sum("value").alias("value")
     )
-    meds = exact_medians(txio, keys, {"med_fees": F.col("fee"), "med_value": F.col("value")})
+    meds = exact_medians(txio, keys, {"med_fees": F.col("fee"), "med_value": F.col("value")}, stage_input=False)
     ins = txi.groupBy(*keys).agg(F.countDistinct("address").alias("from_cnt"))
     outs = txo.groupBy(*keys).agg(F.countDistinct("address").alias("to_cnt"))
     addr = unique_addresses(both.select(*keys, "address"), keys, ["address"])
