@@ -89,3 +89,23 @@ def test_sync_log_append(spark, sf_small, scratch):
     back = spark.read.parquet(log)
     assert back.count() == 2
     assert first["sync_time"] == back.agg(F.max("sync_time")).first()[0]
+
+
+def test_refresh_chain_end_to_end(spark, sf_small, scratch):
+    """Publish, sync row, CSV: the refresh script's order, for a full and an incremental chain."""
+    from daybook.streaming.publishing import refresh_chain
+
+    out = os.path.join(scratch, "out")
+    raw_c = os.path.join(scratch, "raw_cardano")
+    L.cardano_blocks(spark, sf_small).write.parquet(raw_c)
+    paths = refresh_chain(spark, "cardano", raw_c, out)
+    back = spark.read.option("header", True).csv(paths["cardano"])
+    assert back.columns[:3] == ["date", "txCount", "txVolume"] and back.count() > 0
+    raw_r = os.path.join(scratch, "raw_ripple")
+    L.ripple_ledgers(spark, sf_small).write.parquet(raw_r)
+    first = refresh_chain(spark, "ripple_payment_xrp", raw_r, out)
+    again = refresh_chain(spark, "ripple_payment_xrp", raw_r, out)  # only the open day is recomputed
+    assert first["dataset"] == again["dataset"]
+    assert _rows(read_published(spark, again["dataset"])) == _rows(ledger.ripple_daily(spark.read.parquet(raw_r)))
+    log = spark.read.parquet(paths["sync_log"])
+    assert sorted(r["view"] for r in log.collect()) == ["cardano", "ripple_payment_xrp", "ripple_payment_xrp"]
