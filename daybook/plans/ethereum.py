@@ -75,9 +75,9 @@ def eth_actions(blocks: DataFrame) -> DataFrame:
     return a.select("time", "date", "from", "to", scale_units("value", ETH_SCALE).alias("value"))
 
 
-def eth_contracts(blocks: DataFrame) -> DataFrame:
+def eth_contracts(blocks: DataFrame, actions: DataFrame | None = None) -> DataFrame:
     """Contract registry: targets of accounted create actions (type 1), distinct."""
-    a = action_units(blocks)
+    a = action_units(blocks) if actions is None else actions
     return a.where((F.col("type") == 1) & F.col("to").isNotNull()).select(F.col("to").alias("address")).distinct()
 
 
@@ -88,9 +88,10 @@ def _short_rows(tx: DataFrame, receiver) -> DataFrame:
     return recv.unionByName(send)
 
 
-def short_addresses_units(blocks: DataFrame) -> DataFrame:
+def short_addresses_units(blocks: DataFrame, tx: DataFrame | None = None) -> DataFrame:
     """Short-lived addresses in wei; receiver is ``to`` and the NULL group is dropped (§8 Q26)."""
-    rows = _short_rows(tx_units(blocks), F.col("to")).where(F.col("address").isNotNull())
+    tx = tx_units(blocks) if tx is None else tx
+    rows = _short_rows(tx, F.col("to")).where(F.col("address").isNotNull())
     s = short_lived_addresses(rows, SHORT_SPAN)
     return s.withColumn("min_date", day_of_seconds("min_time"))
 
@@ -193,11 +194,13 @@ def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str =
         blocks = blocks.where(day_of_seconds("timestamp") >= F.lit(since))
     tx = stage(tx_units(blocks))
     act = stage(action_units(blocks))
+    # All-history tables: the staged ones when every day is computed.
+    all_tx = tx if since is None else tx_units(history)
+    all_act = act if since is None else action_units(history)
     if contracts == "created":
-        all_tx = tx_units(history)
         cset = all_tx.where(F.col("contractAddress").isNotNull()).select(F.col("contractAddress").alias("address"))
     elif contracts == "registry":
-        cset = eth_contracts(history)
+        cset = eth_contracts(history, all_act)
     else:
         raise ValueError(contracts)
     # J9 against a distinct set; creating transactions (to NULL) skip the join.
@@ -224,7 +227,7 @@ def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str =
     )
     med_a = exact_median(act, ["date"], units_to_double("value", ETH_SCALE), "med_action_value", stage_input=False)
     addr_a = unique_addresses(act, ["date"], ["from", "to"], "addr_action_cnt")
-    registry = short_addresses_units(history)
+    registry = short_addresses_units(history, all_tx)
     if since is not None:
         registry = registry.where(F.col("min_date") >= F.lit(since))
     short = registry.groupBy(F.col("min_date").alias("date")).agg(
