@@ -1,6 +1,7 @@
 """Reusable ledger operators."""
 
 from daybook.operators.aggregates import (  # noqa: F401
+    address_counts,
     both_sides,
     broadcast_if_small,
     count_rows,

@@ -18,18 +18,22 @@ from daybook.functions import (
     units,
 )
 from daybook.functions.units import units_to_double
-from daybook.operators import count_rows, exact_median, exact_medians, stitch, total_if, unique_addresses
+from daybook.operators import (
+    address_counts,
+    count_rows,
+    exact_median,
+    exact_medians,
+    stitch,
+    total_if,
+    unique_addresses,
+)
 from daybook.operators.staging import stage
 
 
-def _flow(df: DataFrame, scale: int, value: str = "units", sides=("from", "to")) -> DataFrame:
-    """Count, exact sum, distinct senders and receivers per day."""
-    return df.groupBy("date").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        scale_units(F.sum(value), scale).alias("value"),
-        F.countDistinct(sides[0]).alias("from_cnt"),
-        F.countDistinct(sides[1]).alias("to_cnt"),
-    )
+def _flow(df: DataFrame, scale: int, value: str = "units") -> DataFrame:
+    """Count and exact sum per day, stitched with the address counts."""
+    sums = df.groupBy("date").agg(F.count(F.lit(1)).alias("cnt"), scale_units(F.sum(value), scale).alias("value"))
+    return sums.join(address_counts(df, ["date"], "from", "to"), "date", "left")
 
 
 # ------------------------------------------------------------------- EOS
@@ -63,8 +67,7 @@ def eos_stats(blocks: DataFrame) -> DataFrame:
     tr = stage(eos_transfers(blocks))
     action_stats = _flow(tr, EOS_SCALE).withColumnRenamed("cnt", "action_cnt")
     med = exact_median(tr, ["date"], units_to_double("units", EOS_SCALE), "med_value", stage_input=False)
-    addr = unique_addresses(tr, ["date"], ["from", "to"])
-    out = stitch(block_stats, tx_stats, action_stats, med, addr, on="date")
+    out = stitch(block_stats, tx_stats, action_stats, med, on="date")
     return out.select(
         "date", "block_cnt", "tx_cnt", "action_cnt", "value", "med_value", "from_cnt", "to_cnt", "addr_cnt"
     )
@@ -88,15 +91,13 @@ def lisk_stats(trs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("units"), LISK_SCALE).alias("value"),
         scale_units(F.sum("fee"), LISK_SCALE).alias("fees"),
-        F.countDistinct("from").alias("from_cnt"),
-        F.countDistinct("to").alias("to_cnt"),
         total_if(F.col("type") == 0).alias("payment_cnt"),
     )
     meds = exact_medians(
         t, ["date"], {"med_value": units_to_double("units", LISK_SCALE), "med_fees": units_to_double("fee", LISK_SCALE)},
         stage_input=False,
     )
-    addr = unique_addresses(t, ["date"], ["from", "to"])
+    addr = address_counts(t, ["date"], "from", "to")
     out = stitch(stats, meds, addr, on="date")
     return out.select(
         "date", "cnt", "value", "fees", "med_value", "med_fees", "from_cnt", "to_cnt", "payment_cnt", "addr_cnt"
@@ -171,12 +172,8 @@ def waves_stats(blocks: DataFrame) -> DataFrame:
     )
     med_f = exact_median(tx, ["date"], units_to_double("fee", WAVES_SCALE), "med_fees")
     tr = stage(waves_transfers(blocks))
-    tr_stats = tr.groupBy("date").agg(
-        scale_units(F.sum("units"), WAVES_SCALE).alias("value"),
-        F.countDistinct("from").alias("from_cnt"),
-        F.countDistinct("to").alias("to_cnt"),
-    )
+    tr_stats = tr.groupBy("date").agg(scale_units(F.sum("units"), WAVES_SCALE).alias("value"))
     med_v = exact_median(tr, ["date"], units_to_double("units", WAVES_SCALE), "med_value", stage_input=False)
-    addr = unique_addresses(tr, ["date"], ["from", "to"])
+    addr = address_counts(tr, ["date"], "from", "to")
     out = stitch(tx_stats, med_f, tr_stats, med_v, addr, on="date")
     return out.select("date", "cnt", "value", "med_value", "fees", "med_fees", "from_cnt", "to_cnt", "addr_cnt")

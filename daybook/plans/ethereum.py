@@ -13,6 +13,7 @@ from pyspark.sql.types import DecimalType
 from daybook.functions import day_of_seconds, scale_units, uint256_be, units
 from daybook.functions.units import units_to_double
 from daybook.operators import (
+    address_counts,
     broadcast_if_small,
     exact_median,
     exact_medians,
@@ -145,8 +146,6 @@ def _tx_stats(tx: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("tx_cnt"),
         scale_units(F.sum("value"), ETH_SCALE).alias("sum_value"),
         scale_units(F.sum("fee"), ETH_SCALE).alias("sum_fee"),
-        F.countDistinct("from").alias("from_cnt"),
-        F.countDistinct("to").alias("to_cnt"),
     )
     meds = exact_medians(
         tx,
@@ -154,7 +153,7 @@ def _tx_stats(tx: DataFrame) -> DataFrame:
         {"med_value": units_to_double("value", ETH_SCALE), "med_fee": units_to_double("fee", ETH_SCALE)},
         stage_input=False,  # callers pass their staged transaction table
     )
-    addr = unique_addresses(tx, ["date"], ["from", "to"])
+    addr = address_counts(tx, ["date"], "from", "to")
     return stitch(stats, meds, addr, on="date")
 
 
@@ -222,11 +221,9 @@ def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str =
     acts = act.groupBy("date").agg(
         F.count(F.lit(1)).alias("action_cnt"),
         scale_units(F.sum("value"), ETH_SCALE).alias("sum_action_value"),
-        F.countDistinct("from").alias("action_from_cnt"),
-        F.countDistinct("to").alias("action_to_cnt"),
     )
     med_a = exact_median(act, ["date"], units_to_double("value", ETH_SCALE), "med_action_value", stage_input=False)
-    addr_a = unique_addresses(act, ["date"], ["from", "to"], "addr_action_cnt")
+    addr_a = address_counts(act, ["date"], "from", "to", ("action_from_cnt", "action_to_cnt", "addr_action_cnt"))
     registry = short_addresses_units(history, all_tx)
     if since is not None:
         registry = registry.where(F.col("min_date") >= F.lit(since))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import day_of_seconds, day_text, scale_units, units
 from daybook.functions.units import units_to_double
-from daybook.operators import exact_median, stitch, total_where, unique_addresses
+from daybook.operators import address_counts, exact_median, stitch, total_where
 from daybook.operators.gaps import missing_by_day, missing_in_day
 from daybook.operators.nesting import n_items
 from daybook.operators.staging import stage
@@ -49,10 +49,8 @@ def ripple_payment_stats(ledgers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("amount"), RIPPLE_SCALE).alias("value"),
         scale_units(F.sum("fee"), RIPPLE_SCALE).alias("fee"),
-        F.countDistinct("from").alias("from_cnt"),
-        F.countDistinct("to").alias("to_cnt"),
     )
-    addr = unique_addresses(pay, ["date"], ["from", "to"])
+    addr = address_counts(pay, ["date"], "from", "to")
     led = ledgers.select("index", day_of_seconds("closeTime").alias("date"), "transactions")
     blocks = led.groupBy("date").agg(
         F.count(F.lit(1)).alias("block_cnt"), F.sum(n_items("transactions")).alias("total_cnt")
@@ -79,10 +77,7 @@ def ripple_daily(ledgers: DataFrame) -> DataFrame:
         "date", units("tx.fee").alias("fee"), F.col("tx.account").alias("from"), F.col("tx.destination").alias("to")
     ))
     tx_stats = ok.groupBy("date").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        scale_units(F.sum("fee"), RIPPLE_SCALE).alias("fee"),
-        F.countDistinct("from").alias("from_cnt"),
-        F.countDistinct("to").alias("to_cnt"),
+        F.count(F.lit(1)).alias("cnt"), scale_units(F.sum("fee"), RIPPLE_SCALE).alias("fee")
     )
     med_fee = exact_median(ok, ["date"], units_to_double("fee", RIPPLE_SCALE), "med_fee", stage_input=False)
     pay = t.where(_is_xrp_payment()).select("date", units("tx.amount").alias("amount"))
@@ -90,7 +85,7 @@ def ripple_daily(ledgers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("payment_cnt"), scale_units(F.sum("amount"), RIPPLE_SCALE).alias("payment_value")
     )
     med_pay = exact_median(pay, ["date"], units_to_double("amount", RIPPLE_SCALE), "med_payment_value")
-    addr = unique_addresses(ok, ["date"], ["from", "to"])
+    addr = address_counts(ok, ["date"], "from", "to")
     blocks = missing_in_day(ledgers.select("index", day_of_seconds("closeTime").alias("date")))
     missing_tx = t.where(F.col("tx.type").isNull()).groupBy("date").agg(F.count(F.lit(1)).alias("missing_cnt"))
     out = stitch(tx_stats, med_fee, addr, pay_stats, med_pay, blocks, missing_tx, on="date")
@@ -141,10 +136,8 @@ def stellar_payment_stats(ledgers: DataFrame) -> DataFrame:
     ops = p.groupBy(*keys).agg(
         F.countDistinct(F.struct("sequence", "txpos")).alias("cnt"),
         scale_units(F.sum("units"), STELLAR_SCALE).alias("value"),
-        F.countDistinct("from").alias("from_cnt"),
-        F.countDistinct("to").alias("to_cnt"),
     )
-    addr = unique_addresses(p, keys, ["from", "to"])
+    addr = address_counts(p, keys, "from", "to")
     fees = _stellar_tx_stats(ledgers).select("date", "fees")
     out = stitch(ops, fees, on="date")
     out = stitch(out, addr, on=keys)

@@ -143,3 +143,17 @@ if given is not None:
             groups.setdefault(g, []).append(None if v is None else float(v))
         want = {g: m for g, m in ((g, _median_model(vs)) for g, vs in groups.items()) if m is not None}
         assert got == want
+
+
+def test_address_counts_match_count_distinct(spark):
+    from daybook.operators import address_counts
+
+    rows = [(1, "a", "b"), (1, "a", "a"), (1, None, "c"), (1, "b", None), (2, None, None), (3, "x", "y"), (3, "y", "x")]
+    df = spark.createDataFrame(rows, "d int, f string, t string")
+    got = {r["d"]: (r["from_cnt"], r["to_cnt"], r["addr_cnt"]) for r in address_counts(df, ["d"], "f", "t").collect()}
+    want = {}
+    for d in {r[0] for r in rows}:
+        fs = {f for k, f, _ in rows if k == d and f is not None}
+        ts = {t for k, _, t in rows if k == d and t is not None}
+        want[d] = (len(fs), len(ts), len(fs | ts))
+    assert got == want
