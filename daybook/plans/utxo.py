@@ -57,10 +57,15 @@ def cardano_stats(blocks: DataFrame) -> DataFrame:
         {"med_volume": units_to_double("volume", CARDANO_SCALE), "med_fees": units_to_double("fees", CARDANO_SCALE)},
         stage_input=False,
     )
-    sides = tp.groupBy("date").agg(
-        F.countDistinct(F.when(F.col("is_output") == 0, F.col("address"))).alias("from_cnt"),
-        F.countDistinct(F.when(F.col("is_output") == 1, F.col("address"))).alias("to_cnt"),
-        F.countDistinct("address").alias("addr_cnt"),
+    # Input, output and either-side addresses in one (day, address) pass.
+    per_addr = tp.groupBy("date", "address").agg(
+        F.max(1 - F.col("is_output")).alias("f"), F.max("is_output").alias("t")
+    )
+    known = F.col("address").isNotNull()
+    sides = per_addr.groupBy("date").agg(
+        F.sum(F.when(known, F.col("f")).otherwise(0)).cast("long").alias("from_cnt"),
+        F.sum(F.when(known, F.col("t")).otherwise(0)).cast("long").alias("to_cnt"),
+        F.count("address").alias("addr_cnt"),
     )
     out = stitch(txs, meds, sides, on="date")
     return out.select(
