@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.staging import frozen
 
-__all__ = ["frozen", "table", "text_or_empty", "ceil_div", "session_of", "batch_rows", "learns_from"]
+__all__ = ["frozen", "table", "text_or_empty", "ceil_div", "batch_rows", "learns_from", "map_columns", "kind_of"]
 
 #: Rows of one Arrow batch sent to Python.  Texts are unbounded in length, so
 #: batches hold few rows and operators work through them one at a time.
@@ -28,12 +32,22 @@ def ceil_div(a: int, b: int) -> int:
     return -(-a // b)
 
 
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, whatever their import path."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
 
 
 def batch_rows(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
-    """Ask for small Arrow batches in the session of ``df`` (texts may be long)."""
+    """Ask for small Arrow batches in the session of ``df`` (texts may be long) and ship the package."""
+    ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return df
 
@@ -46,12 +60,36 @@ def learns_from(doc_id: Column | str, held_out_remainder: int = 2) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 4 != held_out_remainder
 
 
-def each_batch(work: Callable, schema: str) -> Callable[[DataFrame], DataFrame]:
-    """A DataFrame transform that applies ``work`` (pandas frame -> pandas frame) to each batch."""
+#: Arrow types of the simple column types that operators return.
+ARROW = {
+    "tinyint": pa.int8(),
+    "int": pa.int32(),
+    "bigint": pa.int64(),
+    "double": pa.float64(),
+    "string": pa.string(),
+    "boolean": pa.bool_(),
+    "binary": pa.binary(),
+    "array<int>": pa.list_(pa.int32()),
+    "array<bigint>": pa.list_(pa.int64()),
+    "array<tinyint>": pa.list_(pa.int8()),
+}
+
+Columns = dict[str, list]
+
+
+def map_columns(df: DataFrame, work: Callable[[Iterator[Columns]], Iterator[Columns]], schema: dict[str, str]) -> DataFrame:
+    """``work`` over each partition: columns as plain lists in and out, nulls as None.
+
+    Lists, unlike pandas columns, keep integers exact where a column has nulls.
+    """
 
     def over(batches):
-        for pdf in batches:
-            if len(pdf):
-                yield work(pdf)
+        given = (b.to_pydict() for b in batches if b.num_rows)
+        for out in work(given):
+            yield pa.RecordBatch.from_arrays([pa.array(out[name], ARROW[kind]) for name, kind in schema.items()], names=list(schema))
+
+    return batch_rows(df).mapInArrow(over, ", ".join(f"`{name}` {kind}" for name, kind in schema.items()))
+
 
-    return lambda df: batch_rows(df).mapInPandas(over, schema)
+def kind_of(df: DataFrame, column: str) -> str:
+    return dict(df.dtypes)[column]

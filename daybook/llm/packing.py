@@ -21,14 +21,14 @@ columns are ignored.
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import batch_rows, ceil_div, frozen
+from daybook.llm.common import Columns, batch_rows, ceil_div, frozen, kind_of, map_columns
 from daybook.llm.tokens import byte_bpe
 
 MAX_TOKENS = 2048
@@ -91,27 +91,23 @@ def cut(length: int, most: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(start, most) for start in range(first, length, most)]
 
 
-@lru_cache(maxsize=2)
-def _encoder(tokenizer: str):
-    return byte_bpe(tokenizer)
-
-
 def pieces_of(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32), tokenised where the documents lie."""
     docs = docs.select("doc_id", "text")
-    kind = dict(docs.dtypes)["doc_id"]
 
-    def tokenise(batches):
-        encode = _encoder(tokenizer).encode_ordinary
-        for pdf in batches:
-            out = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                ids = encode(text) if isinstance(text, str) else []
-                ids = np.array([*ids, END_ID], dtype="<u4")
-                out += [(doc_id, k, start, n, zlib.crc32(ids[start : start + n])) for k, (start, n) in enumerate(cut(len(ids), max_tokens))]
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+    def tokenise(batches: Iterator[Columns]) -> Iterator[Columns]:
+        encode = byte_bpe(tokenizer).encode_ordinary
+        for b in batches:
+            out: Columns = {name: [] for name in schema}
+            for doc_id, text in zip(b["doc_id"], b["text"]):
+                ids = np.array([*encode(text or ""), END_ID], dtype="<u4")
+                for k, (start, n) in enumerate(cut(len(ids), max_tokens)):
+                    for name, value in zip(schema, (doc_id, k, start, n, zlib.crc32(ids[start : start + n]))):
+                        out[name].append(value)
+            yield out
 
-    return batch_rows(docs).mapInPandas(tokenise, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    schema = {"doc_id": kind_of(docs, "doc_id"), "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint"}
+    return map_columns(docs, tokenise, schema)
 
 
 def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, pieces_per_group: int = PIECES_PER_GROUP) -> DataFrame:
@@ -120,14 +116,16 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, pieces_per_group: int
     groups = max(1, ceil_div(pieces.count(), pieces_per_group))
     dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(*pieces.columns, F.monotonically_increasing_id()), F.lit(groups)))
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        where, offset = best_fit(pdf["length"].tolist(), max_tokens)
-        group = int(pdf["_group"].iloc[0])
-        return pdf.drop(columns="_group").assign(sequence_id=np.array(where, dtype=np.int64) + (group << 32), offset=np.array(offset, dtype=np.int64))
+    def fit(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        where, offset = best_fit(group["length"].to_pylist(), max_tokens)
+        first = group["_group"][0].as_py() << 32
+        group = group.drop_columns("_group")
+        group = group.append_column("sequence_id", pa.array([first + w for w in where], pa.int64()))
+        return group.append_column("offset", pa.array(offset, pa.int64()))
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes)
-    return dealt.groupBy("_group").applyInPandas(fit, f"{schema}, sequence_id long, offset long")
+    return batch_rows(dealt).groupBy("_group").applyInArrow(fit, f"{schema}, sequence_id long, offset long")
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = MAX_TOKENS, pieces_per_group: int = PIECES_PER_GROUP) -> DataFrame:

@@ -15,15 +15,14 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import batch_rows
+from daybook.llm.common import Columns, kind_of, map_columns
 
 # Rules of the production query as (verdict, host, path).
 RULES = (
@@ -112,23 +111,21 @@ def filter_urls(
     """(page_id, host, path, rule, verdict, strict_hits, soft_hits) of each page."""
     rules, strict, soft = tuple(map(tuple, rules)), tuple(strict), tuple(soft)
 
-    def judge(batches):
+    def judge(batches: Iterator[Columns]) -> Iterator[Columns]:
         index, automaton = rule_index(rules), vocabulary(strict, soft)
-        for pdf in batches:
-            fitting = [rule_for(h, p, index) for h, p in zip(pdf["host"], pdf["path"])]
-            words = [hits(u, automaton) if isinstance(u, str) else (set(), set()) for u in pdf["url"]]
-            yield pd.DataFrame(
-                {
-                    "page_id": pdf["page_id"],
-                    "host": pdf["host"],
-                    "path": pdf["path"],
-                    "rule": [r for r, _ in fitting],
-                    "verdict": [v or ("block" if a or len(b) >= soft_needed else "allow") for (_, v), (a, b) in zip(fitting, words)],
-                    "strict_hits": [len(a) for a, _ in words],
-                    "soft_hits": [len(b) for _, b in words],
-                }
-            )
-
-    parts = batch_rows(url_parts(pages), 10_000)
-    kind = dict(parts.dtypes)["page_id"]
-    return parts.mapInPandas(judge, f"page_id {kind}, host string, path string, rule string, verdict string, strict_hits long, soft_hits long")
+        for b in batches:
+            fitting = [rule_for(h, p, index) for h, p in zip(b["host"], b["path"])]
+            words = [hits(u or "", automaton) for u in b["url"]]
+            yield {
+                "page_id": b["page_id"],
+                "host": b["host"],
+                "path": b["path"],
+                "rule": [r for r, _ in fitting],
+                "verdict": [v or ("block" if s or len(t) >= soft_needed else "allow") for (_, v), (s, t) in zip(fitting, words)],
+                "strict_hits": [len(s) for s, _ in words],
+                "soft_hits": [len(t) for _, t in words],
+            }
+
+    parts = url_parts(pages)
+    schema = {"page_id": kind_of(parts, "page_id"), "host": "string", "path": "string", "rule": "string", "verdict": "string", "strict_hits": "bigint", "soft_hits": "bigint"}
+    return map_columns(parts, judge, schema)
