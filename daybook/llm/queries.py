@@ -18,6 +18,8 @@ from daybook.llm.embed_dedup import embedding_near_dups
 from daybook.llm.exact_dedup import exact_dedup
 from daybook.llm.language_id import identify_language
 from daybook.llm.packing import best_fit_packing
+from daybook.llm.prob_minhash import near_dup_classes
+from daybook.llm.sentencepiece_codec import coded
 from daybook.llm.sharding import shard_report
 from daybook.llm.toxicity import toxicity
 
@@ -38,6 +40,10 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_dups(table(spark, sf_dir, "embeddings"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(table(spark, sf_dir, "documents"))
 
@@ -50,6 +56,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -62,9 +72,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_toxicity": op6_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
 }
