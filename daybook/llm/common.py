@@ -77,7 +77,7 @@ ARROW = {
 Columns = dict[str, list]
 
 
-def map_columns(df: DataFrame, work: Callable[[Iterator[Columns]], Iterator[Columns]], schema: dict[str, str]) -> DataFrame:
+def map_columns(df: DataFrame, work: Callable[[Iterator[Columns]], Iterator[Columns]], schema: dict[str, str], rows: int = BATCH_ROWS) -> DataFrame:
     """``work`` over each partition: columns as plain lists in and out, nulls as None.
 
     Lists, unlike pandas columns, keep integers exact where a column has nulls.
@@ -88,7 +88,7 @@ def map_columns(df: DataFrame, work: Callable[[Iterator[Columns]], Iterator[Colu
         for out in work(given):
             yield pa.RecordBatch.from_arrays([pa.array(out[name], ARROW[kind]) for name, kind in schema.items()], names=list(schema))
 
-    return batch_rows(df).mapInArrow(over, ", ".join(f"`{name}` {kind}" for name, kind in schema.items()))
+    return batch_rows(df, rows).mapInArrow(over, ", ".join(f"`{name}` {kind}" for name, kind in schema.items()))
 
 
 def kind_of(df: DataFrame, column: str) -> str:

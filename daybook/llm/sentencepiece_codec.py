@@ -39,6 +39,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_COST = 10.0
 REMEMBERED = 300_000
+#: Rows of a batch: ids weigh more than their text.
+ROWS = 400
 #: Cells of one Viterbi table; bounds a batch's memory.
 CELLS = 1 << 21
 
@@ -188,10 +190,10 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [self.words.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = list({w for words in split for w in words if w not in self.seen})
-        if len(self.seen) + len(new) > REMEMBERED:
-            self.seen.clear()
-            new = list({w for words in split for w in words})
+        met = set(chain.from_iterable(split))
+        new = [w for w in met if w not in self.seen]
+        if len(self.seen) + len(new) > REMEMBERED:  # of the old words, those met again stay
+            self.seen = {w: self.seen[w] for w in met if w in self.seen}
         self.seen.update(zip(new, self.best_cuts(new)))
         return [list(chain.from_iterable(map(self.seen.__getitem__, words))) for words in split]
 
@@ -215,7 +217,7 @@ def encode_texts(docs: DataFrame, model: str | None = None) -> DataFrame:
             yield {"doc_id": b["doc_id"], "ids": [None if t is None else i for t, i in zip(b["text"], ids)]}
 
     docs = docs.select("doc_id", "text")
-    return map_columns(docs, work, {"doc_id": kind_of(docs, "doc_id"), "ids": "array<int>"})
+    return map_columns(docs, work, {"doc_id": kind_of(docs, "doc_id"), "ids": "array<int>"}, ROWS)
 
 
 def decode_texts(encoded: DataFrame, model: str | None = None) -> DataFrame:
@@ -227,20 +229,25 @@ def decode_texts(encoded: DataFrame, model: str | None = None) -> DataFrame:
             yield {**b, "text": [None if i is None else own.decode(i) for i in b["ids"]]}
 
     encoded = encoded.select("doc_id", "ids")
-    return map_columns(encoded, work, {"doc_id": kind_of(encoded, "doc_id"), "ids": "array<int>", "text": "string"})
+    return map_columns(encoded, work, {"doc_id": kind_of(encoded, "doc_id"), "ids": "array<int>", "text": "string"}, ROWS)
 
 
 def coded(docs: DataFrame, model: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded_sha256) of each row, the digest of the text decoded from the ids."""
+    """(doc_id, n_tokens, ids, decoded_sha256) of each row, the digest of the
+    text decoded from the ids; encoding and decoding share one pass."""
 
     def work(batches: Iterator[Columns]) -> Iterator[Columns]:
+        own = codec(model)
         for b in batches:
+            ids = own.encode([t or "" for t in b["text"]])
+            ids = [None if t is None else i for t, i in zip(b["text"], ids)]
             yield {
                 "doc_id": b["doc_id"],
-                "n_tokens": [0 if i is None else len(i) for i in b["ids"]],
-                "ids": b["ids"],
-                "decoded_sha256": [None if t is None else hashlib.sha256(t.encode()).hexdigest() for t in b["text"]],
+                "n_tokens": [0 if i is None else len(i) for i in ids],
+                "ids": ids,
+                "decoded_sha256": [None if i is None else hashlib.sha256(own.decode(i).encode()).hexdigest() for i in ids],
             }
 
-    decoded = decode_texts(encode_texts(docs, model), model)
-    return map_columns(decoded, work, {"doc_id": kind_of(decoded, "doc_id"), "n_tokens": "bigint", "ids": "array<int>", "decoded_sha256": "string"})
+    docs = docs.select("doc_id", "text")
+    schema = {"doc_id": kind_of(docs, "doc_id"), "n_tokens": "bigint", "ids": "array<int>", "decoded_sha256": "string"}
+    return map_columns(docs, work, schema, ROWS)
