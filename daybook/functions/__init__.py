@@ -7,10 +7,10 @@ from daybook.functions.clock import (  # noqa: F401
     day_of_seconds,
     day_since,
     day_text,
+    epoch_seconds,
     floor_div,
     seconds_or_millis,
-    span_within,
     time_of_seconds,
 )
-from daybook.functions.decode import byte_slice, hex_text, int64_le, padded_text, uint256_be, unhex_address  # noqa: F401
-from daybook.functions.units import SCALE, scale_units, units, units_to_double  # noqa: F401
+from daybook.functions.decode import byte_slice, int64_le, padded_text  # noqa: F401
+from daybook.functions.units import scale_units, units, units_to_double  # noqa: F401

@@ -7,6 +7,8 @@ and stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +36,11 @@ def day_of_seconds(seconds) -> Column:
     return F.date_from_unix_date(days).cast("timestamp_ntz")
 
 
+def epoch_seconds(day) -> int:
+    """Epoch seconds of a naive UTC datetime, for plain bounds on raw clocks."""
+    return int((day - datetime(1970, 1, 1)).total_seconds())
+
+
 def day_of_millis(millis) -> Column:
     """Epoch milliseconds → midnight of its UTC day."""
     return day_of_seconds(floor_div(millis, 1000))
@@ -58,8 +65,3 @@ def time_of_seconds(seconds) -> Column:
 def day_text(day) -> Column:
     """Day as 10-character text, as used in CSV exports."""
     return F.date_format(_col(day), "yyyy-MM-dd")
-
-
-def span_within(min_t, max_t, limit: int) -> Column:
-    """Lifetime span test MAX(t) - MIN(t) <= limit."""
-    return (_col(max_t) - _col(min_t)) <= F.lit(limit)

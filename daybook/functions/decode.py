@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 
 def _col(c) -> Column:
@@ -33,31 +32,3 @@ def int64_le(b) -> Column:
 def padded_text(b) -> Column:
     """Bytes → text with NUL padding trimmed on both ends."""
     return F.regexp_replace(F.decode(_col(b), "UTF-8"), "^\\x00+|\\x00+$", "")
-
-
-# 2^256 needs 78 digits; decimal(38,0) holds values below 10^38.  The 32-byte
-# word is folded in 14-hex-digit limbs (56 bits each); try_* arithmetic turns
-# an overflow into NULL instead of wrapping.
-_LIMB_HEX = 14
-
-
-def uint256_be(b) -> Column:
-    """32 big-endian bytes → decimal(38,0), NULL when ≥ 10^38 (X12, §8 Q3)."""
-    h = F.lpad(F.hex(_col(b)), 64, "0")
-    limbs = [F.substring(h, 1, 8)] + [F.substring(h, 9 + _LIMB_HEX * i, _LIMB_HEX) for i in range(4)]
-    acc = F.conv(limbs[0], 16, 10).cast(DecimalType(38, 0))
-    base = F.lit(16**_LIMB_HEX).cast(DecimalType(38, 0))
-    for limb in limbs[1:]:
-        acc = F.try_add(F.try_multiply(acc, base), F.conv(limb, 16, 10).cast(DecimalType(38, 0)))
-    return acc.cast(DecimalType(38, 0))
-
-
-def hex_text(b) -> Column:
-    """Bytes → lowercase hex text."""
-    return F.lower(F.hex(_col(b)))
-
-
-def unhex_address(s) -> Column:
-    """'0x…' hex text in any case → bytes (X15, §8 Q25)."""
-    s = _col(s)
-    return F.unhex(F.regexp_replace(s, "^0[xX]", ""))

@@ -12,20 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Decimal places of each chain's native unit.
-SCALE = {
-    "eos": 4,
-    "cardano": 6,
-    "nem": 6,
-    "ripple": 6,
-    "tron": 6,
-    "stellar": 7,
-    "lisk": 8,
-    "waves": 8,
-    "monero": 12,
-    "ethereum": 18,
-}
-
 UNITS = DecimalType(38, 0)
 
 

@@ -3,13 +3,12 @@
 from daybook.operators.aggregates import (  # noqa: F401
     address_counts,
     both_sides,
-    broadcast_if_small,
     count_rows,
+    exact_avg,
     ratio,
     stitch,
     total_if,
-    total_positive,
     total_where,
     unique_addresses,
 )
-from daybook.operators.quantile import exact_median, exact_medians, with_medians  # noqa: F401
+from daybook.operators.quantile import exact_median, exact_medians  # noqa: F401

@@ -81,11 +81,6 @@ def total_where(value, pred: Column) -> Column:
     return F.sum(F.when(pred, _col(value)))
 
 
-def total_positive(value) -> Column:
-    """SUM(GREATEST(value, 0))."""
-    return F.sum(F.greatest(_col(value), F.lit(0)))
-
-
 def stitch(base: DataFrame, *parts: DataFrame, on, how: str = "left") -> DataFrame:
     """Join per-day (or per-day-and-asset) aggregates onto a base.
 
@@ -98,15 +93,11 @@ def stitch(base: DataFrame, *parts: DataFrame, on, how: str = "left") -> DataFra
     return out
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; a larger side is left to
-    a shuffled join (and to AQE, which may still broadcast it at runtime).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def exact_avg(value) -> Column:
+    """AVG of whole numbers as a double: exact sum, one division, so that the
+    result does not depend on the order of rows (A3)."""
+    v = _col(value).cast("decimal(38,0)")
+    return F.sum(v).cast("double") / F.count(v).cast("double")
 
 
 def ratio(numer, denom) -> Column:

@@ -1,28 +1,16 @@
-"""Unnesting helpers for nested block tables.
+"""Unnesting conventions for nested block tables.
 
-``explode`` (not ``explode_outer``) matches SQL ``UNNEST`` in a FROM list:
-parents with an empty or NULL array vanish.  ``posexplode`` gives the
-0-based position, i.e. SQL's ``ordinality - 1``.
+Jobs use ``explode`` (not ``explode_outer``), which matches SQL ``UNNEST`` in
+a FROM list: parents with an empty or NULL array vanish.  ``posexplode`` gives
+the 0-based position, i.e. SQL's ``ordinality - 1``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def unnest(df: DataFrame, array: str, alias: str, keep: Sequence = ()) -> DataFrame:
-    """One row per element of ``array`` (P1); ``keep`` columns carried along."""
-    return df.select(*keep, F.explode(array).alias(alias))
-
-
-def unnest_pos(df: DataFrame, array: str, alias: str, pos: str, keep: Sequence = ()) -> DataFrame:
-    """As ``unnest`` with the 0-based element position."""
-    return df.select(*keep, F.posexplode(array).alias(pos, alias))
-
-
 def n_items(array) -> Column:
     """Array length, NULL for empty or NULL arrays like ARRAY_LENGTH."""
     a = F.col(array) if isinstance(array, str) else array

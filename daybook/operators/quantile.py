@@ -1,159 +1,88 @@
-"""Exact interpolated median per group (A7, A10), safe under skew.
+"""Exact interpolated median per group (A7, A10), one plan at every size.
 
 ``percentile_cont(0.5)`` semantics: NULLs ignored, the two middle doubles
 of the group interpolated as ``lo * 0.5 + hi * 0.5`` (the same rounding as
 Spark's and DuckDB's exact percentile).
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-task.  Here the plan depends on a size check made first (one small action):
-
-* every group holds at most ``max_group_rows`` values: the sorted values of a
-  group are gathered into one array — bounded by the check;
-* otherwise the (group, value) pairs, pre-counted map-side, are range
-  partitioned on (group, value).  A hot group spreads over many partitions,
-  each partition reports how many values of each group it holds, and the two
-  middle ranks are then looked up inside the one or two partitions that hold
-  them.  The range-partitioned table is written once to the checkpoint
-  folder so that partition ids stay fixed even if an executor is lost and
-  a stage is recomputed.
+task.  Here a median is found in two grouped passes, neither of which brings a
+group together:
+
+1. values are counted per (group, magnitude bucket), a bucket being a 1/64 of
+   a power of two; counts combine map-side, and a group has a few thousand
+   buckets at most, whose running count says which ones hold the middle ranks;
+2. only the values in those one or two buckets are counted by value, and the
+   middle ranks are looked up in their running count.
+
+A hot day thus spreads over all tasks in pass 1 and is cut to about 1% of its
+value range in pass 2.  No action runs on the way.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.operators.staging import frozen, stage
+from daybook.operators.staging import stage
 
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-# Rows of (group, value, count) per range partition on the ranked path: a
-# window over one partition's rows of one group stays within a task.
-RANGE_PARTITION_ROWS = 4_000_000
+#: Buckets per power of two.
+STEPS = 64
+#: Offset that keeps buckets of positive values above 0 (doubles reach 2^-1074).
+_ZERO = 1100 * STEPS
 
 
 def _middle(lo, hi):
     return lo * F.lit(0.5) + hi * F.lit(0.5)
 
 
-def exact_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value,
-    name: str,
-    *,
-    max_group_rows: int | None = None,
-    stage_input: bool = True,
-) -> DataFrame:
+def _bucket(v: Column) -> Column:
+    """A whole number that never falls as ``v`` rises."""
+    size = F.least(F.floor(F.log2(F.abs(v)) * STEPS), F.lit(1100 * STEPS)).cast("int") + _ZERO
+    return F.when(F.isnan(v), 4 * _ZERO).when(v > 0, size).when(v < 0, -size).otherwise(0)
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value, name: str, *, stage_input: bool = True) -> DataFrame:
     """Return ``keys + [name]``: the exact median of ``value`` per group.
 
     Groups whose values are all NULL do not appear; stitch the result with a
     left join so that they read as NULL, as in SQL.
     """
-    return exact_medians(df, keys, {name: value}, max_group_rows=max_group_rows, stage_input=stage_input)
+    return exact_medians(df, keys, {name: value}, stage_input=stage_input)
 
 
-def exact_medians(
-    df: DataFrame,
-    keys: Sequence[str],
-    values: dict,
-    *,
-    max_group_rows: int | None = None,
-    stage_input: bool = True,
-) -> DataFrame:
+def exact_medians(df: DataFrame, keys: Sequence[str], values: dict, *, stage_input: bool = True) -> DataFrame:
     """Exact medians of several columns of one DataFrame per group.
 
-    One size check covers all columns; when every group is within the bound
-    all medians come out of one aggregation (one shuffle).  The narrow
-    (keys, values) input is staged first, so the size check and the median
-    aggregation read it once from storage instead of recomputing the job's
-    upstream explode and joins (``stage_input=False`` when ``df`` is itself
-    a staged table).
+    The narrow (keys, values) input is read twice, so it is staged first
+    (``stage_input=False`` when ``df`` is itself a staged table).
     """
     keys = list(keys)
-    limit = DEFAULT_MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    cols = {n: (F.col(v) if isinstance(v, str) else v).cast("double") for n, v in values.items()}
-    names = list(cols)
-    base = df.select(*[F.col(k) for k in keys], *[c.alias(f"_m{i}") for i, c in enumerate(cols.values())])
+    cols = [(F.col(v) if isinstance(v, str) else v).cast("double") for v in values.values()]
+    base = df.select(*keys, *[c.alias(f"_m{i}") for i, c in enumerate(cols)])
     if stage_input:
         base = stage(base)
-    sizes = base.groupBy(*keys).agg(*[F.count(f"_m{i}").alias(f"_n{i}") for i in range(len(names))])
-    stats = sizes.agg(*[F.max(f"_n{i}") for i in range(len(names))], *[F.sum(f"_n{i}") for i in range(len(names))])
-    row = stats.first()
-    largest = [row[i] or 0 for i in range(len(names))]
-    totals = [row[len(names) + i] or 0 for i in range(len(names))]
-
-    small = [i for i in range(len(names)) if largest[i] <= limit]
-    parts = []
-    if small:
-        arrays = base.groupBy(*keys).agg(
-            *[F.sort_array(F.collect_list(f"_m{i}")).alias(f"_a{i}") for i in small]
-        )
-        meds = arrays.select(*keys, *[_array_middle(f"_a{i}").alias(names[i]) for i in small])
-        parts.append(meds.where(F.coalesce(*[F.col(names[i]) for i in small]).isNotNull()))
-    for i in range(len(names)):
-        if i not in small:
-            vals = base.select(*keys, F.col(f"_m{i}").alias("_v")).where(F.col("_v").isNotNull())
-            parts.append(_median_ranked(vals, keys, names[i], totals[i]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, on=keys, how="full_outer")
-    return out
-
-
-def _array_middle(arr: str):
-    """Median of a sorted array of doubles; NULL for an empty array."""
-    n = F.size(arr)
-    lo = F.element_at(arr, F.floor((n - 1) / 2).cast("int") + 1)
-    hi = F.element_at(arr, F.floor(n / 2).cast("int") + 1)
-    return F.when(n > 0, _middle(lo, hi))
-
-
-def _median_ranked(vals: DataFrame, keys: list[str], name: str, total: int) -> DataFrame:
-    spark = vals.sparkSession
-    distinct = vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(base, math.ceil(total / RANGE_PARTITION_ROWS))
-    # Written once, so that partition ids stay fixed whatever is recomputed later.
-    ranged = frozen(
-        distinct.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v")).withColumn(
-            "_p", F.spark_partition_id()
-        )
-    )
-    # At most (partitions + groups) rows.
-    per_part = ranged.groupBy("_p", *keys).agg(F.sum("_c").alias("_pc"))
-    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    per_part = per_part.withColumn("_off", F.coalesce(F.sum("_pc").over(before), F.lit(0))).withColumn(
-        "_n", F.sum("_pc").over(whole)
-    )
-    ranks = F.array(F.floor((F.col("_n") - 1) / 2).cast("long"), F.floor(F.col("_n") / 2).cast("long"))
-    targets = (
-        per_part.select("_p", *keys, "_off", "_pc", F.explode(F.array_distinct(ranks)).alias("_rank"))
-        .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_pc")))
-        .select("_p", *keys, "_rank", (F.col("_rank") - F.col("_off")).alias("_local"))
-    )
-    cand = ranged.join(targets, on=["_p", *keys], how="inner")
-    running = Window.partitionBy("_p", *keys, "_rank").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    picked = cand.withColumn("_cum", F.sum("_c").over(running)).where(
-        (F.col("_cum") - F.col("_c") <= F.col("_local")) & (F.col("_local") < F.col("_cum"))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_m{i}").alias("v")) for i in range(len(cols))]))
+    rows = base.select(*keys, each.alias("_e")).select(*keys, F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
+    rows = rows.where(F.col("_v").isNotNull()).withColumn("_b", _bucket(F.col("_v")))
+
+    # NULL keys are groups too: joins below compare a packed key that is never NULL.
+    rows = rows.withColumn("_k", F.struct(*keys, "_i"))
+    group = Window.partitionBy("_k")
+    counts = rows.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_all", F.sum("_n").over(group))
+    ranks = F.array_distinct(F.array(F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)))
+    inside = F.filter(ranks, lambda r: (r >= F.col("_off")) & (r < F.col("_off") + F.col("_n")))
+    targets = counts.select("_k", "_b", F.transform(inside, lambda r: r - F.col("_off")).alias("_ranks")).where(F.size("_ranks") > 0)
+
+    near = rows.select("_k", "_b", "_v").join(targets, ["_k", "_b"]).groupBy("_k", "_b", "_v").agg(
+        F.count(F.lit(1)).alias("_n"), F.first("_ranks").alias("_ranks")
     )
-    bounds = picked.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    return bounds.select(*keys, _middle(F.col("_lo"), F.col("_hi")).alias(name))
-
-
-def with_medians(
-    base: DataFrame,
-    df: DataFrame,
-    keys: Sequence[str],
-    medians: dict,
-    *,
-    max_group_rows: int | None = None,
-) -> DataFrame:
-    """Left-join one exact median column per ``{name: value}`` onto ``base``."""
-    out = base
-    for name, value in medians.items():
-        out = out.join(exact_median(df, keys, value, name, max_group_rows=max_group_rows), on=list(keys), how="left")
-    return out
+    running = Window.partitionBy("_k", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_end", F.sum("_n").over(running))
+    hit = F.exists("_ranks", lambda r: (r >= F.col("_end") - F.col("_n")) & (r < F.col("_end")))
+    found = near.where(hit).groupBy("_k").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    per = found.select("_k.*", _middle(F.col("_lo"), F.col("_hi")).alias("_median"))
+    return per.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_median"))).alias(n) for i, n in enumerate(values)])

@@ -13,7 +13,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-REWARD = DecimalType(20, 10)
+# 20 places: 5 × 0.8^era is exact through era 20.
+REWARD = DecimalType(24, 20)
+FACTOR = DecimalType(12, 5)
 
 # Issuance schedule parameters.
 ETH_BYZANTIUM_BLOCK = 4_370_000  # 5 coins before, 3 from this block on
@@ -34,7 +36,7 @@ def block_reward(number, schedule: str) -> Column:
         return F.when(n < ETH_BYZANTIUM_BLOCK, _dec(5)).otherwise(_dec(3))
     if schedule == "etc":
         era = ((n - 1) / F.lit(ETC_ERA_BLOCKS)).cast("long")  # integer division, 0 for block 0 (§8 Q28)
-        # 8^era is exact in a double up to era 17 (2^51).
+        # A power of two is exact in a double; 5 × 8^20 still fits a long.
         digits = (F.pow(F.lit(8.0), era).cast("long") * 5).cast("string")
         return F.concat(digits, F.lit("E-"), era.cast("string")).cast(REWARD)
     raise ValueError(f"unknown schedule {schedule!r}")
@@ -45,7 +47,7 @@ def uncle_reward(uncle_number, block_number, reward, schedule: str) -> Column:
     u = F.col(uncle_number) if isinstance(uncle_number, str) else uncle_number
     n = F.col(block_number) if isinstance(block_number, str) else block_number
     r = F.col(reward) if isinstance(reward, str) else reward
-    distance = ((u - n).cast(DecimalType(10, 0)) * F.lit(UNCLE_STEP) + F.lit(UNCLE_BASE)).cast(REWARD)
+    distance = ((u - n).cast(DecimalType(10, 0)) * F.lit(UNCLE_STEP) + F.lit(UNCLE_BASE)).cast(FACTOR)
     if schedule == "etc":
-        distance = F.when(n <= ETC_ERA_BLOCKS, distance).otherwise(F.lit(ETC_LATE_UNCLE).cast(REWARD))
+        distance = F.when(n <= ETC_ERA_BLOCKS, distance).otherwise(F.lit(ETC_LATE_UNCLE).cast(FACTOR))
     return distance * r

@@ -9,26 +9,40 @@ of re-exploding the nested blocks, the lineage is cut, and a lost executor
 never forces a recompute from the raw scan.  One write job per stage: unlike
 ``DataFrame.checkpoint``, nothing is computed twice.
 
+Staged folders are removed when the ``scope`` around a job ends, after its
+result is written, and otherwise when the process ends.
+
 Set ``daybook.stage=none`` to keep everything in one lazy plan instead
 (``frozen`` tables are always written: their contents must not change).
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark import SparkContext
+from pyspark.sql import DataFrame, SparkSession
 
 from daybook.session import ensure_checkpoint_dir
+from daybook.sources.storage import delete
 
 CONF_KEY = "daybook.stage"
 
+#: Folders not yet removed: (application, path), in the order they were made.
+_staged: list[tuple[str, str]] = []
+
 
 def frozen(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the checkpoint folder and read it back."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/daybook-stage/{uuid.uuid4().hex}"
+    if not _staged:
+        atexit.register(_at_exit)
+    _staged.append((spark.sparkContext.applicationId, path))
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -37,3 +51,30 @@ def stage(df: DataFrame) -> DataFrame:
     if df.sparkSession.conf.get(CONF_KEY, "checkpoint") == "none":
         return df
     return frozen(df)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Remove this application's staged folders, from the ``since``-th on."""
+    own = spark.sparkContext.applicationId
+    gone = [x for x in _staged[since:] if x[0] == own]
+    for _, path in gone:
+        delete(spark, path)
+    _staged[since:] = [x for x in _staged[since:] if x not in gone]
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside once the block ends, its result written."""
+    mark = len(_staged)
+    try:
+        yield
+    finally:
+        release(spark, mark)
+
+
+def _at_exit() -> None:
+    active = SparkContext._active_spark_context
+    session = SparkSession.getActiveSession() if active is not None else None
+    if session is not None:
+        with contextlib.suppress(Exception):  # the JVM may be gone already
+            release(session)

@@ -20,13 +20,12 @@ from daybook.functions import (
 from daybook.functions.units import units_to_double
 from daybook.operators import (
     address_counts,
-    count_rows,
     exact_median,
     exact_medians,
     stitch,
     total_if,
-    unique_addresses,
 )
+from daybook.operators.nesting import n_items
 from daybook.operators.staging import stage
 
 
@@ -61,13 +60,12 @@ def eos_transfers(blocks: DataFrame) -> DataFrame:
 
 
 def eos_stats(blocks: DataFrame) -> DataFrame:
-    b = blocks.select(day_of_seconds("timestamp").alias("date"), "transactions")
-    block_stats = count_rows(b, ["date"], "block_cnt")
-    tx_stats = count_rows(b.select("date", F.explode("transactions")), ["date"], "tx_cnt")
+    b = blocks.select(day_of_seconds("timestamp").alias("date"), n_items("transactions").alias("n"))
+    block_stats = b.groupBy("date").agg(F.count(F.lit(1)).alias("block_cnt"), F.sum("n").alias("tx_cnt"))
     tr = stage(eos_transfers(blocks))
     action_stats = _flow(tr, EOS_SCALE).withColumnRenamed("cnt", "action_cnt")
     med = exact_median(tr, ["date"], units_to_double("units", EOS_SCALE), "med_value", stage_input=False)
-    out = stitch(block_stats, tx_stats, action_stats, med, on="date")
+    out = stitch(block_stats, action_stats, med, on="date")
     return out.select(
         "date", "block_cnt", "tx_cnt", "action_cnt", "value", "med_value", "from_cnt", "to_cnt", "addr_cnt"
     )
@@ -130,15 +128,22 @@ def nem_stats(blocks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("fee"), NEM_SCALE).alias("fees"),
         scale_units(F.sum("units"), NEM_SCALE).alias("value"),
-        F.countDistinct("signer").alias("from_cnt"),
-        F.countDistinct("to").alias("to_cnt"),
     )
     meds = exact_medians(
         t, ["date"], {"med_fees": units_to_double("fee", NEM_SCALE), "med_value": units_to_double("units", NEM_SCALE)},
         stage_input=False,
     )
-    addr = unique_addresses(t, ["date"], ["signer_address", "to"])
-    out = stitch(stats, meds, addr, on="date")
+    # Signer keys, and addresses on either side, distinct in one pass; the two
+    # name spaces are kept apart by a flag.
+    names = F.array(
+        F.struct(F.col("signer").alias("a"), F.lit(1).alias("key"), F.lit(0).alias("t")),
+        F.struct(F.col("signer_address").alias("a"), F.lit(0).alias("key"), F.lit(0).alias("t")),
+        F.struct(F.col("to").alias("a"), F.lit(0).alias("key"), F.lit(1).alias("t")),
+    )
+    per = t.select("date", F.explode(names).alias("s")).where(F.col("s.a").isNotNull())
+    per = per.groupBy("date", F.col("s.key").alias("key"), F.col("s.a").alias("a")).agg(F.max("s.t").alias("t"))
+    seen = per.groupBy("date").agg(F.sum("key").alias("from_cnt"), F.sum("t").cast("long").alias("to_cnt"), F.sum(1 - F.col("key")).alias("addr_cnt"))
+    out = stitch(stats, meds, seen, on="date").fillna(0, ["from_cnt", "to_cnt", "addr_cnt"])
     return out.select("date", "cnt", "fees", "value", "med_fees", "med_value", "from_cnt", "to_cnt", "addr_cnt")
 
 
@@ -147,31 +152,32 @@ def nem_stats(blocks: DataFrame) -> DataFrame:
 WAVES_SCALE = 8
 
 
-def waves_transfers(blocks: DataFrame) -> DataFrame:
-    """Native single (type 4) and mass (type 11) transfers as one relation.
+def waves_transactions(blocks: DataFrame) -> DataFrame:
+    """Native single (type 4) and mass (type 11) transfer transactions: date,
+    from, fee and the list of what they transfer (C19).
 
-    A single transfer becomes a one-element transfer list, so both kinds come
-    out of one scan and one explode instead of a union of two scans.
+    A single transfer becomes a one-element list, so both kinds come out of
+    one scan and one explode instead of a union of two scans.
     """
     tx = blocks.select(F.explode("transactions").alias("tx")).where(
         F.col("tx.type").isin(4, 11) & F.col("tx.assetId").isNull()
     )
     single = F.array(F.struct(F.col("tx.recipient").alias("recipient"), F.col("tx.amount").alias("amount")))
     parts = F.when(F.col("tx.type") == 4, single).otherwise(F.col("tx.transfers"))
-    t = tx.select(day_of_millis("tx.timestamp").alias("date"), F.col("tx.sender").alias("from"), F.explode(parts).alias("p"))
-    return t.select("date", "from", F.col("p.recipient").alias("to"), units("p.amount").alias("units"))
+    return tx.select(
+        day_of_millis("tx.timestamp").alias("date"), F.col("tx.sender").alias("from"), units("tx.fee").alias("fee"), parts.alias("parts")
+    )
 
 
 def waves_stats(blocks: DataFrame) -> DataFrame:
-    tx = blocks.select(F.explode("transactions").alias("tx")).where(
-        F.col("tx.type").isin(4, 11) & F.col("tx.assetId").isNull()
-    )
-    tx = tx.select(day_of_millis("tx.timestamp").alias("date"), units("tx.fee").alias("fee"))
+    tx = stage(waves_transactions(blocks))
     tx_stats = tx.groupBy("date").agg(
         F.count(F.lit(1)).alias("cnt"), scale_units(F.sum("fee"), WAVES_SCALE).alias("fees")
     )
-    med_f = exact_median(tx, ["date"], units_to_double("fee", WAVES_SCALE), "med_fees")
-    tr = stage(waves_transfers(blocks))
+    med_f = exact_median(tx, ["date"], units_to_double("fee", WAVES_SCALE), "med_fees", stage_input=False)
+    tr = tx.select("date", "from", F.explode("parts").alias("p")).select(
+        "date", "from", F.col("p.recipient").alias("to"), units("p.amount").alias("units")
+    )
     tr_stats = tr.groupBy("date").agg(scale_units(F.sum("units"), WAVES_SCALE).alias("value"))
     med_v = exact_median(tr, ["date"], units_to_double("units", WAVES_SCALE), "med_value", stage_input=False)
     addr = address_counts(tr, ["date"], "from", "to")

@@ -13,12 +13,12 @@ from daybook.operators.staging import stage
 def complete_bundles(txs: DataFrame):
     """(entries, bundles): reattachments collapsed per (bundle, index) with a
     per-column MAX (A17, §8 Q16), and bundles holding every index (A18)."""
-    entries = txs.groupBy("bundle", "currentIndex").agg(
+    entries = stage(txs.groupBy("bundle", "currentIndex").agg(
         F.max(seconds_or_millis("timestamp")).alias("timestamp"),
         F.max("value").alias("value"),
         F.max("address").alias("address"),
         F.max("lastIndex").alias("lastIndex"),
-    )
+    ))
     bundles = (
         entries.groupBy("bundle")
         .agg(

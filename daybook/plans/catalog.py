@@ -9,8 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.sources import ledgers as L
+from daybook.sources.exports import GAS_ASSET_HEX, NEO_ASSET_HEX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,8 +91,64 @@ def _sync(spark, d):
     )
 
 
-# Fixture asset ids standing in for GAS and NEO (the fixture ledger uses return flags).
-FIXTURE_NEO_ASSETS = {"gas": "A", "neo": "N"}
+def _published(early, raw, job, clock, fresh_only: bool = False):
+    """Publish the rows before the open days, refresh, return what is published then."""
+    import uuid
+
+    from daybook.session import ensure_checkpoint_dir
+    from daybook.streaming import publish, read_published, refresh_days
+
+    spark = raw.sparkSession
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/daybook-published/{uuid.uuid4().hex}"
+    publish(job(early, None), target)
+    begin = refresh_days(job, raw, target, clock=clock)
+    out = read_published(spark, target)
+    return out.where(F.col("date") >= F.lit(begin)) if fresh_only else out
+
+
+#: Seconds of raw history that the incremental queries leave to the refresh.
+OPEN_SECONDS = 30 * 86400
+
+
+def _split(raw, clock: str):
+    """(raw rows before the open stretch, all raw rows), both read from one stored copy."""
+    from daybook.operators.staging import frozen
+
+    raw = frozen(raw)
+    last = raw.agg(F.max(clock)).first()[0]
+    return raw.where(F.col(clock) < F.lit((last or 0) - OPEN_SECONDS)), raw
+
+
+def _ripple_refreshed(spark, d):
+    from daybook.plans.ledger import ripple_daily
+    from daybook.streaming import Clock
+
+    early, raw = _split(L.ripple_ledgers(spark, d), "closeTime")
+    return _published(early, raw, lambda r, since=None: ripple_daily(r), Clock("closeTime"))
+
+
+def _neo_refreshed(spark, d):
+    from daybook.operators.staging import frozen
+    from daybook.plans.utxo import neo_outputs, neo_stats
+    from daybook.streaming import Clock
+
+    early, raw = _split(L.neo_blocks(spark, d), "time")
+    outputs = frozen(neo_outputs(raw))
+    return _published(early, raw, lambda r, since=None: neo_stats(r, since, outputs), Clock("time"))
+
+
+def _traced_refreshed(spark, d):
+    from daybook.operators.staging import frozen
+    from daybook.plans.ethereum import address_days, contract_days, eth_stats_traced
+    from daybook.streaming import Clock
+
+    early, raw = _split(L.eth_blocks(spark, d), "timestamp")
+    registry, addresses = frozen(contract_days(raw)), frozen(address_days(raw))
+
+    def job(rows, since=None):
+        return eth_stats_traced(rows, "eth", "registry", since, registry, addresses)
+
+    return _published(early, raw, job, Clock("timestamp"), fresh_only=True)
 
 
 def _csv(dataset: str, export: str, where=None, keep=()):
@@ -128,6 +186,9 @@ QUERIES: dict[str, Query] = {
     "eth_stats_traced_registry": _eth("eth_stats_traced", L.eth_blocks, schedule="eth", contracts="registry"),
     "erc20_transfers": _erc20,
     "sync_watermarks": _sync,
+    "ripple_daily_refreshed": _ripple_refreshed,
+    "neo_stats_refreshed": _neo_refreshed,
+    "eth_stats_traced_refreshed": _traced_refreshed,
 }
 
 QUERIES.update(
@@ -138,8 +199,8 @@ QUERIES.update(
         "csv_iota": _csv("iota_stats", "iota"),
         "csv_monero": _csv("monero_stats", "monero"),
         "csv_nem": _csv("nem_stats", "nem"),
-        "csv_neo_gas": _csv("neo_stats", "neo", where=f"asset = '{FIXTURE_NEO_ASSETS['gas']}'"),
-        "csv_neo_neo": _csv("neo_stats", "neo", where=f"asset = '{FIXTURE_NEO_ASSETS['neo']}'"),
+        "csv_neo_gas": _csv("neo_stats", "neo", where=f"hex(asset) = '{GAS_ASSET_HEX.upper()}'"),
+        "csv_neo_neo": _csv("neo_stats", "neo", where=f"hex(asset) = '{NEO_ASSET_HEX.upper()}'"),
         "csv_lisk": _csv("lisk_stats", "lisk"),
         "csv_eos": _csv("eos_stats", "eos"),
         "csv_waves": _csv("waves_stats", "waves"),

@@ -10,17 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from daybook.functions import day_of_seconds, scale_units, uint256_be, units
+from daybook.functions import day_of_seconds, epoch_seconds, scale_units, units
+from daybook.functions import wide
 from daybook.functions.units import units_to_double
 from daybook.operators import (
     address_counts,
-    broadcast_if_small,
+    exact_avg,
     exact_median,
     exact_medians,
     ratio,
     stitch,
     total_if,
-    unique_addresses,
 )
 from daybook.operators.flows import short_lived_addresses
 from daybook.operators.staging import stage
@@ -83,10 +83,42 @@ def eth_contracts(blocks: DataFrame, actions: DataFrame | None = None) -> DataFr
 
 
 def _short_rows(tx: DataFrame, receiver) -> DataFrame:
-    """Balance-change rows: receivers +value, senders −(value + fee)."""
-    recv = tx.select("time", receiver.alias("address"), F.col("value"))
-    send = tx.select("time", F.col("from").alias("address"), (-(F.col("value") + F.col("fee"))).alias("value"))
-    return recv.unionByName(send)
+    """Balance-change rows: receivers +value, senders −(value + fee), from one scan."""
+    sides = F.array(
+        F.struct(receiver.alias("address"), F.col("value").alias("value")),
+        F.struct(F.col("from").alias("address"), units(-(F.col("value") + F.col("fee"))).alias("value")),
+    )
+    return tx.select("time", "date", F.explode(sides).alias("_s")).select("time", "date", "_s.address", "_s.value")
+
+
+def address_days(blocks: DataFrame) -> DataFrame:
+    """Per-day activity of each address, the mergeable state behind D07:
+    date, address, cnt, positive_value, net, min_time, max_time."""
+    rows = _short_rows(tx_units(blocks), F.col("to")).where(F.col("address").isNotNull())
+    return rows.groupBy("date", "address").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.sum(F.greatest(F.col("value"), F.lit(0))).alias("positive_value"),
+        F.sum("value").alias("net"),
+        F.min("time").alias("min_time"),
+        F.max("time").alias("max_time"),
+    )
+
+
+def short_addresses_of_days(days: DataFrame, since=None) -> DataFrame:
+    """Short-lived addresses out of ``address_days``; with ``since`` only those
+    first seen from that day on, which have no earlier day."""
+    open_days = days if since is None else days.where(F.col("date") >= F.lit(since))
+    g = open_days.groupBy("address").agg(
+        F.sum("cnt").alias("cnt"),
+        F.sum("positive_value").alias("positive_value"),
+        F.min("min_time").alias("min_time"),
+        F.max("max_time").alias("_max_time"),
+        F.sum("net").alias("_net"),
+    )
+    g = g.where((F.col("_net") == 0) & (F.col("_max_time") - F.col("min_time") <= F.lit(SHORT_SPAN)))
+    if since is not None:
+        g = g.join(days.where(F.col("date") < F.lit(since)).select("address"), "address", "left_anti")
+    return g.select("address", "cnt", "positive_value", "min_time", day_of_seconds("min_time").alias("min_date"))
 
 
 def short_addresses_units(blocks: DataFrame, tx: DataFrame | None = None) -> DataFrame:
@@ -99,9 +131,13 @@ def short_addresses_units(blocks: DataFrame, tx: DataFrame | None = None) -> Dat
 
 def eth_short_addrs(blocks: DataFrame) -> DataFrame:
     """Short-lived address registry (D07): zero net balance within a day."""
-    s = short_addresses_units(blocks)
-    return s.select("address", "cnt", scale_units("positive_value", ETH_SCALE).alias("positive_value"),
-                    "min_time", "min_date")
+    return in_coins(short_addresses_units(blocks))
+
+
+def in_coins(short: DataFrame) -> DataFrame:
+    """A short-address registry with its value in coins."""
+    return short.select("address", "cnt", scale_units("positive_value", ETH_SCALE).alias("positive_value"),
+                        "min_time", "min_date")
 
 
 def eth_short_tx(blocks: DataFrame) -> DataFrame:
@@ -124,7 +160,7 @@ def _block_stats(blocks: DataFrame, schedule: str):
         "uncles",
     )
     stats = b.groupBy("date").agg(
-        F.avg(F.col("difficulty").cast("double")).alias("avg_difficulty"),
+        exact_avg("difficulty").alias("avg_difficulty"),
         ratio(F.sum("size"), F.sum("tx_cnt")).alias("avg_tx_size"),
         F.count(F.lit(1)).alias("block_cnt"),
         F.sum("size").alias("sum_size"),
@@ -162,8 +198,9 @@ def etc_stats(blocks: DataFrame) -> DataFrame:
     tx = stage(tx_units(blocks))
     contracts = tx.where(F.col("contractAddress").isNotNull()).select(F.col("contractAddress").alias("to")).distinct()
     # Payments are transactions to an address no transaction created.
-    payments = tx.where(F.col("to").isNotNull()).join(contracts, "to", "left_anti")
-    pay = payments.groupBy("date").agg(F.count(F.lit(1)).alias("payment_cnt"))
+    # One row per (day, receiver) meets the set, however popular a receiver is.
+    received = tx.where(F.col("to").isNotNull()).groupBy("date", "to").agg(F.count(F.lit(1)).alias("n"))
+    pay = received.join(contracts, "to", "left_anti").groupBy("date").agg(F.sum("n").alias("payment_cnt"))
     out = stitch(_block_stats(blocks, "etc"), _tx_stats(tx), pay, on="date")
     return out.select(
         "date", "tx_cnt", "payment_cnt", "sum_value", "med_value", "avg_difficulty", "avg_tx_size", "sum_fee",
@@ -179,41 +216,51 @@ TRACED_COLUMNS = [
 ]
 
 
-def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str = "created", since=None) -> DataFrame:
+def contract_days(blocks: DataFrame) -> DataFrame:
+    """Created contracts by day: date, address (the stored form of D06)."""
+    a = action_units(blocks)
+    return a.where((F.col("type") == 1) & F.col("to").isNotNull()).select("date", F.col("to").alias("address")).distinct()
+
+
+def eth_stats_traced(
+    blocks: DataFrame,
+    schedule: str = "eth",
+    contracts: str = "created",
+    since=None,
+    contract_registry: DataFrame | None = None,
+    addresses: DataFrame | None = None,
+) -> DataFrame:
     """Traced daily statistics, 28 columns.
 
     ``contracts='created'``: a contract is an address some transaction created
     (full build); ``'registry'``: the registry of accounted create actions,
     as the incremental build uses (§8 Q7).  With ``since`` only days from
-    ``since`` on are computed; the contract and short-address registries
-    still cover all history.
+    ``since`` on are computed; ``contract_registry`` (address) and
+    ``addresses`` (``address_days``) then stand for all history, so that
+    ``blocks`` need only hold the open days.
     """
-    history = blocks
     if since is not None:
-        blocks = blocks.where(day_of_seconds("timestamp") >= F.lit(since))
+        blocks = blocks.where(F.col("timestamp") >= F.lit(epoch_seconds(since)))
     tx = stage(tx_units(blocks))
     act = stage(action_units(blocks))
-    # All-history tables: the staged ones when every day is computed.
-    all_tx = tx if since is None else tx_units(history)
-    all_act = act if since is None else action_units(history)
     if contracts == "created":
-        cset = all_tx.where(F.col("contractAddress").isNotNull()).select(F.col("contractAddress").alias("address"))
+        cset = tx.where(F.col("contractAddress").isNotNull()).select(F.col("contractAddress").alias("address"))
     elif contracts == "registry":
-        cset = eth_contracts(history, all_act)
+        cset = eth_contracts(blocks, act) if contract_registry is None else contract_registry.select("address")
     else:
         raise ValueError(contracts)
-    # J9 against a distinct set; creating transactions (to NULL) skip the join.
+    # One row per (day, receiver) meets the contract set (J9), however popular
+    # a contract is; creating transactions have no receiver and match nothing.
     flags = cset.distinct().select(F.col("address").alias("to"), F.lit(True).alias("_contract"))
-    created = tx.where(F.col("to").isNull()).withColumn("_contract", F.lit(None).cast("boolean"))
-    calls = tx.where(F.col("to").isNotNull()).join(flags, "to", "left")
-    t = calls.unionByName(created)
+    received = tx.groupBy("date", "to").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
+    t = received.join(flags, "to", "left")
     is_pay = F.col("to").isNotNull() & F.col("_contract").isNull()
     is_call = F.col("to").isNotNull() & F.col("_contract").isNotNull()
     is_create = F.col("to").isNull()
     pay = t.groupBy("date").agg(
-        total_if(is_pay).alias("payment_cnt"),
-        total_if(is_call).alias("contract_cnt"),
-        total_if(is_create).alias("create_contract_cnt"),
+        total_if(is_pay, "n").alias("payment_cnt"),
+        total_if(is_call, "n").alias("contract_cnt"),
+        total_if(is_create, "n").alias("create_contract_cnt"),
         scale_units(total_if(is_pay, "value"), ETH_SCALE).alias("payment_value"),
         scale_units(total_if(is_call, "value"), ETH_SCALE).alias("contract_value"),
         scale_units(total_if(is_create, "value"), ETH_SCALE).alias("create_contract_value"),
@@ -224,9 +271,7 @@ def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str =
     )
     med_a = exact_median(act, ["date"], units_to_double("value", ETH_SCALE), "med_action_value", stage_input=False)
     addr_a = address_counts(act, ["date"], "from", "to", ("action_from_cnt", "action_to_cnt", "addr_action_cnt"))
-    registry = short_addresses_units(history, all_tx)
-    if since is not None:
-        registry = registry.where(F.col("min_date") >= F.lit(since))
+    registry = short_addresses_units(blocks, tx) if addresses is None else short_addresses_of_days(addresses, since)
     short = registry.groupBy(F.col("min_date").alias("date")).agg(
         F.sum("cnt").alias("short_cnt"), scale_units(F.sum("positive_value"), ETH_SCALE).alias("short_value")
     )
@@ -235,63 +280,96 @@ def eth_stats_traced(blocks: DataFrame, schedule: str = "eth", contracts: str =
 
 
 # ------------------------------------------------------------------ ERC20
-def _pow10():
-    """10^0 … 10^38 as exact double literals, indexed by decimals + 1."""
-    return F.array(*[F.lit(float(10**i)) for i in range(0, 39)])
+def _limb_names(prefix: str, size: int) -> list[str]:
+    return [f"{prefix}{k}" for k in range(size)]
+
 
+AMOUNT = _limb_names("a", wide.AMOUNT_LIMBS)
 
 
 def erc20_transfer_rows(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Transfer logs of listed tokens: date, symbol, from, to, units, value.
+    """Transfer logs of listed tokens: date, symbol, from, to and the exact
+    amount in 10^-18 coins as limbs a0..a5 (C16).
 
-    ``tokens`` is the token dimension (a list of a few dozen rows); it is
-    broadcast after a row-count check.
+    An amount is NULL where the log's data is not 1 to 32 bytes long; those
+    transfers are counted in ``malformed_cnt``.
     """
     logs = blocks.select(day_of_seconds("timestamp").alias("date"), F.explode("transactions").alias("tx"))
     logs = logs.select("date", F.explode("tx.logs").alias("log"))
     logs = logs.where(F.get(F.col("log.topics"), 0) == F.unhex(F.lit(TRANSFER_TOPIC)))
-    tok = broadcast_if_small(tokens.select("contractAddress", "symbol", "decimals"))
+    tok = tokens.select("contractAddress", "symbol", "decimals")
     j = logs.join(tok, logs["log.address"] == tok["contractAddress"])
-    raw = uint256_be("log.data")
-    value = F.concat(raw.cast("string"), F.lit("E-"), F.col("decimals").cast("string")).try_cast(DecimalType(38, 18))
-    return j.select(
+    raw = wide.uint256_limbs(F.col("log.data"))
+    j = j.select(
         "date",
         "symbol",
         F.substring(F.get(F.col("log.topics"), 1), 13, 20).alias("from"),
         F.substring(F.get(F.col("log.topics"), 2), 13, 20).alias("to"),
-        raw.alias("units"),
         "decimals",
-        value.alias("value"),
+        *[c.alias(f"r{k}") for k, c in enumerate(raw)],
     )
+    scaled = wide.scaled_limbs([F.col(f"r{k}") for k in range(len(raw))], F.col("decimals"))
+    return j.select("date", "symbol", "from", "to", *[c.alias(n) for n, c in zip(AMOUNT, scaled)])
 
 
 def erc20_transfers(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
     """Per day and symbol (D03): counts, volume, largest transfer and the
-    largest per-sender and per-receiver day totals (C17).  Amounts of 10^38
-    raw units or more do not fit decimal(38) and count with a NULL value
-    (§8 Q3)."""
+    largest per-sender and per-receiver day totals (C17).
+
+    Amounts are exact for each uint256.  ``*_text`` columns hold all digits;
+    their decimal(38,18) twins are NULL from 10^20 coins on, and
+    ``overflow_cnt`` counts transfers that large.
+    """
     t = stage(erc20_transfer_rows(blocks, tokens))
     keys = ["symbol", "date"]
-    dbl = F.when(
-        F.abs(F.col("units")) < F.lit(2**53), F.col("units").cast("double") / F.element_at(_pow10(), F.col("decimals") + 1)
-    ).otherwise(F.col("value").cast("double"))
+    amount = [F.col(n) for n in AMOUNT]
+    large = F.when(wide.beyond_decimal(amount), 1)
     stats = t.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("cnt"), F.sum("value").alias("value"), F.max("value").alias("max_value")
+        F.count(F.lit(1)).alias("cnt"),
+        F.count(large).alias("overflow_cnt"),
+        F.count(F.when(F.col("a0").isNull(), 1)).alias("malformed_cnt"),
+        F.max(wide.ranked(amount)).alias("_max"),
+        *[F.sum(units(n)).alias(f"_s{k}") for k, n in enumerate(AMOUNT)],
     )
-    med = exact_median(t, keys, dbl, "med_value", stage_input=False)
+    med = exact_median(t, keys, wide.coins_double(amount), "med_value", stage_input=False)
     # The maximum of a per-address window sum is a max over a group-by.
-    # The same per-address groups give the distinct sender / receiver counts
-    # (a NULL address forms a group that count() skips), so no separate
-    # distinct aggregation is needed.
-    by_from = t.groupBy(*keys, "from").agg(F.sum("value").alias("s")).groupBy(*keys).agg(
-        F.max("s").alias("max_sum_from_value"), F.count("from").alias("from_cnt")
+    # One pass over (address, side) rows gives these sums and the distinct
+    # sender, receiver and either-side counts (C1); a NULL address is a group
+    # of its own for the sums, as in a window, and is not counted.
+    sides = F.explode(F.array(F.struct(F.col("from").alias("a"), F.lit(1).alias("f")), F.struct(F.col("to").alias("a"), F.lit(0).alias("f"))))
+    rows = t.select(*keys, *AMOUNT, sides.alias("_s")).select(*keys, *AMOUNT, "_s.a", "_s.f")
+    sent = F.col("f") == 1
+    per = rows.groupBy(*keys, "a").agg(
+        F.max("f").alias("f"),
+        F.max(1 - F.col("f")).alias("t"),
+        *[F.sum(F.when(sent, units(n))).alias(f"f{k}") for k, n in enumerate(AMOUNT)],
+        *[F.sum(F.when(~sent, units(n))).alias(f"t{k}") for k, n in enumerate(AMOUNT)],
     )
-    by_to = t.groupBy(*keys, "to").agg(F.sum("value").alias("s")).groupBy(*keys).agg(
-        F.max("s").alias("max_sum_to_value"), F.count("to").alias("to_cnt")
-    )
-    addr = unique_addresses(t, keys, ["from", "to"])
-    out = stitch(stats, med, by_from, by_to, addr, on=keys)
-    return out.select(
-        "symbol", "date", "cnt", "value", "max_value", "med_value", "max_sum_from_value", "max_sum_to_value",
-        "from_cnt", "to_cnt", "addr_cnt",
+    known = F.col("a").isNotNull()
+
+    def total(prefix: str, to: str):
+        limbs = wide.carried([F.col(f"{prefix}{k}") for k in range(wide.AMOUNT_LIMBS)], wide.SUM_LIMBS)
+        return [c.alias(f"{to}{k}") for k, c in enumerate(limbs)]
+
+    def number(prefix: str):
+        return [F.col(f"{prefix}{k}") for k in range(wide.SUM_LIMBS)]
+
+    per = per.select(*keys, "a", "f", "t", *total("f", "F"), *total("t", "T"))
+    addr = per.groupBy(*keys).agg(
+        F.max(wide.ranked(number("F"))).alias("_from"),
+        F.max(wide.ranked(number("T"))).alias("_to"),
+        F.sum(F.when(known, F.col("f")).otherwise(0)).cast("long").alias("from_cnt"),
+        F.sum(F.when(known, F.col("t")).otherwise(0)).cast("long").alias("to_cnt"),
+        F.count("a").alias("addr_cnt"),
     )
+    counts = ["cnt", "med_value", "from_cnt", "to_cnt", "addr_cnt", "overflow_cnt", "malformed_cnt"]
+    out = stitch(stats, med, addr, on=keys).select(*keys, *counts, "_max", "_from", "_to", *total("_s", "V"))
+    exact = {
+        "value": number("V"),
+        "max_value": wide.unranked(F.col("_max"), wide.AMOUNT_LIMBS),
+        "max_sum_from_value": wide.unranked(F.col("_from"), wide.SUM_LIMBS),
+        "max_sum_to_value": wide.unranked(F.col("_to"), wide.SUM_LIMBS),
+    }
+    out = out.select(*keys, *counts, *[wide.coins_text(limbs).alias(f"{name}_text") for name, limbs in exact.items()])
+    both = [c for name in exact for c in (wide.fits_decimal(F.col(f"{name}_text")).alias(name), F.col(f"{name}_text"))]
+    return out.select("symbol", "date", "cnt", *both, *counts[1:])

@@ -73,21 +73,28 @@ def ripple_daily(ledgers: DataFrame) -> DataFrame:
     transactions for fees and addresses, XRP payments for volume, gaps inside
     each day only.  ``refresh_days`` applies it to open days."""
     t = _ripple_tx(ledgers).withColumnRenamed("ledger_date", "date")
-    ok = stage(t.where(F.col("tx.result") == "tesSUCCESS").select(
-        "date", units("tx.fee").alias("fee"), F.col("tx.account").alias("from"), F.col("tx.destination").alias("to")
+    tx = stage(t.select(
+        "date",
+        (F.col("tx.result") == "tesSUCCESS").alias("ok"),
+        F.col("tx.type").isNull().alias("missing"),
+        _is_xrp_payment().alias("pays"),
+        units("tx.fee").alias("fee"),
+        units("tx.amount").alias("amount"),
+        F.col("tx.account").alias("from"),
+        F.col("tx.destination").alias("to"),
     ))
+    ok, pay = tx.where("ok"), tx.where("pays")
     tx_stats = ok.groupBy("date").agg(
         F.count(F.lit(1)).alias("cnt"), scale_units(F.sum("fee"), RIPPLE_SCALE).alias("fee")
     )
     med_fee = exact_median(ok, ["date"], units_to_double("fee", RIPPLE_SCALE), "med_fee", stage_input=False)
-    pay = t.where(_is_xrp_payment()).select("date", units("tx.amount").alias("amount"))
     pay_stats = pay.groupBy("date").agg(
         F.count(F.lit(1)).alias("payment_cnt"), scale_units(F.sum("amount"), RIPPLE_SCALE).alias("payment_value")
     )
-    med_pay = exact_median(pay, ["date"], units_to_double("amount", RIPPLE_SCALE), "med_payment_value")
+    med_pay = exact_median(pay, ["date"], units_to_double("amount", RIPPLE_SCALE), "med_payment_value", stage_input=False)
     addr = address_counts(ok, ["date"], "from", "to")
     blocks = missing_in_day(ledgers.select("index", day_of_seconds("closeTime").alias("date")))
-    missing_tx = t.where(F.col("tx.type").isNull()).groupBy("date").agg(F.count(F.lit(1)).alias("missing_cnt"))
+    missing_tx = tx.where("missing").groupBy("date").agg(F.count(F.lit(1)).alias("missing_cnt"))
     out = stitch(tx_stats, med_fee, addr, pay_stats, med_pay, blocks, missing_tx, on="date")
     return out.select(
         "date", "cnt", "fee", "med_fee", "from_cnt", "to_cnt", "addr_cnt", "payment_cnt", "payment_value",

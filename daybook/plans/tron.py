@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.functions import day_of_millis, scale_units, units
 from daybook.functions.units import units_to_double
 from daybook.operators import address_counts, exact_median, stitch
+from daybook.operators.nesting import n_items
 from daybook.operators.staging import stage
 
 # Tron sun per TRX (10^-6).
@@ -32,16 +33,15 @@ def tron_stats(blocks: DataFrame) -> DataFrame:
     The day comes from the blocks side (§8 Q11), so days without transactions
     still carry their date.
     """
-    b = blocks.where(F.col("number") > 0).select(day_of_millis("timestamp").alias("date"), "transactions")
-    block_stats = b.groupBy("date").agg(F.count(F.lit(1)).alias("block_cnt"))
-    tx_stats = b.select("date", F.explode("transactions")).groupBy("date").agg(F.count(F.lit(1)).alias("tx_cnt"))
+    b = blocks.where(F.col("number") > 0).select(day_of_millis("timestamp").alias("date"), n_items("transactions").alias("n"))
+    block_stats = b.groupBy("date").agg(F.count(F.lit(1)).alias("block_cnt"), F.sum("n").alias("tx_cnt"))
     pays = stage(tron_payments(blocks))
     pay_stats = pays.groupBy("date").agg(
         F.count(F.lit(1)).alias("payment_cnt"), scale_units(F.sum("units"), SCALE).alias("value")
     )
     med = exact_median(pays, ["date"], units_to_double("units", SCALE), "med_value", stage_input=False)
     addr = address_counts(pays, ["date"], "from", "to")
-    out = stitch(block_stats, tx_stats, pay_stats, med, addr, on="date")
+    out = stitch(block_stats, pay_stats, med, addr, on="date")
     return out.select(
         "date", "block_cnt", "tx_cnt", "payment_cnt", "value", "med_value", "from_cnt", "to_cnt", "addr_cnt"
     )

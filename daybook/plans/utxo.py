@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import day_of_seconds, scale_units, units
+from daybook.functions import day_of_seconds, epoch_seconds, scale_units, units
 from daybook.functions.units import units_to_double
-from daybook.operators import exact_median, exact_medians, stitch, unique_addresses
+from daybook.operators import exact_avg, exact_median, exact_medians, stitch
 from daybook.operators.staging import stage
 from daybook.operators.flows import (
     net_by_tx_address,
@@ -31,19 +31,19 @@ def cardano_stats(blocks: DataFrame) -> DataFrame:
         F.col("tx.outputs").alias("outputs"),
     )
     tp = stage(signed_rows(tx, "inputs", "outputs", ["txid", "time", "date"]))
-    short = short_lived_addresses(tp, CARDANO_SHORT_SPAN).select("address", F.lit(True).alias("_short"))
-    txio = net_by_tx_address(tp, ["txid", "address"])
-    # Membership flag by left join to a distinct address set.
-    txio = txio.join(short, "address", "left")
+    short = short_lived_addresses(tp, CARDANO_SHORT_SPAN).select("address")
+    txio = stage(net_by_tx_address(tp, ["txid", "address"]))
     positive = F.greatest(F.col("value"), F.lit(0))
     txq = txio.groupBy("txid").agg(
         (-F.sum("value")).alias("fees"),
         F.sum(positive).alias("volume"),
-        F.sum(F.when(F.col("_short"), positive)).alias("short_volume"),
         payment_count(F.sum("output_cnt")).alias("payment_cnt"),
     )
+    # Short-lived addresses are few; only their rows are looked up, and
+    # what they add up to is attached by transaction.
+    short_tx = txio.join(short, "address").groupBy("txid").agg(F.sum(positive).alias("short_volume"))
     # Each transaction to its own aggregate (txids are unique).
-    per_tx = stage(tx.select("txid", "date").join(txq, "txid"))
+    per_tx = stage(tx.select("txid", "date").join(txq, "txid").join(short_tx, "txid", "left"))
     txs = per_tx.groupBy("date").agg(
         F.count(F.lit(1)).alias("cnt"),
         scale_units(F.sum("fees"), CARDANO_SCALE).alias("fees"),
@@ -100,7 +100,7 @@ def monero_stats(blocks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("block_cnt"),
         F.sum("size").alias("block_size"),
         scale_units(F.sum("reward"), MONERO_SCALE).alias("reward"),
-        F.avg(F.col("difficulty").cast("double")).alias("avg_difficulty"),
+        exact_avg("difficulty").alias("avg_difficulty"),
     )
     tx = b.select("date", "height", F.explode("transactions").alias("tx")).select(
         "date",
@@ -152,26 +152,27 @@ def neo_inputs(blocks: DataFrame, outputs: DataFrame) -> DataFrame:
     return spent.select("date", "blk", "txid", "fee", "asset", (-F.col("value")).alias("value"), "address")
 
 
-def neo_stats(blocks: DataFrame, since=None) -> DataFrame:
+def neo_stats(blocks: DataFrame, since=None, outputs: DataFrame | None = None) -> DataFrame:
     """Per day and asset (D18, D19).  ``cnt`` counts (tx, address) rows and
     fees repeat per row (§8 Q9); a (day, asset) without inputs is dropped by
     the inner joins (§8 Q10).
 
-    With ``since`` only days from ``since`` on are computed, but inputs are
-    still valued through outputs of any earlier day (the incremental build).
+    With ``since`` only days from ``since`` on are computed; ``outputs`` (the
+    stored ``neo_outputs`` of all days) then values their inputs, so that
+    ``blocks`` need only hold the open days.
     """
-    history = stage(neo_outputs(blocks))
-    if since is None:
-        txo, open_blocks = history, blocks
-    else:
-        open_blocks = blocks.where(day_of_seconds("time") >= F.lit(since))
-        txo = history.where(F.col("date") >= F.lit(since))
-    txi = stage(neo_inputs(open_blocks, history))
+    if since is not None:
+        blocks = blocks.where(F.col("time") >= F.lit(epoch_seconds(since)))
+    history = stage(neo_outputs(blocks)) if outputs is None else outputs
+    txo = history if since is None else history.where(F.col("date") >= F.lit(since))
+    txi = stage(neo_inputs(blocks, history))
     cols = ["date", "blk", "txid", "fee", "asset", "value", "address"]
-    both = txi.select(*cols).unionByName(txo.select(*cols))
+    both = txi.select(*cols, F.lit(1).alias("is_in")).unionByName(txo.select(*cols, F.lit(0).alias("is_in")))
     txio = stage(
         both.groupBy("date", "blk", "txid", "fee", "asset", "address").agg(
-            F.greatest(F.sum("value"), F.lit(0)).alias("value")
+            F.greatest(F.sum("value"), F.lit(0)).alias("value"),
+            F.max("is_in").alias("f"),
+            F.max(1 - F.col("is_in")).alias("t"),
         )
     )
     keys = ["date", "asset"]
@@ -179,9 +180,21 @@ def neo_stats(blocks: DataFrame, since=None) -> DataFrame:
         F.count(F.lit(1)).alias("cnt"), F.sum("fee").alias("fees"), F.sum("value").alias("value")
     )
     meds = exact_medians(txio, keys, {"med_fees": F.col("fee"), "med_value": F.col("value")}, stage_input=False)
-    ins = txi.groupBy(*keys).agg(F.countDistinct("address").alias("from_cnt"))
-    outs = txo.groupBy(*keys).agg(F.countDistinct("address").alias("to_cnt"))
-    addr = unique_addresses(both.select(*keys, "address"), keys, ["address"])
+    # Input, output and either-side addresses in one (day, asset, address) pass.
+    known = F.col("address").isNotNull()
+    sides = (
+        txio.groupBy(*keys, "address")
+        .agg(F.max("f").alias("f"), F.max("t").alias("t"))
+        .groupBy(*keys)
+        .agg(
+            F.sum(F.when(known, F.col("f")).otherwise(0)).cast("long").alias("from_cnt"),
+            F.sum(F.when(known, F.col("t")).otherwise(0)).cast("long").alias("to_cnt"),
+            F.count("address").alias("addr_cnt"),
+            F.max("f").alias("_f"),
+            F.max("t").alias("_t"),
+        )
+        .where("_f = 1 AND _t = 1")
+    )
     out = stitch(stats, meds, on=keys)
-    out = stitch(out, ins, outs, addr, on=keys, how="inner")
+    out = stitch(out, sides, on=keys, how="inner")
     return out.select("date", "asset", "cnt", "fees", "med_fees", "value", "med_value", "from_cnt", "to_cnt", "addr_cnt")

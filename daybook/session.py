@@ -8,6 +8,7 @@ timestamp shown to a user reads the same everywhere.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,7 +67,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # one process; local-cluster has several
         raise RuntimeError(
             "spark.checkpoint.dir is not set: give the cluster's shared checkpoint folder "
             "(a machine-local folder would not survive the loss of an executor)"

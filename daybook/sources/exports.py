@@ -47,8 +47,8 @@ EXPORTS: dict[str, list[tuple[str, str]]] = {
                   ("create_contract_value", "createContractVolume"), ("action_cnt", "actionCount"),
                   ("sum_action_value", "actionVolume"), ("short_cnt", "shortTxCount"),
                   ("short_value", "shortTxValue")],
-    "erc20": [("cnt", "txCount"), ("value", "txVolume"), ("max_value", "maxOneTxVolume"),
-              ("max_sum_from_value", "maxAddrSumFromValue"), ("max_sum_to_value", "maxAddrSumToValue"),
+    "erc20": [("cnt", "txCount"), ("value_text", "txVolume"), ("max_value_text", "maxOneTxVolume"),
+              ("max_sum_from_value_text", "maxAddrSumFromValue"), ("max_sum_to_value_text", "maxAddrSumToValue"),
               *COMMON_ADDR, ("med_value", "medTxVolume")],
 }
 

@@ -25,6 +25,7 @@ from pyspark.sql.types import DecimalType
 
 from daybook.functions.clock import floor_div
 from daybook.sources import tokens as token_list
+from daybook.sources.exports import GAS_ASSET_HEX, NEO_ASSET_HEX
 
 DAY0_UNIX_DATE = 9131  # 1995-01-01
 DAY0_EPOCH = DAY0_UNIX_DATE * 86400
@@ -44,30 +45,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Orders per block split: a (day, slot) block holds every order of that day
-# and slot, which grows with the table; past this many orders the block is
-# split into M sub-blocks so that a block stays a few hundred transactions.
-ORDERS_PER_SPLIT = 4_000_000
-
-
-_SPLITS: dict[str, int] = {}
-
-
-def block_split(spark: SparkSession, sf_dir: str) -> int:
-    """M = max(1, orders // 4,000,000); a row count read from parquet footers."""
-    if sf_dir not in _SPLITS:
-        _SPLITS[sf_dir] = max(1, _read(spark, sf_dir, "orders").count() // ORDERS_PER_SPLIT)
-    return _SPLITS[sf_dir]
-
-
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with the account-ledger fields.
 
-    Block number is ((days since 1995-01-01) × 4 + k % 4) × M + (k div 4) % M;
-    with M = 1 (up to 4 million orders) that is the FIXTURES.md rule.
+    Block number is (days since 1995-01-01) × 4 + k % 4 at every size.
     """
     o = _read(spark, sf_dir, "orders")
-    m = block_split(spark, sf_dir)
     k = F.col("o_orderkey")
     unix_day = F.unix_date(F.to_date("o_orderdate")).cast("long")
     return o.select(
@@ -77,7 +60,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("o_totalprice") * 100).cast("long").alias("val"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("prio"),
-        (((unix_day - DAY0_UNIX_DATE) * 4 + k % 4) * m + (k / 4).cast("long") % m).alias("num"),
+        ((unix_day - DAY0_UNIX_DATE) * 4 + k % 4).alias("num"),
         (unix_day * 86400 + (k % 4) * 21600).alias("btime"),
     )
 
@@ -330,8 +313,10 @@ NEO_VALUE = DecimalType(38, 8)
 
 def neo_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     outs, ins = _utxo_parts(spark, sf_dir)
+    # Return flag N pays in NEO and A in GAS, under their ids on the chain; R in a third asset.
+    asset = F.when(F.col("flag") == "N", F.lit(NEO_ASSET_HEX)).when(F.col("flag") == "A", F.lit(GAS_ASSET_HEX)).otherwise(F.lit("ab" * 32))
     vout = F.struct(
-        F.col("flag").alias("asset"),
+        F.unhex(asset).alias("asset"),
         (F.col("amt").cast(NEO_VALUE) / 100).cast(NEO_VALUE).alias("value"),
         F.concat(F.lit("A"), F.col("address").cast("string")).alias("address"),
     )
@@ -347,7 +332,7 @@ def neo_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
             ((F.col("k") % 50 + 1).cast(NEO_VALUE) / 1000).cast(NEO_VALUE).alias("net_fee"),
             F.coalesce("vin", F.array().cast("array<struct<txid:bigint,vout:int>>")).alias("vin"),
             F.coalesce(
-                "vout", F.array().cast("array<struct<asset:string,value:decimal(38,8),address:string>>")
+                "vout", F.array().cast("array<struct<asset:binary,value:decimal(38,8),address:string>>")
             ).alias("vout"),
         ).alias("tx"),
     )

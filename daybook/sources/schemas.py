@@ -15,21 +15,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
-_ETH_TX = {"from": None, "to": None, "contractAddress": None, "value": None, "gasUsed": None, "gasPrice": None}
-_ETH_BLOCK = {"number": None, "timestamp": None, "difficulty": None, "size": None, "uncles": None}
+def _all(*names: str) -> dict:
+    return dict.fromkeys(names)
+
+
+_ETH_TX = _all("from", "to", "contractAddress", "value", "gasUsed", "gasPrice")
+_ETH_ACTIONS = {"actions": _all("from", "to", "value", "type", "accounted")}
+_ETH_BLOCK = {**_all("number", "timestamp", "difficulty", "size"), "uncles": _all("number")}
+_UTXO_ITEM = _all("address", "value")
+_RIPPLE_TX = _all("date", "type", "result", "account", "destination", "currency", "amount", "fee")
+_STELLAR_OP = {**_all("type", "sourceAccount", "destination", "amount", "startingBalance"), "asset": _all("assetCode")}
 
 FIELDS: dict[str, dict] = {
-    "eth_stats_traced": {**_ETH_BLOCK, "transactions": {**_ETH_TX, "actions": None}},
+    "eth_stats_traced": {**_ETH_BLOCK, "transactions": {**_ETH_TX, **_ETH_ACTIONS}},
     "etc_stats": {**_ETH_BLOCK, "transactions": _ETH_TX},
     "eth_tx": {"timestamp": None, "transactions": _ETH_TX},
     "eth_short_addrs": {"timestamp": None, "transactions": _ETH_TX},
     "eth_short_tx": {"timestamp": None, "transactions": _ETH_TX},
-    "eth_actions": {"timestamp": None, "transactions": {"actions": None}},
-    "eth_contracts": {"timestamp": None, "transactions": {"actions": None}},
-    "erc20_transfers": {"timestamp": None, "transactions": {"logs": None}},
+    "eth_actions": {"timestamp": None, "transactions": _ETH_ACTIONS},
+    "eth_contracts": {"timestamp": None, "transactions": _ETH_ACTIONS},
+    "erc20_transfers": {"timestamp": None, "transactions": {"logs": _all("address", "data", "topics")}},
     "monero_stats": {
-        "timestamp": None, "height": None, "size": None, "reward": None, "difficulty": None,
-        "transactions": {"fee": None, "vin": None, "vout": None},
+        **_all("timestamp", "height", "size", "reward", "difficulty"),
+        "transactions": {"fee": None, "vin": _all("amount"), "vout": _all("amount")},
+    },
+    "cardano_stats": {"timeIssued": None, "transactions": {**_all("id", "timeIssued"), "inputs": _UTXO_ITEM, "outputs": _UTXO_ITEM}},
+    "neo_stats": {
+        **_all("time", "index"),
+        "tx": {**_all("txid", "sys_fee", "net_fee"), "vin": _all("txid", "vout"), "vout": _all("asset", "value", "address")},
+    },
+    "iota_stats": _all("bundle", "currentIndex", "lastIndex", "timestamp", "value", "address"),
+    "eos_stats": {"timestamp": None, "transactions": {"status": None, "actions": _all("account", "name", "data")}},
+    "lisk_stats": _all("timestamp", "type", "amount", "fee", "senderId", "recipientId"),
+    "nem_stats": {
+        "timeStamp": None,
+        "transactions": {**_all("fee", "amount", "signer", "signerAddress", "recipient"), "otherTrans": _all("amount", "recipient")},
+    },
+    "waves_stats": {
+        "timestamp": None,
+        "transactions": {
+            **_all("timestamp", "type", "assetId", "sender", "recipient", "amount", "fee"), "transfers": _all("recipient", "amount"),
+        },
+    },
+    "ripple_payment_stats": {**_all("index", "closeTime"), "transactions": _RIPPLE_TX},
+    "ripple_daily": {**_all("index", "closeTime"), "transactions": _RIPPLE_TX},
+    "stellar_payment_stats": {**_all("sequence", "closeTime"), "transactions": {"fee": None, "operations": _STELLAR_OP}},
+    "stellar_stats": {**_all("sequence", "closeTime"), "transactions": {"fee": None, "operations": _STELLAR_OP}},
+    "tron_stats": {
+        **_all("number", "timestamp"),
+        "transactions": {"contracts": _all("type", "owner_address", "to_address", "amount")},
     },
 }
 
@@ -54,9 +88,10 @@ def narrow(schema: StructType, keep: dict) -> StructType:
 
 
 def read_for(spark: SparkSession, path: str, job: str) -> DataFrame:
-    """Read a stored chain table with the narrow schema of ``job`` (if any)."""
-    df = spark.read.parquet(path)
-    keep = FIELDS.get(job)
-    if keep is None:
-        return df
-    return spark.read.schema(narrow(df.schema, keep)).parquet(path)
+    """Read a stored chain table with the narrow schema of ``job``; a ``day``
+    partition column is kept."""
+    schema = spark.read.parquet(path).schema
+    keep = FIELDS[job]
+    if "day" in schema.names:
+        keep = {**keep, "day": None}
+    return spark.read.schema(narrow(schema, keep)).parquet(path)

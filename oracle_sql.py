@@ -39,10 +39,9 @@ ACC = """acc AS (
     CASE WHEN o_orderpriority <> '5-LOW' THEN (o_orderkey * 7) % 1000 END AS recv,
     CAST(round(o_totalprice * 100) AS BIGINT) AS val,
     o_orderstatus AS status, o_orderpriority AS prio,
-    (date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) * 4 + o_orderkey % 4) * m.m
-      + (o_orderkey // 4) % m.m AS num,
+    date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) * 4 + o_orderkey % 4 AS num,
     date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 + (o_orderkey % 4) * 21600 AS btime
-  FROM orders, (SELECT greatest(1, count(*) // 4000000) AS m FROM orders) m)"""
+  FROM orders)"""
 
 LI = """li AS (
   SELECT l_orderkey AS k, l_partkey AS part, l_suppkey AS supp, l_linenumber AS lnum,
@@ -317,13 +316,17 @@ Q["monero_stats"] = with_(
       FROM tx LEFT JOIN vi ON vi.k = tx.k LEFT JOIN vo ON vo.k = tx.k GROUP BY 1)""",
 ) + "SELECT bs.*, txs.* EXCLUDE (date) FROM bs LEFT JOIN txs USING (date)"
 
+# Asset ids of NEO and GAS on the NEO chain.
+NEO_ID = "c56f33fc6ecfcd0c225c4ab356fee59390af8560be0e930faebe74a6daff7c9b"
+GAS_ID = "602c79718b16e442de58778e148d0b1084e3b2dffd5de6b7b16cee7969282de7"
 NEO_FEE = f"(CAST(k % 3 AS DECIMAL(38,8)) + CAST({scaled('k % 50 + 1', 3)} AS DECIMAL(38,8)))"
 Q["neo_stats"] = with_(
     KS,
     LI,
     UTXO,
     f"""txo AS (SELECT k AS txid, k // 2 AS blk, {day(f'{DAY0} + 1200 * (k // 2)')} AS date, idx AS voutnum,
-        flag AS asset, CAST({scaled('amt', 2)} AS DECIMAL(38,8)) AS value, 'A' || {_vc('address')} AS address,
+        unhex(CASE flag WHEN 'N' THEN '{NEO_ID}' WHEN 'A' THEN '{GAS_ID}' ELSE '{'ab' * 32}' END) AS asset,
+        CAST({scaled('amt', 2)} AS DECIMAL(38,8)) AS value, 'A' || {_vc('address')} AS address,
         {NEO_FEE} AS fee FROM outs)""",
     f"""txi AS (SELECT i.k AS txid, i.k // 2 AS blk, {day(f'{DAY0} + 1200 * (i.k // 2)')} AS date, t.asset,
         -t.value AS value, t.address, {NEO_FEE.replace('k %', 'i.k %')} AS fee
@@ -478,34 +481,125 @@ Q["etc_stats_traced"] = _traced(ETC_OFFSET, "etc", False)
 Q["eth_stats_traced_registry"] = _traced(ETH_OFFSET, "eth", True)
 
 # ------------------------------------------------------------------ ERC20
-from daybook.sources.tokens import TOKENS  # noqa: E402  (fixed token list, data only)
-
+# Symbol and decimals of the published token list, in its order.
+TOKEN_SCALES = [
+    ('EOS', 18),
+    ('OMG', 18),
+    ('REP', 18),
+    ('REP', 18),
+    ('GNT', 18),
+    ('SNT', 18),
+    ('PAY', 18),
+    ('BAT', 18),
+    ('SAN', 18),
+    ('DGD', 9),
+    ('KNC', 18),
+    ('ZRX', 18),
+    ('CVC', 8),
+    ('FUN', 8),
+    ('STORJ', 8),
+    ('ICN', 18),
+    ('GNO', 18),
+    ('MANA', 18),
+    ('BNT', 18),
+    ('MCO', 8),
+    ('ETHOS', 8),
+    ('EDG', 0),
+    ('MTL', 8),
+    ('SNGLS', 0),
+    ('ANT', 18),
+    ('TRX', 6),
+    ('BNB', 18),
+    ('PPT', 8),
+    ('ICX', 18),
+    ('KCS', 6),
+    ('DRGN', 18),
+    ('LRC', 18),
+    ('VERI', 18),
+    ('DCN', 0),
+    ('WTC', 18),
+    ('SALT', 8),
+    ('VEN', 18),
+    ('RHOC', 8),
+    ('AE', 18),
+    ('BTM', 8),
+    ('ZIL', 12),
+    ('SRN', 18),
+    ('ELF', 18),
+    ('AION', 8),
+    ('POLY', 18),
+    ('NAS', 18),
+    ('LOOM', 18),
+    ('POWR', 6),
+    ('ENG', 8),
+    ('CTXC', 18),
+    ('CENNZ', 18),
+    ('QASH', 6),
+    ('DAI', 18),
+    ('TUSD', 18),
+    ('PAX', 18),
+    ('GUSD', 2),
+    ('USDC', 6),
+]
 _TOKENS_SQL = "tokens AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, '{sym}', {dec})" for i, (_a, _n, sym, dec) in enumerate(TOKENS)
+    f"({i}, '{sym}', {dec})" for i, (sym, dec) in enumerate(TOKEN_SCALES)
 ) + ") t(idx, symbol, decimals))"
 
+# An amount's digits in 10^-18 coins, padded to seven groups of 18; group 0 is the fraction.
+_GROUPS = range(7)
+_SUMS = ", ".join(f"sum(g{k}) AS s{k}" for k in _GROUPS)
+
+
+def _digits(prefix: str) -> str:
+    """Seven summed groups → digits with 18 decimal places, carries included."""
+    carry, parts = "CAST(0 AS HUGEINT)", []
+    for k in _GROUPS:
+        total = f"({prefix}{k} + {carry})"
+        parts.append(f"lpad(CAST({total} % 1000000000000000000 AS VARCHAR), 18, '0')")
+        carry = f"({total} // 1000000000000000000)"
+    whole = " || ".join(reversed(parts[1:]))
+    return f"regexp_replace({whole}, '^0+([0-9])', '\\1') || '.' || {parts[0]}"
+
+
+def _both(text: str, name: str) -> str:
+    return f"TRY_CAST({text} AS DECIMAL(38,18)) AS {name}, {text} AS {name}_text"
+
+
+def _most(name: str) -> str:
+    """The largest of several digit strings, as a number."""
+    return f"max(lpad({name}, 160, '0'))"
+
+
 Q["erc20_transfers"] = with_(
     ACC,
     LI,
     _TOKENS_SQL,
     f"""ev AS (SELECT {day('a.btime')} AS date, tk.symbol, tk.decimals, a.cust AS f, l.supp AS t,
-        CASE WHEN l.part % 101 = 0 THEN NULL ELSE l.amt END AS u
-      FROM acc a JOIN li l ON l.k = a.k JOIN tokens tk ON tk.idx = l.part % {len(TOKENS)}
+        CASE WHEN l.part % 101 = 0 THEN '{2**256 - 1}' ELSE CAST(l.amt AS VARCHAR) END AS u
+      FROM acc a JOIN li l ON l.k = a.k JOIN tokens tk ON tk.idx = l.part % {len(TOKEN_SCALES)}
       WHERE NOT (l.lstatus = 'F' AND l.flag = 'R'))""",
-    """ev2 AS (SELECT *, CAST(CAST(u AS VARCHAR) || 'E-' || CAST(decimals AS VARCHAR) AS DECIMAL(38,18)) AS value,
-      CAST(u AS DOUBLE) / CAST('1e' || CAST(decimals AS VARCHAR) AS DOUBLE) AS dv FROM ev)""",
-    f"""st AS (SELECT symbol, date, count(*) AS cnt, sum(value) AS value, max(value) AS max_value,
-      {med('dv')} AS med_value, count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt
+    "ev1 AS (SELECT *, lpad(u || repeat('0', 18 - decimals), 126, '0') AS d FROM ev)",
+    "ev2 AS (SELECT *, CAST(u || 'e-' || CAST(decimals AS VARCHAR) AS DOUBLE) AS dv, "
+    + ", ".join(f"CAST(substr(d, {109 - 18 * k}, 18) AS HUGEINT) AS g{k}" for k in _GROUPS)
+    + " FROM ev1)",
+    f"""st AS (SELECT symbol, date, count(*) AS cnt, {_SUMS}, {_most('d')} AS top, {med('dv')} AS med_value,
+      count(DISTINCT f) AS from_cnt, count(DISTINCT t) AS to_cnt,
+      count(*) FILTER (WHERE substr(d, 1, 126 - 38) <> repeat('0', 126 - 38)) AS overflow_cnt
       FROM ev2 GROUP BY symbol, date)""",
-    """sf AS (SELECT symbol, date, max(s) AS max_sum_from_value FROM
-      (SELECT symbol, date, f, sum(value) AS s FROM ev2 GROUP BY ALL) GROUP BY symbol, date)""",
-    """stt AS (SELECT symbol, date, max(s) AS max_sum_to_value FROM
-      (SELECT symbol, date, t, sum(value) AS s FROM ev2 GROUP BY ALL) GROUP BY symbol, date)""",
+    f"sf0 AS (SELECT symbol, date, f, {_SUMS} FROM ev2 GROUP BY symbol, date, f)",
+    f"sf AS (SELECT symbol, date, {_most('x')} AS top_f FROM (SELECT symbol, date, {_digits('s')} AS x FROM sf0) GROUP BY symbol, date)",
+    f"st0 AS (SELECT symbol, date, t, {_SUMS} FROM ev2 GROUP BY symbol, date, t)",
+    f"stt AS (SELECT symbol, date, {_most('x')} AS top_t FROM (SELECT symbol, date, {_digits('s')} AS x FROM st0) GROUP BY symbol, date)",
     """ad AS (SELECT symbol, date, count(DISTINCT a) AS addr_cnt FROM
       (SELECT symbol, date, f AS a FROM ev2 UNION ALL SELECT symbol, date, t AS a FROM ev2) GROUP BY symbol, date)""",
-) + """SELECT st.symbol, st.date, st.cnt, st.value, st.max_value, st.med_value, sf.max_sum_from_value,
-  stt.max_sum_to_value, st.from_cnt, st.to_cnt, ad.addr_cnt
-FROM st LEFT JOIN sf USING (symbol, date) LEFT JOIN stt USING (symbol, date) LEFT JOIN ad USING (symbol, date)"""
+    f"""r AS (SELECT symbol, date, cnt, med_value, from_cnt, to_cnt, addr_cnt, overflow_cnt, {_digits('s')} AS v,
+      regexp_replace(substr(top, 1, 142) || '.' || substr(top, 143), '^0+([0-9])', '\\1') AS m,
+      regexp_replace(top_f, '^0+([0-9])', '\\1') AS sf, regexp_replace(top_t, '^0+([0-9])', '\\1') AS st
+      FROM st JOIN sf USING (symbol, date) JOIN stt USING (symbol, date) JOIN ad USING (symbol, date))""",
+) + f"""SELECT symbol, date, cnt, {_both('v', 'value')}, {_both('m', 'max_value')},
+  {_both('sf', 'max_sum_from_value')}, {_both('st', 'max_sum_to_value')}, med_value, from_cnt, to_cnt, addr_cnt,
+  overflow_cnt, CAST(0 AS BIGINT) AS malformed_cnt
+FROM r"""
 
 # ------------------------------------------------------------------- IOTA
 Q["iota_stats"] = with_(
@@ -552,13 +646,165 @@ UNION ALL SELECT 'lisk', {_ts('(SELECT max(btime) FROM acc)')}
 UNION ALL SELECT 'eos', {_ts('(SELECT max(btime) FROM acc)')}
 UNION ALL SELECT 'waves', make_timestamp((SELECT max(btime) * 1000 FROM acc) * 1000)"""
 
+# ------------------------------------------------- incremental refreshes
+# Closed days of these datasets do not depend on later ones, so a refreshed
+# table equals a full build; the traced one is compared on its open days.
+Q["ripple_daily_refreshed"] = Q["ripple_daily"]
+Q["neo_stats_refreshed"] = Q["neo_stats"]
+Q["eth_stats_traced_refreshed"] = f"""WITH full_ AS ({Q['eth_stats_traced_registry']}),
+b AS ({with_(ACC)} SELECT btime FROM acc),
+cut AS (SELECT {day('max(btime)')} AS d FROM b WHERE btime < (SELECT max(btime) FROM b) - 30 * 86400)
+SELECT * FROM full_ WHERE date >= (SELECT d FROM cut)"""
+
 # ----------------------------------------------------------- CSV exports
-from daybook.sources.exports import EXPORTS  # noqa: E402  (fixed CSV headers, data only)
+# Published CSV headers (dataset column, CSV column), in order.
+HEADERS = {
+    'cardano': [
+        ("cnt", "txCount"),
+        ("volume", "txVolume"),
+        ("fees", "fees"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+        ("med_volume", "medTxVolume"),
+        ("med_fees", "medFees"),
+        ("payment_cnt", "paymentCount"),
+        ("short_volume", "shortTxVolume"),
+    ],
+    'ripple_payment_xrp': [
+        ("cnt", "txCount"),
+        ("payment_cnt", "paymentCount"),
+        ("payment_value", "txVolume"),
+        ("fee", "fees"),
+        ("med_fee", "medianFee"),
+        ("med_payment_value", "medianTxValue"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+        ("block_cnt", "blockCount"),
+        ("missing_block_cnt", "missingBlockCount"),
+        ("missing_cnt", "missingTxCount"),
+    ],
+    'stellar_payment_xlm': [
+        ("cnt", "txCount"),
+        ("value", "txVolume"),
+        ("fees", "fees"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+    ],
+    'iota': [
+        ("cnt", "txCount"),
+        ("value", "txVolume"),
+        ("med_value", "medTxVolume"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+    ],
+    'monero': [
+        ("cnt", "txCount"),
+        ("cast(reward as decimal(37,12)) - cast(fees as decimal(37,12))", "generatedCoins"),
+        ("fees", "fees"),
+        ("avg_difficulty", "avgDifficulty"),
+        ("med_fees", "medFees"),
+        ("io_cnt", "addrCount"),
+        ("payment_cnt", "paymentCount"),
+        ("block_cnt", "blockCount"),
+        ("block_size", "blockSize"),
+    ],
+    'nem': [
+        ("cnt", "txCount"),
+        ("value", "txVolume"),
+        ("fees", "fees"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+        ("med_value", "medTxVolume"),
+        ("med_fees", "medFees"),
+    ],
+    'neo': [
+        ("cnt", "txCount"),
+        ("value", "txVolume"),
+        ("fees", "fees"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+        ("med_fees", "medFees"),
+        ("med_value", "medTxVolume"),
+    ],
+    'lisk': [
+        ("cnt", "txCount"),
+        ("value", "txVolume"),
+        ("fees", "fees"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+        ("med_value", "medTxVolume"),
+        ("med_fees", "medFees"),
+        ("payment_cnt", "paymentCount"),
+    ],
+    'eos': [
+        ("tx_cnt", "txCount"),
+        ("value", "txVolume"),
+        ("med_value", "medTxVolume"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+        ("action_cnt", "paymentCount"),
+        ("block_cnt", "blockCount"),
+    ],
+    'waves': [
+        ("cnt", "txCount"),
+        ("value", "txVolume"),
+        ("fees", "fees"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+        ("med_value", "medTxVolume"),
+        ("med_fees", "medFees"),
+    ],
+    'eth_stats': [
+        ("tx_cnt", "txCount"),
+        ("sum_value", "txVolume"),
+        ("med_value", "medTxVolume"),
+        ("avg_difficulty", "avgDifficulty"),
+        ("avg_tx_size", "avgTxSize"),
+        ("sum_fee", "sumFee"),
+        ("block_cnt", "blockCount"),
+        ("sum_size", "totalSize"),
+        ("med_fee", "medFee"),
+        ("reward", "generatedVolume"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+        ("payment_cnt", "paymentCount"),
+        ("payment_value", "paymentVolume"),
+        ("contract_cnt", "contractTransferCount"),
+        ("contract_value", "contractTransferVolume"),
+        ("create_contract_cnt", "createContractCount"),
+        ("create_contract_value", "createContractVolume"),
+        ("action_cnt", "actionCount"),
+        ("sum_action_value", "actionVolume"),
+        ("short_cnt", "shortTxCount"),
+        ("short_value", "shortTxValue"),
+    ],
+    'erc20': [
+        ("cnt", "txCount"),
+        ("value_text", "txVolume"),
+        ("max_value_text", "maxOneTxVolume"),
+        ("max_sum_from_value_text", "maxAddrSumFromValue"),
+        ("max_sum_to_value_text", "maxAddrSumToValue"),
+        ("from_cnt", "fromAddrCount"),
+        ("to_cnt", "toAddrCount"),
+        ("addr_cnt", "addrCount"),
+        ("med_value", "medTxVolume"),
+    ],
+}
 
 
 def _csv(ds: str, export: str, where: str | None = None, keep: tuple[str, ...] = ()) -> str:
     cols = ["strftime(date, '%Y-%m-%d') AS date", *keep]
-    cols += [f'{src} AS "{name}"' for src, name in EXPORTS[export]]
+    cols += [f'{src} AS "{name}"' for src, name in HEADERS[export]]
     sql = f"SELECT {', '.join(cols)} FROM ({Q[ds]}) d"
     return sql + (f" WHERE {where}" if where else "")
 
@@ -569,8 +815,8 @@ Q["csv_stellar_payment_xlm"] = _csv("stellar_payment_stats", "stellar_payment_xl
 Q["csv_iota"] = _csv("iota_stats", "iota")
 Q["csv_monero"] = _csv("monero_stats", "monero")
 Q["csv_nem"] = _csv("nem_stats", "nem")
-Q["csv_neo_gas"] = _csv("neo_stats", "neo", "asset = 'A'")
-Q["csv_neo_neo"] = _csv("neo_stats", "neo", "asset = 'N'")
+Q["csv_neo_gas"] = _csv("neo_stats", "neo", f"asset = unhex('{GAS_ID}')")
+Q["csv_neo_neo"] = _csv("neo_stats", "neo", f"asset = unhex('{NEO_ID}')")
 Q["csv_lisk"] = _csv("lisk_stats", "lisk")
 Q["csv_eos"] = _csv("eos_stats", "eos")
 Q["csv_waves"] = _csv("waves_stats", "waves")
