@@ -1,4 +1,5 @@
 """Keeping published datasets current: incremental day refresh and sync log."""
 
-from daybook.streaming.refresh import last_published_day, publish, refresh_days  # noqa: F401
+from daybook.streaming.refresh import Clock, open_days, refresh_days  # noqa: F401
+from daybook.streaming.store import last_published_day, publish, read_published  # noqa: F401
 from daybook.streaming.synclog import append_sync, sync_watermarks  # noqa: F401

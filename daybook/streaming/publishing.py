@@ -1,10 +1,10 @@
 """Refresh and export one chain end to end.
 
-For each chain this is what a periodic refresh does: publish the dataset
-(full rebuild, or the open days only for incrementally kept datasets), then
-append the sync-log row, then write the CSV exports.  Data is written before
-the log row, so a crash leaves data newer than the log, never the reverse
-(§8 Q33).  Each step is a Spark job; the driver only sequences them.
+For each chain this is what a periodic refresh does: bring the stored tables
+it depends on up to date, fix the watermark, publish the dataset (full
+rebuild, or the open days only for incrementally kept datasets), append the
+sync-log row, write the CSV exports, and remove what was staged on the way.
+Each step is a Spark job; the driver only sequences them.
 """
 
 from __future__ import annotations
@@ -14,14 +14,15 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from daybook.functions import day_of_seconds
+from daybook.operators.staging import scope
 from daybook.plans import account, bundle, ethereum, ledger, tron, utxo
 from daybook.sources.exports import GAS_ASSET_HEX, NEO_ASSET_HEX, csv_view, write_csv
 from daybook.sources.schemas import read_for
-from daybook.streaming.refresh import publish, read_published, refresh_days
-from daybook.streaming.synclog import append_sync
+from daybook.sources.tokens import load_tokens
+from daybook.streaming.refresh import Clock, refresh_days
+from daybook.streaming.store import publish, read_published
+from daybook.streaming.synclog import append_sync, watermark
 
 
 @dataclass(frozen=True)
@@ -35,54 +36,94 @@ class Export:
 
 @dataclass(frozen=True)
 class Chain:
-    job: Callable[..., DataFrame]
-    day: Callable[[], F.Column] | None = None  # set for incrementally kept datasets
+    """``job(raw, stored, since)`` gives a dataset; ``stored`` holds the
+    current rows of the published tables named in ``needs``."""
+
+    job: Callable[[DataFrame, dict[str, DataFrame], object], DataFrame]
+    schema: str  # narrow read schema key (sources/schemas.py)
+    clock: Clock | None = None  # set for incrementally kept datasets
+    needs: tuple[str, ...] = ()
     sync_view: str | None = None
-    schema: str = ""  # narrow read schema key (sources/schemas.py)
     exports: tuple[Export, ...] = field(default_factory=tuple)
 
 
+def _whole(fn: Callable[[DataFrame], DataFrame]):
+    return lambda raw, stored, since: fn(raw)
+
+
 def _hex_asset(h: str) -> str:
     return f"hex(asset) = '{h.upper()}'"
 
 
+def _traced(schedule: str):
+    def job(raw, stored, since):
+        return ethereum.eth_stats_traced(
+            raw, schedule, contracts="registry", since=since,
+            contract_registry=stored["ethereum_contract_days"], addresses=stored["ethereum_address_days"],
+        )
+
+    return job
+
+
+_ETH_CLOCK = Clock("timestamp")
+
 # What each refresh publishes and exports (dataset, sync view,
 # CSV files), as the reference's refresh scripts do.
 CHAINS: dict[str, Chain] = {
-    "cardano": Chain(utxo.cardano_stats, sync_view="cardano", exports=(Export("cardano", "cardano"),)),
+    "cardano": Chain(_whole(utxo.cardano_stats), "cardano_stats", sync_view="cardano", exports=(Export("cardano", "cardano"),)),
     "ripple_payment_xrp": Chain(
-        ledger.ripple_daily, day=lambda: day_of_seconds("closeTime"), sync_view="ripple_payment_xrp",
+        _whole(ledger.ripple_daily), "ripple_daily", Clock("closeTime"), sync_view="ripple_payment_xrp",
         exports=(Export("ripple_payment_xrp", "ripple_payment_xrp"),),
     ),
     "stellar_payment": Chain(
-        ledger.stellar_payment_stats, sync_view="stellar",
+        _whole(ledger.stellar_payment_stats), "stellar_payment_stats", sync_view="stellar",
         exports=(Export("stellar_payment_xlm", "stellar_payment_xlm", where="asset = ''"),),
     ),
-    "stellar": Chain(ledger.stellar_stats, exports=(Export("stellar", None),)),
-    "iota": Chain(bundle.iota_stats, sync_view="iota", exports=(Export("iota", "iota"),)),
-    "monero": Chain(utxo.monero_stats, sync_view="monero", schema="monero_stats", exports=(Export("monero", "monero"),)),
-    "nem": Chain(account.nem_stats, sync_view="nem", exports=(Export("nem", "nem"),)),
+    "stellar": Chain(
+        lambda raw, stored, since: ledger.stellar_stats(raw, stored["stellar_payment"]), "stellar_stats",
+        needs=("stellar_payment",), exports=(Export("stellar", None),),
+    ),
+    "iota": Chain(_whole(bundle.iota_stats), "iota_stats", sync_view="iota", exports=(Export("iota", "iota"),)),
+    "monero": Chain(_whole(utxo.monero_stats), "monero_stats", sync_view="monero", exports=(Export("monero", "monero"),)),
+    "nem": Chain(_whole(account.nem_stats), "nem_stats", sync_view="nem", exports=(Export("nem", "nem"),)),
+    "neo_outputs": Chain(_whole(utxo.neo_outputs), "neo_stats", Clock("time")),
     "neo": Chain(
-        utxo.neo_stats, day=lambda: day_of_seconds("time"), sync_view="neo",
+        lambda raw, stored, since: utxo.neo_stats(raw, since, stored["neo_outputs"]), "neo_stats", Clock("time"),
+        needs=("neo_outputs",), sync_view="neo",
         exports=(Export("neo_gas", "neo", where=_hex_asset(GAS_ASSET_HEX)),
                  Export("neo_neo", "neo", where=_hex_asset(NEO_ASSET_HEX))),
     ),
-    "lisk": Chain(account.lisk_stats, sync_view="lisk", exports=(Export("lisk", "lisk"),)),
-    "eos": Chain(account.eos_stats, sync_view="eos", exports=(Export("eos", "eos"),)),
-    "waves": Chain(account.waves_stats, sync_view="waves", exports=(Export("waves", "waves"),)),
-    "tron": Chain(tron.tron_stats),
+    "lisk": Chain(_whole(account.lisk_stats), "lisk_stats", sync_view="lisk", exports=(Export("lisk", "lisk"),)),
+    "eos": Chain(_whole(account.eos_stats), "eos_stats", sync_view="eos", exports=(Export("eos", "eos"),)),
+    "waves": Chain(_whole(account.waves_stats), "waves_stats", sync_view="waves", exports=(Export("waves", "waves"),)),
+    "tron": Chain(_whole(tron.tron_stats), "tron_stats"),
+    "ethereum_tx": Chain(_whole(ethereum.eth_tx), "eth_tx", _ETH_CLOCK),
+    "ethereum_actions": Chain(_whole(ethereum.eth_actions), "eth_actions", _ETH_CLOCK),
+    "ethereum_contract_days": Chain(_whole(ethereum.contract_days), "eth_contracts", _ETH_CLOCK),
+    "ethereum_address_days": Chain(_whole(ethereum.address_days), "eth_short_addrs", _ETH_CLOCK),
+    "ethereum_contracts": Chain(
+        lambda raw, stored, since: stored["ethereum_contract_days"].select("address").distinct(), "eth_contracts",
+        needs=("ethereum_contract_days",),
+    ),
+    "ethereum_short_addrs": Chain(
+        lambda raw, stored, since: ethereum.in_coins(ethereum.short_addresses_of_days(stored["ethereum_address_days"])),
+        "eth_short_addrs", needs=("ethereum_address_days",),
+    ),
     "ethereum_stats_traced": Chain(
-        lambda b, since=None: ethereum.eth_stats_traced(b, "eth", contracts="registry", since=since),
-        day=lambda: day_of_seconds("timestamp"), schema="eth_stats_traced",
+        _traced("eth"), "eth_stats_traced", _ETH_CLOCK, needs=("ethereum_contract_days", "ethereum_address_days"),
         exports=(Export("eth_stats", "eth_stats"),),
     ),
     "ethereum_classic_stats_traced": Chain(
-        lambda b: ethereum.eth_stats_traced(b, "etc"), schema="eth_stats_traced",
+        _whole(lambda b: ethereum.eth_stats_traced(b, "etc")), "eth_stats_traced",
         exports=(Export("eth_classic_stats", "eth_stats"),),
     ),
 }
 
 
+def _target(out_root: str, name: str) -> str:
+    return os.path.join(out_root, "datasets", name)
+
+
 def refresh_chain(
     spark: SparkSession,
     name: str,
@@ -94,24 +135,32 @@ def refresh_chain(
 ) -> dict[str, str]:
     """Publish ``name``'s dataset, append its sync row, write its CSVs.
 
-    Returns the paths written.  ``sync_source`` is the table whose clock the
-    sync log records (the raw table itself by default; Lisk keeps it in a
-    separate block table).
+    Tables the dataset needs are refreshed first.  Returns the paths written.
+    ``sync_source`` is the table whose clock the sync log records (the raw
+    table itself by default; Lisk keeps it in a separate block table).
     """
     chain = CHAINS[name]
-    raw = read_for(spark, raw_path, chain.schema)
-    target = os.path.join(out_root, "datasets", name)
-    if chain.day is not None:
-        refresh_days(chain.job, raw, target, day=chain.day(), full=full)
+    for needed in chain.needs:
+        refresh_chain(spark, needed, raw_path, out_root, full=full)
+    raw = read_for(spark, raw_path, chain.schema)  # one listing for watermark and job
+    sync_time = watermark(chain.sync_view, raw if sync_source is None else sync_source) if chain.sync_view else None
+    stored = {needed: read_published(spark, _target(out_root, needed)) for needed in chain.needs}
+    target = _target(out_root, name)
+
+    def job(rows: DataFrame, since=None) -> DataFrame:
+        return chain.job(rows, stored, since)
+
+    if chain.clock is not None:
+        refresh_days(job, raw, target, clock=chain.clock, full=full)
     else:
-        publish(chain.job(raw), target)
+        with scope(spark):
+            publish(job(raw), target)
     written = {"dataset": target}
     if chain.sync_view:
-        log = os.path.join(out_root, "analytics_stats")
-        append_sync(log, chain.sync_view, sync_source if sync_source is not None else spark.read.parquet(raw_path))
-        written["sync_log"] = log
-    published = read_published(spark, target)
+        written["sync_log"] = os.path.join(out_root, "sync_log")
+        append_sync(spark, written["sync_log"], chain.sync_view, sync_time)
     for ex in chain.exports:
+        published = read_published(spark, target)
         view = published if ex.spec is None else csv_view(published, ex.spec, where=ex.where, keep=ex.keep)
         path = os.path.join(out_root, "csv", ex.name)
         write_csv(view, path, partition_by=ex.partition_by)
@@ -119,10 +168,12 @@ def refresh_chain(
     return written
 
 
-def export_erc20(spark: SparkSession, raw_path: str, tokens: DataFrame, out_root: str) -> str:
-    """Refresh the ERC20 dataset and write one CSV folder per symbol."""
-    target = os.path.join(out_root, "datasets", "erc20transfers")
-    publish(ethereum.erc20_transfers(read_for(spark, raw_path, "erc20_transfers"), tokens), target)
+def export_erc20(spark: SparkSession, raw_path: str, tokens_path: str, out_root: str) -> str:
+    """Refresh the ERC20 dataset from the JSON token list at ``tokens_path``
+    and write one CSV folder per symbol (S3, S8)."""
+    target = _target(out_root, "erc20transfers")
+    with scope(spark):
+        publish(ethereum.erc20_transfers(read_for(spark, raw_path, "erc20_transfers"), load_tokens(spark, tokens_path)), target)
     view = csv_view(read_published(spark, target), "erc20", keep=("symbol",))
     path = os.path.join(out_root, "csv", "erc20")
     write_csv(view, path, partition_by="symbol")

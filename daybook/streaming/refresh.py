@@ -1,87 +1,61 @@
 """Incremental refresh of a per-day dataset.
 
 The reference loops over open days in a stored procedure, one statement per
-day.  Here the open days are recomputed by **one** grouped job: find the
-last published day, keep source rows from that day on (a partition filter
-when the source is stored by day), run the dataset job once, and overwrite
-only the day partitions it produced (dynamic partition overwrite).  The last
-published day is always recomputed because it may have been partial (§8 Q5).
-
-Targets are parquet folders partitioned by ``day`` (yyyy-MM-dd text); the
-``date`` column itself stays in the files with its exact type.
+day.  Here the open days are recomputed by **one** grouped job: find the last
+published day, read source rows from that day on (a plain bound on the raw
+clock, which the scan pushes down to row groups, and on the ``day`` partition
+column where the source has one), run the dataset job once, and publish its
+rows as the new content of those days.  The last published day is always
+recomputed because it may have been partial (§8 Q5).
 """
 
 from __future__ import annotations
 
-import inspect
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import day_text
+from daybook.functions import epoch_seconds
+from daybook.operators.staging import scope
+from daybook.streaming.store import last_published_day, publish
 
 PARTITION = "day"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath) and fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
-
-
-def read_published(spark: SparkSession, path: str) -> DataFrame:
-    """A published dataset, without its partition helper column."""
-    return spark.read.parquet(path).drop(PARTITION)
+@dataclass(frozen=True)
+class Clock:
+    """The raw column a row's day comes from, in seconds since the epoch (or
+    thousandths, ``per_second=1000``)."""
 
+    column: str
+    per_second: int = 1
 
-def last_published_day(spark: SparkSession, path: str):
-    """Latest ``date`` in the target, or None when the target is absent/empty."""
-    if not _exists(spark, path):
-        return None
-    return spark.read.parquet(path).agg(F.max("date")).first()[0]
+    def since(self, raw: DataFrame, begin: dt.datetime) -> DataFrame:
+        """Rows from day ``begin`` on, by bounds that reach the scan."""
+        out = raw.where(F.col(self.column) >= F.lit(epoch_seconds(begin) * self.per_second))
+        if PARTITION in raw.columns:
+            out = out.where(F.col(PARTITION) >= F.lit(begin.strftime("%Y-%m-%d")))
+        return out
 
 
-def publish(df: DataFrame, path: str, *, only_present_days: bool = False) -> None:
-    """Write a per-day dataset partitioned by day.
-
-    ``only_present_days`` overwrites just the day partitions in ``df``
-    (dynamic partition overwrite); otherwise the whole target is replaced.
-    """
-    out = df.withColumn(PARTITION, day_text("date"))
-    mode = "dynamic" if only_present_days else "static"
-    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PARTITION).parquet(path)
+def open_days(job: Callable[..., DataFrame], raw: DataFrame, clock: Clock, begin: dt.datetime) -> DataFrame:
+    """``job`` over the days from ``begin`` on."""
+    return job(clock.since(raw, begin), since=begin).where(F.col("date") >= F.lit(begin))
 
 
-def refresh_days(
-    job: Callable[..., DataFrame],
-    source: DataFrame,
-    target: str,
-    *,
-    day,
-    full: bool = False,
-) -> DataFrame:
+def refresh_days(job: Callable[..., DataFrame], raw: DataFrame, target: str, *, clock: Clock, full: bool = False) -> dt.datetime | None:
     """Recompute every day from the last published one on and publish it.
 
-    ``day`` is the source column (or expression) giving a row's day.  Jobs
-    whose open days depend on older history (spent outputs, contract and
-    short-address registries) accept a ``since`` argument and receive the
-    whole source; the others get the source filtered to open days.
-    ``full=True`` clears the target and rebuilds everything (S12).
-    Returns the rows written.
+    ``job(raw, since=None)`` gives the dataset from day ``since`` on out of
+    the raw rows of those days; a job that depends on older history reads it
+    from stored tables.  ``full=True`` rebuilds everything (S12).  Returns the
+    first recomputed day, None for all.
     """
-    spark = source.sparkSession
+    spark = raw.sparkSession
     begin = None if full else last_published_day(spark, target)
-    if begin is None:
-        result = job(source)
-        publish(result, target)
-        return result
-    day_col = F.col(day) if isinstance(day, str) else day
-    if "since" in inspect.signature(job).parameters:
-        result = job(source, since=begin)
-    else:
-        result = job(source.where(day_col >= F.lit(begin)))
-    result = result.where(F.col("date") >= F.lit(begin))
-    publish(result, target, only_present_days=True)
-    return result
+    with scope(spark):
+        publish(job(raw, since=None) if begin is None else open_days(job, raw, clock, begin), target, begin=begin)
+    return begin

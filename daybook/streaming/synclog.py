@@ -1,16 +1,16 @@
 """Sync log: the latest block time behind each refresh.
 
 Each chain has its own clock; ``SYNC_CLOCKS`` turns a chain's raw table into
-its latest block time.  The data is published first and the log row is
-appended after it, so a crash in between leaves data newer than the log,
-never the reverse (§8 Q33).
+its latest block time.  The time is fixed before the job, on the job's own
+input; the data is published next and the log row appended last, so the log
+never runs ahead of the data (§8 Q33).
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import LISK_GENESIS, NEM_GENESIS, seconds_or_millis, time_of_seconds
@@ -54,13 +54,18 @@ def sync_watermarks(sources: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def append_sync(log_path: str, view: str, source: DataFrame) -> DataFrame:
+def watermark(view: str, source: DataFrame):
+    """The latest block time of ``source``, taken before its job runs.
+
+    Taken from the same DataFrame (and so the same file listing) as the job,
+    it never names a block the published data does not hold.
+    """
+    return sync_watermark(view, source).first()["sync_time"]
+
+
+def append_sync(spark: SparkSession, log_path: str, view: str, sync_time) -> DataFrame:
     """Append (time, view, sync_time) to the sync log and return the row."""
-    spark = source.sparkSession
-    # One aggregate row: the watermark is fixed on the driver so that the row
-    # returned is exactly the row written.
-    sync_time = sync_watermark(view, source).first()["sync_time"]
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     row = spark.createDataFrame([(now, view, sync_time)], "time timestamp_ntz, view string, sync_time timestamp_ntz")
-    row.write.mode("append").parquet(log_path)
+    row.coalesce(1).write.mode("append").parquet(log_path)
     return row
