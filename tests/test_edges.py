@@ -3,10 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from daybook.plans import ethereum, tron
-from daybook.streaming import publish, refresh_days
 
 ETH_SCHEMA = (
     "number bigint, timestamp bigint, difficulty decimal(38,0), size bigint, uncles array<struct<number:bigint>>, "
@@ -60,24 +57,44 @@ def test_tron_genesis_and_empty_contracts(spark):
     assert (r["from_cnt"], r["to_cnt"], r["addr_cnt"]) == (2, 1, 2)  # NULL receiver not counted
 
 
-def test_refresh_prunes_day_partitions(spark, sf_small, scratch):
-    """A raw table stored by day is read only from the last published day on."""
-    from daybook.functions import day_of_seconds, day_text
-    from daybook.plans.ledger import ripple_daily
-    from daybook.sources import ledgers as L
-
-    raw = f"{scratch}/ripple_raw"
-    ledgers = L.ripple_ledgers(spark, sf_small)
-    ledgers.withColumn("day", day_text(day_of_seconds("closeTime"))).write.partitionBy("day").parquet(raw)
-    source = spark.read.parquet(raw)
-    target = f"{scratch}/ripple_target"
-    publish(ripple_daily(source.where(F.col("day") < "1999-01-01")), target)
-    refresh_days(ripple_daily, source, target, day=F.col("day"))
-    begin = spark.read.parquet(target).agg(F.max("date")).first()[0]
-    probe = source.where(F.col("day") >= F.lit(begin.strftime("%Y-%m-%d")))
-    plan = probe._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
-    got = spark.read.parquet(target).drop("day")
-    want = ripple_daily(source)
-    cols = sorted(want.columns)
-    assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+def test_erc20_extreme_amounts(spark):
+    """No cap: 0-decimals tokens beyond 10^20 coins, sums beyond 10^38, malformed data."""
+    from daybook.sources.ledgers import TRANSFER_TOPIC
+
+    dcn, eos = bytearray(b"\x01" * 20), bytearray(b"\x02" * 20)
+    tokens = spark.createDataFrame([(dcn, "DCN", 0), (eos, "EOS", 18)], "contractAddress binary, symbol string, decimals int")
+
+    def log(token, data, sender=1):
+        topics = [bytearray.fromhex(TRANSFER_TOPIC), bytearray(31) + bytearray([sender]), bytearray(31) + bytearray([9])]
+        return (token, data, topics)
+
+    word = lambda v: bytearray(v.to_bytes(32, "big"))
+    logs = [
+        log(dcn, word(10**21)), log(dcn, word(5), 2), log(dcn, word(2**256 - 1), 3), log(dcn, word(2**256 - 1), 3),
+        log(eos, word(9 * 10**37)), log(eos, word(9 * 10**37)), log(eos, bytearray()), log(eos, word(5) + word(7)),
+    ]
+    blocks = spark.createDataFrame([(0, [(logs,)])], "timestamp bigint, transactions array<struct<logs:array<struct<address:binary,data:binary,topics:array<binary>>>>>")
+    got = {r["symbol"]: r for r in ethereum.erc20_transfers(blocks, tokens).collect()}
+    zeros = "." + "0" * 18
+    d, e = got["DCN"], got["EOS"]
+    assert d["value_text"] == str(2 * (2**256 - 1) + 10**21 + 5) + zeros and d["value"] is None
+    assert d["max_value_text"] == str(2**256 - 1) + zeros
+    assert d["max_sum_from_value_text"] == str(2 * (2**256 - 1)) + zeros
+    assert d["max_sum_to_value_text"] == d["value_text"]
+    assert (d["cnt"], d["overflow_cnt"], d["malformed_cnt"]) == (4, 3, 0)
+    assert e["value_text"] == "180000000000000000000" + zeros and e["value"] is None
+    assert e["max_value"] == Decimal("90000000000000000000") and e["med_value"] == 9e19
+    assert (e["cnt"], e["overflow_cnt"], e["malformed_cnt"]) == (4, 0, 2)
+
+
+def test_token_list_from_json(spark, tmp_path):
+    """The JSON loader gives what the built-in list holds."""
+    import json
+
+    from daybook.sources.tokens import TOKENS, load_tokens, token_frame
+
+    path = tmp_path / "tokens.json"
+    path.write_text(json.dumps([{"contractAddress": a, "name": n, "symbol": s, "decimals": d} for a, n, s, d in TOKENS], indent=1))
+    cols = ["contractAddress", "name", "symbol", "decimals"]
+    got, want = load_tokens(spark, str(path)).select(*cols), token_frame(spark).select(*cols)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -4,6 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from daybook.functions import wide
 from daybook.functions import (
     LISK_GENESIS,
     NEM_GENESIS,
@@ -14,7 +15,6 @@ from daybook.functions import (
     padded_text,
     scale_units,
     seconds_or_millis,
-    uint256_be,
 )
 from daybook.operators.nesting import n_items
 from daybook.operators.rewards import block_reward, uncle_reward
@@ -30,12 +30,39 @@ def test_int64_le(spark):
     assert one(spark, int64_le(F.lit(None).cast("binary"))) is None
 
 
-def test_uint256_be(spark):
-    assert one(spark, uint256_be(F.unhex(F.lpad(F.hex(F.lit(10**18)), 64, "0")))) == Decimal(10**18)
-    assert one(spark, uint256_be(F.unhex(F.lit("f" * 64)))) is None
-    big = 10**38 - 1
-    assert one(spark, uint256_be(F.unhex(F.lit(f"{big:064x}")))) == Decimal(big)
-    assert one(spark, uint256_be(F.unhex(F.lit(f"{10**38:064x}")))) is None
+def amount(spark, data_hex, decimals):
+    """(digits, double) of a log's data in coins."""
+    df = spark.createDataFrame([(bytearray.fromhex(data_hex), decimals)], "data binary, decimals int")
+    limbs = wide.scaled_limbs(wide.uint256_limbs(F.col("data")), F.col("decimals"))
+    return tuple(df.select(wide.coins_text(limbs), wide.coins_double(limbs)).first())
+
+
+def test_uint256_is_exact(spark):
+    for value in (0, 1, 2**53 + 1, 10**18, 10**38 - 1, 10**38, 2**200 + 12345, 2**256 - 1):
+        for decimals in (0, 2, 9, 18):
+            want = str(value).zfill(decimals + 1)
+            whole, part = (want[:-decimals], want[-decimals:]) if decimals else (want, "")
+            text, double = amount(spark, f"{value:064x}", decimals)
+            assert text == f"{whole}.{part.ljust(18, '0')}"
+            assert double == float(Decimal(value) / Decimal(10) ** decimals) or abs(double / (value / 10**decimals) - 1) < 1e-15
+
+
+def test_uint256_of_other_lengths(spark):
+    assert amount(spark, "05", 0) == ("5.000000000000000000", 5.0)
+    assert amount(spark, "", 0) == (None, None)
+    assert amount(spark, f"{5:064x}{7:064x}", 0) == (None, None)
+    assert amount(spark, "05", 19) == (None, None)
+
+
+def test_wide_sums_carry_and_rank(spark):
+    rows = spark.createDataFrame([(k, [10**18 - 1, 10**18 - 1, k]) for k in range(50)], "k int, l array<bigint>")
+    limbs = [F.col("l")[i] for i in range(3)]
+    sums = rows.agg(*[F.sum(c.cast("decimal(38,0)")).alias(f"s{i}") for i, c in enumerate(limbs)], F.max(wide.ranked(limbs)).alias("top"))
+    total = wide.carried([F.col(f"s{i}") for i in range(3)], 4)
+    got = sums.select(wide.coins_text(total), wide.coins_text(wide.unranked(F.col("top"), 3))).first()
+    want = sum((10**18 - 1) * (1 + 10**18) + k * 10**36 for k in range(50))
+    assert got[0].replace(".", "") == str(want)
+    assert got[1] == f"49{10**18 - 1}.{10**18 - 1}"
 
 
 def test_padded_text(spark):
@@ -80,3 +107,8 @@ def test_block_rewards(spark):
     assert u == Decimal("4.53125")
     u = one(spark, uncle_reward(F.lit(5000000), F.lit(5000001), block_reward(F.lit(5000001), "etc"), "etc"))
     assert u == Decimal("0.25")
+
+
+def test_late_etc_eras_keep_all_digits(spark):
+    for era in (1, 11, 15, 20):
+        assert one(spark, block_reward(F.lit(era * 5_000_000 + 1), "etc")) == Decimal(5) * Decimal("0.8") ** era

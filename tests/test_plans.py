@@ -1,59 +1,139 @@
-"""Plan checks: no Python in the hot path, pruning reaches the scan."""
+"""Plan checks on whole job plans (nothing staged): no Python, pruning and
+bounds that reach the scan, few scans and exchanges."""
 
-import pytest
+import datetime as dt
+import re
 
-import __spark_entry__ as entry_module
+import pytest
 
-QUERIES = entry_module.queries()
+from daybook.plans.catalog import QUERIES
+from daybook.sources import ledgers as L
+from daybook.sources.schemas import FIELDS, read_for
+from daybook.streaming import Clock, open_days
 
 
-def _plan(df):
+def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_udf_and_no_cross_join(spark, sf_small, name):
-    plan = _plan(QUERIES[name](spark, sf_small))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
-        assert node not in plan
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+@pytest.fixture()
+def unstaged(spark):
+    """Jobs as one lazy plan, printed in full."""
+    spark.conf.set("daybook.stage", "none")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    yield
+    spark.conf.unset("daybook.stage")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+CHAIN_TABLES = {
+    "tron_stats": L.tron_blocks, "eos_stats": L.eos_blocks, "lisk_stats": L.lisk_trs, "nem_stats": L.nem_blocks,
+    "waves_stats": L.waves_blocks, "ripple_payment_stats": L.ripple_ledgers, "ripple_daily": L.ripple_ledgers,
+    "stellar_payment_stats": L.stellar_ledgers, "stellar_stats": L.stellar_ledgers, "cardano_stats": L.cardano_blocks,
+    "monero_stats": L.monero_blocks, "neo_stats": L.neo_blocks, "iota_stats": L.iota_txs, "eth_tx": L.eth_blocks,
+    "eth_actions": L.eth_blocks, "eth_contracts": L.eth_blocks, "eth_short_addrs": L.eth_blocks,
+    "eth_short_tx": L.eth_blocks, "etc_stats": L.etc_blocks, "eth_stats_traced": L.eth_blocks, "erc20_transfers": L.eth_blocks,
+}
+
+#: Most parquet scans and exchanges of a job's whole plan.
+LIMITS = {
+    "tron_stats": (5, 16), "eos_stats": (5, 16), "nem_stats": (4, 16), "ripple_daily": (9, 22), "iota_stats": (5, 18),
+    "eth_short_tx": (1, 3), "eth_short_addrs": (1, 2), "neo_stats": (14, 44), "erc20_transfers": (5, 18),
+}
+
+
+def job(name):
+    from daybook.plans import account, bundle, ethereum, ledger, tron, utxo
+
+    for module in (account, bundle, ethereum, ledger, tron, utxo):
+        if hasattr(module, name):
+            return getattr(module, name)
+
+
+def run(spark, name, raw):
+    if name == "erc20_transfers":
+        from daybook.sources.tokens import token_frame
+
+        return job(name)(raw, token_frame(spark))
+    return job(name)(raw)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf_small, tmp_path_factory):
+    """Raw chain tables as stored, each written once."""
+    root, paths = tmp_path_factory.mktemp("raw"), {}
+    for build in {id(b): b for b in CHAIN_TABLES.values()}.values():
+        paths[build] = f"{root}/{build.__name__}"
+        build(spark, sf_small).write.parquet(paths[build])
+    return paths
+
+
+@pytest.mark.parametrize("name", sorted(CHAIN_TABLES))
+def test_whole_plan(spark, stored, unstaged, name):
+    plan = plan_of(run(spark, name, read_for(spark, stored[CHAIN_TABLES[name]], name)))
+    for node in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
+    scans, exchanges = plan.count("FileScan parquet"), len(re.findall(r"\bExchange ", plan))
+    assert scans >= 1
+    if name in LIMITS:
+        assert scans <= LIMITS[name][0] and exchanges <= LIMITS[name][1], (scans, exchanges)
+    if name in ("nem_stats", "neo_stats", "erc20_transfers"):
+        assert "Expand" not in plan  # no distinct aggregates side by side
 
 
-def test_scan_reads_only_needed_columns(spark, sf_small):
-    plan = _plan(QUERIES["tron_stats"](spark, sf_small))
-    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "lineitem" in line]
-    assert scans
-    for line in scans:
-        assert "l_shipdate" not in line and "l_tax" not in line
+@pytest.mark.parametrize("name", sorted(CHAIN_TABLES))
+def test_read_schema_is_narrow(spark, stored, unstaged, name):
+    """The scan of a job reads no field outside its narrow schema."""
+    raw = read_for(spark, stored[CHAIN_TABLES[name]], name)
 
+    def names(tree):
+        return {n for n in tree} | {x for sub in tree.values() if sub for x in names(sub)}
 
-def test_refresh_filter_is_pushed(spark, sf_small):
-    import datetime as dt
+    allowed = names(FIELDS[name]) | {"array", "struct", "element"}
+    for schema in re.findall(r"ReadSchema: struct<(.*)>", plan_of(run(spark, name, raw))):
+        assert set(re.findall(r"([A-Za-z_0-9]+):", schema)) <= allowed
 
-    from pyspark.sql import functions as F
 
-    df = spark.read.parquet(f"{sf_small}/orders.parquet").where(F.col("o_orderdate") >= F.lit(dt.datetime(2000, 1, 1)))
-    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in _plan(df)
+def test_traced_jobs_never_read_logs(spark, stored, unstaged):
+    raw = read_for(spark, stored[L.eth_blocks], "eth_stats_traced")
+    assert "logs" not in plan_of(run(spark, "eth_stats_traced", raw))
+    raw = read_for(spark, stored[L.eth_blocks], "erc20_transfers")
+    assert not re.search(r"\bactions\b", plan_of(run(spark, "erc20_transfers", raw)))
 
 
-def test_narrow_read_schema_prunes_logs(spark, sf_small, scratch):
-    from daybook.plans import ethereum
-    from daybook.sources import ledgers as L
-    from daybook.sources.schemas import read_for
+CUT = dt.datetime(1998, 7, 1)
+BOUND = int((CUT - dt.datetime(1970, 1, 1)).total_seconds())
 
-    path = f"{scratch}/eth"
-    L.eth_blocks(spark, sf_small).write.parquet(path)
-    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
-    try:
-        narrow = _plan(ethereum.eth_tx(read_for(spark, path, "eth_tx")))
-        full = _plan(ethereum.eth_tx(spark.read.parquet(path)))
-    finally:
-        spark.conf.unset("spark.sql.maxMetadataStringLength")
-
-    def read_schemas(plan):
-        return [line.split("ReadSchema:", 1)[1] for line in plan.splitlines() if "ReadSchema:" in line]
-
-    assert read_schemas(narrow) and all("logs:array" not in r and ",actions:array" not in r for r in read_schemas(narrow))
-    # Without it the scan reads the nested log and trace payloads too.
-    assert any("logs:array" in r for r in read_schemas(full))
+
+def test_refresh_bound_reaches_the_scan(spark, stored, unstaged):
+    """The plan that refresh_days publishes holds a bound on the raw clock in each scan."""
+    from daybook.plans import ethereum, ledger, utxo
+
+    outputs = utxo.neo_outputs(read_for(spark, stored[L.neo_blocks], "neo_stats"))
+    cases = [
+        (lambda r, since=None: ledger.ripple_daily(r), L.ripple_ledgers, "ripple_daily", "closeTime"),
+        (lambda r, since=None: ethereum.eth_tx(r), L.eth_blocks, "eth_tx", "timestamp"),
+        (lambda r, since=None: utxo.neo_outputs(r), L.neo_blocks, "neo_stats", "time"),
+    ]
+    for fn, build, schema, clock in cases:
+        plan = plan_of(open_days(fn, read_for(spark, stored[build], schema), Clock(clock), CUT))
+        pushed = re.findall(r"PushedFilters: \[(.*?)\]", plan)
+        assert pushed and all(f"GreaterThanOrEqual({clock},{BOUND})" in p for p in pushed)
+    neo = plan_of(open_days(lambda r, since=None: utxo.neo_stats(r, since, outputs), read_for(spark, stored[L.neo_blocks], "neo_stats"), Clock("time"), CUT))
+    assert f"GreaterThanOrEqual(time,{BOUND})" in neo
+
+
+def test_refresh_prunes_day_partitions(spark, sf_small, unstaged, scratch):
+    from daybook.functions import day_of_seconds, day_text
+    from daybook.plans.ledger import ripple_daily
+
+    raw = f"{scratch}/ripple_raw"
+    L.ripple_ledgers(spark, sf_small).withColumn("day", day_text(day_of_seconds("closeTime"))).write.partitionBy("day").parquet(raw)
+    plan = plan_of(open_days(lambda r, since=None: ripple_daily(r), read_for(spark, raw, "ripple_daily"), Clock("closeTime"), CUT))
+    filters = re.findall(r"PartitionFilters: \[(.*?)\]", plan)
+    assert filters and all("day" in f and "1998-07-01" in f for f in filters)
+
+
+def test_fixture_scan_reads_only_needed_columns(spark, sf_small, unstaged):
+    scans = [line for line in plan_of(QUERIES["tron_stats"](spark, sf_small)).splitlines() if "FileScan parquet" in line and "lineitem" in line]
+    assert scans and all(len(re.findall("ReadSchema", line)) == 1 for line in scans)

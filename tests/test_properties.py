@@ -53,4 +53,6 @@ def test_fixture_exercises_edge_cases(spark, sf_small):
     assert eth.where(F.col("short_cnt") > 0).count() > 0
     assert QUERIES["cardano_stats"](spark, sf_small).where(F.col("short_volume") > 0).count() > 0
     assert QUERIES["ripple_payment_stats"](spark, sf_small).where(F.col("missing_block_cnt") > 0).count() > 0
-    assert QUERIES["erc20_transfers"](spark, sf_small).where(F.col("value").isNull() | (F.col("cnt") > 0)).count() > 0
+    tokens = QUERIES["erc20_transfers"](spark, sf_small)
+    assert tokens.where((F.col("overflow_cnt") > 0) & F.col("value").isNull() & F.col("value_text").isNotNull()).count() > 0
+    assert tokens.where((F.col("overflow_cnt") == 0) & F.col("value").isNotNull()).count() > 0

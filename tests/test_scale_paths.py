@@ -1,32 +1,13 @@
-"""Real datasets through their hot-group paths, checked against the oracles.
+"""Gap buckets made tiny, so that successors cross bucket borders constantly."""
 
-The median bound is lowered so that every day is a "hot" group taking the
-range-partitioned rank path, and the gap buckets are made tiny so that
-successors cross bucket borders constantly.
-"""
-
-import pytest
-
-import __spark_entry__ as entry_module
-from daybook.operators import gaps, quantile
+import oracle_sql
+from daybook.operators import gaps
+from daybook.plans.catalog import QUERIES
 from harness import compare, duck
 
 
-@pytest.fixture(scope="module")
-def con(sf_small):
-    return duck(sf_small)
-
-
-@pytest.mark.parametrize("name", ["tron_stats", "cardano_stats", "neo_stats", "erc20_transfers", "ripple_daily"])
-def test_ranked_median_path_matches_oracle(spark, sf_small, con, monkeypatch, name):
-    monkeypatch.setattr(quantile, "DEFAULT_MAX_GROUP_ROWS", 3)
-    df = entry_module.queries()[name](spark, sf_small)
-    ok, msg = compare(df, con, entry_module.oracle_sql()[name])
-    assert ok, msg
-
-
-def test_tiny_gap_buckets_match_oracle(spark, sf_small, con, monkeypatch):
+def test_tiny_gap_buckets_match_oracle(spark, sf_small, monkeypatch):
     monkeypatch.setattr(gaps, "DEFAULT_BUCKET_WIDTH", 16)
-    df = entry_module.queries()["ripple_payment_stats"](spark, sf_small)
-    ok, msg = compare(df, con, entry_module.oracle_sql()["ripple_payment_stats"])
+    df = QUERIES["ripple_payment_stats"](spark, sf_small)
+    ok, msg = compare(df, duck(sf_small), oracle_sql.oracle_sql()["ripple_payment_stats"])
     assert ok, msg
