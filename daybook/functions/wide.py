@@ -9,7 +9,7 @@ each sum of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -40,21 +40,36 @@ def carried(limbs: list[Column], size: int) -> list[Column]:
     return out
 
 
-def uint256_limbs(data: Column) -> list[Column]:
-    """1 to 32 big-endian bytes → 5 limbs; NULL for any other length."""
-    ok = F.octet_length(data).between(1, 32)
-    h = F.when(ok, F.lpad(F.hex(data), 70, "0"))  # five groups of 14 hex digits
-    groups = [F.conv(F.substring(h, 70 - _HEX * (g + 1) + 1, _HEX), 16, 10).cast(DecimalType(17, 0)) for g in range(5)]
-    raw = []
+def hex_groups(data: Column) -> list[Column]:
+    """1 to 32 big-endian bytes → 5 groups of 56 bits, least first; NULL for any other length."""
+    h = F.when(F.octet_length(data).between(1, 32), F.lpad(F.hex(data), 5 * _HEX, "0"))
+    return [F.conv(F.substring(h, _HEX * (4 - g) + 1, _HEX), 16, 10).cast(DecimalType(17, 0)) for g in range(5)]
+
+
+def group_limbs(groups: list[Column]) -> list[Column]:
+    """Groups of 56 bits → 5 limbs, not yet carried."""
+    out = []
     for j in range(5):
         part = F.lit(0).cast(_D38)
         for g, digits in enumerate(groups):
             factor = 16 ** (_HEX * g) // BASE**j % BASE
             if factor:
-                term = digits * F.lit(factor).cast(DecimalType(18, 0))
-                part = (part + term).cast(_D38)
-        raw.append(part)
-    return carried(raw, 5)
+                part = (part + digits * F.lit(factor).cast(DecimalType(18, 0))).cast(_D38)
+        out.append(F.when(groups[0].isNotNull(), part))
+    return out
+
+
+def uint256_limbs(df: DataFrame, data: str, names: list[str]) -> DataFrame:
+    """``df`` with the word in binary column ``data`` replaced by limbs ``names``.
+
+    Done in steps, each on the columns of the one before, so that no step
+    repeats the work of another.
+    """
+    keep = [c for c in df.columns if c != data]
+    groups, raw = [f"_g{k}" for k in range(5)], [f"_r{k}" for k in range(5)]
+    df = df.select(*keep, *[c.alias(n) for n, c in zip(groups, hex_groups(F.col(data)))])
+    df = df.select(*keep, *[c.alias(n) for n, c in zip(raw, group_limbs([F.col(g) for g in groups]))])
+    return df.select(*keep, *[c.alias(n) for n, c in zip(names, carried([F.col(r) for r in raw], 5))])
 
 
 def scaled_limbs(limbs: list[Column], decimals: Column) -> list[Column]:

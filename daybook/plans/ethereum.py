@@ -299,16 +299,17 @@ def erc20_transfer_rows(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
     logs = logs.where(F.get(F.col("log.topics"), 0) == F.unhex(F.lit(TRANSFER_TOPIC)))
     tok = tokens.select("contractAddress", "symbol", "decimals")
     j = logs.join(tok, logs["log.address"] == tok["contractAddress"])
-    raw = wide.uint256_limbs(F.col("log.data"))
     j = j.select(
         "date",
         "symbol",
         F.substring(F.get(F.col("log.topics"), 1), 13, 20).alias("from"),
         F.substring(F.get(F.col("log.topics"), 2), 13, 20).alias("to"),
         "decimals",
-        *[c.alias(f"r{k}") for k, c in enumerate(raw)],
+        F.col("log.data").alias("data"),
     )
-    scaled = wide.scaled_limbs([F.col(f"r{k}") for k in range(len(raw))], F.col("decimals"))
+    limbs = _limb_names("r", 5)
+    j = wide.uint256_limbs(j, "data", limbs)
+    scaled = wide.scaled_limbs([F.col(n) for n in limbs], F.col("decimals"))
     return j.select("date", "symbol", "from", "to", *[c.alias(n) for n, c in zip(AMOUNT, scaled)])
 
 

@@ -33,7 +33,9 @@ def test_int64_le(spark):
 def amount(spark, data_hex, decimals):
     """(digits, double) of a log's data in coins."""
     df = spark.createDataFrame([(bytearray.fromhex(data_hex), decimals)], "data binary, decimals int")
-    limbs = wide.scaled_limbs(wide.uint256_limbs(F.col("data")), F.col("decimals"))
+    names = [f"r{k}" for k in range(5)]
+    df = wide.uint256_limbs(df, "data", names)
+    limbs = wide.scaled_limbs([F.col(n) for n in names], F.col("decimals"))
     return tuple(df.select(wide.coins_text(limbs), wide.coins_double(limbs)).first())
 
 
