@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 
-from daybook.llm.prob_minhash import WordHashes, drop_near_dups, near_dup_classes, prob_minhash, probability_jaccard, shingle_tables
+from daybook.llm.prob_minhash import WordHashes, drop_near_dups, links_in_bucket, near_dup_classes, prob_minhash, probability_jaccard, shingle_tables
 
 
 def shingles(text, n=5):
@@ -77,6 +77,44 @@ def test_registers_agree_with_probability_jaccard():
         assert abs(agree - want) < 5 * (want * (1 - want) / size) ** 0.5 + 0.005
 
 
+def test_links_in_bucket_equal_all_pairs():
+    rng = random.Random(3)
+    for trial in range(40):
+        n, base, tables = rng.randint(2, 25), range(20), []
+        for _ in range(n):
+            own = {x: rng.choice([1, 1, 1, 2, 3]) if trial % 2 else 1 for x in base if rng.random() < 0.9}
+            own |= {100 + rng.randrange(30): 1 for _ in range(rng.randrange(4))}
+            keys = sorted(own) or [1]
+            tables.append((np.array(keys, dtype=np.uint64), np.array([own.get(k, 1) for k in keys], dtype=np.uint32)))
+        root = np.array([rng.randrange(n) for _ in range(n)])
+        first = np.array([trial % 3 > 0 or rng.random() < 0.5 for _ in range(n)])
+        got = {(int(i), int(j)) for a, b in links_in_bucket(tables, first, root, 0.8) for i, j in zip(a, b)}
+        pairs = [(i, j) for i in range(n) for j in range(n) if (i < j if first.all() else first[i] and not first[j])]
+        assert got == {(i, j) for i, j in pairs if root[i] != root[j] and probability_jaccard(*tables[i], *tables[j]) >= 0.8}
+
+
+def test_tiny_tiles_find_the_same_links(spark):
+    """Buckets cut into many tiles, and no delegates at all."""
+    from daybook.llm import prob_minhash as pm
+
+    rows = [(k, (t or "").lower().split()) for k, (_, t) in enumerate(corpus())]
+    rows = [(k, " ".join(w)) for k, w in rows if w]
+    h, n, owner = shingle_tables([t for _, t in rows], WordHashes())
+    keys = pm.band_keys(prob_minhash(h, n.astype(float), owner, len(rows), 144), 24, 6)
+    tables = spark.createDataFrame(
+        [(k, bytearray(h[owner == k].tobytes()), bytearray(n[owner == k].astype("<u4").tobytes())) for k in range(len(rows))],
+        "node long, shingles binary, counts binary",
+    )
+    members = spark.createDataFrame([(int(x), k) for k in range(len(rows)) for x in keys[k]], "key long, node long")
+    shared = members.groupBy("key").count().where("count > 1").select("key")
+    members = members.join(shared, "key")
+    none = spark.createDataFrame([], "node long, root long")
+    want = {(r.node, r.root) for r in pm.near_dup_links(members, tables, 0.8).collect()}
+    for tile_rows in (2048, 8):
+        links = pm.bucket_links(members, none, tables, 0.8, tile_rows)
+        assert {(r.node, r.root) for r in pm.connected_components(links).collect()} == want
+
+
 def corpus():
     rng = random.Random(7)
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
