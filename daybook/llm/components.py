@@ -8,6 +8,7 @@ executor costs one round at most.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def least_labels(n: int, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The least row reachable from each of n rows, within one task."""
+    label = np.arange(n)
+    changed = True
+    while changed:
+        before = label.copy()
+        for a, b in links:
+            low = np.minimum(label[a], label[b])
+            np.minimum.at(label, a, low)
+            np.minimum.at(label, b, low)
+        label = label[label]
+        changed = bool((label != before).any())
+    return label

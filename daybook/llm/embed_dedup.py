@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import batch_rows, frozen
-from daybook.llm.components import connected_components
+from daybook.llm.components import connected_components, least_labels
 
 THRESHOLD = 0.98
 TILE_ROWS = 2048
@@ -85,21 +85,6 @@ def links_between(x: np.ndarray, y: np.ndarray, same: bool, threshold: float):
                 yield a[sure], b[sure]
 
 
-def least_labels(n: int, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The least row reachable from each of n rows."""
-    label = np.arange(n)
-    changed = True
-    while changed:
-        before = label.copy()
-        for a, b in links:
-            low = np.minimum(label[a], label[b])
-            np.minimum.at(label, a, low)
-            np.minimum.at(label, b, low)
-        label = label[label]
-        changed = bool((label != before).any())
-    return label
-
-
 def _tile_pair(threshold: float):
     def work(rows: pa.Table) -> pa.Table:
         first = rows["_first"].to_numpy(zero_copy_only=False)

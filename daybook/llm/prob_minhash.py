@@ -18,9 +18,11 @@ which is the plain Jaccard index of the shingle sets where no shingle repeats.
 
 Equal texts become one node first.  A bucket never yields all its pairs: each
 node is compared with one delegate, links are joined into components, and only
-members of different components are compared further, first through delegates
-(``STARS`` rounds), then all remaining pairs of a bucket that lie in different
-components.  So no link that could change a class is lost.
+buckets with several components are looked at further, first through
+delegates (``STARS`` rounds), then by tiles of up to ``TILE_ROWS`` members:
+one task compares all members of different components in a pair of tiles and
+returns a spanning forest of the links it finds, never the pairs.  So no link
+that could change a class is lost.
 
 Words are runs of letters, marks and digits in lower case.
 
@@ -36,16 +38,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Columns, frozen, kind_of, map_columns, text_or_empty
-from daybook.llm.components import connected_components
+from daybook.llm.common import Columns, batch_rows, frozen, kind_of, map_columns, text_or_empty
+from daybook.llm.components import connected_components, least_labels
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 6
 STARS = 2
+TILE_ROWS = 2048
+#: Shingles in one incidence block of a tile.
+COLUMNS = 4096
 REMEMBERED = 300_000
 
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -213,23 +219,82 @@ def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
 
 
-def _next_pairs(members: DataFrame, roots: DataFrame, all_left: bool) -> DataFrame:
-    """Pairs (a, b) of nodes that share a bucket and lie in different components.
-
-    By delegates: the least node of each component in a bucket with that of
-    the bucket's largest one.  ``all_left``: every node outside the largest
-    component with every node of another component.
-    """
+def _split_buckets(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The components (key, root, delegate) in each bucket, and the largest
+    one (key, main_root, main_delegate) of those with several."""
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     parts = placed.groupBy("key", "root").agg(F.min("node").alias("delegate"), F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("key").agg(F.max(F.struct("n", "root", "delegate")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    main = main.select("key", F.col("main.root").alias("main_root"), F.col("main.delegate").alias("main_delegate"))
-    if not all_left:
-        return parts.join(main, "key").where("root != main_root").select(*_ordered(F.col("delegate"), F.col("main_delegate"))).distinct()
-    split = frozen(placed.join(main, "key"))
-    outside = split.where("root != main_root").select("key", F.col("node").alias("x"), F.col("root").alias("x_root"))
-    apart = (F.col("x_root") != F.col("root")) & ((F.col("root") == F.col("main_root")) | (F.col("x") < F.col("node")))
-    return outside.join(split, "key").where(apart).select(*_ordered(F.col("x"), F.col("node"))).distinct()
+    return parts, main.select("key", F.col("main.root").alias("main_root"), F.col("main.delegate").alias("main_delegate"))
+
+
+def _delegate_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b): the least node of each component in a bucket with that of the largest one."""
+    parts, main = _split_buckets(members, roots)
+    return parts.join(main, "key").where("root != main_root").select(*_ordered(F.col("delegate"), F.col("main_delegate"))).distinct()
+
+
+def links_in_bucket(tables: list[tuple[np.ndarray, np.ndarray]], first: np.ndarray, root: np.ndarray, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j) at or above the threshold whose roots differ: all of
+    one tile's where all are ``first``, else those between the two tiles.
+
+    Shared shingles are counted by products of incidence blocks.  Without
+    repeated shingles these counts give J itself.  With some,
+    J <= min(share of a, share of b) that lies in shared shingles says which
+    pairs to compute in full.
+    """
+    n = len(tables)
+    sizes = np.array([len(s) for s, _ in tables])
+    owner = np.repeat(np.arange(n), sizes)
+    _, shingle, often = np.unique(np.concatenate([s for s, _ in tables]), return_inverse=True, return_counts=True)
+    weight = np.concatenate([c / c.sum() for _, c in tables])
+    plain = np.array([c.max(initial=1) == 1 for _, c in tables])
+    shared = often[shingle] > 1
+    column = np.cumsum(often > 1)[shingle[shared]] - 1
+    row, weight = owner[shared], weight[shared]
+    order = np.argsort(column, kind="stable")
+    column, row, weight = column[order], row[order], weight[order]
+    part = np.zeros((n, n), dtype=np.float32)  # part[i, j]: the share of i's weight in shingles that j has too
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        i, j = np.searchsorted(column, [low, low + COLUMNS])
+        has, of = np.zeros((n, COLUMNS), dtype=np.float32), np.zeros((n, COLUMNS), dtype=np.float32)
+        has[row[i:j], column[i:j] - low] = 1
+        of[row[i:j], column[i:j] - low] = weight[i:j]
+        part += of @ has.T
+    bound = (np.minimum(part, part.T) >= threshold - 1e-4) & (root[:, None] != root[None, :])
+    if first.all():  # a tile with itself
+        bound = np.triu(bound, 1)
+    else:
+        bound &= first[:, None] & ~first[None, :]
+    i, j = np.nonzero(bound)
+    common = np.rint(part[i, j] * sizes[i])
+    sure = common / (sizes[i] + sizes[j] - common) >= threshold
+    for k in np.flatnonzero(~(plain[i] & plain[j])):
+        sure[k] = probability_jaccard(*tables[i[k]], *tables[j[k]]) >= threshold
+    return [(i[sure], j[sure])]
+
+
+def bucket_links(members: DataFrame, roots: DataFrame, tables: DataFrame, threshold: float, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(a, b): links between different components of a bucket, a spanning
+    forest of them for each pair of a bucket's tiles."""
+    _, main = _split_buckets(members, roots)
+    split = members.join(main.select("key"), "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = frozen(split.select("key", "node", "root"))
+    tiles = split.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("tiles"))
+    dealt = split.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    paired = paired.select("key", "node", "root", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"), (F.col("tile") <= F.col("other")).alias("first"))
+
+    def work(group: pa.Table) -> pa.Table:
+        node, root, first = (group[k].to_numpy(zero_copy_only=False) for k in ("node", "root", "first"))
+        own = [(np.frombuffer(s.as_py(), "<u8"), np.frombuffer(c.as_py(), "<u4")) for s, c in zip(group["shingles"], group["counts"])]
+        links = links_in_bucket(own, first, root, threshold)
+        least = least_labels(len(node), links)
+        moved = np.flatnonzero(least != np.arange(len(node)))
+        return pa.table({"a": pa.array(node[moved], pa.int64()), "b": pa.array(node[least[moved]], pa.int64())})
+
+    rows = batch_rows(paired.join(tables, "node"))
+    return frozen(rows.groupBy("key", "x", "y").applyInArrow(work, "a long, b long"))
 
 
 def near_dup_links(members: DataFrame, tables: DataFrame, threshold: float, stars: int = STARS) -> DataFrame:
@@ -238,12 +303,15 @@ def near_dup_links(members: DataFrame, tables: DataFrame, threshold: float, star
     first = members.join(least, "key").groupBy("node").agg(F.min("b").alias("b")).where("b < node")
     checked = frozen(first.select(F.col("node").alias("a"), "b"))
     roots = connected_components(verified(checked, tables, threshold))
-    for all_left in [False] * stars + [True]:
-        pairs = frozen(_next_pairs(members, roots, all_left).join(checked, ["a", "b"], "left_anti"))
-        links = verified(pairs, tables, threshold)
+    for step in range(stars + 1):
+        if step < stars:
+            pairs = frozen(_delegate_pairs(members, roots).join(checked, ["a", "b"], "left_anti"))
+            links = verified(pairs, tables, threshold)
+            checked = checked.union(pairs)
+        else:
+            links = bucket_links(members, roots, tables, threshold)
         if not links.isEmpty():
             roots = connected_components(roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
-        checked = checked.union(pairs)
     return roots
 
 
