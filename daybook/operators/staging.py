@@ -35,16 +35,20 @@ CONF_KEY = "daybook.stage"
 _staged: list[tuple[str, str]] = []
 
 
-def frozen(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and read it back."""
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/daybook-stage/{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder's path under the checkpoint folder, removed like a staged one."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/daybook-stage/{uuid.uuid4().hex}"
     if not _staged:
         atexit.register(_at_exit)
     _staged.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def frozen(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the checkpoint folder and read it back."""
+    path = scratch_path(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def stage(df: DataFrame) -> DataFrame:

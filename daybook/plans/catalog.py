@@ -93,16 +93,13 @@ def _sync(spark, d):
 
 def _published(early, raw, job, clock, fresh_only: bool = False):
     """Publish the rows before the open days, refresh, return what is published then."""
-    import uuid
-
-    from daybook.session import ensure_checkpoint_dir
+    from daybook.operators.staging import scratch_path
     from daybook.streaming import publish, read_published, refresh_days
 
-    spark = raw.sparkSession
-    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/daybook-published/{uuid.uuid4().hex}"
+    target = scratch_path(raw.sparkSession)
     publish(job(early, None), target)
     begin = refresh_days(job, raw, target, clock=clock)
-    out = read_published(spark, target)
+    out = read_published(raw.sparkSession, target)
     return out.where(F.col("date") >= F.lit(begin)) if fresh_only else out
 
 
