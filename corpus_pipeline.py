@@ -10,8 +10,6 @@ empty table passes through every stage.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm.common import table
@@ -20,7 +18,7 @@ from daybook.llm.language_id import keep_known_language
 from daybook.llm.packing import best_fit_packing
 from daybook.llm.prob_minhash import drop_near_dups
 from daybook.llm.toxicity import drop_toxic
-from daybook.session import ensure_checkpoint_dir
+from daybook.operators.staging import scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
+    root = scratch_path(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{k}_{name}")
