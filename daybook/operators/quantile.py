@@ -15,7 +15,7 @@ group together:
    middle ranks are looked up in their running count.
 
 A hot day thus spreads over all tasks in pass 1 and is cut to about 1% of its
-value range in pass 2.  No action runs on the way.
+value range in pass 2.
 """
 
 from __future__ import annotations
@@ -63,26 +63,47 @@ def exact_medians(df: DataFrame, keys: Sequence[str], values: dict, *, stage_inp
     base = df.select(*keys, *[c.alias(f"_m{i}") for i, c in enumerate(cols)])
     if stage_input:
         base = stage(base)
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_m{i}").alias("v")) for i in range(len(cols))]))
-    rows = base.select(*keys, each.alias("_e")).select(*keys, F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
+    if len(cols) > 1:
+        each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_m{i}").alias("v")) for i in range(len(cols))]))
+        rows = base.select(*keys, each.alias("_e")).select(*keys, F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
+    else:
+        rows = base.select(*keys, F.lit(0).alias("_i"), F.col("_m0").alias("_v"))
     rows = rows.where(F.col("_v").isNotNull()).withColumn("_b", _bucket(F.col("_v")))
 
-    # NULL keys are groups too: joins below compare a packed key that is never NULL.
-    rows = rows.withColumn("_k", F.struct(*keys, "_i"))
-    group = Window.partitionBy("_k")
-    counts = rows.groupBy("_k", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    names = [*keys, "_i"]
+    group = Window.partitionBy(*names)
+    counts = rows.groupBy(*names, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_all", F.sum("_n").over(group))
-    ranks = F.array_distinct(F.array(F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)))
-    inside = F.filter(ranks, lambda r: (r >= F.col("_off")) & (r < F.col("_off") + F.col("_n")))
-    targets = counts.select("_k", "_b", F.transform(inside, lambda r: r - F.col("_off")).alias("_ranks")).where(F.size("_ranks") > 0)
 
-    near = rows.select("_k", "_b", "_v").join(targets, ["_k", "_b"]).groupBy("_k", "_b", "_v").agg(
-        F.count(F.lit(1)).alias("_n"), F.first("_ranks").alias("_ranks")
+    def inside(rank: Column) -> Column:
+        """The rank within the bucket, NULL in other buckets."""
+        return F.when((rank >= F.col("_off")) & (rank < F.col("_off") + F.col("_n")), rank - F.col("_off"))
+
+    targets = counts.select(
+        *[F.col(n).alias(f"_t{n}") for n in names],
+        F.col("_b").alias("_tb"),
+        inside(F.floor((F.col("_all") - 1) / 2)).alias("_lo"),
+        inside(F.floor(F.col("_all") / 2)).alias("_hi"),
+    ).where("_lo IS NOT NULL OR _hi IS NOT NULL")
+    # Stored, so that the planner knows how small it is before it plans the second pass:
+    # at most two rows a group and column, which it may send to the rows.
+    targets = stage(targets)
+
+    same = rows["_b"] == targets["_tb"]
+    for n in names:  # NULL keys are groups too
+        same = same & rows[n].eqNullSafe(targets[f"_t{n}"])
+    near = rows.join(targets, same).groupBy(*names, "_b", "_v").agg(
+        F.count(F.lit(1)).alias("_n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi")
     )
-    running = Window.partitionBy("_k", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy(*names, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     near = near.withColumn("_end", F.sum("_n").over(running))
-    hit = F.exists("_ranks", lambda r: (r >= F.col("_end") - F.col("_n")) & (r < F.col("_end")))
-    found = near.where(hit).groupBy("_k").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    per = found.select("_k.*", _middle(F.col("_lo"), F.col("_hi")).alias("_median"))
+
+    def here(rank: str) -> Column:
+        return (F.col(rank) >= F.col("_end") - F.col("_n")) & (F.col(rank) < F.col("_end"))
+
+    found = near.where(here("_lo") | here("_hi")).groupBy(*names).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    per = found.select(*names, _middle(F.col("_lo"), F.col("_hi")).alias("_median"))
+    if len(cols) == 1:
+        return per.select(*keys, F.col("_median").alias(next(iter(values))))
     return per.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_median"))).alias(n) for i, n in enumerate(values)])

@@ -339,34 +339,33 @@ def erc20_transfers(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
     # of its own for the sums, as in a window, and is not counted.
     sides = F.explode(F.array(F.struct(F.col("from").alias("a"), F.lit(1).alias("f")), F.struct(F.col("to").alias("a"), F.lit(0).alias("f"))))
     rows = t.select(*keys, *AMOUNT, sides.alias("_s")).select(*keys, *AMOUNT, "_s.a", "_s.f")
+    per = rows.groupBy(*keys, "a", "f").agg(*[F.sum(units(n)).alias(f"_s{k}") for k, n in enumerate(AMOUNT)])
+
+    def total(prefix: str):
+        limbs = wide.carried([F.col(f"{prefix}{k}") for k in range(wide.AMOUNT_LIMBS)], wide.SUM_LIMBS)
+        return [c.alias(f"V{k}") for k, c in enumerate(limbs)]
+
+    number = [F.col(f"V{k}") for k in range(wide.SUM_LIMBS)]
+    per = per.select(*keys, "a", "f", *total("_s")).select(*keys, "a", "f", wide.ranked(number).alias("_sum"))
     sent = F.col("f") == 1
-    per = rows.groupBy(*keys, "a").agg(
+    per = per.groupBy(*keys, "a").agg(
         F.max("f").alias("f"),
         F.max(1 - F.col("f")).alias("t"),
-        *[F.sum(F.when(sent, units(n))).alias(f"f{k}") for k, n in enumerate(AMOUNT)],
-        *[F.sum(F.when(~sent, units(n))).alias(f"t{k}") for k, n in enumerate(AMOUNT)],
+        F.max(F.when(sent, F.col("_sum"))).alias("_from"),
+        F.max(F.when(~sent, F.col("_sum"))).alias("_to"),
     )
     known = F.col("a").isNotNull()
-
-    def total(prefix: str, to: str):
-        limbs = wide.carried([F.col(f"{prefix}{k}") for k in range(wide.AMOUNT_LIMBS)], wide.SUM_LIMBS)
-        return [c.alias(f"{to}{k}") for k, c in enumerate(limbs)]
-
-    def number(prefix: str):
-        return [F.col(f"{prefix}{k}") for k in range(wide.SUM_LIMBS)]
-
-    per = per.select(*keys, "a", "f", "t", *total("f", "F"), *total("t", "T"))
     addr = per.groupBy(*keys).agg(
-        F.max(wide.ranked(number("F"))).alias("_from"),
-        F.max(wide.ranked(number("T"))).alias("_to"),
+        F.max("_from").alias("_from"),
+        F.max("_to").alias("_to"),
         F.sum(F.when(known, F.col("f")).otherwise(0)).cast("long").alias("from_cnt"),
         F.sum(F.when(known, F.col("t")).otherwise(0)).cast("long").alias("to_cnt"),
         F.count("a").alias("addr_cnt"),
     )
     counts = ["cnt", "med_value", "from_cnt", "to_cnt", "addr_cnt", "overflow_cnt", "malformed_cnt"]
-    out = stitch(stats, med, addr, on=keys).select(*keys, *counts, "_max", "_from", "_to", *total("_s", "V"))
+    out = stitch(stats, med, addr, on=keys).select(*keys, *counts, "_max", "_from", "_to", *total("_s"))
     exact = {
-        "value": number("V"),
+        "value": number,
         "max_value": wide.unranked(F.col("_max"), wide.AMOUNT_LIMBS),
         "max_sum_from_value": wide.unranked(F.col("_from"), wide.SUM_LIMBS),
         "max_sum_to_value": wide.unranked(F.col("_to"), wide.SUM_LIMBS),
