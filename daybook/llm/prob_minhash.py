@@ -52,7 +52,7 @@ STARS = 2
 TILE_ROWS = 2048
 #: Shingles in one incidence block of a tile.
 COLUMNS = 4096
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1

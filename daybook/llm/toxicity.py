@@ -48,7 +48,7 @@ STEPS, RATE = 400, 0.05
 DECAY = 0.3
 SEED = 6
 #: Words whose pieces a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 WORD = re.compile(r"\w+")
 
