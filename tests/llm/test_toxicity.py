@@ -35,7 +35,7 @@ def made(spark):
             for w in rng.choice(["vilezor", "grumpox", "snarlyk"], rng.integers(1, 4)):
                 words[rng.integers(len(words))] = str(w)
         docs.append((k, " ".join(words), "x"))
-        if k % 2 == 0 or k % 3 == 0:
+        if (k // 8) % 3 < 2:  # labelled whether toxic or not, so that labels show the prior
             labels.append((k, int(bad), "x"))
     docs += [(5000, None, "x"), (5001, "", "x"), (None, "no id", "x"), (5002, "vilezor " * 20_000, "x"), (3, docs[3][1], "x")]
     labels += [(0, None, "x"), (8, 0, "x"), (None, 1, "x"), (9999, 1, "x")]
