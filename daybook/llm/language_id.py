@@ -4,9 +4,11 @@ For each language a bounded sample of labelled text becomes a suffix
 automaton.  A text is cross-parsed against it: from each position the longest
 match with the sample is one phrase, the next phrase begins after it (a
 character the sample lacks is a phrase of its own).  A phrase costs
-log2(sample length) bits, the pointer that would encode it; the language that
-needs the fewest bits wins, ties go to the alphabetically first.  The score
-is 2**-bits of the winner over the sum for all languages.
+log2(sample length) bits, the pointer that would encode it, and ``LENGTH_BITS``
+for its length; a character the sample lacks costs as much as a phrase of the
+longest sample of all, so that a short sample gains nothing by lacking it.  The
+language that needs the fewest bits wins, ties go to the alphabetically first.
+The score is 2**-bits of the winner over the sum for all languages.
 
 Whole texts are parsed, in blocks of ``BLOCK`` characters that begin a new
 phrase each: all blocks of a batch step through the automaton together, one
@@ -18,7 +20,7 @@ drawn by a hash of their id, all others are only counted.
 
 Cases: a null text, or one without any letter, is ``und`` with score 0; with
 no labelled row at all every text is ``und``; rows with null lang or null
-doc_id teach nothing but are predicted; repeated rows are predicted alike;
+doc_id, and texts without any letter, teach nothing but are predicted; repeated rows are predicted alike;
 further columns are ignored; an empty table gives an empty result.
 """
 
@@ -43,6 +45,8 @@ DOCS, DOC_CHARS, LANGUAGES = 64, 512, 64
 SYMBOLS = 126
 #: Characters parsed as one run; bounds the steps of a batch.
 BLOCK = 512
+#: Bits for the length of a phrase, the same for all languages.
+LENGTH_BITS = 4
 #: Characters that one table of the code point lookup covers (all of Unicode).
 CODE_POINTS = 0x110000
 PAD = 0
@@ -110,7 +114,9 @@ class CrossParser:
             self.symbol_of[ord(c)] = s
         self.alphabet = 2 + len(known)
         self.languages = [lang for lang, _ in samples]
-        self.cost = np.array([math.log2(max(2, len(text))) for _, text in samples])
+        pointers = [math.log2(max(2, len(text))) for _, text in samples]
+        self.cost = np.array(pointers) + LENGTH_BITS
+        self.literal = max(pointers, default=0.0) + LENGTH_BITS
         self.tables = [SuffixAutomaton(bytes(known[c] for c in text if c in known), self.alphabet).table.ravel() for _, text in samples]
 
     def symbols(self, text: str) -> np.ndarray:
@@ -118,6 +124,10 @@ class CrossParser:
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrase counts, a row per text and a column per language."""
+        return self.parse(texts)[0]
+
+    def parse(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of all phrases and of those that are a character the sample lacks."""
         codes = [self.symbols(t) for t in texts]
         blocks = np.array([-(-len(c) // BLOCK) for c in codes], dtype=np.int64)
         first = np.concatenate(([0], np.cumsum(blocks)))
@@ -125,14 +135,16 @@ class CrossParser:
         for c, at in zip(codes, first):
             flat[at * BLOCK : at * BLOCK + len(c)] = c
         steps = np.ascontiguousarray(flat.reshape(-1, BLOCK).T)
-        out = np.zeros((len(texts), len(self.tables)))
+        out = np.zeros((2, len(texts), len(self.tables)))
         owner = np.repeat(np.arange(len(texts)), blocks)
         for k, table in enumerate(self.tables):
-            out[:, k] = np.bincount(owner, weights=self._parse(steps, table), minlength=len(texts))
-        return out
+            for n, counts in enumerate(self._parse(steps, table)):
+                out[n, :, k] = np.bincount(owner, weights=counts, minlength=len(texts))
+        return out[0], out[1]
 
-    def _parse(self, steps: np.ndarray, table: np.ndarray) -> np.ndarray:
+    def _parse(self, steps: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts = np.zeros(steps.shape[1], dtype=np.int64)
+        lacking = np.zeros(steps.shape[1], dtype=np.int64)
         state = np.zeros(steps.shape[1], dtype=np.int64)
         root = table[: self.alphabet]
         for symbols in steps:
@@ -140,13 +152,19 @@ class CrossParser:
             fresh = (to == 0) | (state == 0)
             starts += fresh & (symbols != PAD)
             state = np.where(to == 0, root.take(symbols), to).astype(np.int64)
-        return starts
+            lacking += (state == 0) & (symbols != PAD)
+        return starts, lacking
+
+    def bits(self, texts: list[str]) -> np.ndarray:
+        """Bits that each language needs, a row per text and a column per language."""
+        phrases, lacking = self.parse(texts)
+        return (phrases - lacking) * self.cost + lacking * self.literal
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if not self.languages:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
         given = [t or "" for t in texts]
-        bits = self.phrases(given) * self.cost
+        bits = self.bits(given)
         best = bits.argmin(axis=1)
         share = 1.0 / np.exp2(-np.minimum(bits - bits.min(axis=1, keepdims=True), 1000.0)).sum(axis=1)
         spoken = [any(map(str.isalpha, t)) for t in given]
@@ -168,7 +186,7 @@ def drawn(rate: Column | float, seed: int, doc_id: str = "doc_id") -> Column:
 
 def language_samples(docs: DataFrame, docs_per_language: int = DOCS, doc_chars: int = DOC_CHARS, languages: int = LANGUAGES) -> tuple[tuple[str, str], ...]:
     """(lang, sample text) for each learned language; at most docs_per_language x doc_chars characters each."""
-    labelled = docs.where(learns_from("doc_id") & F.col("lang").isNotNull())
+    labelled = docs.where(learns_from("doc_id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
     if not counts:
         return ()
@@ -178,7 +196,6 @@ def language_samples(docs: DataFrame, docs_per_language: int = DOCS, doc_chars:
     rows = (
         labelled.where(drawn(rate, SEED))
         .select("lang", "doc_id", F.substring("text", 1, doc_chars).alias("text"))
-        .where("text IS NOT NULL")
         .collect()  # about 3 x docs_per_language x languages rows of doc_chars characters
     )
     own: dict[str, list[tuple[int, str]]] = {lang: [] for lang in counts}

@@ -67,3 +67,25 @@ def test_edges(edge_docs, no_docs, edge_rows):
     kept = keep_known_language(edge_docs)
     assert kept.columns == edge_docs.columns and kept.count() == len(edge_rows) - 5
     assert identify_language(no_docs).count() == 0 and keep_known_language(no_docs).count() == 0
+
+
+def languages_of(seed: int, letters: str, n: int) -> str:
+    """n words of 2 to 6 letters, drawn from 200 words, the first ones more often."""
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list(letters), rng.integers(2, 7))) for _ in range(200)]
+    return " ".join(words[min(199, int(k))] for k in rng.exponential(40, n))
+
+
+def test_a_tiny_sample_wins_no_other_language():
+    en, fr = languages_of(1, "abcdefghijklmnop", 6000), languages_of(2, "abcdefghijklmnop", 6000)
+    texts = [en[k : k + 300] for k in range(20_000, 23_000, 300)] + [fr[k : k + 300] for k in range(20_000, 23_000, 300)]
+    for tiny in ("ok", "a", "abc def ghi jkl mno p abcde"):
+        parser = CrossParser((("en", en[:20_000]), ("fr", fr[:20_000]), ("rare", tiny)))
+        assert parser.predict(texts)[0] == ["en"] * 10 + ["fr"] * 10
+
+
+def test_rows_without_letters_teach_nothing(spark):
+    rows = [(k, languages_of(1, "abcdefgh", 50), "en") for k in range(40)] + [(k, text, "rare") for k, text in enumerate(["", " ", "12", None] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert [lang for lang, _ in language_samples(docs)] == ["en"]
+    assert {r.lang_pred for r in identify_language(docs).where("score > 0").collect()} == {"en"}
