@@ -12,7 +12,8 @@ The score is 2**-bits of the winner over the sum for all languages.
 
 Whole texts are parsed, in blocks of ``BLOCK`` characters that begin a new
 phrase each: all blocks of a batch step through the automaton together, one
-numpy gather a character and language.
+hash lookup in numpy a character and language.  Every character of the samples
+has a symbol.
 
 The fit is bounded: ``DOCS`` documents a language, the first ``DOC_CHARS``
 characters of each, for the ``LANGUAGES`` most frequent labels; documents are
@@ -20,16 +21,17 @@ drawn by a hash of their id, all others are only counted.
 
 Cases: a null text, or one without any letter, is ``und`` with score 0; with
 no labelled row at all every text is ``und``; rows with null lang or null
-doc_id, and texts without any letter, teach nothing but are predicted; repeated rows are predicted alike;
-further columns are ignored; an empty table gives an empty result.
+doc_id, and texts without any letter, teach nothing but are predicted;
+repeated rows are predicted alike; further columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,6 @@ from daybook.llm.common import Columns, batch_rows, kind_of, learns_from, map_co
 UNDETERMINED = "und"
 #: Bounds of the fit.
 DOCS, DOC_CHARS, LANGUAGES = 64, 512, 64
-#: Frequent characters of the samples that get a symbol; others match nothing.
-SYMBOLS = 126
 #: Characters parsed as one run; bounds the steps of a batch.
 BLOCK = 512
 #: Bits for the length of a phrase, the same for all languages.
@@ -51,16 +51,18 @@ LENGTH_BITS = 4
 CODE_POINTS = 0x110000
 PAD = 0
 SEED = 5
+#: Odd multiplier of the hash of transitions.
+HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
 class SuffixAutomaton:
-    """Transitions of the suffix automaton of a symbol string, as a dense table.
+    """Transitions of the suffix automaton of a symbol string, as an open hash table.
 
-    Row 0 is the root; as no transition leads back to the root, 0 means none.
+    State 0 is the root; as no transition leads back to the root, 0 means none.
+    The table takes space by transition, so any alphabet fits.
     """
 
-    def __init__(self, symbols: bytes, alphabet: int):
-        table = np.zeros((2 * len(symbols) + 2, alphabet), dtype=np.int32)
+    def __init__(self, symbols: list[int], alphabet: int):
         link, length, last, states = [-1], [0], 0, 1
         edges: list[dict[int, int]] = [{}]
         for s in symbols:
@@ -88,10 +90,47 @@ class SuffixAutomaton:
                         edges[at][s] = copy
                         at = link[at]
             last = now
-        for state, own in enumerate(edges):
-            for s, to in own.items():
-                table[state, s] = to
-        self.table = np.ascontiguousarray(table[:states])
+        self.alphabet = alphabet
+        self.root = np.zeros(alphabet, dtype=np.int64)
+        for s, to in edges[0].items():
+            self.root[s] = to
+        n = sum(map(len, edges))
+        own = np.repeat(np.arange(states, dtype=np.int64), [len(e) for e in edges])
+        keys = own * alphabet + np.fromiter(chain.from_iterable(edges), np.int64, n)
+        targets = np.fromiter(chain.from_iterable(e.values() for e in edges), np.int64, n)
+        bits = max(4, (2 * n).bit_length())  # a quarter to half of the slots are taken
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, dtype=np.int64)
+        self.targets = np.zeros(1 << bits, dtype=np.int32)
+        slots = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slots] < 0)
+            _, first = np.unique(slots[free], return_index=True)
+            first = free[first]
+            self.keys[slots[first]], self.targets[slots[first]] = keys[first], targets[first]
+            rest = np.ones(len(keys), dtype=bool)
+            rest[first] = False
+            keys, targets, slots = keys[rest], targets[rest], (slots[rest] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * HASH) >> self.shift).view(np.int64)
+
+    def step(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The state after each symbol, 0 where there is none."""
+        keys = state * self.alphabet + symbols
+        slots = self._slots(keys)
+        found = self.keys.take(slots)
+        to = np.where(found == keys, self.targets.take(slots), 0).astype(np.int64)
+        left = np.flatnonzero((found != keys) & (found >= 0))
+        slots, keys = slots.take(left), keys.take(left)
+        while len(left):  # next slots, for those that met another key
+            slots = (slots + 1) & self.mask
+            found = self.keys.take(slots)
+            hit = found == keys
+            to[left[hit]] = self.targets.take(slots[hit])
+            more = ~hit & (found >= 0)
+            left, slots, keys = left[more], slots[more], keys[more]
+        return to
 
 
 def plain(text: str) -> str:
@@ -102,22 +141,19 @@ def plain(text: str) -> str:
 class CrossParser:
     """Automata of all languages over one alphabet."""
 
-    def __init__(self, samples: tuple[tuple[str, str], ...], symbols: int = SYMBOLS):
+    def __init__(self, samples: tuple[tuple[str, str], ...]):
         samples = tuple((lang, plain(text)) for lang, text in sorted(samples))
-        frequent = Counter()
-        for _, text in samples:
-            frequent.update(text)
-        # symbol 0 pads, 1 is any other character; neither has transitions
-        known = {c: 2 + k for k, (c, _) in enumerate(sorted(frequent.items(), key=lambda x: (-x[1], x[0]))[:symbols])}
-        self.symbol_of = np.ones(CODE_POINTS, dtype=np.uint8)
+        # symbol 0 pads, 1 is a character that no sample has; neither has transitions
+        known = {c: 2 + k for k, c in enumerate(sorted(set().union(*(text for _, text in samples))))}
+        self.symbol_of = np.ones(CODE_POINTS, dtype=np.int32)
         for c, s in known.items():
             self.symbol_of[ord(c)] = s
-        self.alphabet = 2 + len(known)
+        alphabet = 2 + len(known)
         self.languages = [lang for lang, _ in samples]
         pointers = [math.log2(max(2, len(text))) for _, text in samples]
         self.cost = np.array(pointers) + LENGTH_BITS
         self.literal = max(pointers, default=0.0) + LENGTH_BITS
-        self.tables = [SuffixAutomaton(bytes(known[c] for c in text if c in known), self.alphabet).table.ravel() for _, text in samples]
+        self.automata = [SuffixAutomaton([known[c] for c in text], alphabet) for _, text in samples]
 
     def symbols(self, text: str) -> np.ndarray:
         return self.symbol_of[np.frombuffer(plain(text).encode("utf-32-le", "replace"), dtype=np.uint32)]
@@ -131,28 +167,27 @@ class CrossParser:
         codes = [self.symbols(t) for t in texts]
         blocks = np.array([-(-len(c) // BLOCK) for c in codes], dtype=np.int64)
         first = np.concatenate(([0], np.cumsum(blocks)))
-        flat = np.full(int(first[-1]) * BLOCK, PAD, dtype=np.uint8)
+        flat = np.full(int(first[-1]) * BLOCK, PAD, dtype=np.int32)
         for c, at in zip(codes, first):
             flat[at * BLOCK : at * BLOCK + len(c)] = c
         steps = np.ascontiguousarray(flat.reshape(-1, BLOCK).T)
-        out = np.zeros((2, len(texts), len(self.tables)))
+        out = np.zeros((2, len(texts), len(self.automata)))
         owner = np.repeat(np.arange(len(texts)), blocks)
-        for k, table in enumerate(self.tables):
-            for n, counts in enumerate(self._parse(steps, table)):
+        for k, automaton in enumerate(self.automata):
+            for n, counts in enumerate(self._parse(steps, automaton)):
                 out[n, :, k] = np.bincount(owner, weights=counts, minlength=len(texts))
         return out[0], out[1]
 
-    def _parse(self, steps: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _parse(self, steps: np.ndarray, automaton: SuffixAutomaton) -> tuple[np.ndarray, np.ndarray]:
         starts = np.zeros(steps.shape[1], dtype=np.int64)
         lacking = np.zeros(steps.shape[1], dtype=np.int64)
         state = np.zeros(steps.shape[1], dtype=np.int64)
-        root = table[: self.alphabet]
         for symbols in steps:
-            to = table.take(state * self.alphabet + symbols)
-            fresh = (to == 0) | (state == 0)
-            starts += fresh & (symbols != PAD)
-            state = np.where(to == 0, root.take(symbols), to).astype(np.int64)
-            lacking += (state == 0) & (symbols != PAD)
+            to = automaton.step(state, symbols)
+            given = symbols != PAD
+            starts += ((to == 0) | (state == 0)) & given
+            state = np.where(to == 0, automaton.root.take(symbols), to)
+            lacking += (state == 0) & given
         return starts, lacking
 
     def bits(self, texts: list[str]) -> np.ndarray:

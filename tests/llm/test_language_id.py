@@ -89,3 +89,18 @@ def test_rows_without_letters_teach_nothing(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert [lang for lang, _ in language_samples(docs)] == ["en"]
     assert {r.lang_pred for r in identify_language(docs).where("score > 0").collect()} == {"en"}
+
+
+def test_scripts_of_thousands_of_characters():
+    spans = {"en": range(97, 123), "hi": range(0x905, 0x93A), "ja": range(0x3041, 0x3097), "ko": range(0xAC00, 0xB800), "zh": range(0x4E00, 0x5C00)}
+    rng = np.random.default_rng(3)
+    texts = {}
+    for lang, span in spans.items():
+        words = ["".join(map(chr, rng.choice(list(span), 2))) for _ in range(3000)]
+        texts[lang] = [" ".join(words[int(k) % 3000] for k in rng.exponential(600, 3000)) for _ in range(3)]
+    parser = CrossParser(tuple((lang, own[0][: 1500 if lang in ("hi", "ko") else None]) for lang, own in texts.items()))
+    for lang, own in texts.items():
+        given = [t[at : at + 300] for t in own[1:] for at in range(0, 3000, 300)]
+        assert parser.predict(given)[0] == [lang] * len(given)
+    a, b = (chr(0x4E00 + k) for k in (1, 2))
+    assert CrossParser((("x", f"{a}{b}{a}"),)).phrases([f"{a}{b}", f"{b}{b}", f"{a}{a}"]).tolist() == [[1], [2], [2]]
