@@ -15,9 +15,11 @@ phrase each: all blocks of a batch step through the automaton together, one
 hash lookup in numpy a character and language.  Every character of the samples
 has a symbol.
 
-The fit is bounded: ``DOCS`` documents a language, the first ``DOC_CHARS``
-characters of each, for the ``LANGUAGES`` most frequent labels; documents are
-drawn by a hash of their id, all others are only counted.
+The fit is bounded by rows: ``DOCS`` documents a language, the first
+``DOC_CHARS`` characters of each, drawn by a hash of their id; all others are
+only counted.  Every language is learned.  Where all samples together exceed
+``PASS_CHARS`` characters, languages are dealt to several passes over the
+texts, which are staged between passes with the best language so far.
 
 Cases: a null text, or one without any letter, is ``und`` with score 0; with
 no labelled row at all every text is ``und``; rows with null lang or null
@@ -37,12 +39,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daybook.llm.common import Columns, batch_rows, kind_of, learns_from, map_columns
+from daybook.llm.common import batch_rows, frozen, learns_from
 
 UNDETERMINED = "und"
 #: Bounds of the fit.
-DOCS, DOC_CHARS, LANGUAGES = 64, 512, 64
+DOCS, DOC_CHARS = 64, 512
+#: Characters of the samples that a Python worker holds as automata at once.
+PASS_CHARS = 1 << 21
 #: Characters parsed as one run; bounds the steps of a batch.
 BLOCK = 512
 #: Bits for the length of a phrase, the same for all languages.
@@ -55,6 +60,11 @@ SEED = 5
 HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
+Samples = tuple[tuple[str, str], ...]
+#: Language, bits and sum of shares of each text.
+Best = tuple[list[str | None], list[float], list[float]]
+
+
 class SuffixAutomaton:
     """Transitions of the suffix automaton of a symbol string, as an open hash table.
 
@@ -141,7 +151,8 @@ def plain(text: str) -> str:
 class CrossParser:
     """Automata of all languages over one alphabet."""
 
-    def __init__(self, samples: tuple[tuple[str, str], ...]):
+    def __init__(self, samples: Samples, longest: int = 0):
+        """``longest`` is the length of the longest sample of all passes, where there are others."""
         samples = tuple((lang, plain(text)) for lang, text in sorted(samples))
         # symbol 0 pads, 1 is a character that no sample has; neither has transitions
         known = {c: 2 + k for k, c in enumerate(sorted(set().union(*(text for _, text in samples))))}
@@ -152,7 +163,7 @@ class CrossParser:
         self.languages = [lang for lang, _ in samples]
         pointers = [math.log2(max(2, len(text))) for _, text in samples]
         self.cost = np.array(pointers) + LENGTH_BITS
-        self.literal = max(pointers, default=0.0) + LENGTH_BITS
+        self.literal = max([math.log2(max(2, longest)), *pointers]) + LENGTH_BITS
         self.automata = [SuffixAutomaton([known[c] for c in text], alphabet) for _, text in samples]
 
     def symbols(self, text: str) -> np.ndarray:
@@ -195,23 +206,31 @@ class CrossParser:
         phrases, lacking = self.parse(texts)
         return (phrases - lacking) * self.cost + lacking * self.literal
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def best(self, texts: list[str | None], so_far: Best | None = None) -> Best:
+        """The best language of each text, its bits and the sum of 2**(its bits - bits) for all languages."""
         if not self.languages:
-            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        given = [t or "" for t in texts]
-        bits = self.bits(given)
-        best = bits.argmin(axis=1)
-        share = 1.0 / np.exp2(-np.minimum(bits - bits.min(axis=1, keepdims=True), 1000.0)).sum(axis=1)
-        spoken = [any(map(str.isalpha, t)) for t in given]
-        return (
-            [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best, spoken)],
-            [float(s) if ok else 0.0 for s, ok in zip(share, spoken)],
-        )
+            return so_far or ([None] * len(texts), [math.inf] * len(texts), [0.0] * len(texts))
+        bits = self.bits([t or "" for t in texts])
+        least = bits.min(axis=1)
+        lang = [self.languages[k] for k in bits.argmin(axis=1)]
+        if so_far:
+            before = np.array(so_far[1], dtype=float)
+            lang = [old if kept else new for old, new, kept in zip(so_far[0], lang, before <= least)]
+            least = np.minimum(before, least)
+        total = np.exp2(-np.minimum(bits - least[:, None], 1000.0)).sum(axis=1)
+        if so_far:
+            total += np.array(so_far[2]) * np.exp2(-np.minimum(before - least, 1000.0))
+        return lang, least.tolist(), total.tolist()
+
+    def predict(self, texts: list[str | None], so_far: Best | None = None) -> tuple[list[str], list[float]]:
+        lang, _, total = self.best(texts, so_far)
+        ok = [lg is not None and any(map(str.isalpha, t or "")) for lg, t in zip(lang, texts)]
+        return [lg if k else UNDETERMINED for lg, k in zip(lang, ok)], [1.0 / x if k else 0.0 for x, k in zip(total, ok)]
 
 
 @lru_cache(maxsize=1)
-def _parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
-    return CrossParser(samples)
+def _parser(samples: Samples, longest: int = 0) -> CrossParser:
+    return CrossParser(samples, longest)
 
 
 def drawn(rate: Column | float, seed: int, doc_id: str = "doc_id") -> Column:
@@ -219,53 +238,93 @@ def drawn(rate: Column | float, seed: int, doc_id: str = "doc_id") -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 30)) < rate * (1 << 30)
 
 
-def language_samples(docs: DataFrame, docs_per_language: int = DOCS, doc_chars: int = DOC_CHARS, languages: int = LANGUAGES) -> tuple[tuple[str, str], ...]:
-    """(lang, sample text) for each learned language; at most docs_per_language x doc_chars characters each."""
+def sample_rows(docs: DataFrame, docs_per_language: int = DOCS, doc_chars: int = DOC_CHARS) -> DataFrame:
+    """(lang, doc_id, text) of about three times docs_per_language documents of each language, stored."""
     labelled = docs.where(learns_from("doc_id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
-    if not counts:
-        return ()
-    rate = F.lit(0.0)
-    for lang, n in counts.items():
-        rate = F.when(F.col("lang") == lang, min(1.0, 3 * docs_per_language / n)).otherwise(rate)  # a few too many, cut below
-    rows = (
-        labelled.where(drawn(rate, SEED))
-        .select("lang", "doc_id", F.substring("text", 1, doc_chars).alias("text"))
-        .collect()  # about 3 x docs_per_language x languages rows of doc_chars characters
-    )
-    own: dict[str, list[tuple[int, str]]] = {lang: [] for lang in counts}
-    for r in rows:
-        own[r["lang"]].append((r["doc_id"], r["text"]))
-    return tuple((lang, " ".join(text for _, text in sorted(own[lang])[:docs_per_language])) for lang in sorted(own) if own[lang])
-
-
-def predict_language(docs: DataFrame, samples: tuple[tuple[str, str], ...]) -> DataFrame:
-    """(doc_id, lang_pred, score) of each row."""
-
-    def work(batches: Iterator[Columns]) -> Iterator[Columns]:
-        parser = _parser(samples)
-        for b in batches:
-            lang, score = parser.predict(b["text"])
-            yield {"doc_id": b["doc_id"], "lang_pred": lang, "score": score}
-
-    docs = docs.select("doc_id", "text")
-    return map_columns(docs, work, {"doc_id": kind_of(docs, "doc_id"), "lang_pred": "string", "score": "double"})
-
-
-def identify_language(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of each row."""
-    found = predict_language(docs, language_samples(docs))
-    return found.select("doc_id", F.coalesce(~learns_from("doc_id"), F.lit(False)).alias("held_out"), "lang_pred", "score")
+    # ids, not rows: one that repeats is drawn with all its rows or not at all
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("_n")).collect()
+    rates = docs.sparkSession.createDataFrame(counts, "lang string, _n long")
+    rows = labelled.select("lang", "doc_id", F.substring("text", 1, doc_chars).alias("text")).join(F.broadcast(rates), "lang")
+    rows = rows.where(drawn(3 * docs_per_language / F.col("_n"), SEED))  # a few too many, cut in sample_passes
+    return frozen(rows.groupBy("lang", "doc_id").agg(F.min("text").alias("text")))
+
+
+def sample_passes(rows: DataFrame, docs_per_language: int = DOCS, pass_chars: int = PASS_CHARS) -> tuple[list[dict[str, int]], int]:
+    """The languages of each pass with the last doc_id of their sample, and the length of the longest sample."""
+    own: dict[str, list[tuple[int, int]]] = {}
+    for r in rows.select("lang", "doc_id", F.length("text").alias("n")).collect():  # ids and lengths alone
+        own.setdefault(r["lang"], []).append((r["doc_id"], r["n"]))
+    passes: list[dict[str, int]] = []
+    held, longest = 0, 0
+    for lang in sorted(own):
+        chosen = sorted(own[lang])[:docs_per_language]
+        n = sum(n + 1 for _, n in chosen) - 1
+        if not passes or held + n > pass_chars:
+            passes.append({})
+            held = 0
+        passes[-1][lang] = chosen[-1][0]
+        held, longest = held + n, max(longest, n)
+    return passes, longest
+
+
+def pass_samples(rows: DataFrame, languages: dict[str, int]) -> Samples:
+    """(lang, sample text) of the languages of one pass."""
+    own: dict[str, list[tuple[int, str]]] = {lang: [] for lang in languages}
+    for r in rows.where(F.col("lang").isin(list(languages))).collect():
+        if r["doc_id"] <= languages[r["lang"]]:
+            own[r["lang"]].append((r["doc_id"], r["text"]))
+    return tuple((lang, " ".join(text for _, text in sorted(own[lang]))) for lang in sorted(own))
+
+
+def language_samples(docs: DataFrame, docs_per_language: int = DOCS, doc_chars: int = DOC_CHARS) -> Samples:
+    """(lang, sample text) of each language, all at once."""
+    rows = sample_rows(docs, docs_per_language, doc_chars)
+    passes, _ = sample_passes(rows, docs_per_language)
+    return tuple(sample for languages in passes for sample in pass_samples(rows, languages))
+
+
+def identified(docs: DataFrame, keep: list[str], rows: DataFrame, pass_chars: int = PASS_CHARS) -> tuple[DataFrame, str, str]:
+    """The columns ``keep`` of docs with two more, the language and its score, and the names of those two."""
+    passes, longest = sample_passes(rows, pass_chars=pass_chars)
+    lang, bits, total = (free_name(docs, name) for name in ("lang_pred", "bits", "score"))
+
+    def add(docs: DataFrame, samples: Samples, first: bool, last: bool) -> DataFrame:
+        own = [*keep] if last else docs.columns if first else docs.columns[:-3]
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parser = _parser(samples, longest)
+            for batch in batches:
+                texts = batch.column("text").to_pylist()
+                so_far = None if first else tuple(batch.column(name).to_pylist() for name in (lang, bits, total))
+                if last:
+                    found = dict(zip((lang, total), parser.predict(texts, so_far)))
+                else:
+                    found = dict(zip((lang, bits, total), parser.best(texts, so_far)))
+                more = [pa.array(values, pa.string() if name == lang else pa.float64()) for name, values in found.items()]
+                yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in own), *more], names=[*own, *found])
 
+        schema = T.StructType([docs.schema[name] for name in own]).add(lang, "string")
+        schema = schema.add(total, "double") if last else schema.add(bits, "double").add(total, "double")
+        return batch_rows(docs).mapInArrow(work, schema)
+
+    for k, languages in enumerate(passes[:-1]):
+        docs = frozen(add(docs, pass_samples(rows, languages), k == 0, False))
+    return add(docs, pass_samples(rows, passes[-1]) if passes else (), len(passes) <= 1, True), lang, total
 
-def keep_known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is determined, unchanged."""
-    samples = language_samples(docs)
 
-    def work(batches):
-        parser = _parser(samples)
-        for batch in batches:
-            lang, _ = parser.predict(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([x != UNDETERMINED for x in lang], pa.bool_()))
+def free_name(docs: DataFrame, name: str) -> str:
+    while name.lower() in map(str.lower, docs.columns):
+        name = f"_{name}"
+    return name
 
-    return batch_rows(docs).mapInArrow(work, docs.schema)
+
+def identify_language(docs: DataFrame, pass_chars: int = PASS_CHARS) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of each row."""
+    found, lang, score = identified(docs.select("doc_id", "text"), ["doc_id"], sample_rows(docs), pass_chars)
+    return found.select("doc_id", F.coalesce(~learns_from("doc_id"), F.lit(False)).alias("held_out"), lang, score)
+
+
+def keep_known_language(docs: DataFrame, pass_chars: int = PASS_CHARS) -> DataFrame:
+    """The rows of ``docs`` whose language is determined, unchanged."""
+    found, lang, _ = identified(docs, docs.columns, sample_rows(docs), pass_chars)
+    return found.where(F.col(lang) != UNDETERMINED).select(*docs.columns)

@@ -104,3 +104,37 @@ def test_scripts_of_thousands_of_characters():
         assert parser.predict(given)[0] == [lang] * len(given)
     a, b = (chr(0x4E00 + k) for k in (1, 2))
     assert CrossParser((("x", f"{a}{b}{a}"),)).phrases([f"{a}{b}", f"{b}{b}", f"{a}{a}"]).tolist() == [[1], [2], [2]]
+
+
+def many_languages(spark, languages=70):
+    """Four labelled documents of each language, the first languages with more, and the texts to tell."""
+    own = {f"l{k:02d}": languages_of(k, "abcdefghijkl", 1200).split() for k in range(languages)}
+    rows = [(lang, " ".join(words[at * 200 : at * 200 + 200]), lang) for lang, words in own.items() for at in range(4)]
+    rows += [(lang, " ".join(words[800:900]), lang) for lang, words in list(own.items())[:64]]
+    rows += [("", " ".join(words[900:1200]), None) for lang, words in own.items()]
+    rows = [(k, text, label) for k, (_, text, label) in enumerate(rows)]
+    learnt = {label for k, _, label in rows if label and zlib.crc32(str(k).encode()) % 4 != 2}
+    want = {rows[-languages + k][0]: lang for k, lang in enumerate(own) if lang in learnt}
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2), want
+
+
+def test_every_language_is_learned(spark):
+    docs, want = many_languages(spark)
+    got = {r.doc_id: r.lang_pred for r in identify_language(docs).collect()}
+    assert len(want) == 70 and {k: got[k] for k in want} == want
+
+
+def test_passes_equal_one_pass(spark, edge_docs):
+    docs, _ = many_languages(spark, 9)
+    for table in (docs, edge_docs):
+        one, three = (sorted(identify_language(table, n).collect(), key=str) for n in (1 << 30, 7000))
+        assert [r[:3] for r in one] == [r[:3] for r in three]
+        assert np.allclose([r.score for r in one], [r.score for r in three])
+    key = lambda r: str(r)
+    assert sorted(keep_known_language(edge_docs, 1).collect(), key=key) == sorted(keep_known_language(edge_docs).collect(), key=key)
+
+
+def test_an_id_that_repeats_is_one_document(spark):
+    texts = [languages_of(5, "abcdefgh", 40) for _ in range(600)]
+    docs = spark.createDataFrame([(1, t, "en") for t in texts] + [(3, "xyz xyz", "rare")], "doc_id long, text string, lang string")
+    assert [lang for lang, _ in language_samples(docs)] == ["en", "rare"]
