@@ -15,9 +15,9 @@ phrase each: all blocks of a batch step through the automaton together, one
 hash lookup in numpy a character and language.  Every character of the samples
 has a symbol.
 
-The fit is bounded by rows: ``DOCS`` documents a language, the first
-``DOC_CHARS`` characters of each, drawn by a hash of their id; all others are
-only counted.  Every language is learned.  Where all samples together exceed
+The fit is bounded by rows: ``DOCS`` documents a language with their whole
+texts, drawn by a hash of their id; all others are only counted.  Every
+language is learned.  Where all samples together exceed
 ``PASS_CHARS`` characters, languages are dealt to several passes over the
 texts, which are staged between passes with the best language so far.
 
@@ -44,8 +44,8 @@ from pyspark.sql import types as T
 from daybook.llm.common import batch_rows, frozen, learns_from
 
 UNDETERMINED = "und"
-#: Bounds of the fit.
-DOCS, DOC_CHARS = 64, 512
+#: Documents of the fit a language.
+DOCS = 64
 #: Characters of the samples that a Python worker holds as automata at once.
 PASS_CHARS = 1 << 21
 #: Characters parsed as one run; bounds the steps of a batch.
@@ -238,13 +238,13 @@ def drawn(rate: Column | float, seed: int, doc_id: str = "doc_id") -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 30)) < rate * (1 << 30)
 
 
-def sample_rows(docs: DataFrame, docs_per_language: int = DOCS, doc_chars: int = DOC_CHARS) -> DataFrame:
+def sample_rows(docs: DataFrame, docs_per_language: int = DOCS) -> DataFrame:
     """(lang, doc_id, text) of about three times docs_per_language documents of each language, stored."""
     labelled = docs.where(learns_from("doc_id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     # ids, not rows: one that repeats is drawn with all its rows or not at all
     counts = labelled.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("_n")).collect()
     rates = docs.sparkSession.createDataFrame(counts, "lang string, _n long")
-    rows = labelled.select("lang", "doc_id", F.substring("text", 1, doc_chars).alias("text")).join(F.broadcast(rates), "lang")
+    rows = labelled.select("lang", "doc_id", "text").join(F.broadcast(rates), "lang")
     rows = rows.where(drawn(3 * docs_per_language / F.col("_n"), SEED))  # a few too many, cut in sample_passes
     return frozen(rows.groupBy("lang", "doc_id").agg(F.min("text").alias("text")))
 
@@ -276,9 +276,9 @@ def pass_samples(rows: DataFrame, languages: dict[str, int]) -> Samples:
     return tuple((lang, " ".join(text for _, text in sorted(own[lang]))) for lang in sorted(own))
 
 
-def language_samples(docs: DataFrame, docs_per_language: int = DOCS, doc_chars: int = DOC_CHARS) -> Samples:
+def language_samples(docs: DataFrame, docs_per_language: int = DOCS) -> Samples:
     """(lang, sample text) of each language, all at once."""
-    rows = sample_rows(docs, docs_per_language, doc_chars)
+    rows = sample_rows(docs, docs_per_language)
     passes, _ = sample_passes(rows, docs_per_language)
     return tuple(sample for languages in passes for sample in pass_samples(rows, languages))
 

@@ -138,3 +138,13 @@ def test_an_id_that_repeats_is_one_document(spark):
     texts = [languages_of(5, "abcdefgh", 40) for _ in range(600)]
     docs = spark.createDataFrame([(1, t, "en") for t in texts] + [(3, "xyz xyz", "rare")], "doc_id long, text string, lang string")
     assert [lang for lang, _ in language_samples(docs)] == ["en", "rare"]
+
+
+def test_a_common_header_hides_no_text(spark):
+    header = languages_of(1, "abcdefgh", 400)[:800]
+    own = {"en": languages_of(1, "abcdefgh", 9000), "fr": languages_of(2, "abcdefgh", 9000)}
+    rows = [(f"{header} {own[lang][at : at + 400]}" if lang == "fr" else own[lang][at : at + 400], lang) for lang in own for at in range(0, 16_000, 400)]
+    rows += [(text[at : at + 200], None) for text in own.values() for at in range(20_000, 22_000, 200)]
+    docs = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in identify_language(docs).collect()}
+    assert [got[k] for k in range(80, 100)] == ["en"] * 10 + ["fr"] * 10
