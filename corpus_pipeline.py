@@ -43,7 +43,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 2048 tokens."""
-    return best_fit_packing(docs)
+    return best_fit_packing(docs, added_tokens=True)
 
 
 STAGES = [

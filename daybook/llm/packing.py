@@ -15,13 +15,16 @@ Cases: a null text is empty and gives the one piece [0] (the end mark); only
 documents beyond the limit are cut, the first piece takes the remainder;
 pieces of equal length keep the order of (doc_id, piece); repeated rows are
 packed as often as they occur; an empty table gives an empty result; further
-columns are ignored.
+columns are ignored.  With ``added_tokens`` the string of an added token of the
+tokenizer file is that token, as its library has it by default (the queries
+pack so); without, it is plain text.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -91,12 +94,13 @@ def cut(length: int, most: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(start, most) for start in range(first, length, most)]
 
 
-def pieces_of(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = MAX_TOKENS, added_tokens: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32), tokenised where the documents lie."""
     docs = docs.select("doc_id", "text")
 
     def tokenise(batches: Iterator[Columns]) -> Iterator[Columns]:
-        encode = byte_bpe(tokenizer).encode_ordinary
+        bpe = byte_bpe(tokenizer)
+        encode = partial(bpe.encode, allowed_special="all") if added_tokens else bpe.encode_ordinary
         for b in batches:
             out: Columns = {name: [] for name in schema}
             for doc_id, text in zip(b["doc_id"], b["text"]):
@@ -128,6 +132,12 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, pieces_per_group: int
     return batch_rows(dealt).groupBy("_group").applyInArrow(fit, f"{schema}, sequence_id long, offset long")
 
 
-def best_fit_packing(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = MAX_TOKENS, pieces_per_group: int = PIECES_PER_GROUP) -> DataFrame:
+def best_fit_packing(
+    docs: DataFrame,
+    tokenizer: str | None = None,
+    max_tokens: int = MAX_TOKENS,
+    pieces_per_group: int = PIECES_PER_GROUP,
+    added_tokens: bool = False,
+) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of each piece."""
-    return pack(pieces_of(docs, tokenizer, max_tokens), max_tokens, pieces_per_group)
+    return pack(pieces_of(docs, tokenizer, max_tokens, added_tokens), max_tokens, pieces_per_group)

@@ -53,7 +53,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_fit_packing(table(spark, sf_dir, "documents"))
+    return best_fit_packing(table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

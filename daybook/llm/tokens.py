@@ -32,13 +32,19 @@ def byte_alphabet() -> dict[str, int]:
 def byte_bpe(path: str | None = None) -> tiktoken.Encoding:
     """The byte-level BPE of a ``tokenizers`` JSON file as ranked byte strings.
 
-    Same ids as the file's own library without special tokens (tests compare
-    both), in a fraction of its CPU time.  Ids of such a file are its merge
-    ranks; special tokens' strings count as plain text.
+    ``encode_ordinary`` gives the ids of the file's own library where special
+    tokens' strings count as plain text, ``encode(text, allowed_special="all")``
+    those of the library at its defaults, where an added token's string is that
+    token (tests compare both), in a fraction of its CPU time.  Ids of such a
+    file are its merge ranks.  An added token that takes more than its exact
+    string, or that is the beginning of another, is refused.
     """
     with open(tokenizer_path(path), encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", ())}
+    added = spec.get("added_tokens", ())
+    special = {t["content"]: t["id"] for t in added}
+    if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip")) or any(a != b and b.startswith(a) for a in special for b in special):
+        raise ValueError(f"added tokens that need more than an exact match: {sorted(special)}")
     as_byte = byte_alphabet()
     ranks = {bytes(as_byte[c] for c in piece): rank for piece, rank in spec["model"]["vocab"].items() if piece not in special}
-    return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)

@@ -96,3 +96,18 @@ def test_documents_pack_tightly(spark, sf_small):
 
 def test_empty_table(no_docs):
     assert best_fit_packing(no_docs).count() == 0
+
+
+def test_queries_have_the_ids_of_the_library_at_its_defaults(spark, tmp_path):
+    import corpus_pipeline
+    from daybook.llm.queries import op7_best_fit_packing
+
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> \n<|endoftext|><|endoftext|>y", "<|endoftext>", "<<|endoftext|>|>", "日本<|endoftext|>語 ", "plain  text", "one <|endoftext|>" * 900]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    t = Tokenizer.from_file(tokenizer_path())
+    assert t.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    ids = [np.array([*t.encode(text, add_special_tokens=False).ids, 0], dtype="<u4") for text in texts]
+    want = sorted((k, start, n, zlib.crc32(own[start : start + n].tobytes())) for k, own in enumerate(ids) for start, n in cut(len(own), 2048))
+    for packed in (op7_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        assert sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in packed.collect()) == want
