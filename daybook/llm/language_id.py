@@ -325,6 +325,12 @@ def identify_language(docs: DataFrame, pass_chars: int = PASS_CHARS) -> DataFram
 
 
 def keep_known_language(docs: DataFrame, pass_chars: int = PASS_CHARS) -> DataFrame:
-    """The rows of ``docs`` whose language is determined, unchanged."""
-    found, lang, _ = identified(docs, docs.columns, sample_rows(docs), pass_chars)
+    """The rows of ``docs`` whose language is determined, unchanged.
+
+    That is all rows with a letter; where no row is labelled, too.
+    """
+    rows = sample_rows(docs)
+    if rows.isEmpty():
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found, lang, _ = identified(docs, docs.columns, rows, pass_chars)
     return found.where(F.col(lang) != UNDETERMINED).select(*docs.columns)

@@ -148,3 +148,10 @@ def test_a_common_header_hides_no_text(spark):
     docs = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, text string, lang string")
     got = {r.doc_id: r.lang_pred for r in identify_language(docs).collect()}
     assert [got[k] for k in range(80, 100)] == ["en"] * 10 + ["fr"] * 10
+
+
+def test_an_unlabelled_corpus_is_kept(spark):
+    texts = ["one two three", "日本語", "", None, "12 34"]
+    docs = spark.createDataFrame([(k, t, None) for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in keep_known_language(docs).collect()) == [0, 1]
+    assert {r.lang_pred for r in identify_language(docs).collect()} == {"und"}
