@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm import chat_format, url_filter
 from daybook.llm.common import table
+from daybook.llm.divergence import divergence
 from daybook.llm.embed_dedup import embedding_near_dups
 from daybook.llm.exact_dedup import exact_dedup
 from daybook.llm.language_id import identify_language
+from daybook.llm.mixing import mix_plan
 from daybook.llm.packing import best_fit_packing
 from daybook.llm.prob_minhash import near_dup_classes
 from daybook.llm.sentencepiece_codec import coded
 from daybook.llm.sharding import shard_report
 from daybook.llm.toxicity import toxicity
+from daybook.llm.vector_codes import code_report
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +71,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"))
 
 
+def op11_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
@@ -79,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
+    "op11_mix": op11_mix,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 
@@ -151,4 +169,106 @@ SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id IS NOT
 FROM v JOIN least ON least.a = v.n LEFT JOIN degree ON degree.a = v.n
 """
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_embedding_near_dedup": OP3_SQL, "op9_url_filter": OP9_SQL}
+OP11_SQL = r"""
+WITH w AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, sha256(coalesce(text, '')) AS h FROM documents
+), s AS (
+  SELECT source, sum(size)::HUGEINT AS source_size, (1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::HUGEINT AS weight
+  FROM w GROUP BY source
+), a AS (  -- sources reach their most in this order; spare and free are what the others share if those before are at it
+  SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spare,
+    sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS free
+  FROM s
+), e AS (
+  SELECT *, 3 * source_size * free < weight * spare AS above FROM a
+), f AS (
+  SELECT max(spare) FILTER (NOT above) AS words, max(free) FILTER (NOT above) AS share FROM e
+), t AS (
+  SELECT source, source_size, CASE WHEN above THEN (3 * source_size)::DOUBLE ELSE (words * weight)::DOUBLE / share::DOUBLE END AS target,
+    CASE WHEN source_size = 0 THEN 0 WHEN above THEN 3221225472 ELSE (words * 1073741824 * weight) // (share * source_size) END AS rate,
+    ('0x' || substr(md5('daybook-mix-1' || coalesce('0' || source, '1')), 1, 7))::BIGINT * 4 AS shift
+  FROM e, f
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY source
+    ORDER BY size, md5('daybook-mix-1/' || coalesce(doc_id::VARCHAR, '') || '/' || h), doc_id, h) - 1 AS k
+  FROM w
+)
+SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
+  (size * (((k + 1) * rate + shift) // 1073741824 - (k * rate + shift) // 1073741824))::BIGINT AS taken
+FROM n JOIN t ON n.source IS NOT DISTINCT FROM t.source
+"""
+
+
+def _op12_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """A common table expression for each round; vectors in long form (row, part, place, number)."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS (
+  SELECT x.n, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v)) AS apart
+  FROM x JOIN b{r} b ON x.part = b.part AND x.place = b.place GROUP BY x.n, x.part, b.entry
+), a{r} AS (
+  SELECT n, part, min(apart) AS apart, arg_min(entry, (apart, entry)) AS entry FROM d{r} GROUP BY n, part
+)""")
+        if r < rounds:
+            steps.append(f"""b{r + 1} AS (
+  SELECT b.part, b.place, b.entry, coalesce((m.total - ((m.total % m.n) + m.n) % m.n) // m.n, b.v)::BIGINT AS v
+  FROM b{r} b LEFT JOIN (
+    SELECT x.part, x.place, a.entry, sum(x.v) AS total, count(*) AS n FROM x JOIN a{r} a ON x.n = a.n AND x.part = a.part GROUP BY ALL
+  ) m ON b.part = m.part AND b.place = m.place AND b.entry = m.entry
+)""")
+    last = rounds
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS n, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+), x AS (
+  SELECT n, (i * {parts}) // len(e) AS part, i - ((i * {parts}) // len(e)) * (len(e) // {parts}) AS place, CAST(floor(256 * e[i + 1]) AS BIGINT) AS v
+  FROM k, unnest(range(len(e))) AS u(i)
+), b0 AS (
+  SELECT part, place, n - 1 AS entry, v FROM x WHERE n <= {entries}
+), {", ".join(steps)}, c AS (
+  SELECT n, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(apart)::BIGINT AS error FROM a{last} GROUP BY n
+), h AS (
+  SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM b{last}
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM c JOIN k USING (n), h
+"""
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), w AS (
+  SELECT n, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS n FROM w GROUP BY lang, term HAVING count(DISTINCT w.n) >= 30
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), grp AS (
+  SELECT DISTINCT lang, source FROM d
+), v AS (
+  SELECT lang, count(*) AS terms, sum(n) AS total FROM kept GROUP BY lang
+), q AS (
+  SELECT lang, term, 1 + (1000000000 * (kept.n + 5)) // (v.total + 5 * v.terms)::HUGEINT AS q FROM kept JOIN v USING (lang)
+), gt AS (
+  SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM grp LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+), p AS (
+  SELECT gt.lang, gt.source, kept.term, coalesce(counts.n, 0) AS n,
+    1 + (1000000000 * (coalesce(counts.n, 0) + 5)::HUGEINT) // (gt.total + 5 * v.terms)::HUGEINT AS p
+  FROM gt JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN counts ON counts.lang = gt.lang AND counts.source = gt.source AND counts.term = kept.term
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+  ) s ON s.lang = a.lang AND s.source = a.source AND s.other = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, p.p - q.q AS value FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 50
+"""
+
+ORACLES: dict[str, str] = {"op11_mix": OP11_SQL, "op12_vector_codes": _op12_sql(), "op13_source_divergence": OP13_SQL, "op2_exact_dedup": OP2_SQL, "op3_embedding_near_dedup": OP3_SQL, "op9_url_filter": OP9_SQL}
