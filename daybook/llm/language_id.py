@@ -15,11 +15,18 @@ phrase each: all blocks of a batch step through the automaton together, one
 hash lookup in numpy a character and language.  Every character of the samples
 has a symbol.
 
-The fit is bounded by rows: ``DOCS`` documents a language with their whole
-texts, drawn by a hash of their id; all others are only counted.  Every
-language is learned.  Where all samples together exceed
-``PASS_CHARS`` characters, languages are dealt to several passes over the
-texts, which are staged between passes with the best language so far.
+The fit is bounded by ``DOCS`` documents a language, drawn by a hash of their
+id, and by ``LANGUAGE_CHARS`` characters: documents are taken whole in the
+order of their ids until the next one would pass that bound; the first one is
+always taken, and of a single text beyond the bound a passage of that length at
+a hashed place.  All other rows are only counted.  Every language is learned.
+
+Each language's automaton is built once, in a task of its own, and leaves it as
+packed numpy columns; the tasks that parse get all of them as one broadcast,
+which Spark drops from its workers when the next job does without.  Where the
+samples together exceed ``PASS_CHARS`` characters, languages are dealt to
+several passes over the texts, which are staged between passes with the best
+language so far.
 
 Cases: a null text, or one without any letter, is ``und`` with score 0; with
 no labelled row at all every text is ``und``; rows with null lang or null
@@ -31,9 +38,10 @@ gives an empty result.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
+from functools import cached_property
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +49,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import batch_rows, frozen, learns_from
+from daybook.llm.common import batch_rows, frozen, learns_from, ship_package
 
 UNDETERMINED = "und"
 #: Documents of the fit a language.
 DOCS = 64
+#: Characters of the fit a language.
+LANGUAGE_CHARS = 1 << 19
 #: Characters of the samples that a Python worker holds as automata at once.
-PASS_CHARS = 1 << 21
+PASS_CHARS = 1 << 20
 #: Characters parsed as one run; bounds the steps of a batch.
 BLOCK = 512
 #: Bits for the length of a phrase, the same for all languages.
@@ -65,49 +75,65 @@ Samples = tuple[tuple[str, str], ...]
 Best = tuple[list[str | None], list[float], list[float]]
 
 
+#: States and symbols of the transitions, as state * CODE_POINTS + code point, and the states they lead to.
+Edges = tuple[np.ndarray, np.ndarray]
+
+
+def suffix_automaton(text: str) -> Edges:
+    """The transitions of the suffix automaton of ``text``; state 0 is the root.
+
+    One dict holds all transitions and packed columns the rest, about 150 bytes
+    a character while it is built.
+    """
+    edges: dict[int, int] = {}
+    link, length = array("i", [-1]), array("i", [0])
+    symbols: list[tuple[int, ...] | int] = [()]  # of each state's transitions; a lone one as itself
+    last = 0
+    for s in map(ord, text):
+        now = len(link)
+        length.append(length[last] + 1)
+        link.append(0)
+        symbols.append(())
+        at = last
+        while at >= 0 and (key := at * CODE_POINTS + s) not in edges:
+            edges[key] = now
+            own = symbols[at]
+            symbols[at] = s if own == () else (own, s) if type(own) is int else (*own, s)
+            at = link[at]
+        if at >= 0:
+            to = edges[at * CODE_POINTS + s]
+            if length[to] == length[at] + 1:
+                link[now] = to
+            else:
+                copy = len(link)
+                own = symbols[to]
+                symbols.append(own)
+                for c in (own,) if type(own) is int else own:
+                    edges[copy * CODE_POINTS + c] = edges[to * CODE_POINTS + c]
+                length.append(length[at] + 1)
+                link.append(link[to])
+                link[to] = link[now] = copy
+                while at >= 0 and edges.get(key := at * CODE_POINTS + s) == to:
+                    edges[key] = copy
+                    at = link[at]
+        last = now
+    return np.fromiter(edges, np.int64, len(edges)), np.fromiter(edges.values(), np.int32, len(edges))
+
+
 class SuffixAutomaton:
-    """Transitions of the suffix automaton of a symbol string, as an open hash table.
+    """Transitions as an open hash table, on symbols from 0 to ``alphabet`` - 1.
 
-    State 0 is the root; as no transition leads back to the root, 0 means none.
-    The table takes space by transition, so any alphabet fits.
+    As no transition leads back to the root, 0 means none.  The table takes
+    space by transition, so any alphabet fits; it is not pickled but made again.
     """
 
-    def __init__(self, symbols: list[int], alphabet: int):
-        link, length, last, states = [-1], [0], 0, 1
-        edges: list[dict[int, int]] = [{}]
-        for s in symbols:
-            now = states
-            states += 1
-            edges.append({})
-            length.append(length[last] + 1)
-            link.append(0)
-            at = last
-            while at >= 0 and s not in edges[at]:
-                edges[at][s] = now
-                at = link[at]
-            if at >= 0:
-                to = edges[at][s]
-                if length[to] == length[at] + 1:
-                    link[now] = to
-                else:
-                    copy = states
-                    states += 1
-                    edges.append(dict(edges[to]))
-                    length.append(length[at] + 1)
-                    link.append(link[to])
-                    link[to] = link[now] = copy
-                    while at >= 0 and edges[at].get(s) == to:
-                        edges[at][s] = copy
-                        at = link[at]
-            last = now
-        self.alphabet = alphabet
+    def __init__(self, edges: Edges, alphabet: int):
+        self.edges, self.alphabet = edges, alphabet
+        keys, targets = edges
         self.root = np.zeros(alphabet, dtype=np.int64)
-        for s, to in edges[0].items():
-            self.root[s] = to
-        n = sum(map(len, edges))
-        own = np.repeat(np.arange(states, dtype=np.int64), [len(e) for e in edges])
-        keys = own * alphabet + np.fromiter(chain.from_iterable(edges), np.int64, n)
-        targets = np.fromiter(chain.from_iterable(e.values() for e in edges), np.int64, n)
+        at_root = keys < alphabet
+        self.root[keys[at_root]] = targets[at_root]
+        n = len(keys)
         bits = max(4, (2 * n).bit_length())  # a quarter to half of the slots are taken
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys = np.full(1 << bits, -1, dtype=np.int64)
@@ -122,6 +148,9 @@ class SuffixAutomaton:
             rest[first] = False
             keys, targets, slots = keys[rest], targets[rest], (slots[rest] + 1) & self.mask
 
+    def __reduce__(self):
+        return SuffixAutomaton, (self.edges, self.alphabet)
+
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * HASH) >> self.shift).view(np.int64)
 
@@ -151,20 +180,40 @@ def plain(text: str) -> str:
 class CrossParser:
     """Automata of all languages over one alphabet."""
 
-    def __init__(self, samples: Samples, longest: int = 0):
-        """``longest`` is the length of the longest sample of all passes, where there are others."""
-        samples = tuple((lang, plain(text)) for lang, text in sorted(samples))
+    def __init__(self, built: list[tuple[str, int, Edges]], longest: int = 0):
+        """``built``: language, length of its sample and ``suffix_automaton`` of it.
+
+        ``longest`` is the length of the longest sample of all passes, where there are others.
+        """
+        built = sorted(built, key=lambda b: b[0])
+        points = [edges[0] % CODE_POINTS for _, _, edges in built]
         # symbol 0 pads, 1 is a character that no sample has; neither has transitions
-        known = {c: 2 + k for k, c in enumerate(sorted(set().union(*(text for _, text in samples))))}
-        self.symbol_of = np.ones(CODE_POINTS, dtype=np.int32)
-        for c, s in known.items():
-            self.symbol_of[ord(c)] = s
+        known = np.unique(np.concatenate([np.unique(p) for p in points] or [np.zeros(0, np.int64)]))
         alphabet = 2 + len(known)
-        self.languages = [lang for lang, _ in samples]
-        pointers = [math.log2(max(2, len(text))) for _, text in samples]
+        self.known = known.astype(np.int32)
+        self.languages = [lang for lang, _, _ in built]
+        pointers = [math.log2(max(2, n)) for _, n, _ in built]
         self.cost = np.array(pointers) + LENGTH_BITS
         self.literal = max([math.log2(max(2, longest)), *pointers]) + LENGTH_BITS
-        self.automata = [SuffixAutomaton([known[c] for c in text], alphabet) for _, text in samples]
+        self.automata = [
+            SuffixAutomaton((keys // CODE_POINTS * alphabet + 2 + np.searchsorted(known, own), targets), alphabet)
+            for (_, _, (keys, targets)), own in zip(built, points)
+        ]
+
+    @classmethod
+    def of(cls, samples: Samples, longest: int = 0) -> CrossParser:
+        """The parser of (language, sample text) pairs, built here."""
+        texts = [(lang, plain(text)) for lang, text in samples]
+        return cls([(lang, len(text), suffix_automaton(text)) for lang, text in texts], longest)
+
+    @cached_property
+    def symbol_of(self) -> np.ndarray:
+        table = np.ones(CODE_POINTS, dtype=np.int32)
+        table[self.known] = np.arange(2, 2 + len(self.known))
+        return table
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "symbol_of"}
 
     def symbols(self, text: str) -> np.ndarray:
         return self.symbol_of[np.frombuffer(plain(text).encode("utf-32-le", "replace"), dtype=np.uint32)]
@@ -228,17 +277,12 @@ class CrossParser:
         return [lg if k else UNDETERMINED for lg, k in zip(lang, ok)], [1.0 / x if k else 0.0 for x, k in zip(total, ok)]
 
 
-@lru_cache(maxsize=1)
-def _parser(samples: Samples, longest: int = 0) -> CrossParser:
-    return CrossParser(samples, longest)
-
-
 def drawn(rate: Column | float, seed: int, doc_id: str = "doc_id") -> Column:
     """True for a share ``rate`` of ids, the same ones each time."""
     return F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 30)) < rate * (1 << 30)
 
 
-def sample_rows(docs: DataFrame, docs_per_language: int = DOCS) -> DataFrame:
+def sample_rows(docs: DataFrame, docs_per_language: int = DOCS, chars: int = LANGUAGE_CHARS) -> DataFrame:
     """(lang, doc_id, text) of about three times docs_per_language documents of each language, stored."""
     labelled = docs.where(learns_from("doc_id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     # ids, not rows: one that repeats is drawn with all its rows or not at all
@@ -246,10 +290,13 @@ def sample_rows(docs: DataFrame, docs_per_language: int = DOCS) -> DataFrame:
     rates = docs.sparkSession.createDataFrame(counts, "lang string, _n long")
     rows = labelled.select("lang", "doc_id", "text").join(F.broadcast(rates), "lang")
     rows = rows.where(drawn(3 * docs_per_language / F.col("_n"), SEED))  # a few too many, cut in sample_passes
-    return frozen(rows.groupBy("lang", "doc_id").agg(F.min("text").alias("text")))
+    one = rows.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+    place = 1 + F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.length("text") - chars)
+    passage = F.when(F.length("text") > chars, F.substring("text", place.cast("int"), F.lit(chars))).otherwise(F.col("text"))
+    return frozen(one.withColumn("text", passage))
 
 
-def sample_passes(rows: DataFrame, docs_per_language: int = DOCS, pass_chars: int = PASS_CHARS) -> tuple[list[dict[str, int]], int]:
+def sample_passes(rows: DataFrame, docs_per_language: int = DOCS, pass_chars: int = PASS_CHARS, chars: int = LANGUAGE_CHARS) -> tuple[list[dict[str, int]], int]:
     """The languages of each pass with the last doc_id of their sample, and the length of the longest sample."""
     own: dict[str, list[tuple[int, int]]] = {}
     for r in rows.select("lang", "doc_id", F.length("text").alias("n")).collect():  # ids and lengths alone
@@ -257,25 +304,47 @@ def sample_passes(rows: DataFrame, docs_per_language: int = DOCS, pass_chars: in
     passes: list[dict[str, int]] = []
     held, longest = 0, 0
     for lang in sorted(own):
-        chosen = sorted(own[lang])[:docs_per_language]
-        n = sum(n + 1 for _, n in chosen) - 1
+        in_order = sorted(own[lang])[:docs_per_language]
+        ends = list(accumulate(n + 1 for _, n in in_order))
+        taken = max(1, sum(end <= chars + 1 for end in ends))
+        n = ends[taken - 1] - 1
         if not passes or held + n > pass_chars:
             passes.append({})
             held = 0
-        passes[-1][lang] = chosen[-1][0]
+        passes[-1][lang] = in_order[taken - 1][0]
         held, longest = held + n, max(longest, n)
     return passes, longest
 
 
+def _chosen(rows: DataFrame, languages: dict[str, int]) -> DataFrame:
+    last = rows.sparkSession.createDataFrame(list(languages.items()), "lang string, _last long")
+    return rows.join(F.broadcast(last), "lang").where(F.col("doc_id") <= F.col("_last")).select("lang", "doc_id", "text")
+
+
 def pass_samples(rows: DataFrame, languages: dict[str, int]) -> Samples:
     """(lang, sample text) of the languages of one pass."""
     own: dict[str, list[tuple[int, str]]] = {lang: [] for lang in languages}
-    for r in rows.where(F.col("lang").isin(list(languages))).collect():
-        if r["doc_id"] <= languages[r["lang"]]:
-            own[r["lang"]].append((r["doc_id"], r["text"]))
+    for r in _chosen(rows, languages).collect():
+        own[r["lang"]].append((r["doc_id"], r["text"]))
     return tuple((lang, " ".join(text for _, text in sorted(own[lang]))) for lang in sorted(own))
 
 
+def pass_parser(rows: DataFrame, languages: dict[str, int], longest: int = 0) -> CrossParser:
+    """The parser of one pass; a task a language builds its automaton."""
+    if not languages:
+        return CrossParser([], longest)
+
+    def build(table: pa.Table) -> pa.Table:
+        texts = sorted(zip(table["doc_id"].to_pylist(), table["text"].to_pylist()))
+        sample = plain(" ".join(text for _, text in texts))
+        keys, targets = suffix_automaton(sample)
+        return pa.table({"lang": [table["lang"][0].as_py()], "n": pa.array([len(sample)], pa.int64()), "keys": [keys.tobytes()], "targets": [targets.tobytes()]})
+
+    ship_package(rows.sparkSession)
+    built = _chosen(rows, languages).groupBy("lang").applyInArrow(build, "lang string, n long, keys binary, targets binary")
+    return CrossParser([(r["lang"], r["n"], (np.frombuffer(r["keys"], np.int64), np.frombuffer(r["targets"], np.int32))) for r in built.toLocalIterator()], longest)
+
+
 def language_samples(docs: DataFrame, docs_per_language: int = DOCS) -> Samples:
     """(lang, sample text) of each language, all at once."""
     rows = sample_rows(docs, docs_per_language)
@@ -288,11 +357,12 @@ def identified(docs: DataFrame, keep: list[str], rows: DataFrame, pass_chars: in
     passes, longest = sample_passes(rows, pass_chars=pass_chars)
     lang, bits, total = (free_name(docs, name) for name in ("lang_pred", "bits", "score"))
 
-    def add(docs: DataFrame, samples: Samples, first: bool, last: bool) -> DataFrame:
+    def add(docs: DataFrame, languages: dict[str, int], first: bool, last: bool) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(pass_parser(rows, languages, longest))
         own = [*keep] if last else docs.columns if first else docs.columns[:-3]
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            parser = _parser(samples, longest)
+            parser = shared.value
             for batch in batches:
                 texts = batch.column("text").to_pylist()
                 so_far = None if first else tuple(batch.column(name).to_pylist() for name in (lang, bits, total))
@@ -308,8 +378,8 @@ def identified(docs: DataFrame, keep: list[str], rows: DataFrame, pass_chars: in
         return batch_rows(docs).mapInArrow(work, schema)
 
     for k, languages in enumerate(passes[:-1]):
-        docs = frozen(add(docs, pass_samples(rows, languages), k == 0, False))
-    return add(docs, pass_samples(rows, passes[-1]) if passes else (), len(passes) <= 1, True), lang, total
+        docs = frozen(add(docs, languages, k == 0, False))
+    return add(docs, passes[-1] if passes else {}, len(passes) <= 1, True), lang, total
 
 
 def free_name(docs: DataFrame, name: str) -> str:

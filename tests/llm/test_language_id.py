@@ -25,7 +25,7 @@ def phrases_by_hand(text: str, sample: str) -> int:
 def test_phrases_equal_substring_search():
     rng = np.random.default_rng(1)
     samples = tuple((f"l{k}", "".join(rng.choice(list("abcd "), 300)).strip()) for k in range(3))
-    parser = CrossParser(samples)
+    parser = CrossParser.of(samples)
     from daybook.llm.language_id import plain
 
     texts = ["", "a", "zzz", "aézb", *("".join(rng.choice(list("abcde "), n)) for n in (5, 100, BLOCK, BLOCK + 1, 3 * BLOCK + 7))]
@@ -35,11 +35,11 @@ def test_phrases_equal_substring_search():
 
 
 def test_predictions():
-    parser = CrossParser(SAMPLES)
+    parser = CrossParser.of(SAMPLES)
     lang, score = parser.predict(["abab", "dcdc", None, "", "12 34", "☃"])
     assert lang == ["ab", "cd", "und", "und", "und", "und"]
     assert score[2:] == [0.0] * 4 and all(0.5 < s <= 1 for s in score[:2])
-    assert CrossParser(()).predict(["abc"]) == (["und"], [0.0])
+    assert CrossParser.of(()).predict(["abc"]) == (["und"], [0.0])
 
 
 def test_held_out_accuracy(spark, sf_small):
@@ -80,7 +80,7 @@ def test_a_tiny_sample_wins_no_other_language():
     en, fr = languages_of(1, "abcdefghijklmnop", 6000), languages_of(2, "abcdefghijklmnop", 6000)
     texts = [en[k : k + 300] for k in range(20_000, 23_000, 300)] + [fr[k : k + 300] for k in range(20_000, 23_000, 300)]
     for tiny in ("ok", "a", "abc def ghi jkl mno p abcde"):
-        parser = CrossParser((("en", en[:20_000]), ("fr", fr[:20_000]), ("rare", tiny)))
+        parser = CrossParser.of((("en", en[:20_000]), ("fr", fr[:20_000]), ("rare", tiny)))
         assert parser.predict(texts)[0] == ["en"] * 10 + ["fr"] * 10
 
 
@@ -98,12 +98,12 @@ def test_scripts_of_thousands_of_characters():
     for lang, span in spans.items():
         words = ["".join(map(chr, rng.choice(list(span), 2))) for _ in range(3000)]
         texts[lang] = [" ".join(words[int(k) % 3000] for k in rng.exponential(600, 3000)) for _ in range(3)]
-    parser = CrossParser(tuple((lang, own[0][: 1500 if lang in ("hi", "ko") else None]) for lang, own in texts.items()))
+    parser = CrossParser.of(tuple((lang, own[0][: 1500 if lang in ("hi", "ko") else None]) for lang, own in texts.items()))
     for lang, own in texts.items():
         given = [t[at : at + 300] for t in own[1:] for at in range(0, 3000, 300)]
         assert parser.predict(given)[0] == [lang] * len(given)
     a, b = (chr(0x4E00 + k) for k in (1, 2))
-    assert CrossParser((("x", f"{a}{b}{a}"),)).phrases([f"{a}{b}", f"{b}{b}", f"{a}{a}"]).tolist() == [[1], [2], [2]]
+    assert CrossParser.of((("x", f"{a}{b}{a}"),)).phrases([f"{a}{b}", f"{b}{b}", f"{a}{a}"]).tolist() == [[1], [2], [2]]
 
 
 def many_languages(spark, languages=70):
