@@ -6,14 +6,21 @@ train a logistic model in numpy on the class-prior-corrected risk
     prior * P[loss(+)] + max(0, U[loss(-)] - prior * P[loss(-)]),
 
 where P and U are means over the positive and the unlabelled sample.  Where
-the second part turns negative the model begins to fit the positives hidden
-among the unlabelled as negatives; such a step goes back up that part instead.
-The prior is the share of ones among the labels that may be learned from.
+the second part turned negative the model would fit the positives hidden among
+the unlabelled as negatives; the bound stops it there.  The prior is the share
+of ones among the labels that may be learned from.
+
+With the logistic loss, loss(+) - loss(-) is linear in the score, so the risk
+without the bound is convex, and so is its maximum with prior * P[loss(+)]: the
+risk has one least point, whatever the order of rows or the start.  It is the
+largest over s in [0, 1] of the least prior * P[loss(+)] + s * (second part);
+Newton steps find the inner one, a bracket on s the outer one, until the
+gradient is below ``TOLERANCE``.
 
 Features are the 4- and 5-character pieces of a document's words, with marks
 at the word's ends, as present or absent, so length does not dilute a single
 abusive word.  Of all pieces, hashed, the ``FEATURES`` whose document rates
-differ most between P and U (by z-score) are kept.
+differ most between P and U (by z-score, ``LEAST_Z`` at least) are kept.
 
 The fit is bounded: ``POSITIVES`` toxic and ``UNLABELLED`` other documents,
 drawn by a hash of their id.  Whole texts are read in fitting and scoring.
@@ -42,10 +49,13 @@ from daybook.llm.language_id import drawn
 #: Bounds of the fit.
 POSITIVES, UNLABELLED, FEATURES = 3000, 6000, 1024
 THRESHOLD = 0.3
+#: Least z-score of a kept piece; among some hundred thousand pieces without a message few reach it by chance.
+LEAST_Z = 4.5
 HASH_BITS = 22
-STEPS, RATE = 400, 0.05
+#: Largest entry of the gradient at which the fit ends.
+TOLERANCE = 1e-7
 #: Weight decay times the number of positives: one Gaussian prior on the weights, whatever the sample's size.
-DECAY = 0.3
+DECAY = 1.0
 SEED = 6
 #: Words whose pieces a worker remembers.
 REMEMBERED = 100_000
@@ -83,25 +93,90 @@ class Extractor:
         return sorted(out)
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, rate: float = RATE, decay: float = DECAY) -> tuple[np.ndarray, float]:
-    """(weights, bias) of a logistic model that minimises the non-negative PU risk, by Adam."""
-    x = np.vstack([positive, unlabelled]).astype(np.float32)
-    n, n_p = len(x), len(positive)
-    w = np.zeros(x.shape[1] + 1)
+class PuRisk:
+    """Corrected risk over a positive and an unlabelled sample; weights w, the bias last."""
+
+    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float, decay: float = DECAY):
+        x = np.vstack([positive, unlabelled]).astype(np.float64)
+        n_p, n_u = len(positive), len(unlabelled)
+        self.x = np.hstack([x, np.ones((n_p + n_u, 1))])
+        self.of_p = np.concatenate([np.full(n_p, prior / max(1, n_p)), np.zeros(n_u)])
+        self.of_u = np.concatenate([np.zeros(n_p), np.full(n_u, 1 / max(1, n_u))])
+        self.decay = np.append(np.full(x.shape[1], decay / max(1, n_p)), 1e-9)
+
+    def parts(self, w: np.ndarray) -> tuple[float, float]:
+        """prior * P[loss(+)] with the weight decay, and U[loss(-)] - prior * P[loss(-)]."""
+        g = self.x @ w
+        return float(self.of_p @ np.logaddexp(0, -g) + 0.5 * self.decay @ (w * w)), float((self.of_u - self.of_p) @ np.logaddexp(0, g))
+
+    def risk(self, w: np.ndarray) -> float:
+        first, second = self.parts(w)
+        return first + max(0.0, second)
+
+    def _value(self, w: np.ndarray, s: float) -> float:
+        first, second = self.parts(w)
+        return first + s * second
+
+    def gradient(self, w: np.ndarray, s: float) -> np.ndarray:
+        """Of the first part and ``s`` times the second."""
+        p = 1 / (1 + np.exp(-(self.x @ w)))  # loss(+) = log(1 + e^-g) has slope p - 1, loss(-) = log(1 + e^g) slope p
+        return self.x.T @ (self.of_p * (p - 1) + s * (self.of_u - self.of_p) * p) + self.decay * w
+
+    def least(self, w: np.ndarray, s: float, tolerance: float) -> np.ndarray:
+        """The least point for a fixed ``s``, by Newton steps with conjugate gradients inside."""
+        for _ in range(100):
+            grad = self.gradient(w, s)
+            size = np.abs(grad).max()
+            if size <= tolerance:
+                break
+            p = 1 / (1 + np.exp(-(self.x @ w)))
+            curve = ((1 - s) * self.of_p + s * self.of_u) * p * (1 - p)
+            step = self._solve(curve, -grad, min(0.1, size**0.5) * np.linalg.norm(grad))
+            now, slope, t = self._value(w, s), grad @ step, 1.0
+            while t > 1e-10 and self._value(w + t * step, s) > now + 1e-4 * t * slope + 1e-15:
+                t /= 2
+            w = w + t * step
+        return w
+
+    def _solve(self, curve: np.ndarray, b: np.ndarray, close: float) -> np.ndarray:
+        """(x' diag(curve) x + diag(decay))^-1 b, by its diagonal's preconditioned conjugate gradients."""
+        scale = curve @ (self.x * self.x) + self.decay
+        out, left = np.zeros_like(b), b.copy()
+        z = left / scale
+        way, inner = z.copy(), left @ z
+        for _ in range(500):
+            ahead = self.x.T @ (curve * (self.x @ way)) + self.decay * way
+            a = inner / (way @ ahead)
+            out += a * way
+            left -= a * ahead
+            if np.linalg.norm(left) <= close:
+                break
+            z = left / scale
+            inner, before = left @ z, inner
+            way = z + inner / before * way
+        return out
+
+
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, decay: float = DECAY, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
+    """(weights, bias) of the logistic model with the least non-negative PU risk.
+
+    Rows are put in one order first, so that sums are the same to the last bit
+    however they came.
+    """
+    positive, unlabelled = (a[np.ascontiguousarray(np.packbits(a > 0, axis=1)).view(f"S{-(-a.shape[1] // 8)}").ravel().argsort(kind="stable")] if a.size else a for a in (positive, unlabelled))
+    risk = PuRisk(positive, unlabelled, prior, decay)
+    w = np.zeros(risk.x.shape[1])
     w[-1] = np.log(prior / (1 - prior))
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    in_p, in_u = np.zeros(n), np.zeros(n)
-    in_p[:n_p], in_u[n_p:] = 1 / max(1, n_p), 1 / max(1, n - n_p)
-    for t in range(1, steps + 1):
-        g = x @ w[:-1].astype(np.float32) + w[-1]
-        p = 1 / (1 + np.exp(-g))  # loss(+) = log(1 + e^-g) with slope p - 1, loss(-) = log(1 + e^g) with slope p
-        negative = (in_u - prior * in_p) @ np.logaddexp(0, g)
-        slope_negative = (in_u - prior * in_p) * p
-        slope = prior * in_p * (p - 1) + slope_negative if negative >= 0 else -slope_negative
-        grad = np.append(slope.astype(np.float32) @ x, slope.sum())
-        grad[:-1] += decay / max(1, n_p) * w[:-1]
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    w = risk.least(w, 1.0, tolerance)
+    low, high = 0.0, 1.0  # the second part at its least point falls as s grows
+    if risk.parts(w)[1] < 0:
+        while high - low > 1e-6:
+            s = (low + high) / 2
+            w = risk.least(w, s, tolerance)
+            second = risk.parts(w)[1]
+            if abs(second) <= 1e-7:
+                break
+            low, high = (s, high) if second > 0 else (low, s)
     return w[:-1], float(w[-1])
 
 
@@ -160,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     by_piece = rows.select("is_positive", F.explode("f").alias("f")).groupBy("f").agg(
         F.sum("is_positive").alias("in_p"), F.sum(1 - F.col("is_positive")).alias("in_u")
     )
-    best = [r["f"] for r in by_piece.where("in_p + in_u >= 5").orderBy(F.desc(z), "f").limit(features).select("f").collect()]
+    best = [r["f"] for r in by_piece.where((F.col("in_p") + F.col("in_u") >= 5) & (z >= LEAST_Z)).orderBy(F.desc(z), "f").limit(features).select("f").collect()]
     number = {f: k for k, f in enumerate(best)}
     kept = F.array_intersect("f", F.lit(best)) if best else F.array().cast("array<int>")
     matrix = {0: [], 1: []}

@@ -1,9 +1,10 @@
+import math
 import zlib
 
 import numpy as np
 import pytest
 
-from daybook.llm.toxicity import drop_toxic, fit_nnpu, score_toxicity, toxicity, train
+from daybook.llm.toxicity import Model, PuRisk, drop_toxic, fit_nnpu, pieces, score_toxicity, toxicity, train
 
 
 def test_nnpu_beats_plain_learning_from_unlabelled():
@@ -77,3 +78,75 @@ def test_no_labels_and_empty_tables(made, no_docs):
     assert {r.score for r in score_toxicity(docs, model).collect()} == {0.0}
     assert toxicity(no_docs, labels).count() == 0
     assert drop_toxic(docs, labels.limit(0)).count() == len(rows)
+
+
+def small_sample(seed=4, n_p=40, n_u=90, features=6):
+    rng = np.random.default_rng(seed)
+    return (rng.random((n_p, features)) < 0.5).astype(np.float32), (rng.random((n_u, features)) < 0.3).astype(np.float32)
+
+
+def risk_by_hand(positive, unlabelled, prior, w, bias, decay):
+    """The corrected risk, one document at a time; also its two parts."""
+    score = lambda row: sum(a * b for a, b in zip(row, w)) + bias
+    loss = lambda g, y: math.log1p(math.exp(-y * g))
+    plus = sum(loss(score(r), 1) for r in positive) / len(positive)
+    minus = sum(loss(score(r), -1) for r in positive) / len(positive)
+    other = sum(loss(score(r), -1) for r in unlabelled) / len(unlabelled)
+    first = prior * plus + 0.5 * decay / len(positive) * sum(a * a for a in w)
+    return first, other - prior * minus
+
+
+def test_risk_and_gradient_by_hand():
+    positive, unlabelled = small_sample()
+    risk = PuRisk(positive, unlabelled, 0.2, 0.7)
+    rng = np.random.default_rng(5)
+    for _ in range(5):
+        w = rng.normal(size=7)
+        first, second = risk_by_hand(positive.tolist(), unlabelled.tolist(), 0.2, w[:-1].tolist(), w[-1], 0.7)
+        assert risk.parts(w) == pytest.approx((first, second), abs=1e-8)
+        assert risk.risk(w) == pytest.approx(first + max(0, second), abs=1e-8)
+        for s in (1.0, 0.4):
+            grad = risk.gradient(w, s)
+            for k in range(7):  # finite differences
+                step = np.zeros(7)
+                step[k] = 1e-5
+                (a, b), (c, d) = risk.parts(w + step), risk.parts(w - step)
+                assert grad[k] == pytest.approx((a + s * b - c - s * d) / 2e-5, abs=1e-7)
+
+
+@pytest.mark.parametrize("prior, bound", [(0.1, False), (0.8, True)])
+def test_fit_is_the_least_point(prior, bound):
+    """No step in any direction lowers the risk, with the bound reached or not."""
+    positive, unlabelled = small_sample()
+    w, bias = fit_nnpu(positive, unlabelled, prior)
+    risk, at = PuRisk(positive, unlabelled, prior), np.append(w, bias)
+    assert (abs(risk.parts(at)[1]) < 1e-5) == bound and risk.parts(at)[1] > -1e-5
+    rng = np.random.default_rng(6)
+    for size in (1e-3, 0.05, 1.0):
+        for _ in range(50):
+            assert risk.risk(at + size * rng.normal(size=7)) >= risk.risk(at) - 2e-6
+
+
+def test_row_order_changes_nothing():
+    positive, unlabelled = small_sample(7, 60, 200, 20)
+    rng = np.random.default_rng(8)
+    want = fit_nnpu(positive, unlabelled, 0.3)
+    for _ in range(3):
+        w, bias = fit_nnpu(positive[rng.permutation(60)], unlabelled[rng.permutation(200)], 0.3)
+        assert (w == want[0]).all() and bias == want[1]
+
+
+def test_partitions_change_no_score(made):
+    docs, labels, _ = made
+    first, again = (sorted(toxicity(docs.repartition(n), labels.repartition(n)).collect(), key=str) for n in (2, 7))
+    assert first == again
+
+
+def test_scores_by_hand():
+    model = Model([], [0.5, -1.0], 0.25)
+    words = ["good", "bad"]
+    model.features = [min(pieces(w)) for w in words]
+    own = lambda t: sum(w for f, w in zip(model.features, model.weights) if any(f in pieces(x) for x in t.lower().split()))
+    texts = ["good bad", "Good good", "none", "", None]
+    want = [1 / (1 + math.exp(-(own(t or "") + 0.25))) for t in texts]
+    assert model.scorer()(texts) == pytest.approx(want)
