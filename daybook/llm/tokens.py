@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+import re
+from collections.abc import Callable
+from functools import lru_cache, partial
 
 import public_tokenizers
 import tiktoken
@@ -48,3 +50,32 @@ def byte_bpe(path: str | None = None) -> tiktoken.Encoding:
     as_byte = byte_alphabet()
     ranks = {bytes(as_byte[c] for c in piece): rank for piece, rank in spec["model"]["vocab"].items() if piece not in special}
     return tiktoken.Encoding("byte-bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+#: White space of the pre-tokenising pattern (Unicode's White_Space), and runs of it too long for a backtracking match.
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = re.compile(f"[{WHITE_SPACE}]{{4096,}}")
+
+
+def encoder(path: str | None = None, added_tokens: bool = False) -> Callable[[str], list[int]]:
+    """text -> ids, for texts of any length; ``added_tokens`` as ``encode`` of ``byte_bpe`` reads them.
+
+    The pattern makes one piece of a run of white space, without its last
+    character where more text follows.  Long runs are cut out by that rule and
+    merged as the one piece they are, as the pattern would backtrack through
+    them beyond its stack.
+    """
+    bpe = byte_bpe(path)
+    encode = partial(bpe.encode, allowed_special="all") if added_tokens else bpe.encode_ordinary
+
+    def ids(text: str) -> list[int]:
+        out: list[int] = []
+        at = 0
+        for run in LONG_RUN.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += encode(text[at : run.start()])
+            out += bpe._encode_single_piece(text[run.start() : end])
+            at = end
+        return out + encode(text[at:]) if at else encode(text)
+
+    return ids
