@@ -10,7 +10,11 @@
 Every grouping key holds the text itself, so two different texts never merge,
 whatever the digest.  The result carries only ids, digests and counts; rows
 find their class by digest, and where a digest stands for several texts (it
-never does with SHA-256, tests use a weak one) by digest and text.
+never does with SHA-256, tests use a weak one) by digest and text.  Digests
+with more than a ``1 / HOT`` part of all rows, less than ``HOT`` of them, are
+told to all tasks, and their rows meet the class in ``salts`` places.
+``drop_copies`` instead meets the row that stays by digest and id, so whole rows
+move once and no group of copies gathers.
 
 Cases: a null text counts as empty and equals other empty texts; texts that
 differ in white-space runs only are equal; a null id never wins against
@@ -32,6 +36,7 @@ from daybook.llm.common import frozen, text_or_empty
 #: Runs of these characters count as one space.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 SALTS = 32
+HOT = 1000
 
 
 def normalised(text: Column | str) -> Column:
@@ -57,19 +62,34 @@ def content_classes(docs: DataFrame, digest: Callable[[Column], Column] = sha256
     return meeting.groupBy("_digest", "_text").agg(F.min("_id").alias("keep_id"), F.sum("_n").alias("group_size"))
 
 
-def with_class(docs: DataFrame, digest: Callable[[Column], Column] = sha256_hex, salts: int = SALTS) -> DataFrame:
-    """Every row of ``docs`` with _text, _digest, keep_id and group_size."""
-    classes = content_classes(docs, digest, salts)
-    by_digest = frozen(
+def _by_digest(classes: DataFrame) -> DataFrame:
+    return frozen(
         classes.groupBy("_digest").agg(
             F.count(F.lit(1)).alias("_texts"), F.min("keep_id").alias("keep_id"), F.max("group_size").alias("group_size")
         )
     )
-    rows = docs.withColumn("_text", normalised("text")).withColumn("_digest", digest(F.col("_text")))
-    rows = rows.drop("keep_id", "group_size", "_texts")
-    alone = rows.join(by_digest.where("_texts = 1").drop("_texts"), "_digest")
+
+
+def _shared_digests(by_digest: DataFrame) -> DataFrame | None:
+    """Digests of several texts, if there are any."""
     shared = by_digest.where("_texts > 1").select("_digest")
-    if shared.isEmpty():
+    return None if shared.isEmpty() else shared
+
+
+def with_class(docs: DataFrame, digest: Callable[[Column], Column] = sha256_hex, salts: int = SALTS, hot: int = HOT) -> DataFrame:
+    """Every row of ``docs`` with _text, _digest, keep_id and group_size."""
+    classes = content_classes(docs, digest, salts)
+    by_digest = _by_digest(classes)
+    total = by_digest.agg(F.sum("group_size")).first()[0] or 0
+    often = F.col("group_size") > max(salts, total // hot)
+    rows = docs.withColumn("_text", normalised("text")).withColumn("_digest", digest(F.col("_text")))
+    rows = rows.drop("keep_id", "group_size", "_texts", "_salt", "_often")
+    marked = rows.join(F.broadcast(by_digest.where(often).select("_digest", F.lit(True).alias("_often"))), "_digest", "left")  # less than ``hot`` digests
+    marked = marked.withColumn("_salt", F.when(F.col("_often"), F.pmod(F.xxhash64("doc_id"), F.lit(salts))).otherwise(F.lit(0).cast("long"))).drop("_often")
+    places = F.explode(F.when(often, F.expr(f"sequence(0L, {salts - 1}L)")).otherwise(F.array(F.lit(0).cast("long"))))
+    alone = marked.join(by_digest.where("_texts = 1").select("_digest", "keep_id", "group_size", places.alias("_salt")), ["_digest", "_salt"]).drop("_salt")
+    shared = _shared_digests(by_digest)
+    if shared is None:
         return alone
     exact = classes.join(shared, "_digest", "left_semi")
     return alone.unionByName(rows.join(exact, ["_digest", "_text"]))
@@ -88,7 +108,15 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256_hex
 
 def drop_copies(docs: DataFrame, digest: Callable[[Column], Column] = sha256_hex, salts: int = SALTS) -> DataFrame:
     """The rows that stay, one for each distinct text, with the columns of ``docs``."""
-    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
-    kept = with_class(packed, digest, salts).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    one = kept.select("_digest", "_text", "_row").dropDuplicates(["_digest", "_text"])
-    return one.select("_row.*")
+    classes = content_classes(docs, digest, salts)
+    by_digest = _by_digest(classes)
+    as_text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rows = docs.withColumn("_ed_digest", digest(normalised("text"))).withColumn("_ed_id", as_text("doc_id"))
+    stays = by_digest.where("_texts = 1").select(F.col("_digest").alias("_ed_digest"), as_text("keep_id").alias("_ed_id"))
+    kept = rows.join(stays, ["_ed_digest", "_ed_id"], "left_semi").dropDuplicates(["_ed_digest", "_ed_id"])
+    shared = _shared_digests(by_digest)
+    if shared is not None:
+        exact = classes.join(shared, "_digest", "left_semi").select(F.col("_digest").alias("_ed_digest"), as_text("keep_id").alias("_ed_id"), F.col("_text").alias("_ed_text"))
+        full = ["_ed_digest", "_ed_id", "_ed_text"]
+        kept = kept.unionByName(rows.withColumn("_ed_text", normalised("text")).join(exact, full, "left_semi").dropDuplicates(full).drop("_ed_text"))
+    return kept.select(*docs.columns)

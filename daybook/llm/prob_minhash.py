@@ -19,18 +19,19 @@ which is the plain Jaccard index of the shingle sets where no shingle repeats.
 Equal texts become one node first.  A bucket never yields all its pairs: each
 node is compared with one delegate, links are joined into components, and only
 buckets with several components are looked at further, first through
-delegates (``STARS`` rounds), then by tiles of up to ``TILE_ROWS`` members:
-one task compares all members of different components in a pair of tiles and
-returns a spanning forest of the links it finds, never the pairs.  So no link
-that could change a class is lost.
+delegates (``STARS`` rounds), then by tiles of about ``TILE_ROWS`` members and
+``TILE_SHINGLES`` shingles at most: one task compares all members of different
+components in a pair of tiles and returns a spanning forest of the links it
+finds, never the pairs.  So no link that could change a class is lost.
 
 Words are runs of letters, marks and digits in lower case.
 
 Cases: a text with fewer than five words is one shingle; a null text or one
 without words links with nothing; texts with the same words are one class;
 repeated rows and rows that repeat an id are members like any other; a null id
-names a class only if all its members' are null; an empty table gives an
-empty result; further columns are ignored.
+names a class only if all its members' are null; of members with the least id
+one text stays, the one with the least digest; an empty table gives an empty
+result; further columns are ignored (query) or carried (``drop_near_dups``).
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 6
 STARS = 2
 TILE_ROWS = 2048
+#: Distinct shingles of a tile's texts; a task holds two tiles, at about 70 bytes a shingle.
+TILE_SHINGLES = 1 << 20
 #: Shingles in one incidence block of a tile.
 COLUMNS = 4096
 REMEMBERED = 150_000
@@ -274,13 +277,17 @@ def links_in_bucket(tables: list[tuple[np.ndarray, np.ndarray]], first: np.ndarr
     return [(i[sure], j[sure])]
 
 
-def bucket_links(members: DataFrame, roots: DataFrame, tables: DataFrame, threshold: float, tile_rows: int = TILE_ROWS) -> DataFrame:
+def bucket_links(
+    members: DataFrame, roots: DataFrame, tables: DataFrame, threshold: float, tile_rows: int = TILE_ROWS, tile_shingles: int = TILE_SHINGLES
+) -> DataFrame:
     """(a, b): links between different components of a bucket, a spanning
     forest of them for each pair of a bucket's tiles."""
     _, main = _split_buckets(members, roots)
     split = members.join(main.select("key"), "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = frozen(split.select("key", "node", "root"))
-    tiles = split.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("tiles"))
+    sizes = tables.select("node", (F.octet_length("shingles") / 8).alias("size"))
+    split = frozen(split.select("key", "node", "root").join(sizes, "node"))
+    enough = F.greatest(F.ceil(F.count(F.lit(1)) / tile_rows), F.ceil(F.sum("size") / tile_shingles), F.lit(1))
+    tiles = split.groupBy("key").agg(enough.cast("int").alias("tiles"))
     dealt = split.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     paired = paired.select("key", "node", "root", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"), (F.col("tile") <= F.col("other")).alias("first"))
@@ -315,8 +322,8 @@ def near_dup_links(members: DataFrame, tables: DataFrame, threshold: float, star
     return roots
 
 
-def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, class_id, class_size, kept) of each row; class_id is the least doc_id of its class."""
+def _classified(docs: DataFrame, threshold: float, words: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, digest, class_id, class_size, kept) of each row."""
     base = frozen(signed(docs, words, bands, rows))
     same = base.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
     nodes = frozen(same.withColumn("node", F.monotonically_increasing_id()))
@@ -326,19 +333,41 @@ def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     met = nodes.join(members.select("node").distinct(), "node").select("node", "digest", "rep_id")
     roots = near_dup_links(members, frozen(tables_of(docs, met, words)), threshold)
     rooted = nodes.select("digest", "node", "rep_id", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.groupBy("root").agg(F.min("rep_id").alias("class_id"), F.sum("n").alias("class_size"))
-    classes = rooted.join(named, "root").select("digest", "class_id", "class_size")
+    first = F.min(F.struct(F.col("rep_id").isNull(), "rep_id", "digest"))
+    named = rooted.groupBy("root").agg(first.alias("first"), F.sum("n").alias("class_size"))
+    classes = rooted.join(named, "root").select(
+        "digest", F.col("first.rep_id").alias("class_id"), "class_size", (F.col("digest") == F.col("first.digest")).alias("stays")
+    )
     result = base.select("doc_id", "digest").join(classes, "digest", "left")
-    class_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
+    alone = F.col("digest").isNull()
     return result.select(
         "doc_id",
-        class_id.alias("class_id"),
+        "digest",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        F.col("doc_id").eqNullSafe(class_id).alias("kept"),
+        (alone | F.col("stays") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"),
     )
 
 
+def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, class_id, class_size, kept) of each row; class_id is the least doc_id of its class."""
+    return _classified(docs, threshold, words, bands, rows).drop("digest")
+
+
 def drop_near_dups(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose class has a smaller id; rows with null id stay."""
-    gone = near_dup_classes(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(frozen(gone), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each class, that of the least id, with the columns of ``docs``; texts without words all stay.
+
+    Rows are told apart by id and words, so neither an id that repeats nor a
+    null one takes another text along.
+    """
+    id_, digest = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.unhex(F.substring(F.sha2("_nd_words", 256), 1, 32))
+    classes = frozen(_classified(docs, THRESHOLD, WORDS, BANDS, ROWS).where("digest IS NOT NULL").withColumn("_nd_id", id_))
+    gone = classes.where("NOT kept").select("_nd_id", F.col("digest").alias("_nd_digest")).distinct()
+    rows = docs.withColumn("_nd_words", words_of("text")).withColumn("_nd_digest", F.when(F.col("_nd_words") != "", digest))
+    rows = rows.drop("_nd_words").withColumn("_nd_id", id_).join(gone, ["_nd_id", "_nd_digest"], "left_anti")
+    repeated = classes.where("kept").groupBy("_nd_id", F.col("digest").alias("_nd_digest")).count().where("count > 1").drop("count")
+    repeated = frozen(repeated)
+    if not repeated.isEmpty():  # rows equal in id and words
+        once = rows.join(repeated, ["_nd_id", "_nd_digest"]).dropDuplicates(["_nd_id", "_nd_digest"])
+        rows = rows.join(repeated, ["_nd_id", "_nd_digest"], "left_anti").unionByName(once)
+    return rows.select(*docs.columns)

@@ -49,3 +49,11 @@ def test_hot_text_combines_before_the_exchange(edge_docs):
 
     plan = content_classes(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") + plan.count("SortAggregate") >= 3  # local, salted, global
+
+
+def test_hot_digests_meet_their_class_in_several_places(spark):
+    rows = [(k, f"copy {k % 2}") for k in range(4000)] + [(k, f"own text {k}") for k in range(4000, 4500)] + [(None, "copy 1"), (7, "copy 1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup(docs).collect()), key=str)
+    assert got == by_hand(rows)
+    assert {r.doc_id for r in drop_copies(docs).collect()} == {0, 1, *range(4000, 4500)}

@@ -149,3 +149,58 @@ def test_edges(edge_docs, no_docs, edge_rows):
     assert near_dup_classes(edge_docs).count() == len(edge_rows)
     assert near_dup_classes(no_docs).count() == 0
     assert drop_near_dups(no_docs).count() == 0
+
+
+def test_repeated_and_null_ids_take_no_other_text_along(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(400)]
+    text = lambda k: " ".join(rng.choice(words) for _ in range(60))
+    first, clean, other, lone = (text(k) for k in range(4))
+    near, nearer = f"{first} extra", f"more {first}"
+    rows = [
+        (1, first),
+        (5, near),  # a near copy of 1 goes
+        (5, clean),  # another text under its id stays
+        (None, nearer),  # a near copy without id goes
+        (None, lone),  # a text of its own without id stays
+        (8, other),
+        (8, f"{other} extra"),  # two near copies under one id: one stays
+        (9, text(5)),
+        (None, ""),
+        (None, None),
+    ]
+    rows += [rows[7]] * 2  # a row that repeats: one stays
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, digest string, _nd_id string").repartition(3)
+    kept = drop_near_dups(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert len(got) == 7 and [t for i, t in got if i == 8][0] in (other, f"{other} extra")
+    assert sorted((i, t) for i, t in got if i not in (8, None)) == sorted([(1, first), (5, clean), (9, rows[7][1])])
+    assert sorted(str(t) for i, t in got if i is None) == sorted([lone, "", "None"])
+    classes = near_dup_classes(docs)
+    assert classes.count() == len(rows) and classes.where("kept").count() == 9
+
+
+def test_long_texts_make_more_tiles(spark, monkeypatch):
+    """Tiles of few shingles find the links that one tile finds."""
+    import daybook.llm.prob_minhash as pm
+
+    rng = random.Random(13)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(900)]
+    base = [rng.choice(words) for _ in range(200)]
+    rows = []
+    for k in range(60):
+        own = list(base)
+        for at in rng.sample(range(200), k % 9):
+            own[at] = rng.choice(words)
+        rows.append((k, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(near_dup_classes(docs).collect())
+    inner, tiles = pm.bucket_links, []
+
+    def small(members, roots, tables, threshold):
+        tiles.append(1)
+        return inner(members, roots, tables, threshold, tile_shingles=500)
+
+    monkeypatch.setattr(pm, "bucket_links", small)
+    assert sorted(near_dup_classes(docs).collect()) == want and tiles
