@@ -12,14 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.staging import frozen
+from daybook.session import configure
 
 __all__ = ["frozen", "table", "text_or_empty", "ceil_div", "batch_rows", "learns_from", "map_columns", "kind_of"]
 
-#: Rows of one Arrow batch sent to Python.  Texts are unbounded in length, so
-#: batches hold few rows and operators work through them one at a time.
-BATCH_ROWS = 1000
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -45,10 +41,10 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def batch_rows(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
-    """Ask for small Arrow batches in the session of ``df`` (texts may be long) and ship the package."""
+def batch_rows(df: DataFrame) -> DataFrame:
+    """``df`` for a Python task: Arrow batches bounded by bytes (a session setting), the package shipped."""
+    configure(df.sparkSession)
     ship_package(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return df
 
 
@@ -77,18 +73,18 @@ ARROW = {
 Columns = dict[str, list]
 
 
-def map_columns(df: DataFrame, work: Callable[[Iterator[Columns]], Iterator[Columns]], schema: dict[str, str], rows: int = BATCH_ROWS) -> DataFrame:
-    """``work`` over each partition: columns as plain lists in and out, nulls as None.
+def map_columns(df: DataFrame, work: Callable[[Iterator[Columns]], Iterator[Columns]], schema: dict[str, str], rows: int | None = None) -> DataFrame:
+    """``work`` over each partition: columns as plain lists in and out, nulls as None, at most ``rows`` at a time.
 
     Lists, unlike pandas columns, keep integers exact where a column has nulls.
     """
 
     def over(batches):
-        given = (b.to_pydict() for b in batches if b.num_rows)
+        given = (b.slice(at, rows).to_pydict() for b in batches for at in range(0, b.num_rows, rows or max(1, b.num_rows)))
         for out in work(given):
             yield pa.RecordBatch.from_arrays([pa.array(out[name], ARROW[kind]) for name, kind in schema.items()], names=list(schema))
 
-    return batch_rows(df, rows).mapInArrow(over, ", ".join(f"`{name}` {kind}" for name, kind in schema.items()))
+    return batch_rows(df).mapInArrow(over, ", ".join(f"`{name}` {kind}" for name, kind in schema.items()))
 
 
 def kind_of(df: DataFrame, column: str) -> str:

@@ -44,7 +44,6 @@ PARTS = 16
 ENTRIES = 64
 ROUNDS = 2
 SCALE = 256
-ROWS = 4096  # of one Arrow batch
 #: Places that the rows of one label are spread over.
 SALTS = 32
 _MOST_BITS = 62
@@ -124,7 +123,7 @@ def with_integers(vectors: DataFrame) -> DataFrame:
             kept, v = integer_vectors(b.column(2))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(kept)), b.column(1).take(pa.array(kept)), v], names=["vec_id", "label", "v"])
 
-    return batch_rows(rows, ROWS).mapInArrow(over, schema)
+    return batch_rows(rows).mapInArrow(over, schema)
 
 
 def _matrix(v: pa.ListArray, length: int) -> tuple[np.ndarray, np.ndarray]:
