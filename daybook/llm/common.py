@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -56,6 +58,27 @@ def learns_from(doc_id: Column | str, held_out_remainder: int = 2) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 4 != held_out_remainder
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system; Python workers outlive their tasks and keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
+def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` over a partition's batches that gives back its memory in the end."""
+
+    def over(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return over
+
+
 #: Arrow types of the simple column types that operators return.
 ARROW = {
     "tinyint": pa.int8(),
@@ -84,7 +107,7 @@ def map_columns(df: DataFrame, work: Callable[[Iterator[Columns]], Iterator[Colu
         for out in work(given):
             yield pa.RecordBatch.from_arrays([pa.array(out[name], ARROW[kind]) for name, kind in schema.items()], names=list(schema))
 
-    return batch_rows(df).mapInArrow(over, ", ".join(f"`{name}` {kind}" for name, kind in schema.items()))
+    return batch_rows(df).mapInArrow(lean(over), ", ".join(f"`{name}` {kind}" for name, kind in schema.items()))
 
 
 def kind_of(df: DataFrame, column: str) -> str:

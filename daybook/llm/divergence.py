@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import batch_rows, ceil_div, frozen, ship_package
+from daybook.llm.common import batch_rows, ceil_div, frozen, lean, ship_package
 
 MIN_DOCS = 30
 PRIOR = 5
@@ -123,7 +123,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                     yield from held.out()
         yield from held.out()
 
-    return batch_rows(docs).mapInArrow(over, "lang string, source string, term binary, n long, docs long")
+    return batch_rows(docs).mapInArrow(lean(over), "lang string, source string, term binary, n long, docs long")
 
 
 def named(docs: DataFrame) -> DataFrame:

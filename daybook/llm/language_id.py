@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import batch_rows, frozen, learns_from, ship_package
+from daybook.llm.common import batch_rows, frozen, lean, learns_from, ship_package
 
 UNDETERMINED = "und"
 #: Documents of the fit a language.
@@ -124,12 +124,19 @@ class SuffixAutomaton:
     """Transitions as an open hash table, on symbols from 0 to ``alphabet`` - 1.
 
     As no transition leads back to the root, 0 means none.  The table takes
-    space by transition, so any alphabet fits; it is not pickled but made again.
+    space by transition, so any alphabet fits.  It is made where the first text
+    is parsed, which is not where the automaton is pickled, and the transitions
+    themselves are let go then.
     """
 
     def __init__(self, edges: Edges, alphabet: int):
         self.edges, self.alphabet = edges, alphabet
-        keys, targets = edges
+
+    def make_table(self) -> None:
+        if self.edges is None:
+            return
+        (keys, targets), alphabet = self.edges, self.alphabet
+        self.edges = None
         self.root = np.zeros(alphabet, dtype=np.int64)
         at_root = keys < alphabet
         self.root[keys[at_root]] = targets[at_root]
@@ -148,9 +155,6 @@ class SuffixAutomaton:
             rest[first] = False
             keys, targets, slots = keys[rest], targets[rest], (slots[rest] + 1) & self.mask
 
-    def __reduce__(self):
-        return SuffixAutomaton, (self.edges, self.alphabet)
-
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * HASH) >> self.shift).view(np.int64)
 
@@ -234,6 +238,7 @@ class CrossParser:
         out = np.zeros((2, len(texts), len(self.automata)))
         owner = np.repeat(np.arange(len(texts)), blocks)
         for k, automaton in enumerate(self.automata):
+            automaton.make_table()
             for n, counts in enumerate(self._parse(steps, automaton)):
                 out[n, :, k] = np.bincount(owner, weights=counts, minlength=len(texts))
         return out[0], out[1]
@@ -375,7 +380,7 @@ def identified(docs: DataFrame, keep: list[str], rows: DataFrame, pass_chars: in
 
         schema = T.StructType([docs.schema[name] for name in own]).add(lang, "string")
         schema = schema.add(total, "double") if last else schema.add(bits, "double").add(total, "double")
-        return batch_rows(docs).mapInArrow(work, schema)
+        return batch_rows(docs).mapInArrow(lean(work), schema)
 
     for k, languages in enumerate(passes[:-1]):
         docs = frozen(add(docs, languages, k == 0, False))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import Columns, batch_rows, ceil_div, frozen, kind_of, map_columns
+from daybook.llm.common import Columns, batch_rows, ceil_div, frozen, lean, kind_of, map_columns
 from daybook.llm.mixing import dealt_by_range, prefix_sums
 from daybook.llm.tokens import encoder
 
@@ -166,7 +166,7 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
             found = [pa.array(at[:, 3] + number - at[:, 1], pa.int64()), pa.array(at[:, 4], pa.int64())]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *found], schema=pa.schema([*list(b.schema)[:-1], pa.field("sequence_id", pa.int64()), pa.field("offset", pa.int64())]))
 
-    return batch_rows(numbered).mapInArrow(place, schema)
+    return batch_rows(numbered).mapInArrow(lean(place), schema)
 
 
 def best_fit_packing(

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Columns, batch_rows, frozen, kind_of, map_columns, text_or_empty
+from daybook.llm.common import Columns, batch_rows, frozen, give_back, kind_of, map_columns, text_or_empty
 from daybook.llm.components import connected_components, least_labels
 
 WORDS, THRESHOLD = 5, 0.8
@@ -298,6 +298,8 @@ def bucket_links(
         links = links_in_bucket(own, first, root, threshold)
         least = least_labels(len(node), links)
         moved = np.flatnonzero(least != np.arange(len(node)))
+        del own
+        give_back()
         return pa.table({"a": pa.array(node[moved], pa.int64()), "b": pa.array(node[least[moved]], pa.int64())})
 
     rows = batch_rows(paired.join(tables, "node"))

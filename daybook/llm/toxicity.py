@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Columns, batch_rows, frozen, kind_of, learns_from, map_columns
+from daybook.llm.common import Columns, batch_rows, frozen, lean, kind_of, learns_from, map_columns
 from daybook.llm.language_id import drawn
 
 #: Bounds of the fit.
@@ -93,20 +93,40 @@ class Extractor:
         return sorted(out)
 
 
+#: The numbers of the features that each document has.
+Rows = list[list[int]]
+
+
+def _sigmoid(g: np.ndarray) -> np.ndarray:
+    return np.exp(-np.logaddexp(0, -g))
+
+
 class PuRisk:
-    """Corrected risk over a positive and an unlabelled sample; weights w, the bias last."""
+    """Corrected risk over a positive and an unlabelled sample; weights w, the bias last.
 
-    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float, decay: float = DECAY):
-        x = np.vstack([positive, unlabelled]).astype(np.float64)
+    Documents have few of the features, so only those are stored: (row, feature) pairs.
+    """
+
+    def __init__(self, positive: Rows, unlabelled: Rows, features: int, prior: float, decay: float = DECAY):
+        rows = [*positive, *unlabelled]
+        self.n, self.features = len(rows), features
+        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
+        self.feature = np.fromiter((f for r in rows for f in r), np.int64, len(self.row))
         n_p, n_u = len(positive), len(unlabelled)
-        self.x = np.hstack([x, np.ones((n_p + n_u, 1))])
         self.of_p = np.concatenate([np.full(n_p, prior / max(1, n_p)), np.zeros(n_u)])
         self.of_u = np.concatenate([np.zeros(n_p), np.full(n_u, 1 / max(1, n_u))])
-        self.decay = np.append(np.full(x.shape[1], decay / max(1, n_p)), 1e-9)
+        self.decay = np.append(np.full(features, decay / max(1, n_p)), 1e-9)
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=w[self.feature], minlength=self.n) + w[-1]
+
+    def by_feature(self, of_row: np.ndarray) -> np.ndarray:
+        """Sums of a number per row over the rows that have each feature, and over all rows."""
+        return np.append(np.bincount(self.feature, weights=of_row[self.row], minlength=self.features), of_row.sum())
 
     def parts(self, w: np.ndarray) -> tuple[float, float]:
         """prior * P[loss(+)] with the weight decay, and U[loss(-)] - prior * P[loss(-)]."""
-        g = self.x @ w
+        g = self.scores(w)
         return float(self.of_p @ np.logaddexp(0, -g) + 0.5 * self.decay @ (w * w)), float((self.of_u - self.of_p) @ np.logaddexp(0, g))
 
     def risk(self, w: np.ndarray) -> float:
@@ -119,8 +139,8 @@ class PuRisk:
 
     def gradient(self, w: np.ndarray, s: float) -> np.ndarray:
         """Of the first part and ``s`` times the second."""
-        p = 1 / (1 + np.exp(-(self.x @ w)))  # loss(+) = log(1 + e^-g) has slope p - 1, loss(-) = log(1 + e^g) slope p
-        return self.x.T @ (self.of_p * (p - 1) + s * (self.of_u - self.of_p) * p) + self.decay * w
+        p = _sigmoid(self.scores(w))  # loss(+) = log(1 + e^-g) has slope p - 1, loss(-) = log(1 + e^g) slope p
+        return self.by_feature(self.of_p * (p - 1) + s * (self.of_u - self.of_p) * p) + self.decay * w
 
     def least(self, w: np.ndarray, s: float, tolerance: float) -> np.ndarray:
         """The least point for a fixed ``s``, by Newton steps with conjugate gradients inside."""
@@ -129,7 +149,7 @@ class PuRisk:
             size = np.abs(grad).max()
             if size <= tolerance:
                 break
-            p = 1 / (1 + np.exp(-(self.x @ w)))
+            p = _sigmoid(self.scores(w))
             curve = ((1 - s) * self.of_p + s * self.of_u) * p * (1 - p)
             step = self._solve(curve, -grad, min(0.1, size**0.5) * np.linalg.norm(grad))
             now, slope, t = self._value(w, s), grad @ step, 1.0
@@ -140,12 +160,12 @@ class PuRisk:
 
     def _solve(self, curve: np.ndarray, b: np.ndarray, close: float) -> np.ndarray:
         """(x' diag(curve) x + diag(decay))^-1 b, by its diagonal's preconditioned conjugate gradients."""
-        scale = curve @ (self.x * self.x) + self.decay
+        scale = self.by_feature(curve) + self.decay
         out, left = np.zeros_like(b), b.copy()
         z = left / scale
         way, inner = z.copy(), left @ z
         for _ in range(500):
-            ahead = self.x.T @ (curve * (self.x @ way)) + self.decay * way
+            ahead = self.by_feature(curve * self.scores(way)) + self.decay * way
             a = inner / (way @ ahead)
             out += a * way
             left -= a * ahead
@@ -157,15 +177,14 @@ class PuRisk:
         return out
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, decay: float = DECAY, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
+def fit_nnpu(positive: Rows, unlabelled: Rows, features: int, prior: float, decay: float = DECAY, tolerance: float = TOLERANCE) -> tuple[np.ndarray, float]:
     """(weights, bias) of the logistic model with the least non-negative PU risk.
 
     Rows are put in one order first, so that sums are the same to the last bit
     however they came.
     """
-    positive, unlabelled = (a[np.ascontiguousarray(np.packbits(a > 0, axis=1)).view(f"S{-(-a.shape[1] // 8)}").ravel().argsort(kind="stable")] if a.size else a for a in (positive, unlabelled))
-    risk = PuRisk(positive, unlabelled, prior, decay)
-    w = np.zeros(risk.x.shape[1])
+    risk = PuRisk(sorted(positive), sorted(unlabelled), features, prior, decay)
+    w = np.zeros(features + 1)
     w[-1] = np.log(prior / (1 - prior))
     w = risk.least(w, 1.0, tolerance)
     low, high = 0.0, 1.0  # the second part at its least point falls as s grows
@@ -238,12 +257,10 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     best = [r["f"] for r in by_piece.where((F.col("in_p") + F.col("in_u") >= 5) & (z >= LEAST_Z)).orderBy(F.desc(z), "f").limit(features).select("f").collect()]
     number = {f: k for k, f in enumerate(best)}
     kept = F.array_intersect("f", F.lit(best)) if best else F.array().cast("array<int>")
-    matrix = {0: [], 1: []}
-    for r in rows.select("is_positive", kept.alias("f")).toLocalIterator():  # at most positives + ~unlabelled rows of ``features`` bits
-        row = np.zeros(len(best), dtype=np.float32)
-        row[[number[f] for f in r["f"]]] = 1
-        matrix[r["is_positive"]].append(row)
-    w, bias = fit_nnpu(np.array(matrix[1]), np.array(matrix[0]), prior)
+    sample: dict[int, Rows] = {0: [], 1: []}
+    for r in rows.select("is_positive", kept.alias("f")).toLocalIterator():  # at most positives + ~unlabelled rows of ``features`` numbers
+        sample[r["is_positive"]].append(sorted(number[f] for f in r["f"]))
+    w, bias = fit_nnpu(sample[1], sample[0], len(best), prior)
     return Model(best, w.tolist(), bias)
 
 
@@ -280,4 +297,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
             keep = [s < threshold for s in scores(batch.column("text").to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return batch_rows(docs).mapInArrow(work, docs.schema)
+    return batch_rows(docs).mapInArrow(lean(work), docs.schema)

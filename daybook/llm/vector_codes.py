@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import batch_rows, frozen
+from daybook.llm.common import batch_rows, frozen, lean
 
 PARTS = 16
 ENTRIES = 64
@@ -123,7 +123,7 @@ def with_integers(vectors: DataFrame) -> DataFrame:
             kept, v = integer_vectors(b.column(2))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(kept)), b.column(1).take(pa.array(kept)), v], names=["vec_id", "label", "v"])
 
-    return batch_rows(rows).mapInArrow(over, schema)
+    return batch_rows(rows).mapInArrow(lean(over), schema)
 
 
 def _matrix(v: pa.ListArray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,7 +187,7 @@ def _coded(rows: DataFrame, books: np.ndarray, parts: int) -> DataFrame:
                 error_of[k] = int(e) if e < 1 << 63 else None
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(code_of, pa.string()), pa.array(error_of, pa.int64())], names=["vec_id", "label", "code", "error"])
 
-    return rows.select("vec_id", "label", "v").mapInArrow(over, schema)
+    return rows.select("vec_id", "label", "v").mapInArrow(lean(over), schema)
 
 
 def codebook_sha256(books: np.ndarray, parts: int = PARTS) -> str:

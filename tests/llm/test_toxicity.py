@@ -14,12 +14,16 @@ def test_nnpu_beats_plain_learning_from_unlabelled():
     y = rng.random(n) < prior
     x = (rng.random((n, 12)) < np.where(y[:, None], 0.6, 0.15)).astype(np.float32)
     positive = (rng.random((600, 12)) < 0.6).astype(np.float32)
-    w, bias = fit_nnpu(positive, x, prior)
+    w, bias = fit_nnpu(listed(positive), listed(x), 12, prior)
     p = 1 / (1 + np.exp(-(x @ w + bias)))
     assert ((p >= 0.5) == y).mean() > 0.93
     assert abs(p.mean() - prior) < 0.1
 
 
+def listed(matrix):
+    return [np.flatnonzero(row).tolist() for row in matrix]
+
+
 def crc_held(doc_id):
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
@@ -98,7 +102,7 @@ def risk_by_hand(positive, unlabelled, prior, w, bias, decay):
 
 def test_risk_and_gradient_by_hand():
     positive, unlabelled = small_sample()
-    risk = PuRisk(positive, unlabelled, 0.2, 0.7)
+    risk = PuRisk(listed(positive), listed(unlabelled), 6, 0.2, 0.7)
     rng = np.random.default_rng(5)
     for _ in range(5):
         w = rng.normal(size=7)
@@ -118,8 +122,8 @@ def test_risk_and_gradient_by_hand():
 def test_fit_is_the_least_point(prior, bound):
     """No step in any direction lowers the risk, with the bound reached or not."""
     positive, unlabelled = small_sample()
-    w, bias = fit_nnpu(positive, unlabelled, prior)
-    risk, at = PuRisk(positive, unlabelled, prior), np.append(w, bias)
+    w, bias = fit_nnpu(listed(positive), listed(unlabelled), 6, prior)
+    risk, at = PuRisk(listed(positive), listed(unlabelled), 6, prior), np.append(w, bias)
     assert (abs(risk.parts(at)[1]) < 1e-5) == bound and risk.parts(at)[1] > -1e-5
     rng = np.random.default_rng(6)
     for size in (1e-3, 0.05, 1.0):
@@ -130,9 +134,9 @@ def test_fit_is_the_least_point(prior, bound):
 def test_row_order_changes_nothing():
     positive, unlabelled = small_sample(7, 60, 200, 20)
     rng = np.random.default_rng(8)
-    want = fit_nnpu(positive, unlabelled, 0.3)
+    want = fit_nnpu(listed(positive), listed(unlabelled), 20, 0.3)
     for _ in range(3):
-        w, bias = fit_nnpu(positive[rng.permutation(60)], unlabelled[rng.permutation(200)], 0.3)
+        w, bias = fit_nnpu(listed(positive[rng.permutation(60)]), listed(unlabelled[rng.permutation(200)]), 20, 0.3)
         assert (w == want[0]).all() and bias == want[1]
 
 
