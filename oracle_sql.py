@@ -187,19 +187,12 @@ Q["ripple_payment_stats"] = with_(
     f"total AS (SELECT {day('btime')} AS date, count(*) AS total_cnt FROM rtx GROUP BY 1)",
     f"mtx AS (SELECT {day('btime')} AS date, count(*) AS missing_cnt FROM rtx WHERE type IS NULL GROUP BY 1)",
     f"blocks AS (SELECT {day('btime')} AS date, count(*) AS block_cnt FROM led GROUP BY 1)",
-    f"""series AS (SELECT unnest(generate_series(32570, (SELECT max(idx) FROM led))) AS n)""",
-    f"""missing_blocks AS (
-      SELECT q.n AS idx, bp.idx AS prev_index, {day('bp.btime')} AS prev_date, bn.idx AS next_index
-      FROM series q LEFT JOIN led b ON q.n = b.idx LEFT JOIN led bp ON q.n = bp.idx + 1
-        LEFT JOIN led bn ON q.n + 1 = bn.idx
-      WHERE b.idx IS NULL AND (bp.idx IS NOT NULL OR bn.idx IS NOT NULL))""",
-    """mbd AS (SELECT l.idx AS b, l.prev_date AS begin_date,
-        (SELECT min(r.idx) FROM missing_blocks r WHERE r.idx >= l.idx AND r.next_index IS NOT NULL) AS e
-      FROM missing_blocks l WHERE l.prev_index IS NOT NULL)""",
-    "mbr AS (SELECT begin_date AS date, CAST(sum(e - b + 1) AS BIGINT) AS missing_block_cnt FROM mbd GROUP BY 1)",
+    f"""gaps AS (SELECT {day('btime')} AS date, CAST(sum(following - idx - 1) AS BIGINT) AS missing_block_cnt
+      FROM (SELECT idx, btime, lead(idx) OVER (ORDER BY idx) AS following FROM led)
+      WHERE following > idx + 1 GROUP BY 1)""",
 ) + """SELECT x.date, x.cnt, x.value, x.fee, x.from_cnt, x.to_cnt, a.addr_cnt, b.block_cnt, m.missing_block_cnt,
   t.total_cnt, mt.missing_cnt
-FROM txs x LEFT JOIN addr a USING (date) LEFT JOIN blocks b USING (date) LEFT JOIN mbr m USING (date)
+FROM txs x LEFT JOIN addr a USING (date) LEFT JOIN blocks b USING (date) LEFT JOIN gaps m USING (date)
 LEFT JOIN total t USING (date) LEFT JOIN mtx mt USING (date)"""
 
 Q["ripple_daily"] = with_(
@@ -268,33 +261,33 @@ FROM fees f LEFT JOIN pv USING (date)"""
 KS = "ks AS (SELECT o_orderkey AS k FROM orders)"
 DAY0 = 788918400  # 1995-01-01
 
+# An order is a transaction, 600 seconds after the one before; its fee is what it spends beyond what it pays out.
 Q["cardano_stats"] = with_(
     KS,
     LI,
     UTXO,
-    f"""tp AS (
-      SELECT i.k AS txid, {DAY0} + 600 * i.k AS time, i.address, -i.amt AS value, 0 AS is_output
-        FROM ins i JOIN ks ON ks.k = i.k
-      UNION ALL
-      SELECT o.k, {DAY0} + 600 * o.k, o.address, o.amt, 1 FROM outs o)""",
-    """short AS (SELECT address FROM tp GROUP BY address
-      HAVING sum(value) = 0 AND max(time) - min(time) <= 2400)""",
-    "txio AS (SELECT txid, address, sum(value) AS value, sum(is_output) AS oc FROM tp GROUP BY txid, address)",
-    """txq AS (SELECT txid, -sum(value) AS fees, sum(greatest(value, 0)) AS volume,
-        sum(CASE WHEN s.address IS NOT NULL THEN greatest(value, 0) END) AS short_volume,
-        greatest(sum(oc) - 1, 0) AS payment_cnt
-      FROM txio LEFT JOIN short s ON s.address = txio.address GROUP BY txid)""",
-    f"""txs AS (SELECT {day(f'{DAY0} + 600 * txid')} AS date, count(*) AS cnt, {scaled('sum(fees)', 6)} AS fees,
-        {scaled('sum(volume)', 6)} AS volume, {med(dbl('volume', 6))} AS med_volume, {med(dbl('fees', 6))} AS med_fees,
-        CAST(sum(payment_cnt) AS BIGINT) AS payment_cnt, {scaled('sum(short_volume)', 6)} AS short_volume
-      FROM txq GROUP BY 1)""",
-    f"""sides AS (SELECT {day('time')} AS date,
-        count(DISTINCT address) FILTER (WHERE is_output = 0) AS from_cnt,
-        count(DISTINCT address) FILTER (WHERE is_output = 1) AS to_cnt,
-        count(DISTINCT address) AS addr_cnt FROM tp GROUP BY 1)""",
-) + """SELECT t.date, t.cnt, t.volume, t.fees, t.med_volume, t.med_fees, t.payment_cnt, t.short_volume,
-  s.from_cnt, s.to_cnt, s.addr_cnt
-FROM txs t LEFT JOIN sides s USING (date)"""
+    "given AS (SELECT k, address, amt FROM ins SEMI JOIN ks USING (k))",
+    """whole AS (SELECT k, coalesce(i.amt, 0) - coalesce(o.amt, 0) AS fee, greatest(coalesce(o.n, 0) - 1, 0) AS payments
+      FROM (SELECT k, sum(amt) AS amt FROM given GROUP BY k) i
+        FULL JOIN (SELECT k, sum(amt) AS amt, count(*) AS n FROM outs GROUP BY k) o USING (k))""",
+    """balance AS (SELECT k, address, coalesce(o.amt, 0) - coalesce(i.amt, 0) AS gain
+      FROM (SELECT k, address, sum(amt) AS amt FROM outs GROUP BY k, address) o
+        FULL JOIN (SELECT k, address, sum(amt) AS amt FROM given GROUP BY k, address) i USING (k, address))""",
+    # emptied again within four orders, which is 2400 seconds
+    "fleeting AS (SELECT address FROM balance GROUP BY address HAVING sum(gain) = 0 AND max(k) <= min(k) + 4)",
+    """gains AS (SELECT k, coalesce(sum(gain) FILTER (WHERE gain > 0), 0) AS volume FROM balance GROUP BY k)""",
+    """brief AS (SELECT k, sum(greatest(gain, 0)) AS volume FROM balance SEMI JOIN fleeting USING (address) GROUP BY k)""",
+    f"""per_day AS (SELECT {day(f'{DAY0} + 600 * k')} AS date, count(*) AS cnt,
+        {scaled('sum(gains.volume)', 6)} AS volume, {scaled('sum(fee)', 6)} AS fees,
+        {med(dbl('gains.volume', 6))} AS med_volume, {med(dbl('fee', 6))} AS med_fees,
+        CAST(sum(payments) AS BIGINT) AS payment_cnt, {scaled('sum(brief.volume)', 6)} AS short_volume
+      FROM whole JOIN gains USING (k) LEFT JOIN brief USING (k) GROUP BY 1)""",
+    f"""who AS (SELECT {day(f'{DAY0} + 600 * k')} AS date, address, side
+      FROM (SELECT k, address, 'in' AS side FROM given UNION SELECT k, address, 'out' FROM outs))""",
+    """people AS (SELECT date, count(DISTINCT address) FILTER (WHERE side = 'in') AS from_cnt,
+        count(DISTINCT address) FILTER (WHERE side = 'out') AS to_cnt, count(DISTINCT address) AS addr_cnt
+      FROM who GROUP BY date)""",
+) + "SELECT * FROM per_day LEFT JOIN people USING (date)"
 
 MONERO_FEE = "CASE WHEN height < 1220516 THEN vi.amount - vo.amount ELSE fee END"
 Q["monero_stats"] = with_(
