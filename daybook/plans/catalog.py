@@ -91,16 +91,27 @@ def _sync(spark, d):
     )
 
 
-def _published(early, raw, job, clock, fresh_only: bool = False):
-    """Publish the rows before the open days, refresh, return what is published then."""
-    from daybook.operators.staging import scratch_path
-    from daybook.streaming import publish, read_published, refresh_days
+class _Kept:
+    """A per-day table as it is kept up: published from the early rows, refreshed with all of them."""
 
-    target = scratch_path(raw.sparkSession)
-    publish(job(early, None), target)
-    begin = refresh_days(job, raw, target, clock=clock)
-    out = read_published(raw.sparkSession, target)
-    return out.where(F.col("date") >= F.lit(begin)) if fresh_only else out
+    def __init__(self, early, raw, clock, job):
+        from daybook.operators.staging import scratch_path
+        from daybook.streaming import publish
+
+        self.spark, self.raw, self.clock, self.job = raw.sparkSession, raw, clock, job
+        self.path = scratch_path(self.spark)
+        publish(job(early, None), self.path)
+
+    def refresh(self):
+        from daybook.streaming import refresh_days
+
+        refresh_days(self.job, self.raw, self.path, clock=self.clock)
+        return self
+
+    def read(self):
+        from daybook.streaming import read_published
+
+        return read_published(self.spark, self.path)
 
 
 #: Seconds of raw history that the incremental queries leave to the refresh.
@@ -121,31 +132,33 @@ def _ripple_refreshed(spark, d):
     from daybook.streaming import Clock
 
     early, raw = _split(L.ripple_ledgers(spark, d), "closeTime")
-    return _published(early, raw, lambda r, since=None: ripple_daily(r), Clock("closeTime"))
+    return _Kept(early, raw, Clock("closeTime"), lambda r, since=None: ripple_daily(r)).refresh().read()
 
 
 def _neo_refreshed(spark, d):
-    from daybook.operators.staging import frozen
     from daybook.plans.utxo import neo_outputs, neo_stats
     from daybook.streaming import Clock
 
     early, raw = _split(L.neo_blocks(spark, d), "time")
-    outputs = frozen(neo_outputs(raw))
-    return _published(early, raw, lambda r, since=None: neo_stats(r, since, outputs), Clock("time"))
+    clock = Clock("time")
+    outputs = _Kept(early, raw, clock, lambda r, since=None: neo_outputs(r))
+    stats = _Kept(early, raw, clock, lambda r, since=None: neo_stats(r, since, outputs.read()))
+    outputs.refresh()
+    return stats.refresh().read()
 
 
 def _traced_refreshed(spark, d):
-    from daybook.operators.staging import frozen
     from daybook.plans.ethereum import address_days, contract_days, eth_stats_traced
     from daybook.streaming import Clock
 
     early, raw = _split(L.eth_blocks(spark, d), "timestamp")
-    registry, addresses = frozen(contract_days(raw)), frozen(address_days(raw))
-
-    def job(rows, since=None):
-        return eth_stats_traced(rows, "eth", "registry", since, registry, addresses)
-
-    return _published(early, raw, job, Clock("timestamp"), fresh_only=True)
+    clock = Clock("timestamp")
+    registry = _Kept(early, raw, clock, lambda r, since=None: contract_days(r))
+    addresses = _Kept(early, raw, clock, lambda r, since=None: address_days(r))
+    stats = _Kept(early, raw, clock, lambda r, since=None: eth_stats_traced(r, "eth", "registry", since, registry.read(), addresses.read()))
+    registry.refresh()
+    addresses.refresh()
+    return stats.refresh().read()
 
 
 def _csv(dataset: str, export: str, where=None, keep=()):

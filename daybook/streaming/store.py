@@ -1,83 +1,73 @@
-"""Published per-day tables: appended batches and a small log.
+"""Published per-day tables: Parquet partitioned by month, written by Spark's dynamic overwrite.
 
-Layout under a target folder:
+A publication from a day on replaces the months from that day's on: the rows
+of the first month's earlier days come along, months without rows any more are
+removed, and files of closed months are never touched (§8 Q4).  Without a first
+day it replaces the table.  A month rather than a day, as a day of most tables
+is one row, and a folder a day would be listed at each read.
 
-* ``data/batch=<k>/``: parquet rows of one publication;
-* ``log/``: one appended row per publication, (batch, begin).
-
-A batch holds every row from its ``begin`` day on (all days when begin is
-NULL).  A row of batch k is current while no later batch begins at or before
-its day, so recomputing open days never touches stored files, a day that
-yields no rows any more disappears, and closed days stay as published (§8 Q4).
-
-The log row is appended after the data: readers see the former publication or
-the new one, never half of either, and a crash in between leaves a batch that
-is not in the log, which the next publication overwrites.  One writer at a
-time.  Batches no longer current are removed one publication later.
+Rows are staged before the write, so a job may read the table that it is about
+to change.  Spark moves finished partitions into place when the whole write has
+succeeded; a write that died leaves a hidden folder that no reader sees.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators.staging import frozen
 from daybook.sources.storage import delete, read_if_there
 
-LOG_SCHEMA = "batch long, begin timestamp_ntz"
-#: Batches after which a publication stores the whole table anew.
-MAX_BATCHES = 64
+MONTH = "month"
+#: Partition that keeps the schema of a table without rows.
+NO_MONTH = 101
 
 
-def _log(spark: SparkSession, path: str) -> list[tuple[int, dt.datetime | None]]:
-    log = read_if_there(spark, f"{path}/log")
-    return [] if log is None else [(r["batch"], r["begin"]) for r in log.orderBy("batch").collect()]
+def _month(day: dt.datetime) -> int:
+    return day.year * 100 + day.month
 
 
-def _current(log) -> list[tuple[int, dt.datetime | None, dt.datetime | None]]:
-    """(batch, first day, day before which it holds) of batches that still count."""
-    out, end, open_end = [], None, True
-    for batch, begin in reversed(log):
-        if open_end or begin is None or begin < end:
-            out.append((batch, begin, end))
-            end, open_end = begin, False
-        if begin is None:
-            break
-    return out[::-1]
+def _months(stored: DataFrame | None) -> list[int]:
+    """Months of a stored table, from the partition names alone."""
+    return [] if stored is None else [r[MONTH] for r in stored.select(MONTH).distinct().collect() if r[MONTH] is not None]
 
 
-def read_published(spark: SparkSession, path: str) -> DataFrame:
-    """The current rows of a published table."""
-    live = _current(_log(spark, path))
-    if not live:
+def read_published(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:
+    """A published table, or its rows from day ``since`` on, of which only the months are read."""
+    stored = read_if_there(spark, path)
+    if stored is None:
         raise FileNotFoundError(f"nothing is published at {path}")
-    parts = []
-    for batch, _, end in live:
-        own = F.col("batch") == batch
-        parts.append(own if end is None else own & (F.col("date") < F.lit(end)))
-    return spark.read.parquet(f"{path}/data").where(reduce(lambda a, b: a | b, parts)).drop("batch")
+    if since is not None:
+        stored = stored.where((F.col(MONTH) >= _month(since)) & (F.col("date") >= F.lit(since)))
+    return stored.drop(MONTH)
 
 
 def last_published_day(spark: SparkSession, path: str) -> dt.datetime | None:
-    """Latest ``date`` in the target, or None when nothing is published."""
-    if not _log(spark, path):
-        return None
-    return read_published(spark, path).agg(F.max("date")).first()[0]
+    """Latest day of the target, or None when nothing is published."""
+    stored = read_if_there(spark, path)
+    months = _months(stored)
+    return stored.where(F.col(MONTH) == max(months)).agg(F.max("date")).first()[0] if months else None
 
 
 def publish(df: DataFrame, path: str, *, begin: dt.datetime | None = None) -> None:
     """Publish ``df`` as all rows from day ``begin`` on (None: as the whole table, S5, S12)."""
     spark = df.sparkSession
-    log = _log(spark, path)
-    if begin is not None and len(_current(log)) >= MAX_BATCHES:
-        df = read_published(spark, path).where(F.col("date") < F.lit(begin)).unionByName(df)
-        begin = None
-    batch = log[-1][0] + 1 if log else 0
-    df.write.mode("overwrite").parquet(f"{path}/data/batch={batch}")
-    spark.createDataFrame([(batch, begin)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/log")
-    live = {b for b, _, _ in _current(log)}  # still current until now: readers may be at them
-    for old, _ in log:
-        if old not in live:
-            delete(spark, f"{path}/data/batch={old}")
+    stored = None if begin is None else read_if_there(spark, path)
+    if stored is not None:
+        kept = stored.where((F.col(MONTH) == _month(begin)) & (F.col("date") < F.lit(begin))).drop(MONTH)
+        df = kept.unionByName(df)
+    rows = frozen(df.withColumn(MONTH, (F.year("date") * 100 + F.month("date")).cast("int")))
+    months, before = set(_months(rows)), set(_months(stored))
+    gone = {m for m in before if m >= _month(begin)} - months if begin is not None else set()
+    # one file a month, more where a month is large
+    writer = rows.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
+    writer.option("partitionOverwriteMode", "static" if begin is None else "dynamic").parquet(path)
+    if not months and not before - gone:
+        rows.drop(MONTH).limit(0).write.mode("overwrite").parquet(f"{path}/{MONTH}={NO_MONTH}")
+    for month in gone - {NO_MONTH}:
+        delete(spark, f"{path}/{MONTH}={month}")
+    if months and NO_MONTH in before:
+        delete(spark, f"{path}/{MONTH}={NO_MONTH}")

@@ -640,14 +640,17 @@ UNION ALL SELECT 'eos', {_ts('(SELECT max(btime) FROM acc)')}
 UNION ALL SELECT 'waves', make_timestamp((SELECT max(btime) * 1000 FROM acc) * 1000)"""
 
 # ------------------------------------------------- incremental refreshes
-# Closed days of these datasets do not depend on later ones, so a refreshed
-# table equals a full build; the traced one is compared on its open days.
+# No closed day of these two depends on a later one: a refreshed table equals a full build.
 Q["ripple_daily_refreshed"] = Q["ripple_daily"]
 Q["neo_stats_refreshed"] = Q["neo_stats"]
-Q["eth_stats_traced_refreshed"] = f"""WITH full_ AS ({Q['eth_stats_traced_registry']}),
-b AS ({with_(ACC)} SELECT btime FROM acc),
-cut AS (SELECT {day('max(btime)')} AS d FROM b WHERE btime < (SELECT max(btime) FROM b) - 30 * 86400)
-SELECT * FROM full_ WHERE date >= (SELECT d FROM cut)"""
+# Traced days depend on the contracts and addresses known when they were published: closed days on
+# those of the early rows, the days from the last early one on those of all rows.
+_EARLY = ACC.replace("acc AS (", "every AS (", 1) + """,
+acc AS (SELECT * FROM every WHERE btime < (SELECT max(btime) FROM every) - 30 * 86400)"""
+_TRACED = Q["eth_stats_traced_registry"]
+Q["eth_stats_traced_refreshed"] = f"""WITH early AS ({_TRACED.replace(ACC, _EARLY)}), later AS ({_TRACED}),
+last_ AS (SELECT max(date) AS d FROM early)
+SELECT * FROM early WHERE date < (SELECT d FROM last_) UNION ALL SELECT * FROM later WHERE date >= (SELECT d FROM last_)"""
 
 # ----------------------------------------------------------- CSV exports
 # Published CSV headers (dataset column, CSV column), in order.

@@ -97,25 +97,51 @@ def test_closed_days_survive_without_success_marks_and_old_raw(spark, sf_small,
     assert _rows(read_published(spark, path)) == before
 
 
-def test_crash_before_the_log_row_changes_nothing(spark, scratch):
+def test_a_write_that_died_changes_nothing(spark, scratch):
     path = f"{scratch}/t"
     publish(days(spark, (1, 1), (2, 1)), path)
-    days(spark, (2, 9), (3, 9)).write.parquet(f"{path}/data/batch=1")  # a publication that died
+    days(spark, (2, 9), (3, 9)).write.parquet(f"{path}/.spark-staging-1/month=202001")  # what such a write leaves
     assert published(spark, path) == {(1, 1), (2, 1)}
     publish(days(spark, (2, 2)), path, begin=dt.datetime(2020, 1, 2))
-    assert published(spark, path) == {(1, 1), (2, 2)}
+    assert published(spark, path) == {(1, 1), (2, 2)} and last_published_day(spark, path) == dt.datetime(2020, 1, 2)
 
 
-def test_many_batches_are_stored_anew(spark, scratch, monkeypatch):
-    from daybook.streaming import store
+def files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
 
-    monkeypatch.setattr(store, "MAX_BATCHES", 3)
-    path, want = f"{scratch}/t", set()
-    for d in range(1, 8):
-        publish(days(spark, (d, d)), path, begin=dt.datetime(2020, 1, d) if d > 1 else None)
-        want.add((d, d))
-        assert published(spark, path) == want
-        assert len(os.listdir(f"{path}/data")) <= 8
+
+def dated(spark, *rows):
+    return spark.createDataFrame([(dt.datetime(2020, m, d), v) for m, d, v in rows], "date timestamp_ntz, v int")
+
+
+def test_closed_months_keep_their_files(spark, scratch):
+    path = f"{scratch}/t"
+    publish(dated(spark, *[(m, d, m * 100 + d) for m in range(1, 5) for d in (1, 9)]), path)
+    before = files(path)
+    publish(dated(spark, (3, 9, 1), (5, 2, 2)), path, begin=dt.datetime(2020, 3, 9))  # April has no rows any more
+    after = files(path)
+    closed = {f: t for f, t in before.items() if f.split("month=")[1][:6] < "202003"}
+    assert len(closed) == 2 and closed.items() <= after.items() and len(after) == 4
+    rows = {(r["date"].month, r["date"].day, r["v"]) for r in read_published(spark, path).collect()}
+    assert rows == {(1, 1, 101), (1, 9, 109), (2, 1, 201), (2, 9, 209), (3, 1, 301), (3, 9, 1), (5, 2, 2)}
+    assert last_published_day(spark, path) == dt.datetime(2020, 5, 2)
+
+
+def test_a_table_without_rows_keeps_its_schema(spark, scratch):
+    path = f"{scratch}/t"
+    publish(days(spark), path)
+    assert read_published(spark, path).dtypes == [("date", "timestamp_ntz"), ("v", "int")] and published(spark, path) == set()
+    publish(days(spark, (5, 1)), path, begin=last_published_day(spark, path))
+    assert published(spark, path) == {(5, 1)}
+
+
+def test_reads_from_a_day_on_are_pruned(spark, scratch):
+    path = f"{scratch}/t"
+    publish(dated(spark, *[(m, 1 + m, m) for m in range(1, 9)]), path)
+    late = read_published(spark, path, dt.datetime(2020, 7, 2))
+    assert {r["v"] for r in late.collect()} == {7, 8}
+    scan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in scan and "GreaterThanOrEqual(date" in scan
 
 
 def test_full_refresh_clears_target(spark, sf_small, scratch):
