@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import batch_rows, frozen, lean, learns_from, ship_package
+from daybook.llm.common import batch_rows, frozen, give_back, lean, learns_from, ship_package
 
 UNDETERMINED = "und"
 #: Documents of the fit a language.
@@ -343,6 +343,7 @@ def pass_parser(rows: DataFrame, languages: dict[str, int], longest: int = 0) ->
         texts = sorted(zip(table["doc_id"].to_pylist(), table["text"].to_pylist()))
         sample = plain(" ".join(text for _, text in texts))
         keys, targets = suffix_automaton(sample)
+        give_back()  # a task may build several languages
         return pa.table({"lang": [table["lang"][0].as_py()], "n": pa.array([len(sample)], pa.int64()), "keys": [keys.tobytes()], "targets": [targets.tobytes()]})
 
     ship_package(rows.sparkSession)
