@@ -1,10 +1,12 @@
-"""Exact integers beyond decimal(38), as limbs in base 10^18.
-
-A 32-byte word needs 78 digits.  It is held as ``bigint`` limbs, least first;
-limbs are summed as decimal(38,0) (room for 10^19 rows), carried once on the
-result, compared as a struct from the highest limb down, and printed as
-digits.  Nothing is capped: each value that fits 256 bits is exact, and so is
-each sum of them.
+"""Exact integers beyond decimal(38), as limbs in base 10^9.
+
+A 32-byte word needs 78 digits.  It is held as ``bigint`` limbs of nine digits,
+least first; limbs are summed as plain ``bigint`` (room for 9 * 10^9 rows a
+group, beyond which ``sum`` raises), carried once on the result, compared as a
+struct from the highest limb down, and printed as digits.  A number is in units
+of 10^-scale coins, and the scale is applied to results alone.  Nothing is
+capped: each value that fits 256 bits is exact, and so is each sum of them, for
+any scale.
 """
 
 from __future__ import annotations
@@ -13,75 +15,86 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-DIGITS = 18
+DIGITS = 9
 BASE = 10**DIGITS
-#: Limbs of an amount scaled to 10^-18 coins: 78 digits and up to 18 zeros.
-AMOUNT_LIMBS = 6
-#: Limbs of a sum of such amounts.
-SUM_LIMBS = AMOUNT_LIMBS + 1
+#: Digits of a 256-bit word.
+WORD_DIGITS = 78
+WORD_LIMBS = -(-WORD_DIGITS // DIGITS)
+#: Limbs that a sum of up to 9 * 10^9 numbers (10 digits) has more than one of them.
+SUM_MORE = 2
+#: Decimal places that texts have at least, and those of the decimal columns beside them.
+PLACES = 18
+#: Largest power of ten that a double holds exactly.
+_EXACT_POWER = 22
+
+_HEX = 14  # hex digits read at a time: two groups of 28 bits
+
+
+def amount_limbs(spread: int) -> int:
+    """Limbs of a word times up to 10^spread."""
+    return -(-(WORD_DIGITS + spread) // DIGITS)
+
 
-_D38 = DecimalType(38, 0)
-_HEX = 14  # hex digits read at a time: 56 bits
+def _long(n: int) -> Column:
+    return F.lit(n).cast("bigint")
 
 
-def _div(a: Column, b) -> Column:
-    """Integer quotient (bigint); quotients here stay below 10^18."""
-    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b).cast(_D38))
+def _div(a: Column, b: int) -> Column:
+    return F.call_function("div", a, _long(b))
 
 
 def carried(limbs: list[Column], size: int) -> list[Column]:
-    """The same number with each limb below the base, in ``size`` bigint limbs."""
-    out, carry = [], F.lit(0).cast(_D38)
-    base = F.lit(BASE).cast(_D38)
+    """The same number with each limb below the base, in ``size`` limbs."""
+    out, carry = [], _long(0)
     for k in range(size):
-        total = (limbs[k].cast(_D38) + carry).cast(_D38) if k < len(limbs) else carry
-        out.append((total % base).cast("bigint"))
-        carry = _div(total, base).cast(_D38)
+        total = limbs[k] + carry if k < len(limbs) else carry
+        out.append(total % _long(BASE))
+        carry = _div(total, BASE)
     return out
 
 
 def hex_groups(data: Column) -> list[Column]:
     """1 to 32 big-endian bytes → 5 groups of 56 bits, least first; NULL for any other length."""
     h = F.when(F.octet_length(data).between(1, 32), F.lpad(F.hex(data), 5 * _HEX, "0"))
-    return [F.conv(F.substring(h, _HEX * (4 - g) + 1, _HEX), 16, 10).cast(DecimalType(17, 0)) for g in range(5)]
+    return [F.conv(F.substring(h, _HEX * (4 - g) + 1, _HEX), 16, 10).cast("bigint") for g in range(5)]
 
 
 def group_limbs(groups: list[Column]) -> list[Column]:
-    """Groups of 56 bits → 5 limbs, not yet carried."""
+    """Groups of 56 bits → the limbs of the word, not yet carried; each stays below 3 * 10^18."""
+    halves = [half for g in groups for half in (g.bitwiseAND(_long((1 << 28) - 1)), F.shiftright(g, 28))]
     out = []
-    for j in range(5):
-        part = F.lit(0).cast(_D38)
-        for g, digits in enumerate(groups):
-            factor = 16 ** (_HEX * g) // BASE**j % BASE
-            if factor:
-                part = (part + digits * F.lit(factor).cast(DecimalType(18, 0))).cast(_D38)
-        out.append(F.when(groups[0].isNotNull(), part))
+    for j in range(WORD_LIMBS):
+        factors = [(1 << (28 * g)) // BASE**j % BASE for g in range(len(halves))]
+        parts = [half * _long(factor) for half, factor in zip(halves, factors) if factor]
+        out.append(sum(parts[1:], parts[0]))
     return out
 
 
 def uint256_limbs(df: DataFrame, data: str, names: list[str]) -> DataFrame:
-    """``df`` with the word in binary column ``data`` replaced by limbs ``names``.
+    """``df`` with the word in binary column ``data`` replaced by ``WORD_LIMBS`` limbs ``names``.
 
     Done in steps, each on the columns of the one before, so that no step
     repeats the work of another.
     """
     keep = [c for c in df.columns if c != data]
-    groups, raw = [f"_g{k}" for k in range(5)], [f"_r{k}" for k in range(5)]
+    groups, raw = [f"_g{k}" for k in range(5)], [f"_r{k}" for k in range(WORD_LIMBS)]
     df = df.select(*keep, *[c.alias(n) for n, c in zip(groups, hex_groups(F.col(data)))])
     df = df.select(*keep, *[c.alias(n) for n, c in zip(raw, group_limbs([F.col(g) for g in groups]))])
-    return df.select(*keep, *[c.alias(n) for n, c in zip(names, carried([F.col(r) for r in raw], 5))])
+    return df.select(*keep, *[c.alias(n) for n, c in zip(names, carried([F.col(r) for r in raw], WORD_LIMBS))])
 
 
-def scaled_limbs(limbs: list[Column], decimals: Column) -> list[Column]:
-    """``value * 10^(18 - decimals)``: whole 10^-18 coins, for 0 to 18 decimals; NULL beyond."""
-    ok = decimals.between(0, DIGITS)
-    powers = F.array(*[F.lit(10**k).cast("bigint") for k in range(DIGITS + 1)])
-    up, down = F.when(ok, F.get(powers, F.lit(DIGITS) - decimals)), F.when(ok, F.get(powers, decimals))
-    out = []
-    for j in range(AMOUNT_LIMBS):
-        low = (limbs[j] % down) * up if j < len(limbs) else F.when(ok, F.lit(0).cast("bigint"))
-        out.append((low + F.call_function("div", limbs[j - 1], down)).cast("bigint") if j else low.cast("bigint"))
-    return out
+def times_power(df: DataFrame, limbs: list[str], power: Column, names: list[str]) -> DataFrame:
+    """``df`` with columns ``limbs`` replaced by ``names``, the number times 10^power (0 or more; NULL gives NULL)."""
+    keep = [c for c in df.columns if c not in limbs]
+    powers = F.array(*[_long(10**k) for k in range(DIGITS)])
+    raw = [f"_r{k}" for k in range(len(limbs))]
+    by = F.get(powers, (power % DIGITS).cast("int"))
+    up = _div(power.cast("bigint"), DIGITS).cast("int")
+    df = df.select(*keep, up.alias("_up"), *[(F.col(n) * by).alias(r) for n, r in zip(limbs, raw)])
+    df = df.select(*keep, "_up", F.array(*carried([F.col(r) for r in raw], len(limbs) + 1)).alias("_all"))
+    known = F.col("_up").isNotNull() & F.col("_all")[0].isNotNull()
+    moved = [F.when(known, F.coalesce(F.get("_all", F.lit(j) - F.col("_up")), _long(0))) for j in range(len(names))]
+    return df.select(*keep, *[c.alias(n) for n, c in zip(names, moved)])
 
 
 def ranked(limbs: list[Column]) -> Column:
@@ -94,29 +107,45 @@ def unranked(number: Column, size: int) -> list[Column]:
     return [number[f"l{k}"] for k in range(size)]
 
 
-def coins_text(limbs: list[Column]) -> Column:
-    """Digits of ``number * 10^-18``, always with 18 decimal places."""
-    parts = [F.lpad(c.cast("string"), DIGITS, "0") for c in reversed(limbs[1:])]
-    whole = F.regexp_replace(F.concat(*parts), "^0+(?=[0-9])", "")
-    return F.concat(whole, F.lit("."), F.lpad(limbs[0].cast("string"), DIGITS, "0"))
+def _digits(limbs: list[Column]) -> Column:
+    return F.concat(*[F.lpad(c.cast("string"), DIGITS, "0") for c in reversed(limbs)])
+
+
+def coins_text(limbs: list[Column], scale: Column) -> Column:
+    """Digits of ``number * 10^-scale``, with 18 decimal places or with ``scale`` if that is more."""
+    width = F.greatest(F.lit(DIGITS * len(limbs)), scale + 1)
+    digits = F.lpad(_digits(limbs), width, "0")
+    whole = F.regexp_replace(F.left(digits, width - scale), "^0+(?=[0-9])", "")
+    return F.concat(whole, F.lit("."), F.rpad(F.right(digits, scale), F.greatest(scale, F.lit(PLACES)), "0"))
 
 
 def fits_decimal(text: Column) -> Column:
-    """Digits as decimal(38,18) where they fit (below 10^20 coins), else NULL."""
-    return text.try_cast(DecimalType(38, DIGITS))
+    """Digits as decimal(38,18), rounded to that, where they fit (below 10^20 coins), else NULL."""
+    return text.try_cast(DecimalType(38, PLACES))
 
 
-def beyond_decimal(limbs: list[Column]) -> Column:
+def beyond_decimal(limbs: list[Column], scale: Column) -> Column:
     """True from 10^20 coins on, where decimal(38,18) ends."""
-    out = limbs[2] >= 100
-    for c in limbs[3:]:
-        out = out | (c > 0)
+    power = scale + (38 - PLACES)
+    place = _div(power.cast("bigint"), DIGITS)
+    least = F.get(F.array(*[_long(10**k) for k in range(DIGITS)]), (power % DIGITS).cast("int"))
+    out = F.lit(False)
+    for k, c in enumerate(limbs):
+        out = out | ((place == k) & (c >= least)) | ((place < k) & (c > 0))
     return out
 
 
-def coins_double(limbs: list[Column]) -> Column:
+def coins_double(limbs: list[Column], scale: Column) -> Column:
     """Nearest double; a number below 2^53 divides exactly, others are read from their digits."""
-    small = limbs[0].between(0, 2**53)
-    for c in limbs[1:]:
-        small = small & (c == 0)
-    return F.when(small, limbs[0].cast("double") / F.lit(float(BASE))).otherwise(coins_text(limbs).cast("double"))
+
+    def none(of: list[Column]) -> Column:
+        out = F.lit(True)
+        for c in of:
+            out = out & (c == 0)
+        return out
+
+    powers = F.array(*[F.lit(float(10**k)) for k in range(_EXACT_POWER + 1)])
+    small = none(limbs[2:]) & (limbs[1] < 2**53 // BASE) & scale.between(0, _EXACT_POWER)
+    digits = F.when(none(limbs[4:]), _digits(limbs[:4])).otherwise(_digits(limbs))
+    fast = (limbs[1] * _long(BASE) + limbs[0]).cast("double") / F.get(powers, scale)
+    return F.when(small, fast).otherwise(F.concat(digits, F.lit("E-"), scale.cast("string")).cast("double"))

@@ -6,7 +6,7 @@ Values stay integer wei (decimal(38,0)) through every sum and are scaled by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -284,92 +284,101 @@ def _limb_names(prefix: str, size: int) -> list[str]:
     return [f"{prefix}{k}" for k in range(size)]
 
 
-AMOUNT = _limb_names("a", wide.AMOUNT_LIMBS)
+def _scaled_tokens(tokens: DataFrame) -> tuple[DataFrame, int]:
+    """Tokens with the power of ten ``raise`` that takes their amounts to the ``scale`` of their symbol.
+
+    The scale is the most decimals of any contract of the symbol, so the power is
+    0 nearly always; the largest one in the (small) list sets the limbs of an amount.
+    """
+    symbol = Window.partitionBy("symbol")
+    scale = F.greatest(F.max("decimals").over(symbol), F.lit(0)).cast("int")
+    tok = tokens.select("contractAddress", "symbol", F.col("decimals").cast("int").alias("decimals"))
+    tok = tok.withColumn("scale", scale).withColumn("raise", F.col("scale") - F.col("decimals")).drop("decimals")
+    return tok, tok.agg(F.max("raise")).first()[0] or 0
 
 
 def erc20_transfer_rows(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Transfer logs of listed tokens: date, symbol, from, to and the exact
-    amount in 10^-18 coins as limbs a0..a5 (C16).
+    """Transfer logs of listed tokens: date, symbol, from, to, scale and the
+    exact amount in 10^-scale coins as limbs a0, a1, … (C16), for any decimals.
 
-    An amount is NULL where the log's data is not 1 to 32 bytes long; those
-    transfers are counted in ``malformed_cnt``.
+    An amount is NULL where the log's data is not 1 to 32 bytes long, or the
+    token's decimals are unknown; those transfers are counted in ``malformed_cnt``.
     """
     logs = blocks.select(day_of_seconds("timestamp").alias("date"), F.explode("transactions").alias("tx"))
     logs = logs.select("date", F.explode("tx.logs").alias("log"))
     logs = logs.where(F.get(F.col("log.topics"), 0) == F.unhex(F.lit(TRANSFER_TOPIC)))
-    tok = tokens.select("contractAddress", "symbol", "decimals")
+    tok, spread = _scaled_tokens(tokens)
     j = logs.join(tok, logs["log.address"] == tok["contractAddress"])
     j = j.select(
         "date",
         "symbol",
         F.substring(F.get(F.col("log.topics"), 1), 13, 20).alias("from"),
         F.substring(F.get(F.col("log.topics"), 2), 13, 20).alias("to"),
-        "decimals",
-        F.col("log.data").alias("data"),
+        "scale",
+        "raise",
+        F.when(F.col("raise").isNotNull(), F.col("log.data")).alias("data"),
     )
-    limbs = _limb_names("r", 5)
-    j = wide.uint256_limbs(j, "data", limbs)
-    scaled = wide.scaled_limbs([F.col(n) for n in limbs], F.col("decimals"))
-    return j.select("date", "symbol", "from", "to", *[c.alias(n) for n, c in zip(AMOUNT, scaled)])
+    amount = _limb_names("a", wide.amount_limbs(spread))
+    if not spread:
+        return wide.uint256_limbs(j.drop("raise"), "data", amount)
+    words = _limb_names("w", wide.WORD_LIMBS)
+    return wide.times_power(wide.uint256_limbs(j, "data", words), words, F.col("raise"), amount).drop("raise")
 
 
 def erc20_transfers(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
     """Per day and symbol (D03): counts, volume, largest transfer and the
     largest per-sender and per-receiver day totals (C17).
 
-    Amounts are exact for each uint256.  ``*_text`` columns hold all digits;
-    their decimal(38,18) twins are NULL from 10^20 coins on, and
-    ``overflow_cnt`` counts transfers that large.
+    Amounts are exact for each uint256 and any decimals.  ``*_text`` columns
+    hold all digits; their decimal(38,18) twins are rounded to 18 places and
+    NULL from 10^20 coins on, and ``overflow_cnt`` counts transfers that large.
     """
     t = stage(erc20_transfer_rows(blocks, tokens))
     keys = ["symbol", "date"]
-    amount = [F.col(n) for n in AMOUNT]
-    large = F.when(wide.beyond_decimal(amount), 1)
+    names = [c for c in t.columns if c.startswith("a")]
+    amount, scale = [F.col(n) for n in names], F.col("scale")
+    size = len(names) + wide.SUM_MORE  # limbs of a sum
     stats = t.groupBy(*keys).agg(
+        F.max("scale").alias("scale"),
         F.count(F.lit(1)).alias("cnt"),
-        F.count(large).alias("overflow_cnt"),
-        F.count(F.when(F.col("a0").isNull(), 1)).alias("malformed_cnt"),
+        F.count(F.when(wide.beyond_decimal(amount, scale), 1)).alias("overflow_cnt"),
+        F.count(F.when(amount[0].isNull(), 1)).alias("malformed_cnt"),
         F.max(wide.ranked(amount)).alias("_max"),
-        *[F.sum(units(n)).alias(f"_s{k}") for k, n in enumerate(AMOUNT)],
+        *[F.sum(n).alias(f"_s{k}") for k, n in enumerate(names)],
     )
-    med = exact_median(t, keys, wide.coins_double(amount), "med_value", stage_input=False)
+    med = exact_median(t, keys, wide.coins_double(amount, scale), "med_value", stage_input=False)
     # The maximum of a per-address window sum is a max over a group-by.
     # One pass over (address, side) rows gives these sums and the distinct
     # sender, receiver and either-side counts (C1); a NULL address is a group
     # of its own for the sums, as in a window, and is not counted.
     sides = F.explode(F.array(F.struct(F.col("from").alias("a"), F.lit(1).alias("f")), F.struct(F.col("to").alias("a"), F.lit(0).alias("f"))))
-    rows = t.select(*keys, *AMOUNT, sides.alias("_s")).select(*keys, *AMOUNT, "_s.a", "_s.f")
-    per = rows.groupBy(*keys, "a", "f").agg(*[F.sum(units(n)).alias(f"_s{k}") for k, n in enumerate(AMOUNT)])
-
-    def total(prefix: str):
-        limbs = wide.carried([F.col(f"{prefix}{k}") for k in range(wide.AMOUNT_LIMBS)], wide.SUM_LIMBS)
-        return [c.alias(f"V{k}") for k, c in enumerate(limbs)]
-
-    number = [F.col(f"V{k}") for k in range(wide.SUM_LIMBS)]
-    per = per.select(*keys, "a", "f", *total("_s")).select(*keys, "a", "f", wide.ranked(number).alias("_sum"))
-    sent = F.col("f") == 1
-    per = per.groupBy(*keys, "a").agg(
+    rows = t.select(*keys, *names, sides.alias("_s")).select(*keys, *names, "_s.a", "_s.f")
+    per = rows.groupBy(*keys, "a").agg(
         F.max("f").alias("f"),
         F.max(1 - F.col("f")).alias("t"),
-        F.max(F.when(sent, F.col("_sum"))).alias("_from"),
-        F.max(F.when(~sent, F.col("_sum"))).alias("_to"),
+        *[F.sum(F.when(F.col("f") == side, F.col(n))).alias(f"_{side}{k}") for side in (0, 1) for k, n in enumerate(names)],
     )
+
+    def total(prefix: str):
+        return wide.carried([F.col(f"{prefix}{k}") for k in range(len(names))], size)
+
     known = F.col("a").isNotNull()
     addr = per.groupBy(*keys).agg(
-        F.max("_from").alias("_from"),
-        F.max("_to").alias("_to"),
+        F.max(wide.ranked(total("_1"))).alias("_from"),
+        F.max(wide.ranked(total("_0"))).alias("_to"),
         F.sum(F.when(known, F.col("f")).otherwise(0)).cast("long").alias("from_cnt"),
         F.sum(F.when(known, F.col("t")).otherwise(0)).cast("long").alias("to_cnt"),
         F.count("a").alias("addr_cnt"),
     )
     counts = ["cnt", "med_value", "from_cnt", "to_cnt", "addr_cnt", "overflow_cnt", "malformed_cnt"]
-    out = stitch(stats, med, addr, on=keys).select(*keys, *counts, "_max", "_from", "_to", *total("_s"))
+    values = [c.alias(f"V{k}") for k, c in enumerate(total("_s"))]
+    out = stitch(stats, med, addr, on=keys).select(*keys, *counts, "scale", "_max", "_from", "_to", *values)
     exact = {
-        "value": number,
-        "max_value": wide.unranked(F.col("_max"), wide.AMOUNT_LIMBS),
-        "max_sum_from_value": wide.unranked(F.col("_from"), wide.SUM_LIMBS),
-        "max_sum_to_value": wide.unranked(F.col("_to"), wide.SUM_LIMBS),
+        "value": [F.col(f"V{k}") for k in range(size)],
+        "max_value": wide.unranked(F.col("_max"), len(names)),
+        "max_sum_from_value": wide.unranked(F.col("_from"), size),
+        "max_sum_to_value": wide.unranked(F.col("_to"), size),
     }
-    out = out.select(*keys, *counts, *[wide.coins_text(limbs).alias(f"{name}_text") for name, limbs in exact.items()])
+    out = out.select(*keys, *counts, *[wide.coins_text(limbs, scale).alias(f"{name}_text") for name, limbs in exact.items()])
     both = [c for name in exact for c in (wide.fits_decimal(F.col(f"{name}_text")).alias(name), F.col(f"{name}_text"))]
     return out.select("symbol", "date", "cnt", *both, *counts[1:])

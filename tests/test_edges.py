@@ -87,6 +87,41 @@ def test_erc20_extreme_amounts(spark):
     assert (e["cnt"], e["overflow_cnt"], e["malformed_cnt"]) == (4, 0, 2)
 
 
+def test_erc20_any_decimals(spark):
+    """Tokens of 24 and 30 decimals, two contracts of one symbol with different ones, none known: exact against Python."""
+    from daybook.sources.ledgers import TRANSFER_TOPIC
+
+    listed = [(1, "AAA", 24), (2, "BBB", 30), (3, "CCC", 0), (4, "CCC", 24), (5, "CCC", 18), (6, "DDD", None), (7, "EEE", 200)]
+    address = lambda k: bytearray([k]) * 20
+    tokens = spark.createDataFrame([(address(k), s, d) for k, s, d in listed], "contractAddress binary, symbol string, decimals int")
+    values = [1, 10**24, 2**256 - 1, 12345678901234567890123456789, 10**44, 10**43]
+    sent = [(k, v, i % 3) for k, _, _ in listed for i, v in enumerate(values)]
+    logs = [
+        (address(k), bytearray(v.to_bytes(32, "big")), [bytearray.fromhex(TRANSFER_TOPIC), bytearray(31) + bytearray([a]), bytearray(31) + bytearray([9])])
+        for k, v, a in sent
+    ]
+    blocks = spark.createDataFrame([(0, [(logs,)])], "timestamp bigint, transactions array<struct<logs:array<struct<address:binary,data:binary,topics:array<binary>>>>>")
+    got = {r["symbol"]: r for r in ethereum.erc20_transfers(blocks, tokens).collect()}
+    for symbol in ("AAA", "BBB", "CCC", "EEE"):
+        decimals = {k: d for k, s, d in listed if s == symbol}
+        scale = max(decimals.values())
+        exact = [(v * 10 ** (scale - decimals[k]), a) for k, v, a in sent if k in decimals]
+        by_sender = [sum(v for v, b in exact if b == a) for a in range(3)]
+
+        def text(n):
+            digits = str(n).zfill(scale + 1)
+            return f"{digits[:-scale]}.{digits[-scale:].ljust(18, '0')}"
+
+        r, total = got[symbol], sum(v for v, _ in exact)
+        assert r["value_text"] == r["max_sum_to_value_text"] == text(total)
+        assert r["max_value_text"] == text(max(v for v, _ in exact)) and r["max_sum_from_value_text"] == text(max(by_sender))
+        assert (r["cnt"], r["from_cnt"], r["to_cnt"], r["addr_cnt"], r["malformed_cnt"]) == (len(exact), 3, 1, 4, 0)
+        assert r["overflow_cnt"] == sum(v >= 10 ** (20 + scale) for v, _ in exact)
+        ranked = sorted(float(f"{v}E-{scale}") for v, _ in exact)
+        assert r["med_value"] == ranked[(len(ranked) - 1) // 2] * 0.5 + ranked[len(ranked) // 2] * 0.5
+    assert (got["DDD"]["cnt"], got["DDD"]["malformed_cnt"], got["DDD"]["value"]) == (6, 6, None)
+
+
 def test_token_list_from_json(spark, tmp_path):
     """The JSON loader gives what the built-in list holds."""
     import json

@@ -31,40 +31,55 @@ def test_int64_le(spark):
 
 
 def amount(spark, data_hex, decimals):
-    """(digits, double) of a log's data in coins."""
+    """(digits, double, from 10^20 coins on) of a log's data in coins."""
     df = spark.createDataFrame([(bytearray.fromhex(data_hex), decimals)], "data binary, decimals int")
-    names = [f"r{k}" for k in range(5)]
+    names = [f"a{k}" for k in range(wide.WORD_LIMBS)]
     df = wide.uint256_limbs(df, "data", names)
-    limbs = wide.scaled_limbs([F.col(n) for n in names], F.col("decimals"))
-    return tuple(df.select(wide.coins_text(limbs), wide.coins_double(limbs)).first())
+    limbs, scale = [F.col(n) for n in names], F.col("decimals")
+    return tuple(df.select(wide.coins_text(limbs, scale), wide.coins_double(limbs, scale), wide.beyond_decimal(limbs, scale)).first())
 
 
 def test_uint256_is_exact(spark):
     for value in (0, 1, 2**53 + 1, 10**18, 10**38 - 1, 10**38, 2**200 + 12345, 2**256 - 1):
-        for decimals in (0, 2, 9, 18):
+        for decimals in (0, 2, 9, 18, 24, 30, 90):
             want = str(value).zfill(decimals + 1)
             whole, part = (want[:-decimals], want[-decimals:]) if decimals else (want, "")
-            text, double = amount(spark, f"{value:064x}", decimals)
+            text, double, beyond = amount(spark, f"{value:064x}", decimals)
             assert text == f"{whole}.{part.ljust(18, '0')}"
-            assert double == float(Decimal(value) / Decimal(10) ** decimals) or abs(double / (value / 10**decimals) - 1) < 1e-15
+            assert double == float(f"{value}E-{decimals}")
+            assert beyond == (value >= 10 ** (20 + decimals))
 
 
 def test_uint256_of_other_lengths(spark):
-    assert amount(spark, "05", 0) == ("5.000000000000000000", 5.0)
-    assert amount(spark, "", 0) == (None, None)
-    assert amount(spark, f"{5:064x}{7:064x}", 0) == (None, None)
-    assert amount(spark, "05", 19) == (None, None)
+    assert amount(spark, "05", 0) == ("5.000000000000000000", 5.0, False)
+    assert amount(spark, "", 0) == (None, None, None)
+    assert amount(spark, f"{5:064x}{7:064x}", 0) == (None, None, None)
+
+
+def test_times_power(spark):
+    values, powers = (0, 1, 7 * 10**17 + 3, 2**256 - 1), (0, 1, 8, 9, 10, 27, None)
+    for value in values:
+        rows = spark.createDataFrame([(bytearray(value.to_bytes(32, "big")), p) for p in powers], "data binary, p int")
+        words, names = [f"w{k}" for k in range(wide.WORD_LIMBS)], [f"a{k}" for k in range(wide.amount_limbs(27))]
+        got = wide.times_power(wide.uint256_limbs(rows, "data", words), words, F.col("p"), names).collect()
+        for r in got:
+            limbs = [r[n] for n in names]
+            if r["p"] is None:
+                assert limbs == [None] * len(names)
+            else:
+                assert sum(v * 10 ** (9 * k) for k, v in enumerate(limbs)) == value * 10 ** r["p"] and max(limbs) < 10**9
 
 
 def test_wide_sums_carry_and_rank(spark):
-    rows = spark.createDataFrame([(k, [10**18 - 1, 10**18 - 1, k]) for k in range(50)], "k int, l array<bigint>")
+    top = 10**9 - 1
+    rows = spark.createDataFrame([(k, [top, top, k]) for k in range(50)], "k int, l array<bigint>")
     limbs = [F.col("l")[i] for i in range(3)]
-    sums = rows.agg(*[F.sum(c.cast("decimal(38,0)")).alias(f"s{i}") for i, c in enumerate(limbs)], F.max(wide.ranked(limbs)).alias("top"))
+    sums = rows.agg(*[F.sum(c).alias(f"s{i}") for i, c in enumerate(limbs)], F.max(wide.ranked(limbs)).alias("top"))
     total = wide.carried([F.col(f"s{i}") for i in range(3)], 4)
-    got = sums.select(wide.coins_text(total), wide.coins_text(wide.unranked(F.col("top"), 3))).first()
-    want = sum((10**18 - 1) * (1 + 10**18) + k * 10**36 for k in range(50))
+    got = sums.select(wide.coins_text(total, F.lit(18)), wide.coins_text(wide.unranked(F.col("top"), 3), F.lit(18))).first()
+    want = sum(top * (1 + 10**9) + k * 10**18 for k in range(50))
     assert got[0].replace(".", "") == str(want)
-    assert got[1] == f"49{10**18 - 1}.{10**18 - 1}"
+    assert got[1] == f"49.{top}{top}"
 
 
 def test_padded_text(spark):
