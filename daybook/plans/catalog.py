@@ -94,18 +94,19 @@ def _sync(spark, d):
 class _Kept:
     """A per-day table as it is kept up: published from the early rows, refreshed with all of them."""
 
-    def __init__(self, early, raw, clock, job):
+    def __init__(self, early, raw, clock, job, states=()):
         from daybook.operators.staging import scratch_path
-        from daybook.streaming import publish
+        from daybook.streaming.publishing import STATES
 
         self.spark, self.raw, self.clock, self.job = raw.sparkSession, raw, clock, job
         self.path = scratch_path(self.spark)
-        publish(job(early, None), self.path)
+        self.states = {kept: (STATES[state], scratch_path(self.spark)) for kept, state in dict(states).items()}
+        self.refresh(early)
 
-    def refresh(self):
+    def refresh(self, raw=None):
         from daybook.streaming import refresh_days
 
-        refresh_days(self.job, self.raw, self.path, clock=self.clock)
+        refresh_days(self.job, self.raw if raw is None else raw, self.path, clock=self.clock, states=self.states)
         return self
 
     def read(self):
@@ -136,28 +137,60 @@ def _ripple_refreshed(spark, d):
 
 
 def _neo_refreshed(spark, d):
-    from daybook.plans.utxo import neo_outputs, neo_stats
+    from daybook.plans.utxo import neo_stats
     from daybook.streaming import Clock
 
     early, raw = _split(L.neo_blocks(spark, d), "time")
-    clock = Clock("time")
-    outputs = _Kept(early, raw, clock, lambda r, since=None: neo_outputs(r))
-    stats = _Kept(early, raw, clock, lambda r, since=None: neo_stats(r, since, outputs.read()))
-    outputs.refresh()
-    return stats.refresh().read()
+    return _Kept(early, raw, Clock("time"), neo_stats, {"outputs": "neo_unspent"}).refresh().read()
+
+
+def _kept_state(spark, raw, clock, name):
+    """State ``name`` built before one day and brought forward to a later one, the two days' distance
+    of ``OPEN_SECONDS``, and the raw rows from the later day on."""
+    import datetime as dt
+
+    from daybook.operators.staging import frozen, scratch_path
+    from daybook.streaming.publishing import STATES
+
+    raw, path = frozen(raw), scratch_path(spark)
+    last = dt.datetime.fromtimestamp(raw.agg(F.max(clock.column)).first()[0] or 0, dt.UTC).replace(tzinfo=None)
+    late = dt.datetime(last.year, last.month, last.day) - dt.timedelta(days=5)
+    STATES[name].before(raw, path, late - dt.timedelta(seconds=OPEN_SECONDS), clock)
+    return STATES[name].before(raw, path, late, clock), clock.since(raw, late)
+
+
+def _neo_unspent(spark, d):
+    """Outputs left unspent, per day and asset: those of the closed days that the open ones leave, and their own."""
+    from daybook.plans.utxo import neo_unspent_later
+    from daybook.streaming import Clock
+
+    state, later = _kept_state(spark, L.neo_blocks(spark, d), Clock("time"), "neo_unspent")
+    kept, added = neo_unspent_later(state, later)
+    return kept.unionByName(added).groupBy("date", "asset").agg(F.count(F.lit(1)).alias("cnt"), F.sum("value").alias("value"))
+
+
+def _eth_short_addrs_refreshed(spark, d):
+    """D07 out of the address totals of the closed days and the open days."""
+    from daybook.plans.ethereum import address_totals, in_coins, merged_totals, short_addresses_of_totals
+    from daybook.streaming import Clock
+
+    state, later = _kept_state(spark, L.eth_blocks(spark, d), Clock("timestamp"), "ethereum_addresses")
+    return in_coins(short_addresses_of_totals(merged_totals(state, address_totals(later))))
 
 
 def _traced_refreshed(spark, d):
-    from daybook.plans.ethereum import address_days, contract_days, eth_stats_traced
+    from daybook.plans.ethereum import contract_days, eth_stats_traced
     from daybook.streaming import Clock
 
     early, raw = _split(L.eth_blocks(spark, d), "timestamp")
     clock = Clock("timestamp")
     registry = _Kept(early, raw, clock, lambda r, since=None: contract_days(r))
-    addresses = _Kept(early, raw, clock, lambda r, since=None: address_days(r))
-    stats = _Kept(early, raw, clock, lambda r, since=None: eth_stats_traced(r, "eth", "registry", since, registry.read(), addresses.read()))
+
+    def job(r, since=None, earlier=None):
+        return eth_stats_traced(r, "eth", "registry", since, registry.read(), earlier=earlier)
+
+    stats = _Kept(early, raw, clock, job, {"earlier": "ethereum_addresses"})
     registry.refresh()
-    addresses.refresh()
     return stats.refresh().read()
 
 
@@ -198,6 +231,8 @@ QUERIES: dict[str, Query] = {
     "sync_watermarks": _sync,
     "ripple_daily_refreshed": _ripple_refreshed,
     "neo_stats_refreshed": _neo_refreshed,
+    "neo_unspent": _neo_unspent,
+    "eth_short_addrs_refreshed": _eth_short_addrs_refreshed,
     "eth_stats_traced_refreshed": _traced_refreshed,
 }
 

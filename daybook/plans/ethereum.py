@@ -94,16 +94,51 @@ def _short_rows(tx: DataFrame, receiver) -> DataFrame:
 def address_days(blocks: DataFrame) -> DataFrame:
     """Per-day activity of each address, the mergeable state behind D07:
     date, address, cnt, positive_value, net, min_time, max_time."""
-    rows = _short_rows(tx_units(blocks), F.col("to")).where(F.col("address").isNotNull())
-    return rows.groupBy("date", "address").agg(
+    return _activity(tx_units(blocks), "date", "address")
+
+
+def address_totals(blocks: DataFrame, tx: DataFrame | None = None) -> DataFrame:
+    """The same activity over all days, one row an address."""
+    return _activity(tx_units(blocks) if tx is None else tx, "address")
+
+
+def _activity(tx: DataFrame, *keys: str) -> DataFrame:
+    rows = _short_rows(tx, F.col("to")).where(F.col("address").isNotNull())
+    return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.sum(F.greatest(F.col("value"), F.lit(0))).alias("positive_value"),
-        F.sum("value").alias("net"),
+        units(F.sum(F.greatest(F.col("value"), F.lit(0)))).alias("positive_value"),
+        units(F.sum("value")).alias("net"),
         F.min("time").alias("min_time"),
         F.max("time").alias("max_time"),
     )
 
 
+def merged_totals(totals: DataFrame, later: DataFrame) -> DataFrame:
+    """``address_totals`` of two stretches of days as one; ``totals`` keeps its partitioning by address."""
+    later = later.select("address", *[F.col(c).alias(f"_{c}") for c in ("cnt", "positive_value", "net", "min_time", "max_time")])
+    both = totals.join(later.hint("merge"), "address", "full")
+
+    def total(c: str):
+        return F.coalesce(c, F.lit(0)) + F.coalesce(f"_{c}", F.lit(0))
+
+    return both.select(
+        "address",
+        total("cnt").alias("cnt"),
+        units(total("positive_value")).alias("positive_value"),
+        units(total("net")).alias("net"),
+        F.least("min_time", "_min_time").alias("min_time"),
+        F.greatest("max_time", "_max_time").alias("max_time"),
+    )
+
+
+def short_addresses_of_totals(totals: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Short-lived addresses out of ``address_totals``; those that ``earlier`` totals have are left out."""
+    g = totals.where((F.col("net") == 0) & (F.col("max_time") - F.col("min_time") <= F.lit(SHORT_SPAN)))
+    if earlier is not None:
+        g = g.join(earlier.select("address"), "address", "left_anti")
+    return g.select("address", "cnt", "positive_value", "min_time", day_of_seconds("min_time").alias("min_date"))
+
+
 def short_addresses_of_days(days: DataFrame, since=None) -> DataFrame:
     """Short-lived addresses out of ``address_days``; with ``since`` only those
     first seen from that day on, which have no earlier day."""
@@ -229,6 +264,7 @@ def eth_stats_traced(
     since=None,
     contract_registry: DataFrame | None = None,
     addresses: DataFrame | None = None,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Traced daily statistics, 28 columns.
 
@@ -236,8 +272,8 @@ def eth_stats_traced(
     (full build); ``'registry'``: the registry of accounted create actions,
     as the incremental build uses (§8 Q7).  With ``since`` only days from
     ``since`` on are computed; ``contract_registry`` (address) and
-    ``addresses`` (``address_days``) then stand for all history, so that
-    ``blocks`` need only hold the open days.
+    ``addresses`` (``address_days``), or the ``earlier`` days' ``address_totals``,
+    then stand for all history, so that ``blocks`` need only hold the open days.
     """
     if since is not None:
         blocks = blocks.where(F.col("timestamp") >= F.lit(epoch_seconds(since)))
@@ -271,7 +307,10 @@ def eth_stats_traced(
     )
     med_a = exact_median(act, ["date"], units_to_double("value", ETH_SCALE), "med_action_value", stage_input=False)
     addr_a = address_counts(act, ["date"], "from", "to", ("action_from_cnt", "action_to_cnt", "addr_action_cnt"))
-    registry = short_addresses_units(blocks, tx) if addresses is None else short_addresses_of_days(addresses, since)
+    if earlier is not None and since is not None:
+        registry = short_addresses_of_totals(address_totals(blocks, tx), earlier)
+    else:
+        registry = short_addresses_units(blocks, tx) if addresses is None else short_addresses_of_days(addresses, since)
     short = registry.groupBy(F.col("min_date").alias("date")).agg(
         F.sum("cnt").alias("short_cnt"), scale_units(F.sum("positive_value"), ETH_SCALE).alias("short_value")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -141,31 +143,63 @@ def neo_outputs(blocks: DataFrame) -> DataFrame:
     return o.select("date", "blk", "txid", "voutnum", "o.asset", "o.value", "o.address", "fee")
 
 
-def neo_inputs(blocks: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Inputs valued through the outputs they spend, negated."""
+def neo_spends(blocks: DataFrame) -> DataFrame:
+    """Inputs with the outpoints they spend: date, blk, txid, fee, vout_txid, vout_num."""
     tx = blocks.select(day_of_seconds("time").alias("date"), F.col("index").alias("blk"), F.explode("tx").alias("tx"))
     v = tx.select(
         "date", "blk", F.col("tx.txid").alias("txid"), (F.col("tx.sys_fee") + F.col("tx.net_fee")).alias("fee"),
         F.explode("tx.vin").alias("vin"),
-    ).select("date", "blk", "txid", "fee", F.col("vin.txid").alias("vout_txid"), F.col("vin.vout").alias("vout_num"))
-    spent = outpoint_spends(v, outputs.select("txid", "voutnum", "asset", "value", "address"))
+    )
+    # typed as output numbers are: a cast on their side would undo its buckets
+    return v.select("date", "blk", "txid", "fee", F.col("vin.txid").alias("vout_txid"), F.col("vin.vout").cast("int").alias("vout_num"))
+
+
+def neo_inputs(blocks: DataFrame, *outputs: DataFrame) -> DataFrame:
+    """Inputs valued through the outputs they spend, negated.
+
+    Several tables of outputs, none in two of them, are met one by one, so
+    that each keeps its own partitioning.
+    """
+    v = neo_spends(blocks) if len(outputs) == 1 else stage(neo_spends(blocks))
+    met = [outpoint_spends(v, o.select("txid", "voutnum", "asset", "value", "address")) for o in outputs]
+    spent = reduce(DataFrame.unionByName, met)
     return spent.select("date", "blk", "txid", "fee", "asset", (-F.col("value")).alias("value"), "address")
 
 
+#: An outpoint: what a spend names, and the key of the unspent outputs.
+OUTPOINT = ("txid", "voutnum")
+
+
+def neo_unspent(blocks: DataFrame) -> DataFrame:
+    """Outputs that no input of ``blocks`` spends: date, txid, voutnum, asset, value, address."""
+    o = neo_outputs(blocks).select("date", *OUTPOINT, "asset", "value", "address")
+    return o.join(_spent_outpoints(blocks), list(OUTPOINT), "left_anti")
+
+
+def neo_unspent_later(unspent: DataFrame, blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the outputs ``unspent`` before ``blocks`` those that they leave, unshuffled, and their own."""
+    # merged by hint: sorted buckets stay where they are, whatever the other side's size
+    return unspent.join(_spent_outpoints(blocks).hint("merge"), list(OUTPOINT), "left_anti"), neo_unspent(blocks)
+
+
+def _spent_outpoints(blocks: DataFrame) -> DataFrame:
+    return neo_spends(blocks).select(F.col("vout_txid").alias("txid"), F.col("vout_num").alias("voutnum"))
+
+
 def neo_stats(blocks: DataFrame, since=None, outputs: DataFrame | None = None) -> DataFrame:
     """Per day and asset (D18, D19).  ``cnt`` counts (tx, address) rows and
     fees repeat per row (§8 Q9); a (day, asset) without inputs is dropped by
     the inner joins (§8 Q10).
 
-    With ``since`` only days from ``since`` on are computed; ``outputs`` (the
-    stored ``neo_outputs`` of all days) then values their inputs, so that
-    ``blocks`` need only hold the open days.
+    With ``since`` only days from ``since`` on are computed; ``outputs`` (those
+    of earlier days that are unspent, or all of them) then values their inputs
+    too, so that ``blocks`` need only hold the open days.
     """
     if since is not None:
         blocks = blocks.where(F.col("time") >= F.lit(epoch_seconds(since)))
-    history = stage(neo_outputs(blocks)) if outputs is None else outputs
-    txo = history if since is None else history.where(F.col("date") >= F.lit(since))
-    txi = stage(neo_inputs(blocks, history))
+    txo = stage(neo_outputs(blocks)) if since is not None or outputs is None else outputs
+    earlier = [] if since is None or outputs is None else [outputs.where(F.col("date") < F.lit(since))]
+    txi = stage(neo_inputs(blocks, txo, *earlier))
     cols = ["date", "blk", "txid", "fee", "asset", "value", "address"]
     both = txi.select(*cols, F.lit(1).alias("is_in")).unionByName(txo.select(*cols, F.lit(0).alias("is_in")))
     txio = stage(

@@ -26,6 +26,12 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system, which a table's location needs."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder and all in it; nothing happens when it is not there."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -20,7 +20,9 @@ from daybook.plans import account, bundle, ethereum, ledger, tron, utxo
 from daybook.sources.exports import GAS_ASSET_HEX, NEO_ASSET_HEX, csv_view, write_csv
 from daybook.sources.schemas import read_for
 from daybook.sources.tokens import load_tokens
-from daybook.streaming.refresh import Clock, refresh_days
+from daybook.streaming.clocks import Clock
+from daybook.streaming.refresh import refresh_days
+from daybook.streaming.state import State
 from daybook.streaming.store import publish, read_published
 from daybook.streaming.synclog import append_sync, watermark
 
@@ -37,12 +39,14 @@ class Export:
 @dataclass(frozen=True)
 class Chain:
     """``job(raw, stored, since)`` gives a dataset; ``stored`` holds the
-    current rows of the published tables named in ``needs``."""
+    current rows of the published tables named in ``needs``, and with ``since``
+    the ``states``."""
 
     job: Callable[[DataFrame, dict[str, DataFrame], object], DataFrame]
     schema: str  # narrow read schema key (sources/schemas.py)
     clock: Clock | None = None  # set for incrementally kept datasets
     needs: tuple[str, ...] = ()
+    states: tuple[str, ...] = ()  # of STATES, handed on as they were before the open days
     sync_view: str | None = None
     exports: tuple[Export, ...] = field(default_factory=tuple)
 
@@ -59,7 +63,7 @@ def _traced(schedule: str):
     def job(raw, stored, since):
         return ethereum.eth_stats_traced(
             raw, schedule, contracts="registry", since=since,
-            contract_registry=stored["ethereum_contract_days"], addresses=stored["ethereum_address_days"],
+            contract_registry=stored["ethereum_contract_days"], earlier=stored.get("ethereum_addresses"),
         )
 
     return job
@@ -67,6 +71,15 @@ def _traced(schedule: str):
 
 _ETH_CLOCK = Clock("timestamp")
 
+#: What closed days leave to later ones.
+STATES: dict[str, State] = {
+    "neo_unspent": State(utxo.OUTPOINT, utxo.neo_unspent, utxo.neo_unspent_later),
+    "ethereum_addresses": State(
+        ("address",), ethereum.address_totals,
+        lambda totals, raw: (ethereum.merged_totals(totals, ethereum.address_totals(raw)), None),
+    ),
+}
+
 # What each refresh publishes and exports (dataset, sync view,
 # CSV files), as the reference's refresh scripts do.
 CHAINS: dict[str, Chain] = {
@@ -88,8 +101,8 @@ CHAINS: dict[str, Chain] = {
     "nem": Chain(_whole(account.nem_stats), "nem_stats", sync_view="nem", exports=(Export("nem", "nem"),)),
     "neo_outputs": Chain(_whole(utxo.neo_outputs), "neo_stats", Clock("time")),
     "neo": Chain(
-        lambda raw, stored, since: utxo.neo_stats(raw, since, stored["neo_outputs"]), "neo_stats", Clock("time"),
-        needs=("neo_outputs",), sync_view="neo",
+        lambda raw, stored, since: utxo.neo_stats(raw, since, stored.get("neo_unspent")), "neo_stats", Clock("time"),
+        states=("neo_unspent",), sync_view="neo",
         exports=(Export("neo_gas", "neo", where=_hex_asset(GAS_ASSET_HEX)),
                  Export("neo_neo", "neo", where=_hex_asset(NEO_ASSET_HEX))),
     ),
@@ -110,7 +123,7 @@ CHAINS: dict[str, Chain] = {
         "eth_short_addrs", needs=("ethereum_address_days",),
     ),
     "ethereum_stats_traced": Chain(
-        _traced("eth"), "eth_stats_traced", _ETH_CLOCK, needs=("ethereum_contract_days", "ethereum_address_days"),
+        _traced("eth"), "eth_stats_traced", _ETH_CLOCK, needs=("ethereum_contract_days",), states=("ethereum_addresses",),
         exports=(Export("eth_stats", "eth_stats"),),
     ),
     "ethereum_classic_stats_traced": Chain(
@@ -147,11 +160,12 @@ def refresh_chain(
     stored = {needed: read_published(spark, _target(out_root, needed)) for needed in chain.needs}
     target = _target(out_root, name)
 
-    def job(rows: DataFrame, since=None) -> DataFrame:
-        return chain.job(rows, stored, since)
+    def job(rows: DataFrame, since=None, **states: DataFrame) -> DataFrame:
+        return chain.job(rows, {**stored, **states}, since)
 
     if chain.clock is not None:
-        refresh_days(job, raw, target, clock=chain.clock, full=full)
+        states = {s: (STATES[s], os.path.join(out_root, "states", s)) for s in chain.states}
+        refresh_days(job, raw, target, clock=chain.clock, full=full, states=states)
     else:
         with scope(spark):
             publish(job(raw), target)

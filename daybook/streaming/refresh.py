@@ -12,50 +12,51 @@ recomputed because it may have been partial (§8 Q5).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import epoch_seconds
 from daybook.operators.staging import scope
+from daybook.streaming.clocks import Clock
+from daybook.streaming.state import State
 from daybook.streaming.store import last_published_day, publish
 
-PARTITION = "day"
-
-
-@dataclass(frozen=True)
-class Clock:
-    """The raw column a row's day comes from, in seconds since the epoch (or
-    thousandths, ``per_second=1000``)."""
-
-    column: str
-    per_second: int = 1
-
-    def since(self, raw: DataFrame, begin: dt.datetime) -> DataFrame:
-        """Rows from day ``begin`` on, by bounds that reach the scan."""
-        out = raw.where(F.col(self.column) >= F.lit(epoch_seconds(begin) * self.per_second))
-        if PARTITION in raw.columns:
-            out = out.where(F.col(PARTITION) >= F.lit(begin.strftime("%Y-%m-%d")))
-        return out
-
-
 def open_days(job: Callable[..., DataFrame], raw: DataFrame, clock: Clock, begin: dt.datetime) -> DataFrame:
     """``job`` over the days from ``begin`` on."""
     return job(clock.since(raw, begin), since=begin).where(F.col("date") >= F.lit(begin))
 
 
-def refresh_days(job: Callable[..., DataFrame], raw: DataFrame, target: str, *, clock: Clock, full: bool = False) -> dt.datetime | None:
+def refresh_days(
+    job: Callable[..., DataFrame],
+    raw: DataFrame,
+    target: str,
+    *,
+    clock: Clock,
+    full: bool = False,
+    states: Mapping[str, tuple[State, str]] | None = None,
+) -> dt.datetime | None:
     """Recompute every day from the last published one on and publish it.
 
     ``job(raw, since=None)`` gives the dataset from day ``since`` on out of
     the raw rows of those days; a job that depends on older history reads it
-    from stored tables.  ``full=True`` rebuilds everything (S12).  Returns the
-    first recomputed day, None for all.
+    from stored tables, or gets each of ``states`` (name: state and path) by
+    name as it was before ``since``.  States are brought forward to the last
+    published day in the end; a run that died before that leaves it to the
+    next.  ``full=True`` rebuilds everything (S12).  Returns the first
+    recomputed day, None for all.
     """
-    spark = raw.sparkSession
+    spark, states = raw.sparkSession, states or {}
     begin = None if full else last_published_day(spark, target)
     with scope(spark):
-        publish(job(raw, since=None) if begin is None else open_days(job, raw, clock, begin), target, begin=begin)
+        if begin is None:
+            publish(job(raw, since=None), target)
+        else:
+            known = {name: state.before(raw, path, begin, clock) for name, (state, path) in states.items()}
+            publish(open_days(partial(job, **known), raw, clock, begin), target, begin=begin)
+        last = last_published_day(spark, target) if states else None
+        if last is not None:
+            for state, path in states.values():
+                state.before(raw, path, last, clock, rebuild=begin is None)
     return begin

@@ -8,7 +8,8 @@ is one row, and a folder a day would be listed at each read.
 
 Rows are staged before the write, so a job may read the table that it is about
 to change.  Spark moves finished partitions into place when the whole write has
-succeeded; a write that died leaves a hidden folder that no reader sees.
+succeeded; a write that died leaves a hidden folder that no reader sees.  A table
+without days (a registry) is replaced whole.
 """
 
 from __future__ import annotations
@@ -55,6 +56,9 @@ def last_published_day(spark: SparkSession, path: str) -> dt.datetime | None:
 def publish(df: DataFrame, path: str, *, begin: dt.datetime | None = None) -> None:
     """Publish ``df`` as all rows from day ``begin`` on (None: as the whole table, S5, S12)."""
     spark = df.sparkSession
+    if "date" not in df.columns:  # a registry
+        frozen(df).write.mode("overwrite").parquet(path)
+        return
     stored = None if begin is None else read_if_there(spark, path)
     if stored is not None:
         kept = stored.where((F.col(MONTH) == _month(begin)) & (F.col("date") < F.lit(begin))).drop(MONTH)

@@ -313,14 +313,18 @@ Q["monero_stats"] = with_(
 NEO_ID = "c56f33fc6ecfcd0c225c4ab356fee59390af8560be0e930faebe74a6daff7c9b"
 GAS_ID = "602c79718b16e442de58778e148d0b1084e3b2dffd5de6b7b16cee7969282de7"
 NEO_FEE = f"(CAST(k % 3 AS DECIMAL(38,8)) + CAST({scaled('k % 50 + 1', 3)} AS DECIMAL(38,8)))"
+NEO_TXO = f"""txo AS (SELECT k AS txid, k // 2 AS blk, {day(f'{DAY0} + 1200 * (k // 2)')} AS date, idx AS voutnum,
+        unhex(CASE flag WHEN 'N' THEN '{NEO_ID}' WHEN 'A' THEN '{GAS_ID}' ELSE '{'ab' * 32}' END) AS asset,
+        CAST({scaled('amt', 2)} AS DECIMAL(38,8)) AS value, 'A' || {_vc('address')} AS address,
+        {NEO_FEE} AS fee FROM outs)"""
+Q["neo_unspent"] = with_(KS, LI, UTXO, NEO_TXO) + """SELECT date, asset, count(*) AS cnt, sum(value) AS value FROM txo
+WHERE (txid, voutnum) NOT IN (SELECT (src_k, src_idx) FROM ins JOIN ks ON ks.k = ins.k WHERE src_k IS NOT NULL AND src_idx IS NOT NULL)
+GROUP BY date, asset"""
 Q["neo_stats"] = with_(
     KS,
     LI,
     UTXO,
-    f"""txo AS (SELECT k AS txid, k // 2 AS blk, {day(f'{DAY0} + 1200 * (k // 2)')} AS date, idx AS voutnum,
-        unhex(CASE flag WHEN 'N' THEN '{NEO_ID}' WHEN 'A' THEN '{GAS_ID}' ELSE '{'ab' * 32}' END) AS asset,
-        CAST({scaled('amt', 2)} AS DECIMAL(38,8)) AS value, 'A' || {_vc('address')} AS address,
-        {NEO_FEE} AS fee FROM outs)""",
+    NEO_TXO,
     f"""txi AS (SELECT i.k AS txid, i.k // 2 AS blk, {day(f'{DAY0} + 1200 * (i.k // 2)')} AS date, t.asset,
         -t.value AS value, t.address, {NEO_FEE.replace('k %', 'i.k %')} AS fee
       FROM ins i JOIN ks ON ks.k = i.k JOIN txo t ON t.txid = i.src_k AND t.voutnum = i.src_idx)""",
@@ -643,6 +647,7 @@ UNION ALL SELECT 'waves', make_timestamp((SELECT max(btime) * 1000 FROM acc) * 1
 # No closed day of these two depends on a later one: a refreshed table equals a full build.
 Q["ripple_daily_refreshed"] = Q["ripple_daily"]
 Q["neo_stats_refreshed"] = Q["neo_stats"]
+Q["eth_short_addrs_refreshed"] = Q["eth_short_addrs"]
 # Traced days depend on the contracts and addresses known when they were published: closed days on
 # those of the early rows, the days from the last early one on those of all rows.
 _EARLY = ACC.replace("acc AS (", "every AS (", 1) + """,
