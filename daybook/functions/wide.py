@@ -43,14 +43,19 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, _long(b))
 
 
-def carried(limbs: list[Column], size: int) -> list[Column]:
-    """The same number with each limb below the base, in ``size`` limbs."""
-    out, carry = [], _long(0)
-    for k in range(size):
-        total = limbs[k] + carry if k < len(limbs) else carry
-        out.append(total % _long(BASE))
-        carry = _div(total, BASE)
-    return out
+def carried(df: DataFrame, limbs: list[str], names: list[str]) -> DataFrame:
+    """``df`` with columns ``limbs`` replaced by ``names``, the same number with each limb below the base.
+
+    A step a limb, each on the column of the one before: the code of a chain
+    in one expression would grow with the square of its length.
+    """
+    keep = [c for c in df.columns if c not in limbs]
+    for k in range(1, len(names)):
+        before = _div(F.col(limbs[k - 1] if k == 1 else f"_c{k - 1}"), BASE)
+        total = F.col(limbs[k]) + before if k < len(limbs) else before
+        df = df.select("*", total.alias(f"_c{k}"))
+    totals = [limbs[0], *[f"_c{k}" for k in range(1, len(names))]]
+    return df.select(*keep, *[(F.col(c) % _long(BASE)).alias(n) for c, n in zip(totals, names)])
 
 
 def hex_groups(data: Column) -> list[Column]:
@@ -80,18 +85,18 @@ def uint256_limbs(df: DataFrame, data: str, names: list[str]) -> DataFrame:
     groups, raw = [f"_g{k}" for k in range(5)], [f"_r{k}" for k in range(WORD_LIMBS)]
     df = df.select(*keep, *[c.alias(n) for n, c in zip(groups, hex_groups(F.col(data)))])
     df = df.select(*keep, *[c.alias(n) for n, c in zip(raw, group_limbs([F.col(g) for g in groups]))])
-    return df.select(*keep, *[c.alias(n) for n, c in zip(names, carried([F.col(r) for r in raw], WORD_LIMBS))])
+    return carried(df, raw, names)
 
 
 def times_power(df: DataFrame, limbs: list[str], power: Column, names: list[str]) -> DataFrame:
     """``df`` with columns ``limbs`` replaced by ``names``, the number times 10^power (0 or more; NULL gives NULL)."""
     keep = [c for c in df.columns if c not in limbs]
     powers = F.array(*[_long(10**k) for k in range(DIGITS)])
-    raw = [f"_r{k}" for k in range(len(limbs))]
+    raw, full = [f"_r{k}" for k in range(len(limbs))], [f"_f{k}" for k in range(len(limbs) + 1)]
     by = F.get(powers, (power % DIGITS).cast("int"))
     up = _div(power.cast("bigint"), DIGITS).cast("int")
     df = df.select(*keep, up.alias("_up"), *[(F.col(n) * by).alias(r) for n, r in zip(limbs, raw)])
-    df = df.select(*keep, "_up", F.array(*carried([F.col(r) for r in raw], len(limbs) + 1)).alias("_all"))
+    df = carried(df, raw, full).select(*keep, "_up", F.array(*full).alias("_all"))
     known = F.col("_up").isNotNull() & F.col("_all")[0].isNotNull()
     moved = [F.when(known, F.coalesce(F.get("_all", F.lit(j) - F.col("_up")), _long(0))) for j in range(len(names))]
     return df.select(*keep, *[c.alias(n) for n, c in zip(names, moved)])
@@ -107,16 +112,17 @@ def unranked(number: Column, size: int) -> list[Column]:
     return [number[f"l{k}"] for k in range(size)]
 
 
-def _digits(limbs: list[Column]) -> Column:
+def digits(limbs: list[Column]) -> Column:
+    """All digits of the number, with leading zeros."""
     return F.concat(*[F.lpad(c.cast("string"), DIGITS, "0") for c in reversed(limbs)])
 
 
-def coins_text(limbs: list[Column], scale: Column) -> Column:
-    """Digits of ``number * 10^-scale``, with 18 decimal places or with ``scale`` if that is more."""
-    width = F.greatest(F.lit(DIGITS * len(limbs)), scale + 1)
-    digits = F.lpad(_digits(limbs), width, "0")
-    whole = F.regexp_replace(F.left(digits, width - scale), "^0+(?=[0-9])", "")
-    return F.concat(whole, F.lit("."), F.rpad(F.right(digits, scale), F.greatest(scale, F.lit(PLACES)), "0"))
+def coins_text(number: Column, scale: Column) -> Column:
+    """``digits`` times 10^-scale, with 18 decimal places or with ``scale`` if that is more."""
+    width = F.greatest(F.length(number), scale + 1)
+    number = F.lpad(number, width, "0")
+    whole = F.regexp_replace(F.left(number, width - scale), "^0+(?=[0-9])", "")
+    return F.concat(whole, F.lit("."), F.rpad(F.right(number, scale), F.greatest(scale, F.lit(PLACES)), "0"))
 
 
 def fits_decimal(text: Column) -> Column:
@@ -146,6 +152,6 @@ def coins_double(limbs: list[Column], scale: Column) -> Column:
 
     powers = F.array(*[F.lit(float(10**k)) for k in range(_EXACT_POWER + 1)])
     small = none(limbs[2:]) & (limbs[1] < 2**53 // BASE) & scale.between(0, _EXACT_POWER)
-    digits = F.when(none(limbs[4:]), _digits(limbs[:4])).otherwise(_digits(limbs))
+    number = F.when(none(limbs[4:]), digits(limbs[:4])).otherwise(digits(limbs))
     fast = (limbs[1] * _long(BASE) + limbs[0]).cast("double") / F.get(powers, scale)
-    return F.when(small, fast).otherwise(F.concat(digits, F.lit("E-"), scale.cast("string")).cast("double"))
+    return F.when(small, fast).otherwise(F.concat(number, F.lit("E-"), scale.cast("string")).cast("double"))

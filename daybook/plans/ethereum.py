@@ -398,26 +398,30 @@ def erc20_transfers(blocks: DataFrame, tokens: DataFrame) -> DataFrame:
         *[F.sum(F.when(F.col("f") == side, F.col(n))).alias(f"_{side}{k}") for side in (0, 1) for k, n in enumerate(names)],
     )
 
-    def total(prefix: str):
-        return wide.carried([F.col(f"{prefix}{k}") for k in range(len(names))], size)
+    def total(df: DataFrame, prefix: str, to: str) -> DataFrame:
+        return wide.carried(df, _limb_names(prefix, len(names)), _limb_names(to, size))
 
+    def number(prefix: str) -> list:
+        return [F.col(n) for n in _limb_names(prefix, size)]
+
+    per = total(total(per, "_0", "R"), "_1", "S")
     known = F.col("a").isNotNull()
     addr = per.groupBy(*keys).agg(
-        F.max(wide.ranked(total("_1"))).alias("_from"),
-        F.max(wide.ranked(total("_0"))).alias("_to"),
+        F.max(wide.ranked(number("S"))).alias("_from"),
+        F.max(wide.ranked(number("R"))).alias("_to"),
         F.sum(F.when(known, F.col("f")).otherwise(0)).cast("long").alias("from_cnt"),
         F.sum(F.when(known, F.col("t")).otherwise(0)).cast("long").alias("to_cnt"),
         F.count("a").alias("addr_cnt"),
     )
     counts = ["cnt", "med_value", "from_cnt", "to_cnt", "addr_cnt", "overflow_cnt", "malformed_cnt"]
-    values = [c.alias(f"V{k}") for k, c in enumerate(total("_s"))]
-    out = stitch(stats, med, addr, on=keys).select(*keys, *counts, "scale", "_max", "_from", "_to", *values)
+    out = total(stitch(stats, med, addr, on=keys), "_s", "V")
     exact = {
-        "value": [F.col(f"V{k}") for k in range(size)],
+        "value": number("V"),
         "max_value": wide.unranked(F.col("_max"), len(names)),
         "max_sum_from_value": wide.unranked(F.col("_from"), size),
         "max_sum_to_value": wide.unranked(F.col("_to"), size),
     }
-    out = out.select(*keys, *counts, *[wide.coins_text(limbs, scale).alias(f"{name}_text") for name, limbs in exact.items()])
+    out = out.select(*keys, *counts, "scale", *[wide.digits(limbs).alias(f"_{name}") for name, limbs in exact.items()])
+    out = out.select(*keys, *counts, *[wide.coins_text(F.col(f"_{name}"), scale).alias(f"{name}_text") for name in exact])
     both = [c for name in exact for c in (wide.fits_decimal(F.col(f"{name}_text")).alias(name), F.col(f"{name}_text"))]
     return out.select("symbol", "date", "cnt", *both, *counts[1:])

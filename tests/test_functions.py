@@ -36,7 +36,7 @@ def amount(spark, data_hex, decimals):
     names = [f"a{k}" for k in range(wide.WORD_LIMBS)]
     df = wide.uint256_limbs(df, "data", names)
     limbs, scale = [F.col(n) for n in names], F.col("decimals")
-    return tuple(df.select(wide.coins_text(limbs, scale), wide.coins_double(limbs, scale), wide.beyond_decimal(limbs, scale)).first())
+    return tuple(df.select(wide.coins_text(wide.digits(limbs), scale), wide.coins_double(limbs, scale), wide.beyond_decimal(limbs, scale)).first())
 
 
 def test_uint256_is_exact(spark):
@@ -75,8 +75,9 @@ def test_wide_sums_carry_and_rank(spark):
     rows = spark.createDataFrame([(k, [top, top, k]) for k in range(50)], "k int, l array<bigint>")
     limbs = [F.col("l")[i] for i in range(3)]
     sums = rows.agg(*[F.sum(c).alias(f"s{i}") for i, c in enumerate(limbs)], F.max(wide.ranked(limbs)).alias("top"))
-    total = wide.carried([F.col(f"s{i}") for i in range(3)], 4)
-    got = sums.select(wide.coins_text(total, F.lit(18)), wide.coins_text(wide.unranked(F.col("top"), 3), F.lit(18))).first()
+    sums = wide.carried(sums, ["s0", "s1", "s2"], ["t0", "t1", "t2", "t3"])
+    numbers = [F.col(f"t{i}") for i in range(4)], wide.unranked(F.col("top"), 3)
+    got = sums.select(*[wide.coins_text(wide.digits(limbs), F.lit(18)) for limbs in numbers]).first()
     want = sum(top * (1 + 10**9) + k * 10**18 for k in range(50))
     assert got[0].replace(".", "") == str(want)
     assert got[1] == f"49.{top}{top}"
