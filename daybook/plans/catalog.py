@@ -194,6 +194,48 @@ def _traced_refreshed(spark, d):
     return stats.refresh().read()
 
 
+def _waves_stored(spark, d):
+    """Waves daily over a stored ledger whose older files lack the mass transfers' field."""
+    from daybook.operators.staging import frozen, scratch_path
+    from daybook.plans.account import waves_stats
+    from daybook.sources.schemas import read_for
+
+    raw, path = frozen(L.waves_blocks(spark, d)), scratch_path(spark)
+    grown = F.exists("transactions", lambda t: t["type"] != 4)
+    older = raw.where(~grown).withColumn("transactions", F.transform("transactions", lambda t: t.dropFields("transfers")))
+    older.write.parquet(path)
+    raw.where(grown).write.mode("append").parquet(path)
+    return waves_stats(read_for(spark, path, "waves_stats"))
+
+
+def _erc20_files(spark, d):
+    """The token export end to end: list from JSON, stored nested ledger, a CSV folder a symbol, read back."""
+    from daybook.operators.staging import scratch_path
+    from daybook.sources.exports import csv_view
+    from daybook.sources.tokens import token_frame
+    from daybook.streaming import read_published
+    from daybook.streaming.publishing import export_erc20
+
+    root = scratch_path(spark)
+    L.eth_blocks(spark, d).write.parquet(f"{root}/raw")
+    fields = F.struct(F.col("address").alias("contractAddress"), "name", "symbol", "decimals")
+    token_frame(spark).agg(F.to_json(F.collect_list(fields)).alias("value")).write.text(f"{root}/tokens")
+    path = export_erc20(spark, f"{root}/raw", f"{root}/tokens", f"{root}/out")
+    written = csv_view(read_published(spark, f"{root}/out/datasets/erc20transfers"), "erc20", keep=("symbol",))
+    return spark.read.schema(written.schema).option("header", True).csv(path)
+
+
+def _sync_log(spark, d):
+    """The sync log as refreshes append to it: the last row of each chain."""
+    from daybook.operators.staging import scratch_path
+    from daybook.streaming import append_sync
+
+    path = scratch_path(spark)
+    for r in _sync(spark, d).collect():  # one row a chain
+        append_sync(spark, path, r["view"], r["sync_time"])
+    return spark.read.parquet(path).groupBy("view").agg(F.max_by("sync_time", "time").alias("sync_time"))
+
+
 def _csv(dataset: str, export: str, where=None, keep=()):
     def run(spark, d):
         from daybook.sources.exports import csv_view
@@ -232,6 +274,9 @@ QUERIES: dict[str, Query] = {
     "ripple_daily_refreshed": _ripple_refreshed,
     "neo_stats_refreshed": _neo_refreshed,
     "neo_unspent": _neo_unspent,
+    "waves_stats_stored": _waves_stored,
+    "csv_erc20_files": _erc20_files,
+    "sync_log": _sync_log,
     "eth_short_addrs_refreshed": _eth_short_addrs_refreshed,
     "eth_stats_traced_refreshed": _traced_refreshed,
 }

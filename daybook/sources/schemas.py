@@ -82,6 +82,15 @@ def _prune(dtype: DataType, keep) -> DataType:
     raise ValueError(f"cannot select sub-fields of {dtype.simpleString()}")
 
 
+def _has(dtype: DataType, keep) -> bool:
+    """True if ``dtype`` has every field that the ``keep`` tree names."""
+    if keep is None:
+        return True
+    if isinstance(dtype, ArrayType):
+        return _has(dtype.elementType, keep)
+    return all(name in dtype.names and _has(dtype[name].dataType, sub) for name, sub in keep.items())
+
+
 def narrow(schema: StructType, keep: dict) -> StructType:
     """The part of ``schema`` named by the ``keep`` tree."""
     return _prune(schema, keep)
@@ -89,9 +98,16 @@ def narrow(schema: StructType, keep: dict) -> StructType:
 
 def read_for(spark: SparkSession, path: str, job: str) -> DataFrame:
     """Read a stored chain table with the narrow schema of ``job``; a ``day``
-    partition column is kept."""
+    partition column is kept.
+
+    Where the file that Spark takes the schema from lacks a field (tables grow),
+    the union of all files' schemas is taken; files without the field give NULL.
+    A field that no file has is an error.
+    """
     schema = spark.read.parquet(path).schema
     keep = FIELDS[job]
     if "day" in schema.names:
         keep = {**keep, "day": None}
+    if not _has(schema, keep):
+        schema = spark.read.option("mergeSchema", True).parquet(path).schema
     return spark.read.schema(narrow(schema, keep)).parquet(path)

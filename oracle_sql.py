@@ -825,6 +825,11 @@ Q["csv_eth_stats"] = _csv("eth_stats_traced_registry", "eth_stats")
 Q["csv_eth_classic_stats"] = _csv("etc_stats_traced", "eth_stats")
 Q["csv_erc20"] = _csv("erc20_transfers", "erc20", keep=("symbol",))
 
+# The same datasets by way of stored tables and files.
+Q["csv_erc20_files"] = Q["csv_erc20"]
+Q["waves_stats_stored"] = Q["waves_stats"]
+Q["sync_log"] = Q["sync_watermarks"]
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

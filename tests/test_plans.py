@@ -81,6 +81,28 @@ def test_whole_plan(spark, stored, unstaged, name):
         assert "Expand" not in plan  # no distinct aggregates side by side
 
 
+def test_older_files_lack_a_field(spark, tmp_path):
+    """NULL where a file lacks a nested field, whichever file the schema comes from; still narrow; unknown fields are refused."""
+    from daybook.sources import schemas
+
+    path, kind = str(tmp_path / "t"), "timestamp bigint, transactions array<struct<{}>>"
+    spark.createDataFrame([(1, [(4, 7)])], kind.format("type:int,fee:bigint")).write.parquet(path)
+    spark.createDataFrame([(2, [(11, 8, [("a", 5)], "x")])], kind.format("type:int,fee:bigint,transfers:array<struct<recipient:string,amount:bigint>>,memo:string")).write.mode("append").parquet(path)
+    keep = {"timestamp": None, "transactions": {"type": None, "transfers": {"amount": None}}}
+    schemas.FIELDS["grown"] = keep
+    try:
+        got = read_for(spark, path, "grown")
+        rows = {r["timestamp"]: r["transactions"][0] for r in got.collect()}
+        assert rows[1]["transfers"] is None and rows[2]["transfers"][0]["amount"] == 5
+        (schema,) = re.findall(r"ReadSchema: (.*)", plan_of(got))
+        assert "memo" not in schema and "fee" not in schema and "recipient" not in schema
+        keep["transactions"]["never"] = None
+        with pytest.raises(ValueError, match="never"):
+            read_for(spark, path, "grown")
+    finally:
+        del schemas.FIELDS["grown"]
+
+
 @pytest.mark.parametrize("name", sorted(CHAIN_TABLES))
 def test_read_schema_is_narrow(spark, stored, unstaged, name):
     """The scan of a job reads no field outside its narrow schema."""
