@@ -67,10 +67,23 @@ def give_back() -> None:
         trim(0)
 
 
+#: glibc's M_MMAP_THRESHOLD and its value here: larger blocks are mapped on their own and leave the process when freed.
+MMAP_THRESHOLD, OWN_BLOCK = -3, 1 << 20
+
+
+def separate_blocks() -> None:
+    """Keep large arrays off the heap; left alone, glibc raises that bound with each freed block and the heap stays high."""
+    option = getattr(ctypes.CDLL(None), "mallopt", None)  # glibc alone has it
+    if option:
+        option(MMAP_THRESHOLD, OWN_BLOCK)
+
+
 def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``work`` over a partition's batches that gives back its memory in the end."""
 
     def over(batches):
+        separate_blocks()
+        pa.set_memory_pool(pa.system_memory_pool())  # its blocks go back like the others
         try:
             yield from work(batches)
         finally:

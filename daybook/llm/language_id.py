@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import batch_rows, frozen, give_back, lean, learns_from, ship_package
+from daybook.llm.common import batch_rows, frozen, give_back, lean, learns_from, separate_blocks, ship_package
 
 UNDETERMINED = "und"
 #: Documents of the fit a language.
@@ -340,6 +340,7 @@ def pass_parser(rows: DataFrame, languages: dict[str, int], longest: int = 0) ->
         return CrossParser([], longest)
 
     def build(table: pa.Table) -> pa.Table:
+        separate_blocks()
         texts = sorted(zip(table["doc_id"].to_pylist(), table["text"].to_pylist()))
         sample = plain(" ".join(text for _, text in texts))
         keys, targets = suffix_automaton(sample)

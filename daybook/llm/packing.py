@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from daybook.llm.common import Columns, batch_rows, ceil_div, frozen, lean, kind_of, map_columns
 from daybook.llm.mixing import dealt_by_range, prefix_sums
-from daybook.llm.tokens import encoder
+from daybook.llm.tokens import byte_bpe, encoder
 
 MAX_TOKENS = 2048
 END_ID = 0
@@ -126,14 +126,17 @@ def pieces_of(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = M
 
     def tokenise(batches: Iterator[Columns]) -> Iterator[Columns]:
         encode = encoder(tokenizer, added_tokens)
-        for b in batches:
-            out: Columns = {name: [] for name in schema}
-            for doc_id, text in zip(b["doc_id"], b["text"]):
-                ids = np.array([*encode(text or ""), END_ID], dtype="<u4")
-                for k, (start, n) in enumerate(cut(len(ids), max_tokens)):
-                    for name, value in zip(schema, (doc_id, k, start, n, zlib.crc32(ids[start : start + n]))):
-                        out[name].append(value)
-            yield out
+        try:
+            for b in batches:
+                out: Columns = {name: [] for name in schema}
+                for doc_id, text in zip(b["doc_id"], b["text"]):
+                    ids = np.array([*encode(text or ""), END_ID], dtype="<u4")
+                    for k, (start, n) in enumerate(cut(len(ids), max_tokens)):
+                        for name, value in zip(schema, (doc_id, k, start, n, zlib.crc32(ids[start : start + n]))):
+                            out[name].append(value)
+                yield out
+        finally:  # the worker outlives its task and would keep the vocabulary
+            byte_bpe.cache_clear()
 
     schema = {"doc_id": kind_of(docs, "doc_id"), "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint"}
     return map_columns(docs, tokenise, schema)

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Columns, batch_rows, frozen, kind_of, map_columns, text_or_empty
+from daybook.llm.common import Columns, batch_rows, frozen, kind_of, map_columns, separate_blocks, text_or_empty
 from daybook.llm.components import connected_components, least_labels
 
 WORDS, THRESHOLD = 5, 0.8
@@ -293,6 +293,7 @@ def bucket_links(
     paired = paired.select("key", "node", "root", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"), (F.col("tile") <= F.col("other")).alias("first"))
 
     def work(group: pa.Table) -> pa.Table:
+        separate_blocks()
         node, root, first = (group[k].to_numpy(zero_copy_only=False) for k in ("node", "root", "first"))
         own = [(np.frombuffer(s.as_py(), "<u8"), np.frombuffer(c.as_py(), "<u4")) for s, c in zip(group["shingles"], group["counts"])]
         links = links_in_bucket(own, first, root, threshold)
