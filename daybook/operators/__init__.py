@@ -11,4 +11,4 @@ from daybook.operators.aggregates import (  # noqa: F401
     total_where,
     unique_addresses,
 )
-from daybook.operators.quantile import exact_median, exact_medians  # noqa: F401
+from daybook.operators.quantile import exact_median, exact_medians, medians_of_counts, value_counts  # noqa: F401

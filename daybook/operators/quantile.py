@@ -59,20 +59,47 @@ def exact_medians(df: DataFrame, keys: Sequence[str], values: dict, *, stage_inp
     (``stage_input=False`` when ``df`` is itself a staged table).
     """
     keys = list(keys)
-    cols = [(F.col(v) if isinstance(v, str) else v).cast("double") for v in values.values()]
-    base = df.select(*keys, *[c.alias(f"_m{i}") for i, c in enumerate(cols)])
+    base = df.select(*keys, *_numbers(values))
     if stage_input:
         base = stage(base)
-    if len(cols) > 1:
-        each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_m{i}").alias("v")) for i in range(len(cols))]))
+    return _medians(_rows(base, keys, len(values)), keys, list(values), F.count(F.lit(1)))
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], values: dict) -> DataFrame:
+    """(keys, _i, _v, _n): how often each group has each value of the ``_i``-th of ``values``.
+
+    Counts combine map-side, a hot value is one row a task, and counts of
+    several groups add up, so stored counts of days give the medians of months.
+    """
+    rows = _rows(df.select(*keys, *_numbers(values)), keys, len(values))
+    return rows.groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def medians_of_counts(counts: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``keys + names``: exact medians out of (stored) ``value_counts`` of these or finer groups."""
+    return _medians(counts.select(*keys, "_i", "_v", "_n"), list(keys), list(names), F.sum("_n"))
+
+
+def _numbers(values: dict) -> list[Column]:
+    return [(F.col(v) if isinstance(v, str) else v).cast("double").alias(f"_m{i}") for i, v in enumerate(values.values())]
+
+
+def _rows(base: DataFrame, keys: Sequence[str], columns: int) -> DataFrame:
+    """(keys, _i, _v) of the values _m0, _m1, …; NULLs left out."""
+    if columns > 1:
+        each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_m{i}").alias("v")) for i in range(columns)]))
         rows = base.select(*keys, each.alias("_e")).select(*keys, F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
     else:
         rows = base.select(*keys, F.lit(0).alias("_i"), F.col("_m0").alias("_v"))
-    rows = rows.where(F.col("_v").isNotNull()).withColumn("_b", _bucket(F.col("_v")))
+    return rows.where(F.col("_v").isNotNull())
+
 
+def _medians(rows: DataFrame, keys: list[str], values: list[str], number: Column) -> DataFrame:
+    """Medians of the rows' values; ``number`` aggregates how many values some rows stand for."""
+    rows = rows.withColumn("_b", _bucket(F.col("_v")))
     names = [*keys, "_i"]
     group = Window.partitionBy(*names)
-    counts = rows.groupBy(*names, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(*names, "_b").agg(number.alias("_n"))
     before = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_all", F.sum("_n").over(group))
 
@@ -94,7 +121,7 @@ def exact_medians(df: DataFrame, keys: Sequence[str], values: dict, *, stage_inp
     for n in names:  # NULL keys are groups too
         same = same & rows[n].eqNullSafe(targets[f"_t{n}"])
     near = rows.join(targets, same).groupBy(*names, "_b", "_v").agg(
-        F.count(F.lit(1)).alias("_n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi")
+        number.alias("_n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi")
     )
     running = Window.partitionBy(*names, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     near = near.withColumn("_end", F.sum("_n").over(running))
@@ -104,6 +131,6 @@ def exact_medians(df: DataFrame, keys: Sequence[str], values: dict, *, stage_inp
 
     found = near.where(here("_lo") | here("_hi")).groupBy(*names).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     per = found.select(*names, _middle(F.col("_lo"), F.col("_hi")).alias("_median"))
-    if len(cols) == 1:
-        return per.select(*keys, F.col("_median").alias(next(iter(values))))
+    if len(values) == 1:
+        return per.select(*keys, F.col("_median").alias(values[0]))
     return per.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_median"))).alias(n) for i, n in enumerate(values)])

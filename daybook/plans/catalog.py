@@ -6,6 +6,7 @@ built from the supplied tables by ``daybook.sources.ledgers``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,22 @@ def _tron(spark, d):
     return tron_stats(L.tron_blocks(spark, d))
 
 
+def _tron_months(spark, d):
+    """Months out of what days left, the later days numbered after the earlier ones."""
+    from daybook.plans.tron import tron_day_parts, tron_months
+    from daybook.streaming import Clock
+
+    early, raw = _split(L.tron_blocks(spark, d), "timestamp", 1000)
+    values, sets, numbers = tron_day_parts(early)
+    begin = early.agg(F.max("timestamp")).first()[0]
+    if begin is None:
+        return tron_months(*tron_day_parts(raw)[:2])
+    day = dt.datetime.fromtimestamp(begin // 1000, dt.UTC).replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
+    more_values, more_sets, _ = tron_day_parts(Clock("timestamp", 1000).since(raw, day), numbers)
+    closed = F.col("date") < F.lit(day)
+    return tron_months(values.where(closed).unionByName(more_values), sets.where(closed).unionByName(more_sets))
+
+
 def _account(name, blocks_fn):
     def run(spark, d):
         from daybook.plans import account
@@ -119,13 +136,13 @@ class _Kept:
 OPEN_SECONDS = 30 * 86400
 
 
-def _split(raw, clock: str):
+def _split(raw, clock: str, per_second: int = 1):
     """(raw rows before the open stretch, all raw rows), both read from one stored copy."""
     from daybook.operators.staging import frozen
 
     raw = frozen(raw)
     last = raw.agg(F.max(clock)).first()[0]
-    return raw.where(F.col(clock) < F.lit((last or 0) - OPEN_SECONDS)), raw
+    return raw.where(F.col(clock) < F.lit((last or 0) - OPEN_SECONDS * per_second)), raw
 
 
 def _ripple_refreshed(spark, d):
@@ -147,8 +164,6 @@ def _neo_refreshed(spark, d):
 def _kept_state(spark, raw, clock, name):
     """State ``name`` built before one day and brought forward to a later one, the two days' distance
     of ``OPEN_SECONDS``, and the raw rows from the later day on."""
-    import datetime as dt
-
     from daybook.operators.staging import frozen, scratch_path
     from daybook.streaming.publishing import STATES
 
@@ -247,6 +262,7 @@ def _csv(dataset: str, export: str, where=None, keep=()):
 
 QUERIES: dict[str, Query] = {
     "tron_stats": _tron,
+    "tron_months": _tron_months,
     "eos_stats": _account("eos_stats", L.eos_blocks),
     "lisk_stats": _account("lisk_stats", L.lisk_trs),
     "nem_stats": _account("nem_stats", L.nem_blocks),

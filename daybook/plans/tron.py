@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from daybook.functions import day_of_millis, scale_units, units
 from daybook.functions.units import units_to_double
-from daybook.operators import address_counts, exact_median, stitch
+from daybook.operators import address_counts, exact_median, medians_of_counts, stitch, value_counts
+from daybook.operators.distinct_sets import address_sets, merged_sets, numbered, set_counts, side_flags
 from daybook.operators.nesting import n_items
-from daybook.operators.staging import stage
+from daybook.operators.staging import frozen, stage
 
 # Tron sun per TRX (10^-6).
 SCALE = 6
@@ -45,3 +46,21 @@ def tron_stats(blocks: DataFrame) -> DataFrame:
     return out.select(
         "date", "block_cnt", "tx_cnt", "payment_cnt", "value", "med_value", "from_cnt", "to_cnt", "addr_cnt"
     )
+
+
+def tron_day_parts(blocks: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the days leave to longer periods, stored: counts of paid values, address sets, numbers of the addresses."""
+    pays = stage(tron_payments(blocks))
+    values = frozen(value_counts(pays, ["date"], {"med_value": units_to_double("units", SCALE)}))
+    flags = frozen(side_flags(pays, ["date"], "from", "to"))
+    numbers = numbered(flags, known)
+    return values, frozen(address_sets(flags, ["date"], numbers)), numbers
+
+
+def tron_months(values: DataFrame, sets: DataFrame) -> DataFrame:
+    """Payments, their exact median and distinct addresses of each month, out of stored days alone."""
+    month = F.date_trunc("month", "date").cast("timestamp_ntz").alias("month")
+    values, sets = (df.select(month, *[c for c in df.columns if c != "date"]) for df in (values, sets))
+    paid = values.groupBy("month").agg(F.sum("_n").alias("payment_cnt"))
+    counts = set_counts(merged_sets(sets, ["month"]), ["month"])
+    return stitch(paid, medians_of_counts(values, ["month"], ["med_value"]), counts, on="month")

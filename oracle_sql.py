@@ -84,6 +84,16 @@ Q["tron_stats"] = with_(
 ) + """SELECT b.date, b.block_cnt, x.tx_cnt, p.payment_cnt, p.value, p.med_value, p.from_cnt, p.to_cnt, a.addr_cnt
 FROM block_stats b LEFT JOIN tx_stats x USING (date) LEFT JOIN pay_stats p USING (date) LEFT JOIN addr a USING (date)"""
 
+Q["tron_months"] = with_(
+    ACC,
+    LI,
+    f"""pays AS (SELECT date_trunc('month', {day('a.btime')}) AS month, a.cust AS f, l.supp AS t, l.amt
+      FROM acc a JOIN li l ON l.k = a.k WHERE a.num > 0 AND l.flag <> 'R')""",
+) + f"""SELECT month, count(*) AS payment_cnt, {med(dbl('amt', 6))} AS med_value, count(DISTINCT f) AS from_cnt,
+  count(DISTINCT t) AS to_cnt, any_value(addr_cnt) AS addr_cnt
+FROM pays JOIN (SELECT month, count(DISTINCT a) AS addr_cnt
+  FROM (SELECT month, unnest([f, t]) AS a FROM pays) GROUP BY month) USING (month) GROUP BY month"""
+
 
 def _vc(x: str) -> str:
     return f"CAST({x} AS VARCHAR)"
