@@ -66,3 +66,47 @@ def missing_in_day(index_days: DataFrame, name: str = "missing_block_cnt") -> Da
         F.count(F.lit(1)).alias("block_cnt"),
         (F.max("index") - F.min("index") + 1 - F.count(F.lit(1))).alias(name),
     )
+
+
+def runs(index_days: DataFrame, start: int, bucket_width: int | None = None) -> DataFrame:
+    """(bucket, begin, end, end_date): the present indexes from ``start - 1`` on as runs without a gap.
+
+    Runs end at the borders of buckets, so that each bucket can be merged by
+    itself; ``end_date`` is the day of the run's last ledger, its least one
+    where that ledger comes more than once.
+    """
+    width = F.lit(bucket_width or DEFAULT_BUCKET_WIDTH)
+    one = index_days.where(F.col("index") >= F.lit(start - 1)).groupBy("index").agg(F.min("date").alias("end_date"))
+    one = one.withColumn("bucket", F.floor(F.col("index") / width).cast("long"))
+    row = F.row_number().over(Window.partitionBy("bucket").orderBy("index"))
+    return one.withColumn("_run", F.col("index") - row).groupBy("bucket", "_run").agg(
+        F.min("index").alias("begin"), F.max("index").alias("end"), F.max_by("end_date", "index").alias("end_date")
+    ).drop("_run")
+
+
+def merged_runs(some: DataFrame) -> DataFrame:
+    """The same present indexes as the fewest runs.
+
+    Runs that overlap, touch or repeat become one, so runs found again, or
+    found in ledgers that came late, may simply be added to stored ones.
+    """
+    before = Window.partitionBy("bucket").orderBy("begin", "end").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max("end").over(before)
+    opens = F.when(reach.isNull() | (F.col("begin") > reach + 1), 1).otherwise(0)
+    upto = Window.partitionBy("bucket").orderBy("begin", "end").rowsBetween(Window.unboundedPreceding, 0)
+    parts = some.withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(upto))
+    last = F.struct("end", -F.unix_date(F.col("end_date").cast("date")))  # of the same last ledger, the earlier day
+    return parts.groupBy("bucket", "_run").agg(
+        F.min("begin").alias("begin"), F.max("end").alias("end"), F.max_by("end_date", last).alias("end_date")
+    ).drop("_run")
+
+
+def missing_of_runs(some: DataFrame, name: str = "missing_block_cnt") -> DataFrame:
+    """``missing_by_day`` of the ledgers in ``merged_runs``: (date, name)."""
+    following = F.lead("begin").over(Window.partitionBy("bucket").orderBy("begin"))
+    inside = some.withColumn("_next", following)
+    # one row a bucket, as in ``successors``
+    buckets = some.groupBy("bucket").agg(F.min("begin").alias("_first")).withColumn("_after", F.lead("_first").over(Window.orderBy("bucket")))
+    gap = F.coalesce("_next", "_after") - F.col("end") - 1
+    found = inside.join(buckets.select("bucket", "_after"), "bucket").select(F.col("end_date").alias("date"), gap.alias("_gap"))
+    return found.where(F.col("_gap") > 0).groupBy("date").agg(F.sum("_gap").alias(name))

@@ -209,6 +209,56 @@ def _traced_refreshed(spark, d):
     return stats.refresh().read()
 
 
+def _arrivals(raw, clock: str):
+    """Raw rows as they reach a live table: the early ones, the open stretch, then some of the early ones that come late."""
+    from daybook.operators.staging import frozen
+
+    early, raw = _split(raw, clock)
+    begin = early.agg(F.max(clock)).first()[0] or 0
+    late = (F.col(clock) > F.lit(begin - OPEN_SECONDS)) & (F.pmod(F.xxhash64(clock), F.lit(3)) == 0)
+    later = raw.where(F.col(clock) >= F.lit(begin)).join(early.select(clock).distinct(), clock, "left_anti")
+    return [frozen(early.where(~late)), frozen(later.select(*raw.columns)), frozen(early.where(late))]
+
+
+def _followed(spark, raw, clock, job, **kw):
+    """A table kept up by a stream that is started again for each arrival."""
+    from daybook.operators.staging import scratch_path
+    from daybook.streaming import follow, read_published
+
+    root = scratch_path(spark)
+    for rows in _arrivals(raw, clock.column):
+        rows.write.mode("append").parquet(f"{root}/raw")
+        follow(spark, f"{root}/raw", rows.schema, f"{root}/table", job, clock=clock, checkpoint=f"{root}/progress", **kw)
+    return read_published(spark, f"{root}/table")
+
+
+def _ripple_live(spark, d):
+    from daybook.plans.ledger import ripple_daily
+    from daybook.streaming import Clock
+
+    return _followed(spark, L.ripple_ledgers(spark, d), Clock("closeTime"), lambda r, since=None: ripple_daily(r))
+
+
+def _ripple_payment_live(spark, d):
+    """D20 kept live: days by their own ledgers, gaps out of stored runs that late ledgers join."""
+    from daybook.operators.gaps import merged_runs, missing_of_runs, runs
+    from daybook.operators.staging import scratch_path
+    from daybook.plans.ledger import RIPPLE_SERIES_START, ripple_indexes, ripple_payment_days, with_gaps
+    from daybook.streaming import Clock, stored_runs
+
+    kept = scratch_path(spark)
+
+    def note(rows):
+        runs(ripple_indexes(rows), RIPPLE_SERIES_START).write.mode("append").parquet(kept)
+
+    def job(rows, since=None):
+        return ripple_payment_days(rows)
+
+    # a payment's own date may be the day after its ledger closed
+    days = _followed(spark, L.ripple_ledgers(spark, d), Clock("closeTime"), job, overlap=1, note=note)
+    return with_gaps(days, missing_of_runs(merged_runs(stored_runs(spark, kept))))
+
+
 def _waves_stored(spark, d):
     """Waves daily over a stored ledger whose older files lack the mass transfers' field."""
     from daybook.operators.staging import frozen, scratch_path
@@ -288,6 +338,8 @@ QUERIES: dict[str, Query] = {
     "erc20_transfers": _erc20,
     "sync_watermarks": _sync,
     "ripple_daily_refreshed": _ripple_refreshed,
+    "ripple_daily_live": _ripple_live,
+    "ripple_payment_live": _ripple_payment_live,
     "neo_stats_refreshed": _neo_refreshed,
     "neo_unspent": _neo_unspent,
     "waves_stats_stored": _waves_stored,

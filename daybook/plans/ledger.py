@@ -37,6 +37,23 @@ def _is_xrp_payment() -> F.Column:
 def ripple_payment_stats(ledgers: DataFrame) -> DataFrame:
     """Full rebuild (D20): XRP payments by their own date, blocks by close day,
     gaps charged to the day before them across days (§8 Q17-Q19)."""
+    return with_gaps(ripple_payment_days(ledgers), missing_by_day(ripple_indexes(ledgers), RIPPLE_SERIES_START))
+
+
+def ripple_indexes(ledgers: DataFrame) -> DataFrame:
+    return ledgers.select("index", day_of_seconds("closeTime").alias("date"))
+
+
+def with_gaps(days: DataFrame, gaps: DataFrame) -> DataFrame:
+    """The days of D20 with their gaps (date, missing_block_cnt)."""
+    return stitch(days, gaps, on="date").select(
+        "date", "cnt", "value", "fee", "from_cnt", "to_cnt", "addr_cnt", "block_cnt", "missing_block_cnt",
+        "total_cnt", "missing_cnt",
+    )
+
+
+def ripple_payment_days(ledgers: DataFrame) -> DataFrame:
+    """The columns of D20 that depend on a day's own ledgers and payments."""
     t = _ripple_tx(ledgers)
     pay = stage(t.where(_is_xrp_payment()).select(
         day_of_seconds("tx.date").alias("date"),
@@ -51,7 +68,7 @@ def ripple_payment_stats(ledgers: DataFrame) -> DataFrame:
         scale_units(F.sum("fee"), RIPPLE_SCALE).alias("fee"),
     )
     addr = address_counts(pay, ["date"], "from", "to")
-    led = ledgers.select("index", day_of_seconds("closeTime").alias("date"), "transactions")
+    led = ledgers.select(day_of_seconds("closeTime").alias("date"), "transactions")
     blocks = led.groupBy("date").agg(
         F.count(F.lit(1)).alias("block_cnt"), F.sum(n_items("transactions")).alias("total_cnt")
     )
@@ -60,12 +77,7 @@ def ripple_payment_stats(ledgers: DataFrame) -> DataFrame:
         .groupBy(F.col("ledger_date").alias("date"))
         .agg(F.count(F.lit(1)).alias("missing_cnt"))
     )
-    gaps = missing_by_day(led.select("index", "date"), RIPPLE_SERIES_START)
-    out = stitch(txs, addr, blocks, gaps, missing_tx, on="date")
-    return out.select(
-        "date", "cnt", "value", "fee", "from_cnt", "to_cnt", "addr_cnt", "block_cnt", "missing_block_cnt",
-        "total_cnt", "missing_cnt",
-    )
+    return stitch(txs, addr, blocks, missing_tx, on="date")
 
 
 def ripple_daily(ledgers: DataFrame) -> DataFrame:

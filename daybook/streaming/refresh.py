@@ -23,9 +23,10 @@ from daybook.streaming.clocks import Clock
 from daybook.streaming.state import State
 from daybook.streaming.store import last_published_day, publish
 
-def open_days(job: Callable[..., DataFrame], raw: DataFrame, clock: Clock, begin: dt.datetime) -> DataFrame:
-    """``job`` over the days from ``begin`` on."""
-    return job(clock.since(raw, begin), since=begin).where(F.col("date") >= F.lit(begin))
+def open_days(job: Callable[..., DataFrame], raw: DataFrame, clock: Clock, begin: dt.datetime, overlap: int = 0) -> DataFrame:
+    """``job`` over the days from ``begin`` on, reading raw rows from ``overlap`` days earlier."""
+    rows = clock.since(raw, begin - dt.timedelta(days=overlap))
+    return job(rows, since=begin).where(F.col("date") >= F.lit(begin))
 
 
 def refresh_days(

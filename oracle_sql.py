@@ -656,6 +656,8 @@ UNION ALL SELECT 'waves', make_timestamp((SELECT max(btime) * 1000 FROM acc) * 1
 # ------------------------------------------------- incremental refreshes
 # No closed day of these two depends on a later one: a refreshed table equals a full build.
 Q["ripple_daily_refreshed"] = Q["ripple_daily"]
+Q["ripple_daily_live"] = Q["ripple_daily"]
+Q["ripple_payment_live"] = Q["ripple_payment_stats"]
 Q["neo_stats_refreshed"] = Q["neo_stats"]
 Q["eth_short_addrs_refreshed"] = Q["eth_short_addrs"]
 # Traced days depend on the contracts and addresses known when they were published: closed days on
