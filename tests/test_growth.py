@@ -1,5 +1,6 @@
 """What grows with the ledger is shuffled, stored and built once."""
 
+import datetime as dt
 from decimal import Decimal as D
 
 import pytest
@@ -55,3 +56,29 @@ def test_neo_days_out_of_one_shuffle_by_address(spark, monkeypatch):
         (b"a", 6, 5 + 7 + 0 + 3 + 0 + 4, 3.5, 2, 3, 3)
     ]
     assert not [c for c in stored if "txid" in c]
+
+
+@pytest.mark.parametrize("build", [L.cardano_blocks, L.monero_blocks, L.neo_blocks])
+def test_utxo_blocks_out_of_one_placement(spark, sf_small, build):
+    """Order keys are counted, then orders and lineitems are shuffled together, once; nothing is joined."""
+    plan = build(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_utxo_orders_that_repeat_lack_or_cross(spark, tmp_path):
+    """Repeated, absent and NULL orders, and spends over the border of two stretches."""
+    orders, at = [998, 999, 1000, 1000, 1003, 2001, None], dt.datetime(1995, 1, 1)
+    items = [(k, i) for k in (997, 999, 1000, 1002, 2000, None) for i in range(3)]
+    spark.createDataFrame([(k,) for k in orders], "o_orderkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = [(k, i, 7, i, 1.0, float(i), 0.0, 0.0, "N", "O", at) for k, i in items]
+    names = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = L.cardano_blocks(spark, str(tmp_path)).select("timeIssued", F.explode("transactions").alias("t"))
+    got = sorted((r[0], r[1]["id"], [int(i["value"]) for i in r[1]["inputs"]], [int(i["value"]) for i in r[1]["outputs"]]) for r in got.where("t.id IS NOT NULL").collect())
+    have = {k for k, _ in items if k is not None}
+    assert got == sorted(
+        (L.DAY0_EPOCH + k // 10 * 6000, k, [0, 200] if k - 1 in have else [], [0, 100, 200] if k in have else [])
+        for k in orders if k is not None
+    )
+    (none,) = L.cardano_blocks(spark, str(tmp_path)).where("timeIssued IS NULL").collect()
+    assert [(t["id"], t["inputs"], t["outputs"]) for t in none["transactions"]] == [(None, [], [])]
