@@ -6,6 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.functions import wide
 from daybook.plans import utxo
 from daybook.plans.catalog import QUERIES
 from daybook.sources import ledgers as L
@@ -82,3 +83,28 @@ def test_utxo_orders_that_repeat_lack_or_cross(spark, tmp_path):
     )
     (none,) = L.cardano_blocks(spark, str(tmp_path)).where("timeIssued IS NULL").collect()
     assert [(t["id"], t["inputs"], t["outputs"]) for t in none["transactions"]] == [(None, [], [])]
+
+
+def test_largest_number_without_sorting_rows(spark):
+    """The largest of any numbers by their upper and lower digits, rows met by hash aggregates alone."""
+    numbers = [0, 5, 10**9, 10**18 + 3, 10**27 + 1, 10**36 - 1, 10**36, 10**36 + 2, 10**45, 2**256 - 2, 2**256 - 1]
+    limbs = [F.col(f"l{k}") for k in range(9)]
+    rows = [(g, *[n // 10 ** (9 * k) % 10**9 for k in range(9)]) for g in range(len(numbers)) for n in numbers[: g + 1]]
+    rows += [(-1, *[None] * 9), (0, *[None] * 9)]
+    df = spark.createDataFrame(rows, "g int, " + ", ".join(f"l{k} bigint" for k in range(9)))
+    first = df.groupBy("g", wide.upper(limbs).alias("up")).agg(F.max(wide.lower(limbs)).alias("low"))
+    assert "SortAggregate" not in first._jdf.queryExecution().executedPlan().toString()
+    top = first.groupBy("g").agg(F.max(wide.rejoined(F.col("up"), F.col("low"))).alias("top"))
+    got = {r[0]: r[1] for r in top.select("g", wide.rejoined_digits(F.col("top"))).collect()}
+    assert got.pop(-1) is None
+    assert {g: int(d) for g, d in got.items()} == dict(enumerate(numbers))
+
+
+def test_token_transfers_are_not_sorted_for_their_largest(spark, sf_small):
+    """What Spark must sort for a maximum are groups of equal upper digits, not transfers or addresses."""
+    spark.conf.set("daybook.stage", "none")
+    try:
+        plan = QUERIES["erc20_transfers"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("daybook.stage")
+    assert "SortAggregate" in plan and "struct(l" not in plan
