@@ -108,3 +108,10 @@ def test_token_transfers_are_not_sorted_for_their_largest(spark, sf_small):
     finally:
         spark.conf.unset("daybook.stage")
     assert "SortAggregate" in plan and "struct(l" not in plan
+
+
+def test_few_blocks_are_read_at_a_time(spark):
+    """Parquet batches are bounded by rows alone, and a row may be a block of many thousand transactions."""
+    from daybook.session import configure
+
+    assert int(configure(spark).conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 128
