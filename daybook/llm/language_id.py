@@ -68,6 +68,8 @@ PAD = 0
 SEED = 5
 #: Odd multiplier of the hash of transitions.
 HASH = np.uint64(0x9E3779B97F4A7C15)
+#: Tasks that build automata; the driver fetches the results of one after the other, a job each.
+BUILDERS = 8
 
 
 Samples = tuple[tuple[str, str], ...]
@@ -348,7 +350,7 @@ def pass_parser(rows: DataFrame, languages: dict[str, int], longest: int = 0) ->
         return pa.table({"lang": [table["lang"][0].as_py()], "n": pa.array([len(sample)], pa.int64()), "keys": [keys.tobytes()], "targets": [targets.tobytes()]})
 
     ship_package(rows.sparkSession)
-    built = _chosen(rows, languages).groupBy("lang").applyInArrow(build, "lang string, n long, keys binary, targets binary")
+    built = _chosen(rows, languages).groupBy("lang").applyInArrow(build, "lang string, n long, keys binary, targets binary").coalesce(BUILDERS)
     return CrossParser([(r["lang"], r["n"], (np.frombuffer(r["keys"], np.int64), np.frombuffer(r["targets"], np.int32))) for r in built.toLocalIterator()], longest)
 
 

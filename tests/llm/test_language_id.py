@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 
-from daybook.llm.language_id import BLOCK, CrossParser, identify_language, keep_known_language, language_samples
+from daybook.llm.language_id import BLOCK, CrossParser, identify_language, keep_known_language, language_samples, pass_parser, sample_passes, sample_rows
 
 SAMPLES = (("ab", "abab abba baab abab"), ("cd", "cdcd dccd ddcc cdcd"))
 
@@ -155,3 +155,25 @@ def test_an_unlabelled_corpus_is_kept(spark):
     docs = spark.createDataFrame([(k, t, None) for k, t in enumerate(texts)], "doc_id long, text string, lang string")
     assert sorted(r.doc_id for r in keep_known_language(docs).collect()) == [0, 1]
     assert {r.lang_pred for r in identify_language(docs).collect()} == {"und"}
+
+
+def test_a_parser_takes_few_jobs(spark):
+    """The driver keeps each job on record; there was one for each partition."""
+    rows = [(k, f"text number {k} of language {k % 20}", f"l{k % 20:02d}") for k in range(200)]
+    docs = sample_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    (languages,), longest = sample_passes(docs)
+    conf = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    # local relations and broadcasts aside, jobs are numbered one after the other
+    last = lambda: max(spark.sparkContext.statusTracker().getJobIdsForGroup(None), default=-1)
+    try:
+        first = last()
+        parser = pass_parser(docs, languages, longest)
+        jobs = last() - first
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert parser.languages == sorted(languages) and len(languages) == 20
+    assert jobs < 20
