@@ -1,14 +1,19 @@
 """What grows with the ledger is shuffled, stored and built once."""
 
 import datetime as dt
+import os
+import re
 from decimal import Decimal as D
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from daybook.functions import wide
-from daybook.plans import utxo
+from daybook.operators.staging import frozen
+from daybook.plans import ethereum, utxo
 from daybook.plans.catalog import QUERIES
+from daybook.session import BLOCK_CONF, BLOCK_OPTIONS, few_blocks
 from daybook.sources import ledgers as L
 
 
@@ -115,3 +120,69 @@ def test_few_blocks_are_read_at_a_time(spark):
     from daybook.session import configure
 
     assert int(configure(spark).conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 128
+
+
+def _scanned(df):
+    """What the first scan of ``df`` reads."""
+    return df._jdf.queryExecution().sparkPlan().collectLeaves().head().requiredSchema().simpleString()
+
+
+def test_transactions_of_a_stored_ledger_are_read_by_field(spark, sf_small):
+    """Logs and actions, most of a block, are not read for its transactions or for their number."""
+    blocks = frozen(L.eth_blocks(spark, sf_small)).where("timestamp > 0")
+    for df in (ethereum.tx_units(blocks), ethereum.address_totals(blocks), ethereum._block_stats(blocks, "eth")):
+        assert "from" in _scanned(df) and not re.search(r"\b(logs|actions)\b", _scanned(df))
+
+
+def test_transactions_that_lack(spark):
+    """Blocks with NULL or no transactions give no rows, a NULL transaction gives a row of NULLs; only items are counted."""
+    kind = "from bigint, to bigint, contractAddress bigint, value decimal(38,0), gasUsed bigint, gasPrice decimal(38,0)"
+    kind = f"array<struct<{kind.replace(' ', ':').replace(',:', ',')}>>"
+    full = (1, None, 7, D(5), 21000, D(2))
+    rows = [(n, 86400, D(1), 10, [], t) for n, t in enumerate([None, [], [full, None], [full]])]
+    names = "number bigint, timestamp bigint, difficulty decimal(38,0), size bigint, uncles array<struct<number:bigint>>, transactions "
+    blocks = spark.createDataFrame(rows, names + kind)
+    got = sorted((tuple(r)[2:] for r in ethereum.tx_units(blocks).collect()), key=str)
+    assert got == [(1, None, 7, D(5), D(42000)), (1, None, 7, D(5), D(42000)), (None,) * 5]
+    (day,) = ethereum._block_stats(blocks, "eth").collect()
+    assert (day["block_cnt"], day["sum_size"], day["avg_tx_size"]) == (4, 40, 40 / 3)
+
+
+def test_blocks_are_stored_by_their_bytes(spark):
+    """A row group ends by its bytes; left alone, Parquet buffers a hundred rows of any size."""
+    rows = spark.createDataFrame([(i, [os.urandom(1 << 18) for _ in range(4)]) for i in range(40)], "i int, b array<binary>").coalesce(1)
+    for options, most in ((BLOCK_OPTIONS, 20), ({}, 100)):
+        (file,) = frozen(rows, **options).inputFiles()
+        meta = pq.read_metadata(file.removeprefix("file:"))
+        assert max(meta.row_group(k).num_rows for k in range(meta.num_row_groups)) <= most
+        assert (meta.num_row_groups > 1) == bool(options)
+
+
+def _settings(spark):
+    return {key: spark.conf.get(key) for key in BLOCK_CONF}
+
+
+def test_traced_refresh_holds_few_blocks(spark, sf_small, monkeypatch):
+    """Each step that stores or reads the ledger runs with the settings for large blocks, which end with the query."""
+    seen, before = [], _settings(spark)
+
+    def noted(fn):
+        def run(blocks, *args, **kw):
+            seen.append(_settings(blocks.sparkSession))
+            return fn(blocks, *args, **kw)
+
+        return run
+
+    for name in ("contract_days", "eth_stats_traced"):
+        monkeypatch.setattr(ethereum, name, noted(getattr(ethereum, name)))
+    assert QUERIES["eth_stats_traced_refreshed"](spark, sf_small).count() > 0
+    assert len(seen) == 4 and all(s == BLOCK_CONF for s in seen)
+    assert _settings(spark) == before != BLOCK_CONF
+
+
+def test_settings_for_large_blocks_end_with_an_error(spark):
+    before = _settings(spark)
+    with pytest.raises(ZeroDivisionError), few_blocks(spark):
+        assert _settings(spark) == BLOCK_CONF
+        1 / 0
+    assert _settings(spark) == before
