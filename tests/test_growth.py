@@ -186,3 +186,22 @@ def test_settings_for_large_blocks_end_with_an_error(spark):
         assert _settings(spark) == BLOCK_CONF
         1 / 0
     assert _settings(spark) == before
+
+
+@pytest.mark.parametrize("query, job", [("csv_erc20_files", "erc20_transfers"), ("eth_stats_traced_refreshed", "contract_days")])
+def test_stored_blocks_end_row_groups_by_their_bytes(spark, sf_small, monkeypatch, query, job):
+    """The job reads a ledger stored with the options for large blocks, block by block."""
+    seen = []
+
+    def noted(blocks, *args, fn=getattr(ethereum, job), **kw):
+        seen.append(_settings(spark))
+        for file in blocks.inputFiles():
+            meta = pq.read_metadata(file.removeprefix("file:"))
+            seen.append(_settings(spark) if meta.num_row_groups > 1 or meta.num_rows < 70 else file)
+        return fn(blocks, *args, **kw)
+
+    monkeypatch.setattr(ethereum, job, noted)
+    monkeypatch.setitem(BLOCK_OPTIONS, "parquet.block.size", "4096")
+    assert QUERIES[query](spark, sf_small).count() > 0
+    assert len(seen) > 1 and all(s == BLOCK_CONF for s in seen)
+    assert _settings(spark) != BLOCK_CONF
